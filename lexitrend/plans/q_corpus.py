@@ -1 +1,273 @@
-"""Placeholder."""
+"""Corpus group: raw nested records, CSV round trips, domain split.
+
+Raw inputs are rendered from ``documents`` by Spark (JSON lines, gzip),
+written under the session's checkpoint folder and read back through the
+real readers, so the scans, parsers and sinks are exercised end to end.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from .. import constants as K
+from ..functions import records as RC
+from ..functions.categories import code_domain, code_prefix, domain_map_df, primary_category, target_domains
+from ..functions.text import WS_RE, flatten_newlines
+from ..operators import terms as TM
+from ..session import checkpoint_path
+from ..sources import corpus as CO
+from ..sources import sinks as SK
+from ..sources.tables import table
+from . import q_text as QT
+from . import standins as S
+from .registry import register
+
+MALFORMED_EVERY = 29      # every 29th raw snapshot line is cut in half
+NO_VERSIONS_EVERY = 11    # no versions array -> update_date is used
+SHORT_AUTHOR_EVERY = 13   # one author entry with a single part -> rejected
+NULL_CATS_EVERY = 41      # categories omitted
+WORKS_BAD_EVERY = 31      # every 31st works line is garbage
+
+
+def _scratch(spark, name: str) -> str:
+    return checkpoint_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _utc(spark):
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def _author(k_last, k_first):
+    return F.array(F.concat(F.lit("Last"), k_last.cast("string")), F.concat(F.lit("First"), k_first.cast("string")), F.lit(""))
+
+
+def snapshot_lines(spark, sf):
+    """Raw snapshot JSON lines rendered from the paper stand-in."""
+    p = S.papers(spark, sf)
+    d = F.col("id")
+    ts = F.timestamp_seconds(F.unix_timestamp(F.col("published_date").cast("timestamp")) + d % 86400)
+    rfc = F.concat(F.date_format(ts, "EEE, d MMM yyyy HH:mm:ss"), F.lit(" GMT"))
+    a1 = _author(d % 97, d % 89)
+    a2 = F.when(d % SHORT_AUTHOR_EVERY == 0, F.array(F.concat(F.lit("Last"), ((d * 3 + 1) % 97).cast("string")))) \
+          .otherwise(_author((d * 3 + 1) % 97, (d * 5 + 2) % 89))
+    rec = F.struct(
+        F.concat(F.lit("p"), d.cast("string")).alias("id"),
+        F.col("title").alias("title"), F.col("summary").alias("abstract"),
+        F.when(d % NULL_CATS_EVERY == 0, F.lit(None)).otherwise(F.col("all_categories")).alias("categories"),
+        F.date_format("published_date", "yyyy-MM-dd").alias("update_date"),
+        F.when(d % NO_VERSIONS_EVERY == 0, F.lit(None)).otherwise(F.array(F.struct(rfc.alias("created")))).alias("versions"),
+        F.array(a1, a2).alias("authors_parsed"))
+    js = F.to_json(rec)
+    return p.select(F.when(d % MALFORMED_EVERY == 0, F.substring(js, 1, 40)).otherwise(js).alias("value"))
+
+
+def clean_snapshot(raw):
+    """A1 + B2 + B4-B7: raw snapshot rows -> 7-column clean papers; rows
+    with a short author entry go to the reject side."""
+    good = raw.where(~RC.has_short_author("authors_parsed"))
+    cats = F.coalesce(F.col("categories"), F.lit(""))
+    return good.select(
+        RC.abs_url("id").alias("id"), flatten_newlines("title").alias("title"),
+        flatten_newlines("abstract").alias("summary"),
+        RC.first_version_date("versions", "update_date").alias("published_date"),
+        RC.format_authors("authors_parsed").alias("authors"),
+        primary_category(cats).alias("primary_category"), cats.alias("all_categories"))
+
+
+def _snapshot(spark, sf):
+    _utc(spark)
+    path = _scratch(spark, "a1-snapshot")
+    snapshot_lines(spark, sf).write.mode("overwrite").text(path)
+    return CO.read_json_lines(spark, path, CO.SNAPSHOT_SCHEMA)
+
+
+def _b2(x):
+    return f"coalesce(regexp_replace(replace({x}, chr(10), ' '), '^{WS_RE}+|{WS_RE}+$', '', 'g'), '')"
+
+
+_CATS = f"CASE WHEN doc_id % {NULL_CATS_EVERY} = 0 THEN '' ELSE all_categories END"
+A1_SQL = S.with_ctes(S.PAPERS_SQL.replace("SELECT doc_id AS id,", "SELECT doc_id AS id, doc_id,")) + f"""
+SELECT 'http://arxiv.org/abs/p' || CAST(doc_id AS VARCHAR) || 'v1' AS id, {_b2('title')} AS title, {_b2('summary')} AS summary,
+       CASE WHEN doc_id % {NO_VERSIONS_EVERY} = 0 THEN strftime(published_date, '%Y-%m-%d')
+            ELSE strftime(CAST(published_date AS TIMESTAMP) + to_seconds(CAST(doc_id % 86400 AS BIGINT)), '%a, %-d %b %Y %H:%M:%S') || ' GMT'
+       END AS published_date,
+       ['First' || CAST(doc_id % 89 AS VARCHAR) || ' Last' || CAST(doc_id % 97 AS VARCHAR),
+        'First' || CAST((doc_id * 5 + 2) % 89 AS VARCHAR) || ' Last' || CAST((doc_id * 3 + 1) % 97 AS VARCHAR)] AS authors,
+       split_part({_CATS}, ' ', 1) AS primary_category, {_CATS} AS all_categories
+FROM papers WHERE doc_id % {MALFORMED_EVERY} <> 0 AND doc_id % {SHORT_AUTHOR_EVERY} <> 0"""
+
+
+@register("a1_json_corpus", A1_SQL)
+def a1_json_corpus(spark, sf):
+    """A1: JSON-lines snapshot scan (explicit schema, PERMISSIVE) -> clean papers."""
+    good, _ = CO.split_corrupt(_snapshot(spark, sf))
+    return clean_snapshot(good)
+
+
+@register("a1_rejects", f"""
+SELECT 'malformed' AS reason, CAST(count(*) AS BIGINT) AS n FROM documents WHERE doc_id % {MALFORMED_EVERY} = 0
+UNION ALL
+SELECT 'short_author' AS reason, CAST(count(*) AS BIGINT) AS n FROM documents
+WHERE doc_id % {SHORT_AUTHOR_EVERY} = 0 AND doc_id % {MALFORMED_EVERY} <> 0""")
+def a1_rejects(spark, sf):
+    """A1 side output: malformed lines and rejected rows, counted."""
+    raw = _snapshot(spark, sf)
+    reason = (F.when(F.col(CO.CORRUPT).isNotNull(), F.lit("malformed"))
+              .when(RC.has_short_author("authors_parsed"), F.lit("short_author")))
+    return (raw.select(reason.alias("reason")).where(F.col("reason").isNotNull())
+            .groupBy("reason").agg(F.count(F.lit(1)).cast("bigint").alias("n")))
+
+
+def works_lines(spark, sf):
+    """Raw works JSON lines (with a word -> positions abstract index) from documents."""
+    p = S.papers(spark, sf)
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "lang")
+    words = F.split(F.trim(F.regexp_replace("summary", f"{WS_RE}+", " ")), " ")
+    pos = (p.select("id", F.posexplode(words).alias("pos", "word"))
+           .groupBy("id", "word").agg(F.collect_list("pos").alias("positions"))
+           .groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("word", "positions"))).alias("idx")))
+    d = F.col("id")
+    name = F.concat(F.lit("First"), (d % 89).cast("string"), F.lit(" Last"), (d % 97).cast("string"))
+    authorships = F.array(F.struct(F.struct(name.alias("display_name")).alias("author")),
+                          F.when(d % 7 == 0, F.struct(F.struct(F.lit(None).cast("string").alias("display_name")).alias("author")))
+                          .otherwise(F.struct(F.struct(F.lit("Second Author").alias("display_name")).alias("author"))))
+    topic = F.when(d % 3 == 0, F.lit(None)).otherwise(F.struct(F.concat(F.lit("Topic "), (d % 10).cast("string")).alias("display_name")))
+    concepts = F.when((d % 3 == 0) & (d % 2 == 0), F.array(F.struct(F.concat(F.lit("Concept "), (d % 5).cast("string")).alias("display_name")))) \
+        .otherwise(F.array().cast("array<struct<display_name:string>>"))
+    rec = F.struct(F.concat(F.lit("W"), d.cast("string")).alias("id"), F.col("title"), F.col("lang").alias("language"),
+                   F.date_format("published_date", "yyyy-MM-dd").alias("publication_date"),
+                   authorships.alias("authorships"), topic.alias("primary_topic"), concepts.alias("concepts"),
+                   F.when(F.col("summary") == "", F.lit(None)).otherwise(F.col("idx")).alias("abstract_inverted_index"))
+    full = p.join(docs, "id").join(pos, "id", "left")
+    return full.select(F.when(d % WORKS_BAD_EVERY == 0, F.lit("{not json")).otherwise(F.to_json(rec)).alias("value"))
+
+
+def flatten_works(raw):
+    """A2 + B8-B11: English works -> 6-column clean rows with the abstract rebuilt."""
+    en = raw.where(F.col("language") == "en")
+    return en.select(F.col("id"), F.col("title"), F.col("publication_date").alias("published_date"),
+                     RC.join_author_names("authorships").alias("authors"),
+                     RC.work_category("primary_topic", "concepts").alias("primary_category"),
+                     RC.reconstruct_abstract("abstract_inverted_index").alias("summary"))
+
+
+@register("a2_works_corpus", S.with_ctes(S.PAPERS_SQL.replace("SELECT doc_id AS id,", "SELECT doc_id AS id, doc_id, lang,")) + f"""
+SELECT 'W' || CAST(doc_id AS VARCHAR) AS id, title, strftime(published_date, '%Y-%m-%d') AS published_date,
+       'First' || CAST(doc_id % 89 AS VARCHAR) || ' Last' || CAST(doc_id % 97 AS VARCHAR) || ', ' ||
+         CASE WHEN doc_id % 7 = 0 THEN '' ELSE 'Second Author' END AS authors,
+       CASE WHEN doc_id % 3 <> 0 THEN 'Topic ' || CAST(doc_id % 10 AS VARCHAR)
+            WHEN doc_id % 2 = 0 THEN 'Concept ' || CAST(doc_id % 5 AS VARCHAR) ELSE '' END AS primary_category,
+       trim(regexp_replace(summary, '{WS_RE}+', ' ', 'g')) AS summary
+FROM papers WHERE lang = 'en' AND doc_id % {WORKS_BAD_EVERY} <> 0""")
+def a2_works_corpus(spark, sf):
+    """A2: many gzip JSON-lines files scanned in parallel (explicit map schema
+    for the abstract index), bad lines dropped, English rows flattened."""
+    path = _scratch(spark, "a2-works")
+    works_lines(spark, sf).repartition(4).write.mode("overwrite").option("compression", "gzip").text(path)
+    raw = CO.read_json_lines(spark, path + "/*.gz", CO.WORKS_SCHEMA, min_partitions=spark.sparkContext.defaultParallelism)
+    good, _ = CO.split_corrupt(raw)
+    return flatten_works(good)
+
+
+def _papers_csv(spark, sf, columns):
+    """A6 sink (quote-all CSV with header) then A3 scan with column pruning."""
+    path = _scratch(spark, "a6-papers")
+    p = S.papers(spark, sf).withColumn("authors", F.lit(None).cast("string"))
+    SK.write_csv(p.select([f.name for f in CO.PAPERS_CSV_SCHEMA.fields]), path)
+    return CO.read_csv(spark, path, CO.PAPERS_CSV_SCHEMA, columns)
+
+
+@register("a6_csv_roundtrip", S.with_ctes(S.PAPERS_SQL) + """
+SELECT CAST(id AS VARCHAR) AS id, title, summary, strftime(published_date, '%Y-%m-%d') AS published_date, all_categories FROM papers""")
+def a6_csv_roundtrip(spark, sf):
+    """A6 + A3: quote-all CSV sink and header CSV scan (multi-line quoted
+    fields) give back the same rows; only the asked columns are read."""
+    p = _papers_csv(spark, sf, ["id", "title", "summary", "published_date", "all_categories"])
+    # an empty field reads back as null; text columns take '' as the reference does
+    return p.select("id", *[F.coalesce(c, F.lit("")).alias(c) for c in ["title", "summary"]],
+                    "published_date", F.coalesce("all_categories", F.lit("")).alias("all_categories"))
+
+
+def domain_year_pivot(papers, years=None):
+    """Distinct papers per domain x year; explode codes -> domain ->
+    dropDuplicates(id, domain) -> pivot over the (explicit) years, 0-filled,
+    rows by total descending."""
+    from ..functions.dates import parse_timestamp
+    p = (papers.select("id", F.year(parse_timestamp("published_date")).cast("int").alias("year"),
+                       F.explode(F.split(F.coalesce("all_categories", F.lit("")), " ")).alias("code"))
+         .where(F.col("year").isNotNull()))
+    p = p.select("id", "year", code_domain("code").alias("domain")).where(F.col("domain").isNotNull())
+    p = p.dropDuplicates(["id", "domain"])
+    if years is None:
+        years = sorted(r[0] for r in p.select("year").distinct().collect())
+    cols = [str(y) for y in years]
+    w = p.groupBy("domain").pivot("year", years).agg(F.count(F.lit(1))).na.fill(0, subset=cols)
+    from ..operators.reshape import row_total
+    return w.orderBy(F.desc(row_total(cols)), F.asc("domain"))
+
+
+@register("d2_domain_year_pivot", S.with_ctes(S.PAPERS_SQL, f"""pd AS (
+  SELECT DISTINCT id, CAST(year(published_date) AS INTEGER) AS year, unnest({QT.sql_domains('all_categories')}) AS domain FROM papers)""",
+  """dom AS (SELECT DISTINCT domain FROM pd)""", """yrs AS (SELECT DISTINCT year FROM pd)""", """cnt AS (
+  SELECT d.domain, y.year, (SELECT count(*) FROM pd WHERE pd.domain = d.domain AND pd.year = y.year) AS n
+  FROM dom d CROSS JOIN yrs y)""") + """
+SELECT * FROM (PIVOT cnt ON year USING CAST(sum(n) AS BIGINT) GROUP BY domain)""")
+def d2_domain_year_pivot(spark, sf):
+    """D2 over an A6/A3 CSV round trip (pruned to id, date, codes)."""
+    _utc(spark)
+    return domain_year_pivot(_papers_csv(spark, sf, ["id", "published_date", "all_categories"]))
+
+
+@register("f5_code_domain_join", S.with_ctes(S.PAPERS_SQL) + f"""
+SELECT id, code, split_part(code, '.', 1) AS prefix,
+       CASE split_part(code, '.', 1) {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in K.DOMAIN_MAP.items())} END AS domain
+FROM (SELECT id, unnest(string_split(all_categories, ' ')) AS code FROM papers)
+WHERE CASE split_part(code, '.', 1) {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in K.DOMAIN_MAP.items())} END IS NOT NULL""")
+def f5_code_domain_join(spark, sf):
+    """Category code -> prefix -> domain by a broadcast join with
+    the fixed 20-row map (unknown prefixes dropped)."""
+    p = S.papers(spark, sf).select("id", F.explode(F.split("all_categories", " ")).alias("code"))
+    p = p.withColumn("prefix", code_prefix("code"))
+    m = domain_map_df(spark)
+    return p.join(F.broadcast(m), "prefix").select("id", "code", "prefix", "domain")
+
+
+@register("a7_domain_split", S.with_ctes(S.PAPERS_SQL) + f"""
+SELECT domain, id, CAST(year(published_date) AS INTEGER) AS year
+FROM (SELECT id, published_date, unnest({QT.sql_domains('all_categories')}) AS domain FROM papers)""")
+def a7_domain_split(spark, sf):
+    """A7 multi-sink (one folder per domain, a paper in each of its domains)
+    read back by partition discovery (A5: the domain comes from the folder)."""
+    path = _scratch(spark, "a7-domains")
+    p = TM.domain_split(S.papers(spark, sf)).select("id", F.year("published_date").cast("int").alias("year"), "domain")
+    SK.write_parquet(p, path, ["domain"])
+    return spark.read.parquet(path).select("domain", "id", "year")
+
+
+@register("a8_term_sinks", QT.CLEAN_SQL + f""", tot AS (
+  SELECT category, n, term, CAST(sum(tf) AS BIGINT) AS total FROM counts GROUP BY ALL),
+  top AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY category, n ORDER BY total DESC, term) AS INTEGER) AS rank
+                         FROM tot) WHERE rank <= {K.TOP_TERMS_PER_CATEGORY})
+SELECT c.category, c.n, c.term, c.year, c.tf AS count, t.total, t.rank
+FROM counts c JOIN top t ON c.category = t.category AND c.n = t.n AND c.term = t.term""")
+def a8_term_sinks(spark, sf):
+    """Per-category, per-n result tables written partitioned and read back."""
+    path = _scratch(spark, "a8-terms")
+    t = QT.c5_top_terms(spark, sf)
+    SK.write_parquet(t, path, ["category", "n"])
+    return spark.read.parquet(path).select("category", F.col("n").cast("int").alias("n"), "term", "year", "count",
+                                           "total", "rank")
+
+
+@register("a4_topic_folder", S.with_ctes(S.TOPIC_PERIOD_SQL) + "SELECT topic, period, count FROM topic_period")
+def a4_topic_folder(spark, sf):
+    """A4: per-topic (period, count) CSV files in one folder, stacked back
+    with the topic label rebuilt from the file's name."""
+    _utc(spark)
+    path = _scratch(spark, "a4-topics")
+    tp = S.topic_period(spark, sf).withColumn(
+        "topic", F.concat(F.lower(F.regexp_replace("topic", " ", "_")), F.lit("_quarterly_counts")))
+    SK.write_csv(tp.select("topic", "period", "count"), path, ["topic"])
+    return CO.read_topic_folder(spark, path)
