@@ -47,19 +47,21 @@ def term_rows(clean: DataFrame, ns=(1, 2, 3)) -> DataFrame:
     """(id, year, domains, n, term) for every n-gram occurrence, whole texts.
 
     Unigrams use the English + academic stopword list (C1), longer n-grams
-    the English list only, with n-grams formed after removal (C2, C3).
+    the English list only, with n-grams formed after removal (C2, C3).  The
+    filtered token arrays are projected once as columns, then the shifted
+    slices read those columns.
     """
     words = tokens("clean")
+    toks = clean.select("id", "year", "domains",
+                        drop_stopwords(words, extended=True).alias("_uni"),
+                        drop_stopwords(words, extended=False).alias("_en"))
     parts = []
     if 1 in ns:
-        parts.append(F.transform(drop_stopwords(words, extended=True), _tag(1)))
-    longer = [n for n in ns if n > 1]
-    if longer:
-        base = drop_stopwords(words, extended=False)
-        for n in longer:
-            parts.append(F.transform(ngrams(base, n), _tag(n)))
+        parts.append(F.transform("_uni", _tag(1)))
+    for n in [n for n in ns if n > 1]:
+        parts.append(F.transform(ngrams("_en", n), _tag(n)))
     allterms = parts[0] if len(parts) == 1 else F.concat(*parts)
-    return (clean.select("id", "year", "domains", F.explode(allterms).alias("t"))
+    return (toks.select("id", "year", "domains", F.explode(allterms).alias("t"))
             .select("id", "year", "domains", F.col("t.n").alias("n"), F.col("t.term").alias("term")))
 
 

@@ -149,3 +149,36 @@ def c6_phrase_quarterly(spark, sf):
     _utc(spark)
     p = S.papers(spark, sf)
     return TM.phrase_period_counts(p, K.SEARCH_PHRASES, DT.quarter_label("published_date"))
+
+
+# ------------------------------------------------------------ B12
+def _langid_sql() -> str:
+    return S.with_ctes(S.PAPERS_SQL.replace("SELECT doc_id AS id,", "SELECT doc_id AS id, lang,"), """tr AS (
+  SELECT lang, ' ' || lower(text) || ' ' AS s FROM documents WHERE lang IS NOT NULL)""", """tg AS (
+  SELECT lang, substr(s, i, 3) AS gram FROM (SELECT lang, s, unnest(range(1, greatest(length(s) - 2, 1) + 1)) AS i FROM tr)
+  WHERE length(substr(s, i, 3)) = 3)""", """model AS (SELECT gram, lang, count(*) AS c FROM tg GROUP BY ALL)""",
+  """ls AS (SELECT d.lang, d.docs, g.grams FROM (SELECT lang, count(*) AS docs FROM tr GROUP BY lang) d
+           JOIN (SELECT lang, sum(c) AS grams FROM model GROUP BY lang) g ON d.lang = g.lang)""",
+  """v AS (SELECT count(DISTINCT gram) AS vocab, (SELECT sum(docs) FROM ls) AS total FROM model)""",
+  """ti AS (SELECT id, title AS raw, ' ' || lower(coalesce(title, '')) || ' ' AS s FROM papers)""",
+  """tgr AS (
+  SELECT id, gram, count(*) AS k FROM (
+    SELECT id, substr(s, i, 3) AS gram FROM (SELECT id, s, unnest(range(1, greatest(length(s) - 2, 1) + 1)) AS i FROM ti))
+  WHERE length(gram) = 3 GROUP BY ALL)""", """part AS (
+  SELECT tgr.id, m.lang, sum(k * ln(m.c + 1.0)) AS p FROM tgr JOIN model m ON tgr.gram = m.gram GROUP BY ALL)""",
+  """sc AS (
+  SELECT ti.id, ti.raw, ls.lang,
+         coalesce(part.p, 0.0) + ln(ls.docs / v.total) - greatest(length(ti.s) - 2, 0) * ln(ls.grams + v.vocab) AS score
+  FROM ti CROSS JOIN ls CROSS JOIN v LEFT JOIN part ON part.id = ti.id AND part.lang = ls.lang)""") + """
+SELECT id, lang AS lang_pred, (raw IS NOT NULL AND length(raw) >= 3 AND lang = 'en') AS is_english FROM (
+  SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, lang DESC) AS rn FROM sc) WHERE rn = 1"""
+
+
+@register("b12_language_gate", _langid_sql())
+def b12_language_gate(spark, sf):
+    """Title language gate: a char-trigram naive-Bayes model fitted on
+    the labelled documents, applied to every paper title (argmax label;
+    null or < 3 characters -> not English)."""
+    from ..operators import langid as LI
+    model, stats, vocab = LI.fit(table(spark, sf, "documents"), "text", "lang")
+    return LI.predict(S.papers(spark, sf), model, stats, vocab, "id", "title")
