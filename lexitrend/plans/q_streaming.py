@@ -1 +1,80 @@
-"""Placeholder."""
+"""Streaming group (S1 = A9 ingest, S2 period counts) driven by files split from ``events``."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from ..session import checkpoint_path
+from ..sources.tables import table
+from ..streaming import ingest as IG
+from ..streaming import period_counts as PC
+from .registry import register
+
+CHUNK_DAYS = 7
+
+
+def _scratch(spark, name):
+    return checkpoint_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _land_chunks(spark, sf, landing, first_chunk=None, last_chunk=None):
+    """Write ``events`` into the landing folder as one file per week, oldest
+    first (bounded number of chunks), so file order follows event time."""
+    ev = table(spark, sf, "events")
+    day0 = ev.agg(F.min(F.to_date("ts")).alias("d")).first()["d"]
+    ev = ev.withColumn("_chunk", F.floor(F.datediff(F.to_date("ts"), F.lit(day0)) / CHUNK_DAYS).cast("int"))
+    n_chunks = ev.agg(F.max("_chunk")).first()[0] + 1
+    lo = first_chunk or 0
+    hi = n_chunks if last_chunk is None else min(last_chunk, n_chunks)
+    for k in range(lo, hi):
+        ev.where(F.col("_chunk") == k).drop("_chunk").coalesce(1).write.mode("append").parquet(landing)
+    return ev.drop("_chunk").schema, n_chunks
+
+
+@register("s1_incremental_ingest", """
+SELECT event_id, ts, user_id, event_type, value, props FROM events WHERE ts IS NOT NULL AND event_type IS NOT NULL""")
+def s1_incremental_ingest(spark, sf):
+    """Ingest the first two weeks, rerun (adds nothing), land the
+    rest and rerun: the sink holds every good row exactly once."""
+    landing, ck = _scratch(spark, "s1-landing"), _scratch(spark, "s1-ckpt")
+    good, bad = _scratch(spark, "s1-good"), _scratch(spark, "s1-bad")
+    rule = F.col("ts").isNotNull() & F.col("event_type").isNotNull()
+    schema, _ = _land_chunks(spark, sf, landing, 0, 2)
+    IG.ingest_available(spark, landing, schema, good, bad, ck, rule)
+    IG.ingest_available(spark, landing, schema, good, bad, ck, rule)
+    _land_chunks(spark, sf, landing, 2, None)
+    IG.ingest_available(spark, landing, schema, good, bad, ck, rule)
+    return IG.read_sink(spark, good, schema).select(*schema.fieldNames())
+
+
+@register("s2_window_counts", """
+SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, event_type,
+       CAST(count(*) AS BIGINT) AS n, round(sum(value), 6) AS total_value
+FROM events GROUP BY 1, 2""")
+def s2_window_counts(spark, sf):
+    """Day x event_type counts maintained by a watermarked streaming
+    aggregate (update mode, changelog sink), read as the current table."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    landing, ck, log = _scratch(spark, "s2-landing"), _scratch(spark, "s2-ckpt"), _scratch(spark, "s2-log")
+    schema, _ = _land_chunks(spark, sf, landing)
+    PC.run_window_counts(spark, landing, schema, "ts", "event_type", "value", log, ck)
+    cur = PC.current_counts(spark, log, "event_type")
+    return cur.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type",
+                      F.col("n").cast("bigint").alias("n"), F.round("total_value", 6).alias("total_value"))
+
+
+@register("s2_monthly_rollup", """
+SELECT CAST(date_trunc('month', ts) AS TIMESTAMP) AS period_start, event_type,
+       CAST(count(*) AS BIGINT) AS n, round(sum(value), 6) AS total_value
+FROM events GROUP BY 1, 2""")
+def s2_monthly_rollup(spark, sf):
+    """S2 roll-up: the streamed day windows summed to calendar months."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    landing, ck, log = _scratch(spark, "s2m-landing"), _scratch(spark, "s2m-ckpt"), _scratch(spark, "s2m-log")
+    schema, _ = _land_chunks(spark, sf, landing)
+    PC.run_window_counts(spark, landing, schema, "ts", "event_type", "value", log, ck)
+    m = PC.roll_up(PC.current_counts(spark, log, "event_type"), "event_type")
+    return m.select(F.col("period_start").cast("timestamp_ntz").alias("period_start"), "event_type",
+                    F.col("n").cast("bigint").alias("n"), F.round("total_value", 6).alias("total_value"))
