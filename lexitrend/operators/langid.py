@@ -38,7 +38,9 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang"):
     """Return (model: (gram, lang, c), stats: list of (lang, docs, grams), V)."""
     p = (labelled.select(F.col(label_col).alias("lang"), F.split(padded(text_col), "").alias("chars"))
          .where(F.col("lang").isNotNull()))
-    g = p.select("lang", F.explode(char_grams("chars")).alias("gram"))
+    # explode_outer + filter: keeps the optimizer from pushing an inferred
+    # size(...) > 0 predicate (the whole gram expression) below the projection
+    g = p.select("lang", F.explode_outer(char_grams("chars")).alias("gram")).where(F.col("gram").isNotNull())
     # the fitted model is small (distinct grams x labels) and is read three
     # times: write it once to the checkpoint folder (lineage cut, survives
     # executor loss) instead of recomputing the explode
@@ -61,7 +63,7 @@ def predict(texts: DataFrame, model: DataFrame, stats, vocab: int, id_col: str =
     total_docs = sum(s[1] for s in stats)
     t = texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("raw"), F.split(padded(text_col), "").alias("chars"))
     t = t.withColumn("n_grams", F.greatest(F.size("chars") - N + 1, F.lit(0)))
-    grams = (t.select("id", F.explode(char_grams("chars")).alias("gram"))
+    grams = (t.select("id", F.explode_outer(char_grams("chars")).alias("gram")).where(F.col("gram").isNotNull())
              .groupBy("id", "gram").agg(F.count(F.lit(1)).alias("k")))
     part = (grams.join(model, "gram", "left")
             .groupBy("id").pivot("lang", langs).agg(F.sum(F.col("k") * F.log(F.col("c") + 1.0))))
