@@ -13,6 +13,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 N = 3
 
 
@@ -44,6 +46,7 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang"):
     # the fitted model is small (distinct grams x labels) and is read three
     # times: write it once to the checkpoint folder (lineage cut, survives
     # executor loss) instead of recomputing the explode
+    ensure_checkpoint_dir(labelled.sparkSession)
     model = g.groupBy("gram", "lang").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
     # bounded metadata: one row per label, one scalar
     docs = labelled.where(F.col(label_col).isNotNull()).groupBy(F.col(label_col).alias("lang")).agg(F.count(F.lit(1)).alias("docs"))

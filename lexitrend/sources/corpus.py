@@ -75,6 +75,9 @@ def read_topic_folder(spark: SparkSession, path: str, suffix: str = "_quarterly_
     df = (spark.read.schema("period string, count long").option("header", True)
           .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path)
           .select("period", "count", F.col("_metadata.file_path").alias("_path")))
-    stem = F.regexp_extract("_path", r"topic=([^/]+)/", 1)
+    # topic from a 'topic=<stem>/' folder (Spark's partitioned writer) or
+    # from the file name itself ('<stem>.csv')
+    stem = F.coalesce(F.nullif(F.regexp_extract("_path", r"topic=([^/]+)/", 1), F.lit("")),
+                      F.regexp_extract("_path", r"([^/]+)\.csv$", 1))
     return df.select(slug_to_title(stem, suffix).alias("topic"), "period", "count").where(
         F.col("period").isNotNull() & F.col("count").isNotNull())
