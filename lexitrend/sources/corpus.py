@@ -57,8 +57,9 @@ def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, min_pa
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Good rows and malformed lines (counted as a side output)."""
-    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), df.where(F.col(CORRUPT).isNotNull()).select(CORRUPT)
+    """Good rows and malformed lines (counted as a side output).  The bad
+    side keeps all columns: Spark rejects queries on the corrupt column alone."""
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), df.where(F.col(CORRUPT).isNotNull())
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None) -> DataFrame:
