@@ -395,3 +395,90 @@ def e8_last_years(spark, sf):
     _, domains = _base(spark, sf)
     hi = T.year_bounds(domains)[1]
     return domains.where(F.col("year") > hi - 5)
+
+
+# ------------------------------------------------------- wide adapters, labels, chart tables
+@register("b17_wide_csv_adapter", DENSE_SQL + "SELECT category, term, year, count FROM dense")
+def b17_wide_csv_adapter(spark, sf):
+    """B17 + B18 + B21 + G1 + A3: the wide term table written as a CSV with
+    loose headers (' Bigram ', 'Domain', year columns, 'Total'), read back
+    as strings, names standardised, year columns found and coerced, then
+    unpivoted to the long form."""
+    import uuid
+
+    from ..session import checkpoint_path
+    from ..sources import sinks as SK
+    _, years, wide, _ = _dense(spark, sf)
+    loose = wide.select(F.col("term").alias(" Bigram "), F.col("category").alias("Domain"),
+                        *[F.col(str(y)) for y in years], F.col("total").alias("Total"))
+    path = checkpoint_path(spark, f"b17-wide-{uuid.uuid4().hex[:12]}")
+    SK.write_csv(loose, path)
+    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    std = R.standardize_columns(raw)
+    ycols = R.year_columns(std)
+    std = R.coerce_numeric(std, ycols)
+    long = R.unpivot_years(std.select("category", "term", *ycols), ["category", "term"], ycols)
+    return long.select("category", "term", "year", F.col("count").cast("bigint").alias("count"))
+
+
+@register("b22_labels", TOP12_SQL + """
+SELECT DISTINCT category || ' - ' || term AS label, split_part(category || ' - ' || term, ' - ', 1) AS label_category,
+       split_part(category || ' - ' || term, ' - ', 2) AS label_term FROM rows12""")
+def b22_labels(spark, sf):
+    """B22 + G5: 'category - term' labels of the top-12 terms and the split back."""
+    rows = _top12_rows(spark, sf).select("category", "term").dropDuplicates()
+    lab = rows.select(R.label("category", "term").alias("label"))
+    c, t = R.split_label("label")
+    return lab.select("label", c.alias("label_category"), t.alias("label_term"))
+
+
+PAIR_SQL = S.with_ctes(S.TERM_YEAR_SQL, """cats AS (
+  SELECT category, row_number() OVER (ORDER BY category) AS k FROM (SELECT DISTINCT category FROM term_year))""",
+  """tot AS (SELECT term, category, sum(count) AS total FROM term_year GROUP BY term, category)""", """pair AS (
+  SELECT t.term,
+         CAST(coalesce(sum(CASE WHEN c.k = 1 THEN total END), 0) AS BIGINT) AS cat1,
+         CAST(coalesce(sum(CASE WHEN c.k = 2 THEN total END), 0) AS BIGINT) AS cat2
+  FROM tot t JOIN cats c ON t.category = c.category GROUP BY t.term)""")
+
+
+@register("d14_pair_relation", PAIR_SQL + """
+SELECT term, cat1, cat2, cat1 + cat2 AS total FROM pair WHERE cat1 > 0 OR cat2 > 0""")
+def d14_pair_relation(spark, sf):
+    """D14 pair form: term totals in two categories (the first two by name),
+    rows with either > 0, and their sum."""
+    terms, _ = _base(spark, sf)
+    cats = _categories(terms)[:2]
+    p = (terms.where(F.col("category").isin(cats)).groupBy("term").pivot("category", cats)
+         .agg(F.sum("count").cast("bigint")).na.fill(0, subset=cats))
+    p = p.select("term", F.col(f"`{cats[0]}`").alias("cat1"), F.col(f"`{cats[1]}`").alias("cat2"))
+    return p.where((F.col("cat1") > 0) | (F.col("cat2") > 0)).withColumn("total", F.col("cat1") + F.col("cat2"))
+
+
+@register("d15_term_distribution", S.with_ctes(S.TERM_YEAR_SQL, """best AS (
+  SELECT term FROM term_year GROUP BY term ORDER BY sum(count) DESC, term LIMIT 1)""") + """
+SELECT t.term, category, CAST(sum(count) AS BIGINT) AS total FROM term_year t JOIN best b ON t.term = b.term
+GROUP BY t.term, category""")
+def d15_term_distribution(spark, sf):
+    """Category distribution of one term (the largest by total)."""
+    terms, _ = _base(spark, sf)
+    best = (terms.groupBy("term").agg(F.sum("count").alias("s")).orderBy(F.desc("s"), "term").limit(1).select("term"))
+    return (terms.join(best, "term", "left_semi").groupBy("term", "category")
+            .agg(F.sum("count").cast("bigint").alias("total")))
+
+
+@register("g3_year_term_view", MERGED_SQL + """, fc AS (SELECT min(category) AS category FROM merged),
+  t5 AS (SELECT term FROM (SELECT term, sum(count) AS s FROM term_year WHERE category = (SELECT category FROM fc)
+                           GROUP BY term ORDER BY s DESC, term LIMIT 5))
+SELECT * FROM (PIVOT (SELECT year, term, round(norm_freq, 6) AS v FROM merged
+                      WHERE category = (SELECT category FROM fc) AND term IN (SELECT term FROM t5))
+               ON term USING first(v) GROUP BY year)""")
+def g3_year_term_view(spark, sf):
+    """G3 + E3 + F2 + H1: for the first category, its top-5 terms' normalised
+    frequency as a year x term table."""
+    terms, _, merged, _, _ = _merged(spark, sf)
+    cat = _categories(merged)[0]
+    top = (RK.top_n_per_group(RK.totals(terms.where(F.col("category") == cat), ["category", "term"]),
+                              ["category"], "total", K.CATEGORY_TOP_N).select("term"))
+    names = sorted(r[0] for r in top.collect())
+    sel = merged.where(F.col("category") == cat).join(top, "term", "left_semi")
+    return sel.groupBy(F.col("year").cast("int").alias("year")).pivot("term", names).agg(F.first(r6("norm_freq")))
