@@ -273,8 +273,10 @@ def d6_wordcloud(spark, sf):
     terms, _ = _base(spark, sf)
     g = terms.groupBy("term").agg(F.sum("count").cast("bigint").alias("total"))
     top = g.orderBy(F.desc("total"), "term").limit(K.WORDCLOUD_MAX_WORDS)
-    mx = top.agg(F.max("total").alias("mx"))
-    return top.crossJoin(F.broadcast(mx)).select("term", "total", r6(F.col("total") / F.col("mx")).alias("weight"))
+    # the limit bounds this global window to 150 rows
+    from pyspark.sql import Window as W
+    mx = F.max("total").over(W.partitionBy())
+    return top.select("term", "total", r6(F.col("total") / mx).alias("weight"))
 
 
 TOP12_SQL = DENSE_SQL + f""", top12 AS (
