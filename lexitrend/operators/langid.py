@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .joins import join_small
 
 N = 3
 
@@ -59,16 +60,17 @@ def predict(texts: DataFrame, model: DataFrame, stats, vocab: int, id_col: str =
             text_col: str = "title") -> DataFrame:
     """(id, lang_pred, is_english): argmax of the naive-Bayes score.
 
-    Title grams are left-joined to the model on the gram (AQE broadcasts the
-    model when small, else a skew-aware shuffle join); per-label partial sums
-    are pivoted over the explicit label list."""
+    Title grams are left-joined to the model on the gram (broadcast behind a
+    row-count check, else a skew-aware shuffle join: a common gram such as
+    ' th' is a hot key); per-label partial sums are pivoted over the explicit
+    label list."""
     langs = [s[0] for s in stats]
     total_docs = sum(s[1] for s in stats)
     t = texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("raw"), F.split(padded(text_col), "").alias("chars"))
     t = t.withColumn("n_grams", F.greatest(F.size("chars") - N + 1, F.lit(0)))
     grams = (t.select("id", F.explode_outer(char_grams("chars")).alias("gram")).where(F.col("gram").isNotNull())
              .groupBy("id", "gram").agg(F.count(F.lit(1)).alias("k")))
-    part = (grams.join(model, "gram", "left")
+    part = (join_small(grams, model, "gram", "left")
             .groupBy("id").pivot("lang", langs).agg(F.sum(F.col("k") * F.log(F.col("c") + 1.0))))
     scored = t.select("id", "raw", "n_grams").join(part, "id", "left")
     cands = []

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from .joins import join_small
 from ..functions.categories import target_domains
 from ..functions.text import clean_text, count_substring, drop_stopwords, ngrams, title_summary_text, tokens
 
@@ -91,7 +92,7 @@ def term_year_counts(clean: DataFrame, ns=(1, 2, 3), min_df: dict | None = None,
     floor = F.coalesce(*[F.when(F.col("n") == n, F.lit(k)) for n, k in sorted(min_df.items())], F.lit(1))
     kept = per_cat.where(F.col("df") >= floor)
     years_ok = docs_per_year(clean).where(F.col("n_docs") >= min_docs).select("category", "year")
-    return kept.join(years_ok, ["category", "year"], "left_semi")
+    return join_small(kept, years_ok, ["category", "year"], "left_semi")
 
 
 def top_terms(counts: DataFrame, k: int = K.TOP_TERMS_PER_CATEGORY) -> DataFrame:

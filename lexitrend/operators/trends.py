@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from .. import constants as K
+from .joins import join_small
 
 
 def year_bounds(df: DataFrame, col: str = "year") -> tuple[int, int]:
@@ -37,13 +38,13 @@ def training_window(max_year: int, min_year: int, back: int = K.TRAIN_YEARS_BACK
 def join_domain_totals(terms: DataFrame, domains: DataFrame) -> DataFrame:
     """inner equi-join on (category, year); missing totals read as 1.
 
-    The domain side is an aggregate (categories x years); AQE turns the join
-    into a broadcast when its runtime size is under the threshold and keeps
-    a skew-aware sort-merge join otherwise.
+    The domain side is an aggregate (categories x years): it is broadcast
+    behind a row-count check (``join_small``), because the few distinct
+    (category, year) keys would make a shuffle join put a hot cell in one task.
     """
     d = domains.select("category", "year",
                        F.coalesce(F.col("total_papers").cast("double"), F.lit(1.0)).alias("total_papers"))
-    return terms.join(d, ["category", "year"], "inner")
+    return join_small(terms, d, ["category", "year"], "inner")
 
 
 def norm_freq(count: Column | str = "count", total: Column | str = "total_papers") -> Column:
