@@ -102,3 +102,10 @@ def test_language_gate_accuracy(spark):
     assert acc > 0.95
     short = spark.createDataFrame([(1, "ab"), (2, None)], "id long, title string")
     assert [r.is_english for r in LI.predict(short, model, stats, vocab).collect()] == [False, False]
+
+
+def test_char_grams_whole_code_points(spark):
+    from lexitrend.operators import langid as LI
+    df = spark.createDataFrame([(" a\U0001F600b ",), ("  ",), ("",)], "s string")
+    got = [r[0] for r in df.select(LI.char_grams("s")).collect()]
+    assert got == [[" a\U0001F600", "a\U0001F600b", "\U0001F600b "], [], []]
