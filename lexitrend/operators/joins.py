@@ -13,7 +13,7 @@ MAX_BROADCAST_ROWS = 2_000_000
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+               max_rows: int = MAX_BROADCAST_ROWS, materialised: bool = False) -> DataFrame:
     """Join ``big`` with a derived table that is small in practice.
 
     The small side is materialised once in the shared checkpoint folder
@@ -21,10 +21,12 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
     count is checked, and it is broadcast only under ``max_rows``.  Beyond the
     bound the plain join is kept: a shuffle join that AQE can split on skew.
     Low-cardinality keys such as (category, year) would otherwise send a hot
-    cell's rows to one task.
+    cell's rows to one task.  ``materialised=True`` skips the checkpoint
+    for a small side that is already a checkpoint or a cheap projection of one.
     """
-    ensure_checkpoint_dir(small.sparkSession)
-    small = small.checkpoint(eager=True)
+    if not materialised:
+        ensure_checkpoint_dir(small.sparkSession)
+        small = small.checkpoint(eager=True)
     n = small.limit(max_rows + 1).count()
     if n <= max_rows:
         return big.join(F.broadcast(small), on, how)

@@ -35,7 +35,7 @@ def training_window(max_year: int, min_year: int, back: int = K.TRAIN_YEARS_BACK
     return (max_year - back if max_year - back >= min_year else min_year, max_year)
 
 
-def join_domain_totals(terms: DataFrame, domains: DataFrame) -> DataFrame:
+def join_domain_totals(terms: DataFrame, domains: DataFrame, materialised: bool = False) -> DataFrame:
     """inner equi-join on (category, year); missing totals read as 1.
 
     The domain side is an aggregate (categories x years): it is broadcast
@@ -44,7 +44,7 @@ def join_domain_totals(terms: DataFrame, domains: DataFrame) -> DataFrame:
     """
     d = domains.select("category", "year",
                        F.coalesce(F.col("total_papers").cast("double"), F.lit(1.0)).alias("total_papers"))
-    return join_small(terms, d, ["category", "year"], "inner")
+    return join_small(terms, d, ["category", "year"], "inner", materialised=materialised)
 
 
 def norm_freq(count: Column | str = "count", total: Column | str = "total_papers") -> Column:
@@ -69,12 +69,13 @@ def dense_term_years(terms: DataFrame, years: list[int]) -> DataFrame:
                     F.coalesce(F.try_element_at("m", F.col("year")), F.lit(0.0)).alias("count")))
 
 
-def normalized_long(terms: DataFrame, domains: DataFrame) -> DataFrame:
+def normalized_long(terms: DataFrame, domains: DataFrame, materialised: bool = False) -> DataFrame:
     """Load-and-normalise: zero-filled long term table joined with domain
     totals, norm_freq added, outliers (>= 50,000, inf, NaN, null) removed (B25)."""
     years = year_list(terms)
     dense = dense_term_years(terms, years)
-    merged = join_domain_totals(dense, domains.where(F.col("year").isin(years) if years else F.lit(False)))
+    merged = join_domain_totals(dense, domains.where(F.col("year").isin(years) if years else F.lit(False)),
+                                materialised=materialised)
     merged = merged.withColumn("norm_freq", norm_freq())
     return merged.where(F.col("norm_freq") < K.NORM_FREQ_CAP)
 

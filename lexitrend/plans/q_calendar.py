@@ -57,8 +57,12 @@ TOPIC_SQL = S.with_ctes(S.TOPIC_PERIOD_SQL)
 
 
 def _topics(spark, sf):
+    """Quarterly series (a small aggregate of the line items), materialised
+    once in the shared checkpoint folder and read by the later steps."""
+    from ..session import ensure_checkpoint_dir
     _utc(spark)
-    return S.topic_period(spark, sf)
+    ensure_checkpoint_dir(spark)
+    return S.topic_period(spark, sf).checkpoint(eager=True)
 
 
 @register("e1_rolling_mean", TOPIC_SQL + f"""

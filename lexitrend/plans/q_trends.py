@@ -16,16 +16,22 @@ def r6(c):
     return F.round(c, 6)
 
 
-def _base(spark: SparkSession, sf: str):
+def _base(spark: SparkSession, sf: str, domains: bool = True):
+    """The long term table and the domain totals, each materialised once in
+    the shared checkpoint folder: the trend queries read them several times
+    (year list, training window, the query itself), and both are small
+    aggregates of the big scans."""
+    from ..session import ensure_checkpoint_dir
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    terms = S.term_year(spark, sf)
-    domains = S.domain_year(spark, sf)
-    return terms, domains
+    ensure_checkpoint_dir(spark)
+    terms = S.term_year(spark, sf).checkpoint(eager=True)
+    dom = S.domain_year(spark, sf).checkpoint(eager=True) if domains else None
+    return terms, dom
 
 
 def _merged(spark, sf):
     terms, domains = _base(spark, sf)
-    merged = T.normalized_long(terms, domains)
+    merged = T.normalized_long(terms, domains, materialised=True)
     lo, hi = T.year_bounds(merged)
     start, end = T.training_window(hi, lo)
     return terms, domains, merged, start, end
@@ -157,7 +163,7 @@ GROWTH_SQL = MERGED_SQL.replace("WITH ", "WITH ", 1) + """, gwin AS (
 
 
 def _growth(spark, sf):
-    terms, _ = _base(spark, sf)
+    terms, _ = _base(spark, sf, domains=False)
     years = T.year_list(terms)
     dense = T.dense_term_years(terms, years)
     hi, lo = max(years), min(years)
@@ -188,7 +194,7 @@ def d19_median_growth(spark, sf):
 SELECT term, CAST(y.year AS INTEGER) AS year, round(slope * y.year + intercept, 4) AS prediction
 FROM fit, (SELECT unnest(range((SELECT y FROM ly) + 1, (SELECT y FROM ly) + 4)) AS year) y""")
 def h5_predict(spark, sf):
-    terms, _ = _base(spark, sf)
+    terms, _ = _base(spark, sf, domains=False)
     years = T.year_list(terms)
     p = T.predict_term(terms.where(F.col("year").isin(years)), max(years))
     return p.select("term", F.col("year").cast("int").alias("year"), F.round("prediction", 4).alias("prediction"))
@@ -207,7 +213,7 @@ DENSE_SQL = S.with_ctes(S.TERM_YEAR_SQL, f"""years AS (
 
 
 def _dense(spark, sf):
-    terms, _ = _base(spark, sf)
+    terms, _ = _base(spark, sf, domains=False)
     years = T.year_list(terms)
     terms = terms.where(F.col("year").isin(years))
     wide = R.pivot_years(terms, years)
@@ -246,7 +252,7 @@ def g2_domain_unpivot(spark, sf):
 @register("d3_category_totals", S.with_ctes(S.TERM_YEAR_SQL) + """
 SELECT category, CAST(sum(count) AS BIGINT) AS total FROM term_year GROUP BY category""")
 def d3_category_totals(spark, sf):
-    terms, _ = _base(spark, sf)
+    terms, _ = _base(spark, sf, domains=False)
     return terms.groupBy("category").agg(F.sum("count").cast("bigint").alias("total")).orderBy(F.desc("total"), "category")
 
 
@@ -259,7 +265,7 @@ def _categories(df: DataFrame) -> list[str]:
 SELECT * FROM (PIVOT (SELECT year, category, count FROM term_year) ON category USING CAST(sum(count) AS BIGINT) GROUP BY year)""")
 def d4_year_by_category(spark, sf):
     """Category x year sums transposed: one row per year, one column per category."""
-    terms, _ = _base(spark, sf)
+    terms, _ = _base(spark, sf, domains=False)
     cats = _categories(terms)
     return terms.groupBy("year").pivot("category", cats).agg(F.sum("count").cast("bigint"))
 
@@ -270,7 +276,7 @@ def d4_year_by_category(spark, sf):
 SELECT term, total, round(total / (SELECT max(total) FROM top), 6) AS weight FROM top""")
 def d6_wordcloud(spark, sf):
     """Global term frequency, largest 150 (a word-cloud parameter), weight relative to the max."""
-    terms, _ = _base(spark, sf)
+    terms, _ = _base(spark, sf, domains=False)
     g = terms.groupBy("term").agg(F.sum("count").cast("bigint").alias("total"))
     top = g.orderBy(F.desc("total"), "term").limit(K.WORDCLOUD_MAX_WORDS)
     # the limit bounds this global window to 150 rows
@@ -314,7 +320,7 @@ def d7_term_stats(spark, sf):
 SELECT category, term, CAST(sum(total) AS BIGINT) AS total FROM top12 GROUP BY ROLLUP (category, term)""")
 def d15_term_rollup(spark, sf):
     """Category -> term hierarchy totals (sunburst rings) by ROLLUP."""
-    terms, _ = _base(spark, sf)
+    terms, _ = _base(spark, sf, domains=False)
     tot = RK.totals(terms, ["category", "term"])
     top = RK.top_n_per_group(tot, ["category"], "total", K.SUNBURST_TOP_N)
     return top.rollup("category", "term").agg(F.sum("total").cast("bigint").alias("total"))
@@ -326,7 +332,7 @@ SELECT category, term, total, rank FROM (
   FROM tot) WHERE rank <= {K.CATEGORY_TOP_N}""")
 def e3_top5_terms(spark, sf):
     """Top 5 terms of each category by summed count."""
-    terms, _ = _base(spark, sf)
+    terms, _ = _base(spark, sf, domains=False)
     tot = RK.totals(terms, ["category", "term"]).withColumn("total", F.col("total").cast("bigint"))
     return RK.top_n_per_group(tot, ["category"], "total", K.CATEGORY_TOP_N).withColumn("rank", F.col("rank").cast("int"))
 
@@ -340,7 +346,7 @@ FROM (SELECT category, term, total,
       FROM tot) WHERE rank0 < {K.BELL_TOP_N}""")
 def e4_bell_volume(spark, sf):
     """21 largest terms per category by volume arranged as a bell (odd ranks left)."""
-    terms, _ = _base(spark, sf)
+    terms, _ = _base(spark, sf, domains=False)
     tot = RK.totals(terms, ["category", "term"]).withColumn("total", F.col("total").cast("bigint"))
     b = RK.bell_arrangement(tot, ["category"], "total", K.BELL_TOP_N, odd_left=True)
     return b.select("category", "term", "total", F.col("rank0").cast("int").alias("rank0"),
@@ -355,7 +361,7 @@ JOIN gt g ON p.term = g.term WHERE g.grand_total > 0""")
 def d14_cross_pivot(spark, sf):
     """D14 (N form over all categories): term x category totals, 0-filled,
     Grand_Total, rows whose selected sum > 0."""
-    terms, _ = _base(spark, sf)
+    terms, _ = _base(spark, sf, domains=False)
     cats = _categories(terms)
     p = terms.groupBy("term").pivot("category", cats).agg(F.sum("count").cast("bigint")).na.fill(0, subset=cats)
     p = p.withColumn("grand_total", R.row_total(cats).cast("bigint"))
@@ -365,7 +371,7 @@ def d14_cross_pivot(spark, sf):
 @register("d16_distinct_categories", S.with_ctes(S.TERM_YEAR_SQL) + "SELECT DISTINCT category FROM term_year")
 def d16_distinct_categories(spark, sf):
     """Sorted distinct category list."""
-    terms, _ = _base(spark, sf)
+    terms, _ = _base(spark, sf, domains=False)
     return terms.select("category").distinct().orderBy("category")
 
 
@@ -374,7 +380,7 @@ def d16_distinct_categories(spark, sf):
 SELECT t.* FROM term_year t ANTI JOIN bad b ON t.category = b.category AND t.term = b.term""")
 def b20_drop_unrealistic(spark, sf):
     """Drop every row of a term with a yearly count above 200,000."""
-    terms, _ = _base(spark, sf)
+    terms, _ = _base(spark, sf, domains=False)
     return R.drop_unrealistic_long(terms, ["category", "term"])
 
 
@@ -384,7 +390,7 @@ SELECT CAST((SELECT count(*) FROM term_year) AS BIGINT) AS rows,
        CAST((SELECT count(*) FROM term_year t SEMI JOIN bad b ON t.category = b.category AND t.term = b.term) AS BIGINT) AS dropped""")
 def d17_row_counts(spark, sf):
     """Table row count and the B20 drop counter in one aggregate pass."""
-    terms, _ = _base(spark, sf)
+    terms, _ = _base(spark, sf, domains=False)
     mx = terms.groupBy("category", "term").agg(F.max("count").alias("mx"), F.count(F.lit(1)).alias("n"))
     return mx.agg(F.sum("n").cast("bigint").alias("rows"),
                   F.coalesce(F.sum(F.when(F.col("mx") > K.MAX_REALISTIC_COUNT, F.col("n"))), F.lit(0)).cast("bigint").alias("dropped"))
@@ -448,7 +454,7 @@ SELECT term, cat1, cat2, cat1 + cat2 AS total FROM pair WHERE cat1 > 0 OR cat2 >
 def d14_pair_relation(spark, sf):
     """D14 pair form: term totals in two categories (the first two by name),
     rows with either > 0, and their sum."""
-    terms, _ = _base(spark, sf)
+    terms, _ = _base(spark, sf, domains=False)
     cats = _categories(terms)[:2]
     p = (terms.where(F.col("category").isin(cats)).groupBy("term").pivot("category", cats)
          .agg(F.sum("count").cast("bigint")).na.fill(0, subset=cats))
@@ -462,7 +468,7 @@ SELECT t.term, category, CAST(sum(count) AS BIGINT) AS total FROM term_year t JO
 GROUP BY t.term, category""")
 def d15_term_distribution(spark, sf):
     """Category distribution of one term (the largest by total)."""
-    terms, _ = _base(spark, sf)
+    terms, _ = _base(spark, sf, domains=False)
     best = (terms.groupBy("term").agg(F.sum("count").alias("s")).orderBy(F.desc("s"), "term").limit(1).select("term"))
     return (terms.join(best, "term", "left_semi").groupBy("term", "category")
             .agg(F.sum("count").cast("bigint").alias("total")))
