@@ -122,8 +122,7 @@ def a1_rejects(spark, sf):
 
 def works_lines(spark, sf):
     """Raw works JSON lines (with a word -> positions abstract index) from documents."""
-    p = S.papers(spark, sf)
-    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "lang")
+    p = S.papers(spark, sf, extra=("lang",))
     words = F.split(F.trim(F.regexp_replace("summary", f"{WS_RE}+", " ")), " ")
     pos = (p.select("id", F.posexplode(words).alias("pos", "word"))
            .groupBy("id", "word").agg(F.collect_list("pos").alias("positions"))
@@ -140,7 +139,7 @@ def works_lines(spark, sf):
                    F.date_format("published_date", "yyyy-MM-dd").alias("publication_date"),
                    authorships.alias("authorships"), topic.alias("primary_topic"), concepts.alias("concepts"),
                    F.when(F.col("summary") == "", F.lit(None)).otherwise(F.col("idx")).alias("abstract_inverted_index"))
-    full = p.join(docs, "id").join(pos, "id", "left")
+    full = p.join(pos, "id", "left")
     return full.select(F.when(d % WORKS_BAD_EVERY == 0, F.lit("{not json")).otherwise(F.to_json(rec)).alias("value"))
 
 

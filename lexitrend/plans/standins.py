@@ -104,13 +104,14 @@ def _codes_col(doc_id):
     return F.when(doc_id % EMPTY_CODES_EVERY == 0, F.lit("")).otherwise(F.concat(a, F.lit(" "), b))
 
 
-def papers(spark: SparkSession, sf: str) -> DataFrame:
+def papers(spark: SparkSession, sf: str, extra: tuple[str, ...] = ()) -> DataFrame:
     """Clean-paper stand-in from ``documents`` (whole texts).
 
     title = first line of the text, summary = the rest; published_date =
     2015-01-01 + (doc_id*37 mod 4000) days; two category codes per paper.
+    ``extra`` carries further ``documents`` columns (e.g. ``lang``).
     """
-    d = table(spark, sf, "documents").select("doc_id", "text")
+    d = table(spark, sf, "documents").select("doc_id", "text", *extra)
     title = F.substring_index(F.col("text"), "\n", 1)
     return d.select(
         F.col("doc_id").alias("id"),
@@ -120,6 +121,7 @@ def papers(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(None).cast("array<string>").alias("authors"),
         F.get(F.split(_codes_col(F.col("doc_id")), " "), 0).alias("primary_category"),
         _codes_col(F.col("doc_id")).alias("all_categories"),
+        *extra,
     )
 
 
