@@ -76,6 +76,10 @@ SEARCH_PHRASES = [
     "public health",
 ]
 
+# --- fixed values: paper URL built from an id (prefix + id + suffix) ---
+PAPER_URL_PREFIX = "http://arxiv.org/abs/"
+PAPER_URL_SUFFIX = "v1"
+
 # --- fixed values: thresholds and parameters ---
 MIN_DF = {1: 5, 2: 3, 3: 3}          # document-frequency floor per n-gram size
 MIN_DOCS_PER_YEAR = 5                 # (category, year) cells with fewer docs are skipped

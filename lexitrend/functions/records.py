@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ..constants import PAPER_URL_PREFIX, PAPER_URL_SUFFIX
+
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def abs_url(paper_id) -> Column:
-    """B4: 'http://arxiv.org/abs/{id}v1' (the reference's id format, a fixed pattern)."""
-    return F.concat(F.lit("http://arxiv.org/abs/"), _c(paper_id), F.lit("v1"))
+    """Paper URL = fixed prefix + id + fixed suffix (see constants)."""
+    return F.concat(F.lit(PAPER_URL_PREFIX), _c(paper_id), F.lit(PAPER_URL_SUFFIX))
 
 
 def first_version_date(versions, update_date) -> Column:

@@ -29,7 +29,8 @@ def clean_text(c) -> Column:
     ``state-of-the-art`` -> ``stateoftheart`` (characters are deleted, not
     blanked).
     """
-    s = F.regexp_replace(F.coalesce(_c(c), F.lit("")), WS_RE, " ")
+    # whitespace -> ' ' is a per-character mapping: translate, no regex
+    s = F.translate(F.coalesce(_c(c), F.lit("")), WHITESPACE_CLASS, " " * len(WHITESPACE_CLASS))
     s = F.regexp_replace(F.lower(s), "[^a-z ]", "")
     return F.trim(F.regexp_replace(s, " +", " "))
 

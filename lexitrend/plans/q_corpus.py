@@ -89,7 +89,7 @@ def _b2(x):
 
 _CATS = f"CASE WHEN doc_id % {NULL_CATS_EVERY} = 0 THEN '' ELSE all_categories END"
 A1_SQL = S.with_ctes(S.PAPERS_SQL.replace("SELECT doc_id AS id,", "SELECT doc_id AS id, doc_id,")) + f"""
-SELECT 'http://arxiv.org/abs/p' || CAST(doc_id AS VARCHAR) || 'v1' AS id, {_b2('title')} AS title, {_b2('summary')} AS summary,
+SELECT '{K.PAPER_URL_PREFIX}p' || CAST(doc_id AS VARCHAR) || '{K.PAPER_URL_SUFFIX}' AS id, {_b2('title')} AS title, {_b2('summary')} AS summary,
        CASE WHEN doc_id % {NO_VERSIONS_EVERY} = 0 THEN strftime(published_date, '%Y-%m-%d')
             ELSE strftime(CAST(published_date AS TIMESTAMP) + to_seconds(CAST(doc_id % 86400 AS BIGINT)), '%a, %-d %b %Y %H:%M:%S') || ' GMT'
        END AS published_date,
