@@ -71,14 +71,31 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, columns: list
 
 def read_topic_folder(spark: SparkSession, path: str, suffix: str = "_quarterly_counts") -> DataFrame:
     """A4: a folder of per-topic (period, count) CSV files stacked into one
-    table; the topic label comes from each file's folder/stem name."""
+    table; the topic label comes from each file's folder/stem name, and files
+    whose own header lacks ``period`` or ``count`` are skipped.
+
+    Topic files are small (one row per period), so each file is read whole
+    (one row per file) and its header checked on its own; the lines are
+    then exploded and split by the header's column positions."""
     from ..functions.text import slug_to_title
-    df = (spark.read.schema("period string, count long").option("header", True)
-          .option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").csv(path)
-          .select("period", "count", F.col("_metadata.file_path").alias("_path")))
+    files = (spark.read.option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.csv").text(path, wholetext=True)
+             .select(F.split(F.regexp_replace("value", "\r", ""), "\n").alias("lines"),
+                     F.col("_metadata.file_path").alias("_path")))
+    unq = lambda c: F.trim(F.regexp_replace(c, '^\\s*"|"\\s*$', ""))
+    header = F.transform(F.split(F.get("lines", 0), ","), lambda h: F.lower(unq(h)))
+    files = files.select("lines", "_path",
+                         F.array_position(header, "period").cast("int").alias("ip"),
+                         F.array_position(header, "count").cast("int").alias("ic"))
+    files = files.where((F.col("ip") > 0) & (F.col("ic") > 0))
+    rows = files.select("_path", "ip", "ic", F.explode(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).alias("line"))
+    fields = F.split("line", ",")
+    rows = rows.where(F.trim("line") != "").select(
+        "_path", unq(F.try_element_at(fields, F.col("ip"))).alias("period"),
+        unq(F.try_element_at(fields, F.col("ic"))).try_cast("bigint").alias("count"))
     # topic from a 'topic=<stem>/' folder (Spark's partitioned writer) or
     # from the file name itself ('<stem>.csv')
     stem = F.coalesce(F.nullif(F.regexp_extract("_path", r"topic=([^/]+)/", 1), F.lit("")),
                       F.regexp_extract("_path", r"([^/]+)\.csv$", 1))
-    return df.select(slug_to_title(stem, suffix).alias("topic"), "period", "count").where(
-        F.col("period").isNotNull() & F.col("count").isNotNull())
+    return rows.select(slug_to_title(stem, suffix).alias("topic"), "period", "count").where(
+        F.col("period").isNotNull() & (F.col("period") != "") & F.col("count").isNotNull())

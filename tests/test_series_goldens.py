@@ -83,3 +83,16 @@ def test_phrase_substring_semantics(spark):
     new = rd(["data", "climate_change", "electric_vehicle_quarterly_counts.csv"])
     a, b = rd(["old", "electric_vehicle_quarterly_counts.csv"]), rd(["old", "electric_vehicles_quarterly_counts.csv"])
     assert len(new) == 23 and all(new[p] == a[p] + b[p] for p in new)
+
+
+def test_topic_folder_skips_files_without_columns(spark):
+    from lexitrend.session import checkpoint_path
+    base = checkpoint_path(spark, "test-topic-folder")
+    good = spark.createDataFrame([("2020Q1", 3), ("2020Q2", 4)], "period string, count long")
+    bad = spark.createDataFrame([("2020Q1", 9)], "quarter string, n long")
+    swapped = spark.createDataFrame([(5, "2020Q1")], "count long, period string")
+    good.coalesce(1).write.option("header", True).csv(f"{base}/topic=climate_change_quarterly_counts")
+    bad.coalesce(1).write.option("header", True).csv(f"{base}/topic=bad_quarterly_counts")
+    swapped.coalesce(1).write.option("header", True).option("quoteAll", True).csv(f"{base}/topic=public_health_quarterly_counts")
+    got = sorted(map(tuple, read_topic_folder(spark, base).collect()))
+    assert got == [("Climate Change", "2020Q1", 3), ("Climate Change", "2020Q2", 4), ("Public Health", "2020Q1", 5)]
