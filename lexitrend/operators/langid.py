@@ -62,11 +62,13 @@ def predict(texts: DataFrame, model: DataFrame, stats, vocab: int, id_col: str =
     label list."""
     langs = [s[0] for s in stats]
     total_docs = sum(s[1] for s in stats)
-    t = texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("raw"), padded(text_col).alias("s"))
+    # partitioned by id: the per-text gram counts below need no exchange
+    t = (texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("raw"), padded(text_col).alias("s"))
+         .repartition("id"))
     t = t.withColumn("n_grams", F.greatest(F.length("s") - N + 1, F.lit(0)))
     grams = (t.select("id", F.explode_outer(char_grams("s")).alias("gram")).where(F.col("gram").isNotNull())
              .groupBy("id", "gram").agg(F.count(F.lit(1)).alias("k")))
-    part = (join_small(grams, model, "gram", "left")
+    part = (join_small(grams, model, "gram", "left", materialised=True)
             .groupBy("id").pivot("lang", langs).agg(F.sum(F.col("k") * F.log(F.col("c") + 1.0))))
     scored = t.select("id", "raw", "n_grams").join(part, "id", "left")
     cands = []

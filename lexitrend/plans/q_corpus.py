@@ -122,7 +122,9 @@ def a1_rejects(spark, sf):
 
 def works_lines(spark, sf):
     """Raw works JSON lines (with a word -> positions abstract index) from documents."""
-    p = S.papers(spark, sf, extra=("lang",))
+    # partitioned by id: the word -> positions index (two aggregates keyed
+    # by id) and the join back are built without further exchanges
+    p = S.papers(spark, sf, extra=("lang",)).repartition("id")
     words = F.split(F.trim(F.regexp_replace("summary", f"{WS_RE}+", " ")), " ")
     pos = (p.select("id", F.posexplode(words).alias("pos", "word"))
            .groupBy("id", "word").agg(F.collect_list("pos").alias("positions"))
