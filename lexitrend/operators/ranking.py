@@ -48,9 +48,11 @@ def bell_arrangement(df: DataFrame, group: list[str], value: str, n: int | None,
     """Rank by value desc within each group, keep n (all when None) and
     place the ranks as a bell (largest at 0)."""
     w = W.partitionBy(*group).orderBy(F.desc(value), F.asc(tie))
-    r = df.withColumn("rank0", F.row_number().over(w) - 1)
+    r = df.withColumn("_rn", F.row_number().over(w))
     if n is not None:
-        r = r.where(F.col("rank0") < n)
+        # a filter on row_number itself is planned as a partial WindowGroupLimit
+        r = r.where(F.col("_rn") <= n)
+    r = r.withColumn("rank0", F.col("_rn") - 1).drop("_rn")
     return r.withColumn("position", bell_position(F.col("rank0"), odd_left))
 
 
