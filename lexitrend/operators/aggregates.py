@@ -43,10 +43,17 @@ def series_stats(df: DataFrame, key: str = "topic", value: str = "count") -> Dat
                                F.coalesce(F.stddev_samp(value), F.lit(0.0)).alias("std"))
 
 
-def box_summary(df: DataFrame, key: str = "topic", value: str = "count") -> DataFrame:
+def box_summary(df: DataFrame, key: str = "topic", value: str = "count", exact: bool = True,
+                accuracy: int = 10000) -> DataFrame:
     """Quartiles (linear), 1.5 IQR fences, whiskers (extreme values
-    inside the fences), outlier count, mean; one row per series."""
-    q = df.groupBy(key).agg(F.percentile(value, [0.25, 0.5, 0.75]).alias("q"), F.avg(value).alias("mean"))
+    inside the fences), outlier count, mean; one row per series.
+
+    ``exact`` uses ``percentile``, whose buffer holds a group's distinct
+    values in one task (fine for period series); ``exact=False`` uses the
+    bounded-memory ``percentile_approx`` sketch for unbounded groups."""
+    pct = (F.percentile(value, [0.25, 0.5, 0.75]) if exact
+           else F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy).cast("array<double>"))
+    q = df.groupBy(key).agg(pct.alias("q"), F.avg(value).alias("mean"))
     q = q.select(key, "mean", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = q.withColumn("fence_lo", F.col("q1") - 1.5 * F.col("iqr")).withColumn("fence_hi", F.col("q3") + 1.5 * F.col("iqr"))

@@ -164,9 +164,13 @@ def growth(terms_dense: DataFrame, start: int, end: int) -> DataFrame:
             .where(F.col("growth_percent") < K.GROWTH_PCT_CAP))
 
 
-def median_growth(growth_df: DataFrame) -> DataFrame:
-    """Median growth percent per category (exact, linear interpolation)."""
-    return growth_df.groupBy("category").agg(F.percentile("growth_percent", 0.5).alias("median_growth"))
+def median_growth(growth_df: DataFrame, exact: bool = True, accuracy: int = 10000) -> DataFrame:
+    """Median growth percent per category.  ``exact`` (linear
+    interpolation) suits the bounded per-category term lists (C5 keeps 1000
+    per category and n); ``exact=False`` is the bounded-memory sketch."""
+    m = (F.percentile("growth_percent", 0.5) if exact
+         else F.percentile_approx("growth_percent", 0.5, accuracy).cast("double"))
+    return growth_df.groupBy("category").agg(m.alias("median_growth"))
 
 
 def predict_term(terms: DataFrame, last_year: int, horizon: int = K.PREDICT_HORIZON,

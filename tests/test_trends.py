@@ -169,3 +169,13 @@ def test_median_growth(spark):
     g = spark.createDataFrame([("c", 1.0), ("c", 3.0), ("c", 10.0), ("c", 4.0)], "category string, growth_percent double")
     assert T.median_growth(g).first().median_growth == pytest.approx(3.5)
     assert not math.isnan(3.5)
+
+
+def test_approx_quantiles_close(spark):
+    from lexitrend.operators import aggregates as AG
+    df = spark.range(1, 1001).select(F.lit("s").alias("topic"), F.col("id").alias("count"))
+    ex = AG.box_summary(df).first()
+    ap = AG.box_summary(df, exact=False).first()
+    assert abs(ex.median - ap.median) <= 2 and abs(ex.q1 - ap.q1) <= 2 and abs(ex.q3 - ap.q3) <= 2
+    g = spark.createDataFrame([("c", float(i)) for i in range(101)], "category string, growth_percent double")
+    assert T.median_growth(g, exact=False).first().median_growth == pytest.approx(50.0, abs=1.0)
