@@ -41,6 +41,15 @@ def d1_monthly_counts(spark, sf):
     return _monthly(spark, sf)
 
 
+@register("e8_last_months", MONTHLY_SQL + """
+SELECT month, date, count FROM d1 WHERE month > (SELECT max(month) FROM d1) - INTERVAL 5 MONTH""")
+def e8_last_months(spark, sf):
+    """E8 (tail form): the last five months of the zero-filled monthly counts."""
+    m = _monthly(spark, sf)
+    last = m.agg(F.max("month")).first()[0]      # one scalar
+    return m.where(F.col("month") > F.add_months(F.lit(last), -5)).select("month", "date", "count")
+
+
 @register("d5_seasonality", MONTHLY_SQL + """, g AS (
   SELECT CAST(month(month) AS INTEGER) AS month, avg(count) AS mean_count FROM d1 GROUP BY 1)
 SELECT month, round(mean_count, 6) AS mean_count,
