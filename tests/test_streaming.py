@@ -44,3 +44,21 @@ def test_out_of_order_within_watermark_is_counted(spark):
     assert got == {9: (1, 2.0), 10: (4, 4.0)}
     months = PC.roll_up(PC.current_counts(spark, f"{base}/log", "kind"), "kind").collect()
     assert [(r.n, r.total_value) for r in months] == [(5, 6.0)]
+
+
+def test_ingest_bad_rows_side_table_and_rerun(spark):
+    import datetime as dt
+
+    from lexitrend.session import checkpoint_path
+    from lexitrend.streaming import ingest as IG
+
+    base = checkpoint_path(spark, "test-ingest-bad")
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1), "view"), (2, None, "view"), (3, dt.datetime(2024, 1, 2), None)],
+                               "event_id long, ts timestamp_ntz, event_type string")
+    df.coalesce(1).write.parquet(f"{base}/landing")
+    rule = F.col("ts").isNotNull() & F.col("event_type").isNotNull()
+    for _ in range(2):
+        IG.ingest_available(spark, f"{base}/landing", df.schema, f"{base}/good", f"{base}/bad", f"{base}/ck", rule)
+    good = sorted(r.event_id for r in IG.read_sink(spark, f"{base}/good", df.schema).collect())
+    bad = sorted(r.event_id for r in IG.read_sink(spark, f"{base}/bad", df.schema).collect())
+    assert (good, bad) == ([1], [2, 3])
