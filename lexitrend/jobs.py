@@ -35,11 +35,14 @@ PAPERS_SCHEMA = "id string, title string, summary string, published_date string,
 
 
 def clean_snapshot(spark: SparkSession, input_path: str, output: str) -> dict:
-    """A1: snapshot JSON lines -> clean papers Parquet; returns reject counts."""
+    """A1: snapshot JSON lines -> clean papers Parquet; returns reject counts.
+
+    Two passes over the raw input, no cache: the write, then one aggregate
+    counting both reject kinds (it reads a data field besides the corrupt
+    column, which Spark requires)."""
     from .functions import records as RC
-    raw = CO.read_json_lines(spark, input_path, CO.SNAPSHOT_SCHEMA).cache()
-    good, bad = CO.split_corrupt(raw)
-    short = good.where(RC.has_short_author("authors_parsed"))
+    raw = CO.read_json_lines(spark, input_path, CO.SNAPSHOT_SCHEMA)
+    good, _ = CO.split_corrupt(raw)
     ok = good.where(~RC.has_short_author("authors_parsed"))
     cats = F.coalesce(F.col("categories"), F.lit(""))
     papers = ok.select(RC.abs_url("id").alias("id"), flatten_newlines("title").alias("title"),
@@ -48,9 +51,11 @@ def clean_snapshot(spark: SparkSession, input_path: str, output: str) -> dict:
                        RC.format_authors("authors_parsed").alias("authors"),
                        primary_category(cats).alias("primary_category"), cats.alias("all_categories"))
     papers.write.mode("overwrite").parquet(output)
-    counts = {"malformed": bad.count(), "short_author": short.count()}
-    raw.unpersist()
-    return counts
+    bad = F.col(CO.CORRUPT).isNotNull()
+    short = ~bad & RC.has_short_author("authors_parsed")
+    r = raw.agg(F.sum(F.when(bad, 1).otherwise(0)).alias("malformed"),
+                F.sum(F.when(short, 1).otherwise(0)).alias("short_author")).first()
+    return {"malformed": int(r["malformed"] or 0), "short_author": int(r["short_author"] or 0)}
 
 
 def clean_works(spark: SparkSession, input_glob: str, output: str) -> None:
