@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 
 from .. import constants as K
 from ..functions.dates import month_label, month_start
+from .joins import join_small
 
 
 def monthly_counts(df: DataFrame, date_col: str = "published_date") -> DataFrame:
@@ -59,7 +60,8 @@ def box_summary(df: DataFrame, key: str = "topic", value: str = "count", exact:
     q = q.withColumn("fence_lo", F.col("q1") - 1.5 * F.col("iqr")).withColumn("fence_hi", F.col("q3") + 1.5 * F.col("iqr"))
     v = F.col(value)
     inside = (v >= F.col("fence_lo")) & (v <= F.col("fence_hi"))
-    w = (df.select(key, value).join(q.select(key, "fence_lo", "fence_hi"), key)
+    # one row per series on the small side: broadcast behind a row check
+    w = (join_small(df.select(key, value), q.select(key, "fence_lo", "fence_hi"), key)
          .groupBy(key).agg(F.min(F.when(inside, v)).alias("whisker_lo"), F.max(F.when(inside, v)).alias("whisker_hi"),
                            F.count(F.when(~inside, v)).alias("n_outliers"),
                            F.max(v).alias("max"), F.sum(v).alias("sum")))
@@ -74,18 +76,22 @@ def yearly_totals(df: DataFrame, period: str = "period", key: str = "topic", val
 
 def year_dispersion(df: DataFrame, key: str = "topic", value: str = "count") -> DataFrame:
     """Per year mean, mean absolute deviation and the above-mean flag per series."""
+    # per-year tables have one row per year: broadcast behind a row check,
+    # never a shuffle keyed by the (few) years
     mu = df.groupBy("year").agg(F.avg(value).alias("year_mean"))
-    j = df.join(mu, "year")
+    j = join_small(df, mu, "year")
     mad = j.groupBy("year").agg(F.avg(F.abs(F.col(value) - F.col("year_mean"))).alias("year_mad"))
-    return (j.join(mad, "year")
+    return (join_small(j, mad, "year")
             .select("year", key, value, "year_mean", "year_mad", (F.col(value) > F.col("year_mean")).alias("above_mean")))
 
 
 def composition(df: DataFrame, period: str = "period", key: str = "topic", value: str = "count") -> DataFrame:
-    """Percent of the period total (aggregate + join, not a window,
-    so a busy period is combined map-side)."""
+    """Percent of the period total (aggregate + broadcast join, not
+    a window, so a busy period is combined map-side)."""
     tot = df.groupBy(period).agg(F.sum(value).alias("period_total"))
-    return (df.join(tot, period)
+    # one row per period: broadcast behind a row check (a shuffle keyed by
+    # the few periods would put a busy period's rows in one task)
+    return (join_small(df, tot, period)
             .select(period, key, value, (F.try_divide(F.col(value) * 100.0, F.col("period_total"))).alias("percentage")))
 
 
