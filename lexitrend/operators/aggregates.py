@@ -97,8 +97,8 @@ def composition(df: DataFrame, period: str = "period", key: str = "topic", value
 
 def last_period_leader(df: DataFrame, period: str = "period", key: str = "topic", value: str = "count") -> DataFrame:
     """In the latest period, the series with the largest value (first on ties)."""
-    last = df.agg(F.max(period).alias(period))
-    cur = df.join(last, period, "left_semi")
+    last = df.agg(F.max(period)).first()[0]      # one scalar, then a plain filter
+    cur = df.where(F.col(period) == F.lit(last))
     w = W.partitionBy(period).orderBy(F.desc(value), F.asc(key))
     return cur.withColumn("rn", F.row_number().over(w)).where("rn = 1").drop("rn")
 
