@@ -27,11 +27,6 @@ def parse_timestamp(c) -> Column:
     return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in TIMESTAMP_FORMATS])
 
 
-def as_date(c) -> Column:
-    """Calendar date of a timestamp / timestamp_ntz / date column."""
-    return F.to_date(_c(c))
-
-
 def year_of(c) -> Column:
     return F.year(_c(c)).cast("int")
 
