@@ -51,3 +51,11 @@ def test_box_and_dispersion_match_numpy(spark):
             d = disp[(yr, r.topic)]
             assert d.year_mean == pytest.approx(mu) and d.year_mad == pytest.approx(mad)
             assert d.above_mean == (r.count > mu)
+
+
+def test_single_row_series_std_zero(spark):
+    df = spark.createDataFrame([("solo", "2020Q1", 7), ("pair", "2020Q1", 1), ("pair", "2020Q2", 3)],
+                               "topic string, period string, count long")
+    st = {r.topic: (r.mean, r.std) for r in AG.series_stats(df).collect()}
+    assert st["solo"] == (7.0, 0.0)
+    assert st["pair"][1] == pytest.approx(np.std([1, 3], ddof=1))

@@ -179,3 +179,10 @@ def test_approx_quantiles_close(spark):
     assert abs(ex.median - ap.median) <= 2 and abs(ex.q1 - ap.q1) <= 2 and abs(ex.q3 - ap.q3) <= 2
     g = spark.createDataFrame([("c", float(i)) for i in range(101)], "category string, growth_percent double")
     assert T.median_growth(g, exact=False).first().median_growth == pytest.approx(50.0, abs=1.0)
+
+
+def test_missing_domain_total_drops_row(spark):
+    t = terms_df(spark, [("c", "a", 2020, 5), ("c", "a", 2021, 5), ("d", "a", 2020, 5)])
+    d = domains_df(spark, [("c", 2020, 10)])
+    got = sorted((r.category, r.year) for r in T.join_domain_totals(t, d).collect())
+    assert got == [("c", 2020)]   # (c, 2021) and (d, 2020) have no total: inner join drops them
