@@ -41,3 +41,14 @@ def test_end_to_end(spark):
     jobs.trends(spark, f"{base}/terms", f"{base}/dstats", f"{base}/trends", n=1)
     s = spark.read.parquet(f"{base}/trends/summary")
     assert s.where("r2 <= 0.5 OR rank > 5").count() == 0
+
+
+def test_clean_works_job(spark):
+    base = checkpoint_path(spark, "test-works-job")
+    QC.works_lines(spark, SF_SMALL).repartition(3).write.mode("overwrite").option("compression", "gzip").text(f"{base}/raw")
+    jobs.clean_works(spark, f"{base}/raw/*.gz", f"{base}/papers")
+    got = spark.read.parquet(f"{base}/papers")
+    exp = QC.a2_works_corpus(spark, SF_SMALL)
+    assert got.count() == exp.count() > 0
+    assert sorted(r.id for r in got.select("id").collect()) == sorted(r.id for r in exp.select("id").collect())
+    assert got.schema["authors"].dataType.simpleString() == "array<string>"
