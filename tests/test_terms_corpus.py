@@ -109,3 +109,19 @@ def test_char_grams_whole_code_points(spark):
     df = spark.createDataFrame([(" a\U0001F600b ",), ("  ",), ("",)], "s string")
     got = [r[0] for r in df.select(LI.char_grams("s")).collect()]
     assert got == [[" a\U0001F600", "a\U0001F600b", "\U0001F600b "], [], []]
+
+
+def test_reconstruct_inverts_random_texts(spark):
+    import random
+    rng = random.Random(5)
+    vocab = ["alpha", "beta", "gamma", "delta", "x", "Über", "naïve", "a-b"]
+    texts = [[rng.choice(vocab) for _ in range(rng.randint(0, 30))] for _ in range(40)]
+    rows = []
+    for i, words in enumerate(texts):
+        idx = {}
+        for p, w in enumerate(words):
+            idx.setdefault(w, []).append(p)
+        rows.append((i, idx if idx else None))
+    df = spark.createDataFrame(rows, "i int, m map<string,array<int>>")
+    got = {r.i: r.t for r in df.select("i", RC.reconstruct_abstract("m").alias("t")).collect()}
+    assert got == {i: " ".join(w) for i, w in enumerate(texts)}
