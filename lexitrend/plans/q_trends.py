@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import constants as K
+from ..session import checkpoint_path, ensure_checkpoint_dir
+from ..sources import sinks as SK
+from ..operators import ranking as RK
 from ..operators import reshape as R
 from ..operators import trends as T
 from . import standins as S
@@ -21,7 +27,6 @@ def _base(spark: SparkSession, sf: str, domains: bool = True):
     the shared checkpoint folder: the trend queries read them several times
     (year list, training window, the query itself), and both are small
     aggregates of the big scans."""
-    from ..session import ensure_checkpoint_dir
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     ensure_checkpoint_dir(spark)
     terms = S.term_year(spark, sf).checkpoint(eager=True)
@@ -201,7 +206,6 @@ def h5_predict(spark, sf):
 
 
 # ------------------------------------------------------- reshape / aggregates
-from ..operators import ranking as RK  # noqa: E402
 
 DENSE_SQL = S.with_ctes(S.TERM_YEAR_SQL, f"""years AS (
   SELECT DISTINCT year FROM term_year WHERE year BETWEEN {_Y0} AND {_Y1})""", f"""pairs AS (
@@ -280,7 +284,6 @@ def d6_wordcloud(spark, sf):
     g = terms.groupBy("term").agg(F.sum("count").cast("bigint").alias("total"))
     top = g.orderBy(F.desc("total"), "term").limit(K.WORDCLOUD_MAX_WORDS)
     # the limit bounds this global window to 150 rows
-    from pyspark.sql import Window as W
     mx = F.max("total").over(W.partitionBy())
     return top.select("term", "total", r6(F.col("total") / mx).alias("weight"))
 
@@ -412,10 +415,6 @@ def b17_wide_csv_adapter(spark, sf):
     loose headers (' Bigram ', 'Domain', year columns, 'Total'), read back
     as strings, names standardised, year columns found and coerced, then
     unpivoted to the long form."""
-    import uuid
-
-    from ..session import checkpoint_path
-    from ..sources import sinks as SK
     _, years, wide, _ = _dense(spark, sf)
     loose = wide.select(F.col("term").alias(" Bigram "), F.col("category").alias("Domain"),
                         *[F.col(str(y)) for y in years], F.col("total").alias("Total"))
