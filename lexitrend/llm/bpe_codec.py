@@ -24,7 +24,7 @@ import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import small_batches
+from .common import ready, schema
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Distinct pre-tokens that a worker remembers; the cache is emptied when full.
@@ -125,7 +125,7 @@ def encode_decode(df: DataFrame, columns: tuple[str, ...] = ("ids", "decoded"),
     ``columns`` picks among ids (array<int>), decoded (binary, from the ids), n_tokens,
     ids_sha256 and decoded_sha256.  The rank file is read once on the driver; the model
     made from it travels with the tasks."""
-    small_batches(df.sparkSession)
+    ready(df.sparkSession)
     tokens = read_ranks(vocabulary or public_tokenizers.path(VOCABULARY))
     shared = df.sparkSession.sparkContext.broadcast((sentencepiece_model(tokens), tokens))
     kinds = {"ids": ("array<int>", pa.list_(pa.int32())), "decoded": ("binary", pa.binary()),
@@ -152,8 +152,8 @@ def encode_decode(df: DataFrame, columns: tuple[str, ...] = ("ids", "decoded"),
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(out[c], kinds[c][1]) for c in columns)],
                                              ["key", *columns])
 
-    schema = f"key {df.schema[key].dataType.simpleString()}, " + ", ".join(f"{c} {kinds[c][0]}" for c in columns)
-    return df.select(F.col(key), F.col(text).cast("string")).mapInArrow(run, schema).withColumnRenamed("key", key)
+    out = schema(("key", df.schema[key].dataType), ", ".join(f"{c} {kinds[c][0]}" for c in columns))
+    return df.select(F.col(key), F.col(text).cast("string")).mapInArrow(run, out).withColumnRenamed("key", key)
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

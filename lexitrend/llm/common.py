@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import checkpoint_path
 
@@ -13,11 +17,14 @@ from ..session import checkpoint_path
 BATCH_ROWS = 256
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Keep Arrow batches to ``rows`` rows (texts may be very long) unless the session asks for fewer."""
+def ready(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Before Python runs in tasks: keep Arrow batches to ``rows`` rows (texts may be very long)
+    unless the session asks for fewer; functions of this package travel with the tasks, so that
+    executors need no copy of it."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
 
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -31,3 +38,13 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 def texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """The UTF-8 bytes of a string column; null reads as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
+
+
+def schema(first: tuple[str, T.DataType], rest: str) -> T.StructType:
+    """A schema of one column of a given type and further ones in DDL."""
+    return T.StructType([T.StructField(*first), *T.StructType.fromDDL(rest).fields])
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns of a row as one struct named ``row``: functions carry it along unread."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")

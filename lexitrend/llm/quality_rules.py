@@ -18,9 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import stats
-from .common import small_batches, texts
+from .common import ready, schema, texts, whole_row
 
 #: Labelled rows of either class that a model is fitted on, at most.
 SAMPLE_PER_CLASS = 4000
@@ -114,8 +115,7 @@ def fit_trees(x: np.ndarray, y: np.ndarray, monotone: np.ndarray, n_trees: int =
 
 def document_stats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, BASE counts, features array) of every row."""
-    small_batches(df.sparkSession)
-    kind = df.schema[key].dataType.simpleString()
+    ready(df.sparkSession)
 
     def run(batches):
         for b in batches:
@@ -124,8 +124,8 @@ def document_stats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
             cols.append(pa.array([x[1] for x in both], pa.list_(pa.float64())))
             yield pa.RecordBatch.from_arrays(cols, ["key", *stats.BASE, "features"])
 
-    schema = f"key {kind}, " + ", ".join(f"{c} long" for c in stats.BASE) + ", features array<double>"
-    return df.select(F.col(key), F.col(text).cast("string")).mapInArrow(run, schema).withColumnRenamed("key", key)
+    kinds = schema(("key", df.schema[key].dataType), ", ".join(f"{c} long" for c in stats.BASE) + ", features array<double>")
+    return df.select(F.col(key), F.col(text).cast("string")).mapInArrow(run, kinds).withColumnRenamed("key", key)
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "quality",
@@ -171,7 +171,7 @@ def judge(stats_df: DataFrame, trees: Trees | None) -> DataFrame:
         return stats_df.withColumn("base_failed", failed).withColumn("score", F.lit(None).cast("double")) \
             .withColumn("kept", ~F.col("base_failed")).drop("features")
     names = [f.name for f in stats_df.schema if f.name != "features"]
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in stats_df.schema if f.name != "features")
+    kinds = T.StructType([f for f in stats_df.schema if f.name != "features"] + [T.StructField("score", T.DoubleType())])
 
     def run(batches):
         for b in batches:
@@ -179,7 +179,7 @@ def judge(stats_df: DataFrame, trees: Trees | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(trees.score(x))],
                                              [*names, "score"])
 
-    return (stats_df.mapInArrow(run, f"{kinds}, score double").withColumn("base_failed", failed)
+    return (stats_df.mapInArrow(run, kinds).withColumn("base_failed", failed)
             .withColumn("kept", ~F.col("base_failed") & (F.col("score") >= trees.cut)))
 
 
@@ -193,8 +193,7 @@ def quality_filter(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     The verdict depends on the text alone, so it is computed beside the row and no join is needed."""
     trees = fit(docs, labels)
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    judged = judge(document_stats(docs.select(row.alias("row"), "text"), "row"), trees)
+    judged = judge(document_stats(docs.select(whole_row(docs), "text"), "row"), trees)
     return judged.where("kept").select("row.*")
 
 
