@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, chat_format, quality_classifier, quality_rules, secret_scan
+from . import bpe_codec, chat_format, quality_classifier, quality_rules, secret_scan, warc_bundle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": chat_format.op1,
     "op2_secret_scan": secret_scan.op2,
+    "op4_warc_bundle": warc_bundle.op4,
     "op5_quality_rules": quality_rules.op5,
     "op6_quality_classifier": quality_classifier.op6,
     "op10_bpe_codec": bpe_codec.op10,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op4_warc_bundle": warc_bundle.ORACLE,
+}
