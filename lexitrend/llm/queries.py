@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, chat_format, quality_classifier, quality_rules, secret_scan, warc_bundle
+from . import bpe_codec, chat_format, decontaminate, quality_classifier, quality_rules, secret_scan, warc_bundle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": chat_format.op1,
     "op2_secret_scan": secret_scan.op2,
+    "op3_decontaminate": decontaminate.op3,
     "op4_warc_bundle": warc_bundle.op4,
     "op5_quality_rules": quality_rules.op5,
     "op6_quality_classifier": quality_classifier.op6,
