@@ -183,10 +183,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                  "item_id long, score double, question_overlap double, answer_overlap double")
     found = spark.createDataFrame([], out)
     for index in index_shards(benchmark):
-        shared = spark.sparkContext.broadcast(index)
-
-        def run(batches, shared=shared):
-            index = shared.value
+        def run(batches, index=index):  # Spark broadcasts a function that holds much
             for b in batches:
                 rows = index.leaks([words_of(t) for t in b.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays(
@@ -203,12 +200,11 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     ready(spark)
     for index in index_shards(benchmark):
-        shared = spark.sparkContext.broadcast(index)
         rows = docs.select(whole_row(docs), F.col("text").cast("string"))
 
-        def run(batches, shared=shared):
+        def run(batches, index=index):
             for b in batches:
-                bad = {r[0] for r in shared.value.leaks([words_of(t) for t in b.column(1).to_pylist()])}
+                bad = {r[0] for r in index.leaks([words_of(t) for t in b.column(1).to_pylist()])}
                 yield b.select([0]).take(pa.array([k for k in range(b.num_rows) if k not in bad], pa.int64()))
 
         docs = rows.mapInArrow(run, rows.select("row").schema).select("row.*")
