@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe_codec, chat_format, decontaminate, license_scan, near_dup, quality_classifier, quality_rules, secret_scan, warc_bundle
+from . import bpe_codec, chat_format, decontaminate, license_scan, near_dup, quality_classifier, quality_rules, secret_scan, substring_dup, warc_bundle
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": chat_format.op1,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc_bundle": warc_bundle.op4,
     "op5_quality_rules": quality_rules.op5,
     "op6_quality_classifier": quality_classifier.op6,
+    "op7_substring_dup": substring_dup.op7,
     "op8_near_dup": near_dup.op8,
     "op9_license_scan": license_scan.op9,
     "op10_bpe_codec": bpe_codec.op10,
