@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexitrend.llm import bpe_codec, quality_rules
+from lexitrend.llm import bpe_codec, decontaminate, near_dup, quality_rules, secret_scan
 from lexitrend.llm.common import written
 from lexitrend.sources.tables import table
 
@@ -14,6 +14,21 @@ def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.quality_filter(docs, table(spark, sf_dir, "labels"))
 
 
+def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near_dup.one_of_each(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, every secret in their texts masked."""
+    return secret_scan.redact(docs, secret_scan.fit(docs))
+
+
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, the number of tokens, and digests of the ids and of the text decoded from them."""
     return bpe_codec.encode_decode(docs, ("n_tokens", "ids_sha256", "decoded_sha256"))
@@ -21,6 +36,9 @@ def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", rules_stage),
+    ("near_dup", near_dup_stage),
+    ("decontaminate", decontamination_stage),
+    ("secret_scan", secret_stage),
     ("bpe_codec", bpe_stage),
 ]
 

@@ -310,11 +310,13 @@ def shared_keys(classes: DataFrame) -> DataFrame:
     return keys.select("key", "c").join(shared, "key")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept: one row per document row."""
+def verdicts(docs: DataFrame) -> DataFrame:
+    """doc_id, t (a hash of the text), n_shingles, component_id, kept: one row per document row."""
     spark = docs.sparkSession
-    docs = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    rows = written(spark, sketches(docs), "near-dup-rows")
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    rows = sketches(docs.select(F.struct("doc_id", F.xxhash64("text").alias("t")).alias("k"), "text"), "k")
+    rows = written(spark, rows.select("key.doc_id", "key.t", *rows.columns[1:]).withColumnRenamed("doc_id", "key"),
+                   "near-dup-rows")
     classes = written(spark, classes_of(rows), "near-dup-classes")
     met = written(spark, shared_keys(classes), "near-dup-keys")
     stars = met.select("c", F.explode(F.array("p1", "p2")).alias("p")).where("c <> p")
@@ -333,12 +335,31 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     named = classes.join(roots_of(classes, components(links)), "c")
     named = named.join(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root")
     named = named.select("n_shingles", "f1", "f2", "component_id")
-    out = rows.select("key", "n_shingles", "f1", "f2").join(named, ["n_shingles", "f1", "f2"], "left")
+    out = rows.select("key", "t", "n_shingles", "f1", "f2").join(named, ["n_shingles", "f1", "f2"], "left")
     own = F.when(F.col("n_shingles") == 0, F.col("key")).otherwise(F.col("component_id"))
-    out = out.select(F.col("key").alias("doc_id"), "n_shingles", own.alias("component_id"))
+    out = out.select(F.col("key").alias("doc_id"), "t", "n_shingles", own.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept: one row per document row."""
+    return verdicts(docs).drop("t")
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``near_duplicates`` keeps; of rows equal in
+    doc_id and text one stays."""
+    kept = verdicts(docs).where("kept").groupBy("doc_id", "t").agg(F.count("*").alias("n"))
+    kept = written(docs.sparkSession, kept.withColumnRenamed("doc_id", "i"), "near-dup-kept")
+    rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("h"), whole_row(docs))
+    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("t"))
+    once = rows.join(kept.where("n = 1"), same, "left_semi")
+    if kept.where("n > 1").limit(1).count():
+        again = rows.join(kept.where("n > 1"), same, "left_semi").dropDuplicates(["id", "h"])
+        once = once.unionByName(again)
+    return once.select("row.*")
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.tables import table
     return near_duplicates(table(spark, sf_dir, "documents"))
