@@ -8,8 +8,8 @@ whole sequence is the one shingle.  Documents with intersection / union >= 0.75
    key of table (i, j) combines half key i of one collection with j of the other, so 2 * HALF * WIDE
    minhashes serve where plain banding needs HALF * HALF * 2 * WIDE.  A pair at similarity s shares a
    table with probability (1 - (1 - s ** WIDE) ** HALF) ** 2, 0.9995 at 0.75.
-3. Classes that share a key are compared with two of them (the most frequent one and one picked by
-   a hash), never all with all; signatures drop hopeless pairs; the rest are verified on full sets.
+3. Classes that share a key are compared with two of them (the most frequent one and the first in
+   one order of all classes), never all with all; signatures drop hopeless pairs; the rest are verified on full sets.
 4. Linked classes form components (alternating large-star and small-star rounds).
 5. Keys whose classes still lie in several components are resolved: small ones by all pairs across
    components, large ones by prefix filtering (rare shingles first), which finds every pair at 0.75
@@ -302,11 +302,12 @@ def classes_of(rows: DataFrame) -> DataFrame:
 
 def shared_keys(classes: DataFrame) -> DataFrame:
     """(key, c, n, p1, p2) of all keys that several classes share: their number, the most frequent
-    of them and one picked by a hash."""
+    of them and the first in one order."""
     keys = classes.select("c", "copies", F.explode(table_keys()).alias("key"))
-    first = F.col("copies") + F.pmod(F.xxhash64("c", "key"), F.lit(1 << 20)) / float(1 << 20)
+    order = F.xxhash64("c")  # one order for all keys: a class meets the same few others again and again
+    first = F.col("copies") + F.pmod(order, F.lit(1 << 20)) / float(1 << 20)
     shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.max_by("c", first).alias("p1"),
-                                     F.min_by("c", F.xxhash64("key", "c")).alias("p2")).where("n > 1")
+                                     F.min_by("c", order).alias("p2")).where("n > 1")
     return keys.select("key", "c").join(shared, "key")
 
 
