@@ -171,8 +171,8 @@ def d13_composition(spark, sf):
     return c.withColumn("percentage", r6("percentage"))
 
 
-@register("d13_composition_wide", COMP_SQL + """
-SELECT * FROM (PIVOT (SELECT period, topic, round(percentage, 6) AS percentage FROM comp) ON topic USING coalesce(first(percentage), 0.0) GROUP BY period)""")
+@register("d13_composition_wide", COMP_SQL + f"""
+SELECT period, {S.pivot_sql("topic", [t.capitalize() for t in S.PART_TYPES], "round(percentage, 6)", "DOUBLE")} FROM comp GROUP BY period""")
 def d13_composition_wide(spark, sf):
     """D13 pivot: period x series percentages, 0-filled, columns in a fixed (sorted) order."""
     c = AG.composition(_topics(spark, sf))

@@ -213,8 +213,8 @@ def domain_year_pivot(papers, years=None):
   SELECT DISTINCT id, CAST(year(published_date) AS INTEGER) AS year, unnest({QT.sql_domains('all_categories')}) AS domain FROM papers)""",
   """dom AS (SELECT DISTINCT domain FROM pd)""", """yrs AS (SELECT DISTINCT year FROM pd)""", """cnt AS (
   SELECT d.domain, y.year, (SELECT count(*) FROM pd WHERE pd.domain = d.domain AND pd.year = y.year) AS n
-  FROM dom d CROSS JOIN yrs y)""") + """
-SELECT * FROM (PIVOT cnt ON year USING CAST(sum(n) AS BIGINT) GROUP BY domain)""")
+  FROM dom d CROSS JOIN yrs y)""") + f"""
+SELECT domain, {S.pivot_sql("year", S.PAPER_YEARS, "n")} FROM cnt GROUP BY domain""")
 def d2_domain_year_pivot(spark, sf):
     """D2 over an A6/A3 CSV round trip (pruned to id, date, codes)."""
     _utc(spark)

@@ -225,9 +225,9 @@ def _dense(spark, sf):
     return terms, years, wide, dense
 
 
-@register("g3_pivot_wide", DENSE_SQL + """
-SELECT w.*, t.total FROM (PIVOT (SELECT category, term, year, count FROM dense) ON year USING CAST(sum(count) AS BIGINT)) w
-JOIN tot t ON w.category = t.category AND w.term = t.term""")
+@register("g3_pivot_wide", DENSE_SQL + f"""
+SELECT d.category, d.term, {S.pivot_sql("d.year", S.SHIP_YEARS, "d.count")}, CAST(sum(d.count) AS BIGINT) AS total
+FROM dense d GROUP BY d.category, d.term""")
 def g3_pivot_wide(spark, sf):
     """G3 / C5 wide form: term x year matrix, 0-filled, with the row total."""
     return _dense(spark, sf)[2]
@@ -265,13 +265,15 @@ def _categories(df: DataFrame) -> list[str]:
     return sorted(r[0] for r in df.select("category").distinct().collect())
 
 
-@register("d4_year_by_category", S.with_ctes(S.TERM_YEAR_SQL) + """
-SELECT * FROM (PIVOT (SELECT year, category, count FROM term_year) ON category USING CAST(sum(count) AS BIGINT) GROUP BY year)""")
+@register("d4_year_by_category", S.with_ctes(S.TERM_YEAR_SQL) + f"""
+SELECT year, {S.pivot_sql("category", S.PART_TYPES, "count")} FROM term_year WHERE year BETWEEN 1990 AND 2030 GROUP BY year""")
 def d4_year_by_category(spark, sf):
-    """Category x year sums transposed: one row per year, one column per category."""
+    """Category x year sums transposed: one row per year of this chart's own range, one column
+    per category, 0 where a category has no term in a year."""
     terms, _ = _base(spark, sf, domains=False)
     cats = _categories(terms)
-    return terms.groupBy("year").pivot("category", cats).agg(F.sum("count").cast("bigint"))
+    rows = terms.where(F.col("year").between(*K.YEAR_COLUMN_RANGE))
+    return rows.groupBy("year").pivot("category", cats).agg(F.sum("count").cast("bigint")).na.fill(0, subset=cats)
 
 
 @register("d6_wordcloud", S.with_ctes(S.TERM_YEAR_SQL, """g AS (
@@ -358,9 +360,9 @@ def e4_bell_volume(spark, sf):
 
 @register("d14_cross_pivot", S.with_ctes(S.TERM_YEAR_SQL, """tot AS (
   SELECT term, category, CAST(sum(count) AS BIGINT) AS total FROM term_year GROUP BY term, category)""",
-  """gt AS (SELECT term, CAST(sum(total) AS BIGINT) AS grand_total FROM tot GROUP BY term)""") + """
-SELECT p.*, g.grand_total FROM (PIVOT (SELECT term, category, total FROM tot) ON category USING CAST(coalesce(sum(total), 0) AS BIGINT) GROUP BY term) p
-JOIN gt g ON p.term = g.term WHERE g.grand_total > 0""")
+  """gt AS (SELECT term, CAST(sum(total) AS BIGINT) AS grand_total FROM tot GROUP BY term)""") + f"""
+SELECT tot.term, {S.pivot_sql("category", S.PART_TYPES, "total")}, g.grand_total
+FROM tot JOIN gt g ON tot.term = g.term WHERE g.grand_total > 0 GROUP BY tot.term, g.grand_total""")
 def d14_cross_pivot(spark, sf):
     """D14 (N form over all categories): term x category totals, 0-filled,
     Grand_Total, rows whose selected sum > 0."""
@@ -473,19 +475,21 @@ def d15_term_distribution(spark, sf):
             .agg(F.sum("count").cast("bigint").alias("total")))
 
 
-@register("g3_year_term_view", MERGED_SQL + """, fc AS (SELECT min(category) AS category FROM merged),
-  t5 AS (SELECT term FROM (SELECT term, sum(count) AS s FROM term_year WHERE category = (SELECT category FROM fc)
-                           GROUP BY term ORDER BY s DESC, term LIMIT 5))
-SELECT * FROM (PIVOT (SELECT year, term, round(norm_freq, 6) AS v FROM merged
-                      WHERE category = (SELECT category FROM fc) AND term IN (SELECT term FROM t5))
-               ON term USING first(v) GROUP BY year)""")
+@register("g3_year_term_view", MERGED_SQL + f""", t5 AS (
+  SELECT category, term, rank FROM (
+    SELECT category, term, row_number() OVER (PARTITION BY category ORDER BY sum(count) DESC, term) AS rank
+    FROM term_year GROUP BY category, term) WHERE rank <= {K.CATEGORY_TOP_N})
+SELECT m.category, CAST(m.year AS INTEGER) AS year, {", ".join(
+    f"max(CASE WHEN rank = {k} THEN m.term END) AS term_{k}, max(CASE WHEN rank = {k} THEN round(norm_freq, 6) END) AS freq_{k}"
+    for k in range(1, K.CATEGORY_TOP_N + 1))}
+FROM merged m JOIN t5 ON m.category = t5.category AND m.term = t5.term GROUP BY m.category, m.year""")
 def g3_year_term_view(spark, sf):
-    """G3 + E3 + F2 + H1: for the first category, its top-5 terms' normalised
-    frequency as a year x term table."""
+    """G3 + E3 + F2 + H1: for every category, its top-5 terms' normalised frequency as a year x term
+    table; the columns are the ranks, since each category has terms of its own."""
     terms, _, merged, _, _ = _merged(spark, sf)
-    cat = _categories(merged)[0]
-    top = (RK.top_n_per_group(RK.totals(terms.where(F.col("category") == cat), ["category", "term"]),
-                              ["category"], "total", K.CATEGORY_TOP_N).select("term"))
-    names = sorted(r[0] for r in top.collect())
-    sel = merged.where(F.col("category") == cat).join(top, "term", "left_semi")
-    return sel.groupBy(F.col("year").cast("int").alias("year")).pivot("term", names).agg(F.first(r6("norm_freq")))
+    top = RK.top_n_per_group(RK.totals(terms, ["category", "term"]), ["category"], "total", K.CATEGORY_TOP_N)
+    sel = merged.join(top.select("category", "term", "rank"), ["category", "term"])
+    cells = [c for k in range(1, K.CATEGORY_TOP_N + 1) for c in (
+        F.max(F.when(F.col("rank") == k, F.col("term"))).alias(f"term_{k}"),
+        F.max(F.when(F.col("rank") == k, r6("norm_freq"))).alias(f"freq_{k}"))]
+    return sel.groupBy("category", F.col("year").cast("int").alias("year")).agg(*cells)

@@ -141,5 +141,18 @@ PAPERS_SQL = f"""papers AS (
   FROM documents)"""
 
 
+# Column values of the wide tables, listed so that each oracle is one plain SELECT.
+SHIP_YEARS = list(range(1995, 2002))
+PAPER_YEARS = list(range(2015, 2026))
+PART_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+def pivot_sql(column: str, values: list, value: str, kind: str = "BIGINT") -> str:
+    """One 0-filled sum per value of ``column``, named by it."""
+    lit = lambda v: f"'{v}'" if isinstance(v, str) else str(v)
+    return ", ".join(f'CAST(coalesce(sum(CASE WHEN {column} = {lit(v)} THEN {value} END), 0) AS {kind}) AS "{v}"'
+                     for v in values)
+
+
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
