@@ -101,4 +101,8 @@ SUNBURST_TOP_N = 12
 CATEGORY_TOP_N = 5
 WORDCLOUD_MAX_WORDS = 150
 YEAR_COLUMN_RANGE = (1990, 2030)
+# Fixed value: year range of the sunburst chart's table.
+SUNBURST_YEAR_RANGE = (1900, 2030)
+# Header names of the term column, in order of preference.
+TERM_ALIASES = ["bigram", "term", "keyword", "word", "ngram", "unnamed: 0", "_c0"]
 FETCH_CAP_PER_PERIOD = 10000

@@ -10,15 +10,13 @@ from pyspark.sql import functions as F
 
 from .. import constants as K
 
-TERM_ALIASES = ["bigram", "term", "keyword", "word", "ngram", "unnamed: 0", "_c0"]
-
 
 def standardize_columns(df: DataFrame, term_col: str = "term") -> DataFrame:
     """lower/trim column names; the first of the term aliases becomes
     ``term_col``; ``domain`` becomes ``category``."""
     names = [str(c).lower().strip() for c in df.columns]
     out = df.toDF(*names)
-    hit = next((c for c in TERM_ALIASES if c in names), None)
+    hit = next((c for c in K.TERM_ALIASES if c in names), None)
     if hit is not None and hit != term_col:
         out = out.withColumnRenamed(hit, term_col)
     if "domain" in names and "category" not in names:
@@ -26,14 +24,9 @@ def standardize_columns(df: DataFrame, term_col: str = "term") -> DataFrame:
     return out
 
 
-def year_columns(df: DataFrame, lo: int | None = K.YEAR_COLUMN_RANGE[0],
-                 hi: int | None = K.YEAR_COLUMN_RANGE[1]) -> list[str]:
-    """Names that are all digits (and inside [lo, hi] when given)."""
-    out = []
-    for c in df.columns:
-        if c.isdigit() and (lo is None or lo <= int(c) <= hi):
-            out.append(c)
-    return out
+def year_columns(df: DataFrame, between: tuple[int, int] | None = None) -> list[str]:
+    """Names that are all digits (and inside the range when given)."""
+    return [c for c in df.columns if c.isdigit() and (between is None or between[0] <= int(c) <= between[1])]
 
 
 def coerce_numeric(df: DataFrame, cols: list[str], default: float = 0.0) -> DataFrame:
@@ -49,6 +42,11 @@ def row_total(cols: list[str]):
     return reduce(add, [F.col(f"`{c}`") for c in cols])
 
 
+def with_total(df: DataFrame, cols: list[str], total: str = "total") -> DataFrame:
+    """A given total column stays as it is; only an absent one is summed."""
+    return df if total in df.columns else df.withColumn(total, row_total(cols))
+
+
 def drop_unrealistic(df: DataFrame, cols: list[str], cap: float = K.MAX_REALISTIC_COUNT) -> DataFrame:
     """B20 (wide form): keep rows whose every year value is <= cap."""
     if not cols:
@@ -70,9 +68,7 @@ def pivot_years(df: DataFrame, years: list[int], keys=("category", "term"), valu
     """G3 / C5 wide form: one column per year (explicit values, 0-filled) + total."""
     cols = [str(y) for y in years]
     w = (df.groupBy(*keys).pivot("year", years).agg(F.sum(value)).na.fill(0, subset=cols))
-    if total:
-        w = w.withColumn(total, row_total(cols))
-    return w
+    return with_total(w, cols, total) if total else w
 
 
 def unpivot_years(df: DataFrame, ids: list[str], year_cols: list[str], value: str = "count") -> DataFrame:

@@ -23,11 +23,10 @@ def year_bounds(df: DataFrame, col: str = "year") -> tuple[int, int]:
     return int(r["lo"]), int(r["hi"])
 
 
-def year_list(df: DataFrame, col: str = "year", lo: int = K.YEAR_COLUMN_RANGE[0],
-              hi: int = K.YEAR_COLUMN_RANGE[1]) -> list[int]:
-    """The distinct years in [lo, hi] (at most hi-lo+1 values)."""
-    rows = df.where(F.col(col).between(lo, hi)).select(col).distinct().collect()
-    return sorted(int(r[0]) for r in rows)
+def year_list(df: DataFrame, col: str = "year", between: tuple[int, int] | None = None) -> list[int]:
+    """The distinct years, all of them or those in a range that the caller's chart has."""
+    rows = df.where(F.col(col).between(*between)) if between else df.where(F.col(col).isNotNull())
+    return sorted(int(r[0]) for r in rows.select(col).distinct().collect())
 
 
 def training_window(max_year: int, min_year: int, back: int = K.TRAIN_YEARS_BACK) -> tuple[int, int]:
@@ -35,8 +34,15 @@ def training_window(max_year: int, min_year: int, back: int = K.TRAIN_YEARS_BACK
     return (max_year - back if max_year - back >= min_year else min_year, max_year)
 
 
-def join_domain_totals(terms: DataFrame, domains: DataFrame, materialised: bool = False) -> DataFrame:
-    """inner equi-join on (category, year); missing totals read as 1.
+def category_key(c: Column | str) -> Column:
+    """Lower-cased, trimmed category name, for tables that spell the same category differently."""
+    return F.lower(F.trim(F.col(c) if isinstance(c, str) else c))
+
+
+def join_domain_totals(terms: DataFrame, domains: DataFrame, materialised: bool = False,
+                       loose_keys: bool = False) -> DataFrame:
+    """inner equi-join on (category, year); missing totals read as 1 (B18).  ``loose_keys`` matches
+    categories by ``category_key`` (the terms' spelling is kept; totals of one key are summed).
 
     The domain side is an aggregate (categories x years): it is broadcast
     behind a row-count check (``join_small``), because the few distinct
@@ -44,7 +50,10 @@ def join_domain_totals(terms: DataFrame, domains: DataFrame, materialised: bool
     """
     d = domains.select("category", "year",
                        F.coalesce(F.col("total_papers").cast("double"), F.lit(1.0)).alias("total_papers"))
-    return join_small(terms, d, ["category", "year"], "inner", materialised=materialised)
+    if not loose_keys:
+        return join_small(terms, d, ["category", "year"], "inner", materialised=materialised)
+    d = (d.groupBy(category_key("category").alias("_key"), "year").agg(F.sum("total_papers").alias("total_papers")))
+    return join_small(terms.withColumn("_key", category_key("category")), d, ["_key", "year"]).drop("_key")
 
 
 def norm_freq(count: Column | str = "count", total: Column | str = "total_papers") -> Column:
@@ -61,7 +70,9 @@ def dense_term_years(terms: DataFrame, years: list[int]) -> DataFrame:
     len(years) entries), then a narrow explode over the fixed year list.
     """
     yrs = F.array(*[F.lit(int(y)) for y in years]) if years else F.array().cast("array<int>")
+    # rows of one (category, term, year) are summed first: a repeated key would fail the map
     m = (terms.where(F.col("year").isin(years) if years else F.lit(False))
+         .groupBy("category", "term", "year").agg(F.sum("count").alias("count"))
          .groupBy("category", "term")
          .agg(F.map_from_entries(F.collect_list(F.struct(F.col("year").cast("int"), F.col("count").cast("double")))).alias("m")))
     return (m.select("category", "term", F.explode(yrs).alias("year"), "m")

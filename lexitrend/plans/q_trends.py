@@ -34,19 +34,26 @@ def _base(spark: SparkSession, sf: str, domains: bool = True):
     return terms, dom
 
 
+def _domains(spark: SparkSession, sf: str) -> DataFrame:
+    """The domain totals alone, materialised once."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+    return S.domain_year(spark, sf).checkpoint(eager=True)
+
+
 def _merged(spark, sf):
     terms, domains = _base(spark, sf)
-    merged = T.normalized_long(terms, domains, materialised=True)
+    # the bounds and the query both read it: materialised once
+    merged = T.normalized_long(terms, domains, materialised=True).checkpoint(eager=True)
     lo, hi = T.year_bounds(merged)
     start, end = T.training_window(hi, lo)
     return terms, domains, merged, start, end
 
 
 # ---------------------------------------------------------------- SQL pieces
-_Y0, _Y1 = K.YEAR_COLUMN_RANGE
-MERGED_SQL = S.with_ctes(S.TERM_YEAR_SQL, S.DOMAIN_YEAR_SQL, f"""years AS (
-  SELECT DISTINCT year FROM term_year WHERE year BETWEEN {_Y0} AND {_Y1})""", f"""pairs AS (
-  SELECT DISTINCT category, term FROM term_year WHERE year BETWEEN {_Y0} AND {_Y1})""", """dense AS (
+MERGED_SQL = S.with_ctes(S.TERM_YEAR_SQL, S.DOMAIN_YEAR_SQL, """years AS (
+  SELECT DISTINCT year FROM term_year)""", """pairs AS (
+  SELECT DISTINCT category, term FROM term_year)""", """dense AS (
   SELECT p.category, p.term, y.year, CAST(coalesce(t.count, 0) AS DOUBLE) AS count
   FROM pairs p CROSS JOIN years y
   LEFT JOIN term_year t ON t.category = p.category AND t.term = p.term AND t.year = y.year)""", """merged0 AS (
@@ -195,30 +202,31 @@ def d19_median_growth(spark, sf):
   """fit AS (
   SELECT term, regr_slope(count, CAST(year AS DOUBLE)) AS slope, regr_intercept(count, CAST(year AS DOUBLE)) AS intercept
   FROM py GROUP BY term HAVING count(*) >= 3)""", """ly AS (
-  SELECT max(year) AS y FROM term_year WHERE year BETWEEN 1990 AND 2030)""") + """
+  SELECT max(year) AS y FROM term_year)""") + """
 SELECT term, CAST(y.year AS INTEGER) AS year, round(slope * y.year + intercept, 4) AS prediction
 FROM fit, (SELECT unnest(range((SELECT y FROM ly) + 1, (SELECT y FROM ly) + 4)) AS year) y""")
 def h5_predict(spark, sf):
     terms, _ = _base(spark, sf, domains=False)
-    years = T.year_list(terms)
-    p = T.predict_term(terms.where(F.col("year").isin(years)), max(years))
+    p = T.predict_term(terms, T.year_bounds(terms)[1])
     return p.select("term", F.col("year").cast("int").alias("year"), F.round("prediction", 4).alias("prediction"))
 
 
 # ------------------------------------------------------- reshape / aggregates
 
-DENSE_SQL = S.with_ctes(S.TERM_YEAR_SQL, f"""years AS (
-  SELECT DISTINCT year FROM term_year WHERE year BETWEEN {_Y0} AND {_Y1})""", f"""pairs AS (
-  SELECT DISTINCT category, term FROM term_year WHERE year BETWEEN {_Y0} AND {_Y1})""", """dense AS (
+# term rows that a chart's year range leaves: all of them, but for the sunburst
+_RANGED = """ranged AS (SELECT * FROM term_year{})"""
+DENSE_SQL = S.with_ctes(S.TERM_YEAR_SQL, _RANGED.format(""), """years AS (
+  SELECT DISTINCT year FROM ranged)""", """pairs AS (
+  SELECT DISTINCT category, term FROM ranged)""", """dense AS (
   SELECT p.category, p.term, CAST(y.year AS INTEGER) AS year, CAST(coalesce(t.count, 0) AS BIGINT) AS count
   FROM pairs p CROSS JOIN years y
-  LEFT JOIN term_year t ON t.category = p.category AND t.term = p.term AND t.year = y.year)""", """tot AS (
-  SELECT category, term, CAST(sum(count) AS BIGINT) AS total FROM term_year GROUP BY category, term)""")
+  LEFT JOIN ranged t ON t.category = p.category AND t.term = p.term AND t.year = y.year)""", """tot AS (
+  SELECT category, term, CAST(sum(count) AS BIGINT) AS total FROM ranged GROUP BY category, term)""")
 
 
-def _dense(spark, sf):
+def _dense(spark, sf, between=None):
     terms, _ = _base(spark, sf, domains=False)
-    years = T.year_list(terms)
+    years = T.year_list(terms, between=between)
     terms = terms.where(F.col("year").isin(years))
     wide = R.pivot_years(terms, years)
     dense = R.unpivot_years(wide.drop("total"), ["category", "term"], [str(y) for y in years])
@@ -245,8 +253,8 @@ SELECT c.category, CAST(y.year AS INTEGER) AS year, CAST(coalesce(d.total_papers
 FROM cats c CROSS JOIN years y LEFT JOIN domain_year d ON d.category = c.category AND d.year = y.year""")
 def g2_domain_unpivot(spark, sf):
     """D2-style domain x year pivot (0-filled), then G2 back to long form."""
-    _, domains = _base(spark, sf)
-    years = T.year_list(domains, lo=0, hi=9999)
+    domains = _domains(spark, sf)
+    years = T.year_list(domains)
     wide = (domains.groupBy("category").pivot("year", years).agg(F.first("total_papers"))
             .na.fill(0, subset=[str(y) for y in years]))
     long = R.unpivot_years(wide, ["category"], [str(y) for y in years], "total_papers")
@@ -290,7 +298,8 @@ def d6_wordcloud(spark, sf):
     return top.select("term", "total", r6(F.col("total") / mx).alias("weight"))
 
 
-TOP12_SQL = DENSE_SQL + f""", top12 AS (
+TOP12_SQL = DENSE_SQL.replace(_RANGED.format(""), _RANGED.format(
+    " WHERE year BETWEEN {} AND {}".format(*K.SUNBURST_YEAR_RANGE))) + f""", top12 AS (
   SELECT category, term, total FROM (
     SELECT *, row_number() OVER (PARTITION BY category ORDER BY total DESC, term) AS rn FROM tot)
   WHERE rn <= {K.SUNBURST_TOP_N}),
@@ -299,7 +308,7 @@ TOP12_SQL = DENSE_SQL + f""", top12 AS (
 
 
 def _top12_rows(spark, sf):
-    _, _, _, dense = _dense(spark, sf)
+    _, _, _, dense = _dense(spark, sf, K.SUNBURST_YEAR_RANGE)
     return RK.top_terms_rows(dense, K.SUNBURST_TOP_N)
 
 
@@ -326,7 +335,7 @@ SELECT category, term, CAST(sum(total) AS BIGINT) AS total FROM top12 GROUP BY R
 def d15_term_rollup(spark, sf):
     """Category -> term hierarchy totals (sunburst rings) by ROLLUP."""
     terms, _ = _base(spark, sf, domains=False)
-    tot = RK.totals(terms, ["category", "term"])
+    tot = RK.totals(terms.where(F.col("year").between(*K.SUNBURST_YEAR_RANGE)), ["category", "term"])
     top = RK.top_n_per_group(tot, ["category"], "total", K.SUNBURST_TOP_N)
     return top.rollup("category", "term").agg(F.sum("total").cast("bigint").alias("total"))
 
@@ -405,7 +414,7 @@ def d17_row_counts(spark, sf):
 SELECT category, year, total_papers FROM domain_year WHERE year > (SELECT max(year) FROM domain_year) - 5""")
 def e8_last_years(spark, sf):
     """The last five year columns of the domain table (long form)."""
-    _, domains = _base(spark, sf)
+    domains = _domains(spark, sf)
     hi = T.year_bounds(domains)[1]
     return domains.where(F.col("year") > hi - 5)
 
@@ -478,17 +487,20 @@ def d15_term_distribution(spark, sf):
 @register("g3_year_term_view", MERGED_SQL + f""", t5 AS (
   SELECT category, term, rank FROM (
     SELECT category, term, row_number() OVER (PARTITION BY category ORDER BY sum(count) DESC, term) AS rank
-    FROM term_year GROUP BY category, term) WHERE rank <= {K.CATEGORY_TOP_N})
+    FROM term_year WHERE year BETWEEN {K.YEAR_COLUMN_RANGE[0]} AND {K.YEAR_COLUMN_RANGE[1]}
+    GROUP BY category, term) WHERE rank <= {K.CATEGORY_TOP_N})
 SELECT m.category, CAST(m.year AS INTEGER) AS year, {", ".join(
     f"max(CASE WHEN rank = {k} THEN m.term END) AS term_{k}, max(CASE WHEN rank = {k} THEN round(norm_freq, 6) END) AS freq_{k}"
     for k in range(1, K.CATEGORY_TOP_N + 1))}
-FROM merged m JOIN t5 ON m.category = t5.category AND m.term = t5.term GROUP BY m.category, m.year""")
+FROM merged m JOIN t5 ON m.category = t5.category AND m.term = t5.term
+WHERE m.year BETWEEN {K.YEAR_COLUMN_RANGE[0]} AND {K.YEAR_COLUMN_RANGE[1]} GROUP BY m.category, m.year""")
 def g3_year_term_view(spark, sf):
     """G3 + E3 + F2 + H1: for every category, its top-5 terms' normalised frequency as a year x term
     table; the columns are the ranks, since each category has terms of its own."""
     terms, _, merged, _, _ = _merged(spark, sf)
-    top = RK.top_n_per_group(RK.totals(terms, ["category", "term"]), ["category"], "total", K.CATEGORY_TOP_N)
-    sel = merged.join(top.select("category", "term", "rank"), ["category", "term"])
+    shown = F.col("year").between(*K.YEAR_COLUMN_RANGE)  # this chart's own range
+    top = RK.top_n_per_group(RK.totals(terms.where(shown), ["category", "term"]), ["category"], "total", K.CATEGORY_TOP_N)
+    sel = merged.where(shown).join(top.select("category", "term", "rank"), ["category", "term"])
     cells = [c for k in range(1, K.CATEGORY_TOP_N + 1) for c in (
         F.max(F.when(F.col("rank") == k, F.col("term"))).alias(f"term_{k}"),
         F.max(F.when(F.col("rank") == k, r6("norm_freq"))).alias(f"freq_{k}"))]
