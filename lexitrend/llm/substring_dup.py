@@ -3,8 +3,7 @@ elsewhere is removed.
 
 1. Every 400-byte string is filed under the smallest hash of the ``k``-byte strings inside it, so
    equal strings get the same key wherever they stand.  Consecutive starts with one key form a
-   segment; a key that only one segment of the corpus has, and that stands once in it, needs no look
-   at the bytes.
+   segment; a key that only one segment of the corpus has needs no look at the bytes.
 2. Segments with equal bytes (fingerprint under an equal key) are repeats as a whole.
 3. The different segments of a key meet in a block, a bounded text of whole key groups.  A block
    gets a run-length index: its Burrows-Wheeler transform, run by run, with a sample at each run
@@ -36,8 +35,8 @@ LENGTH = 400
 INNER = (128, 384, LENGTH)
 #: Different segments of a key that may meet in one block.
 MOST = 256
-#: Starts in a segment, bytes worked on at once, and bytes that a block holds on average.
-LONGEST, PIECE, BLOCK = 2048, 1 << 20, 1 << 20
+#: Bytes worked on at once, and bytes that a block holds on average.
+PIECE, BLOCK = 1 << 20, 1 << 20
 _RNG = np.random.default_rng(20240701)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _P = 0x9E3779B97F4A7C15
@@ -68,7 +67,8 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def segments(batch: list[bytes], k: int):
-    """(text, first start, starts, key, fingerprint, may repeat itself) arrays of the segments."""
+    """(text, starts, key, fingerprint, first starts of all, offsets into them) arrays: one entry for
+    all equal segments of a text."""
     todo, size = [], 0
     for i, b in enumerate(batch):
         for at in range(0, max(len(b) - LENGTH + 1, 0), PIECE):
@@ -94,21 +94,20 @@ def _segments(pieces: list[tuple[int, int, bytes]], k: int):
     piece = np.searchsorted(ends, starts, side="right")
     ok = starts + LENGTH <= ends[piece]
     starts, key, piece = starts[ok], key[ok], piece[ok]
-    new = np.r_[True, (key[1:] != key[:-1]) | (piece[1:] != piece[:-1])]
-    first = np.flatnonzero(new)
-    since = np.arange(len(starts)) - np.repeat(first, np.diff(np.r_[first, len(starts)]))
-    first = np.flatnonzero(since % LONGEST == 0)
+    # a segment also ends where the first smallest string drops out and an equal one takes its place:
+    # inside a segment no 400 bytes repeat, and a periodic text becomes equal segments
+    drops = inner[starts] == key
+    first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (piece[1:] != piece[:-1]) | drops[:-1]])[:len(starts)]
     count = np.diff(np.r_[first, len(starts)])
-    s = starts[first]
+    s, key, which = starts[first], key[first], piece[first]
     prints = _mix((total[s + count + LENGTH - 1] - total[s]) * back[s]) ^ count.astype(np.uint64)
-    which = piece[first]
     begin = np.r_[0, ends[:-1]]
     text = np.array([p[0] for p in pieces])[which]
-    offset = np.array([p[1] for p in pieces])[which]
-    # only where the first smallest string moves on inside a segment can it repeat itself
-    moves = (inner[starts] == key) & np.r_[~new[1:], False]
-    moves = np.logical_or.reduceat(moves, first) if len(first) else moves
-    return text, offset + s - begin[which], count, key[first].view(np.int64), prints.view(np.int64), moves
+    lo = np.array([p[1] for p in pieces])[which] + s - begin[which]
+    order = np.lexsort((lo, prints, key, text))
+    text, lo, key, prints, count = (x[order] for x in (text, lo, key, prints, count))
+    new = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (key[1:] != key[:-1]) | (prints[1:] != prints[:-1])])[:len(lo)]
+    return text[new], count[new], key[new].view(np.int64), prints[new].view(np.int64), lo, np.r_[new, len(lo)]
 
 
 def suffix_array(codes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
@@ -201,35 +200,42 @@ def long_starts(parts: list[bytes]) -> list[list[tuple[int, int]]]:
     return out
 
 
+RANGES = "array<struct<lo long, hi long>>"
+
+
+def together(found: DataFrame) -> DataFrame:
+    """One row per text with all its ranges."""
+    return found.groupBy("k1", "k2").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+
+
 def repeated_starts(docs: DataFrame, inner: tuple[int, ...] = INNER) -> DataFrame:
-    """(k1, k2, lo, hi): ranges of repeated starts in the texts of ``docs`` (k1, k2, text binary)."""
+    """(k1, k2, ranges): ranges (lo, hi) of repeated starts in the texts of ``docs`` (k1, k2, text binary)."""
     spark = docs.sparkSession
 
     def cut(batches, k=inner[0]):
         for b in batches:
-            for text, start, count, key, mark, moves in segments(texts(b.column(2)), k):
+            for text, count, key, mark, lo, offsets in segments(texts(b.column(2)), k):
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(text)), b.column(1).take(pa.array(text)), pa.array(start),
-                     pa.array(count.astype(np.int64)), pa.array(key), pa.array(mark), pa.array(moves)],
-                    ["k1", "k2", "lo", "starts", "key", "mark", "moves"])
+                    [b.column(0).take(pa.array(text)), b.column(1).take(pa.array(text)),
+                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(lo, pa.int64())),
+                     pa.array(count.astype(np.int64)), pa.array(key), pa.array(mark)],
+                    ["k1", "k2", "lo", "starts", "key", "mark"])
 
     long = docs.where(F.octet_length("text") >= LENGTH)
     every = written(spark, long.select("k1", "k2", "text").mapInArrow(
-        cut, "k1 long, k2 long, lo long, starts long, key long, mark long, moves boolean"),
-                    "repeats-segments")
-    often = every.groupBy("key").agg(F.count("*").alias("n"), F.max("moves").alias("moves"))
-    often = often.where("n > 1 or moves").select("key")
+        cut, "k1 long, k2 long, lo array<long>, starts long, key long, mark long"), "repeats-segments")
+    size = F.size("lo").cast("long")
+    often = every.groupBy("key").agg(F.sum(size).alias("n")).where("n > 1").select("key")
     shared = written(spark, every.join(often, "key"), "repeats-shared")
-    marks = shared.groupBy("key", "mark").agg(F.count("*").alias("n"), F.max("moves").alias("moves"),
-                                              F.min(F.struct("k1", "k2", "lo", "starts")).alias("at"))
-    marks = written(spark, marks.select("key", "mark", "n", "moves", "at.*"), "repeats-marks")
+    marks = shared.groupBy("key", "mark").agg(
+        F.sum(size).alias("n"), F.min(F.struct("k1", "k2", F.col("lo")[0].alias("lo"), "starts")).alias("at"))
+    marks = written(spark, marks.select("key", "mark", "n", "at.*"), "repeats-marks")
     whole = shared.join(marks.where("n > 1").select("key", "mark"), ["key", "mark"])
-    found = whole.select("k1", "k2", "lo", (F.col("lo") + F.col("starts") - 1).alias("hi"))
+    found = whole.select("k1", "k2", F.transform("lo", lambda x: F.struct(
+        x.alias("lo"), (x + F.col("starts") - 1).alias("hi"))).cast(RANGES).alias("ranges"))
     if len(inner) == 1:
         return found
-    once = F.col("n") == 1
-    groups = marks.groupBy("key").agg(F.count("*").alias("m"), F.max(once).alias("open"),
-                                      F.max(once & F.col("moves")).alias("moves")).where("moves or m > 1 and open")
+    groups = marks.groupBy("key").agg(F.count("*").alias("m"), F.max(F.col("n") == 1).alias("open")).where("m > 1 and open")
     open_marks = marks.join(groups.select("key", "m"), "key")
     per_text = open_marks.groupBy("k1", "k2").agg(F.collect_list(F.struct("key", "mark", "n", "m", "lo", "starts")).alias("s"))
 
@@ -267,16 +273,17 @@ def repeated_starts(docs: DataFrame, inner: tuple[int, ...] = INNER) -> DataFram
         return pa.table([pa.array(c, pa.int64()) for c in rows], ["k1", "k2", "lo", "hi"])
 
     blocked = few.withColumn("block", F.pmod(F.xxhash64("key"), F.lit(blocks)))
-    found = found.unionByName(blocked.groupBy("block").applyInArrow(index, "k1 long, k2 long, lo long, hi long"))
+    matched = blocked.groupBy("block").applyInArrow(index, "k1 long, k2 long, lo long, hi long")
+    found = found.unionByName(matched.select("k1", "k2", F.array(F.struct("lo", "hi")).cast(RANGES).alias("ranges")))
     many = bytes_of.where(F.col("m") > MOST)
     if many.limit(1).count():
-        finer = repeated_starts(many.select(F.col("key").alias("k1"), F.col("mark").alias("k2"), "text"), inner[1:])
-        at = many.where("n = 1").select("key", "mark", F.col("k1").alias("d1"), F.col("k2").alias("d2"),
-                                        F.col("lo").alias("shift"))
+        finer = together(repeated_starts(
+            many.select(F.col("key").alias("k1"), F.col("mark").alias("k2"), "text"), inner[1:]))
+        at = many.where("n = 1").select("key", "mark", F.col("k1").alias("d1"), F.col("k2").alias("d2"), "lo")
         finer = finer.join(at, (F.col("k1") == F.col("key")) & (F.col("k2") == F.col("mark")))
-        found = found.unionByName(finer.select(F.col("d1").alias("k1"), F.col("d2").alias("k2"),
-                                               (F.col("lo") + F.col("shift")).alias("lo"),
-                                               (F.col("hi") + F.col("shift")).alias("hi")))
+        moved = F.transform("ranges", lambda r: F.struct((r["lo"] + F.col("lo")).alias("lo"),
+                                                         (r["hi"] + F.col("lo")).alias("hi"))).cast(RANGES)
+        found = found.unionByName(finer.select(F.col("d1").alias("k1"), F.col("d2").alias("k2"), moved.alias("ranges")))
     return found
 
 
@@ -302,8 +309,7 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     body = F.coalesce(F.encode(F.col(text).cast("string"), "UTF-8"), F.lit(b""))
     rows = docs.select(F.col(key).alias("key"), body.alias("text"))
     rows = rows.select("key", F.xxhash64("key").alias("k1"), F.xxhash64("text").alias("k2"), "text")
-    ranges = repeated_starts(rows.select("k1", "k2", "text"))
-    ranges = ranges.groupBy("k1", "k2").agg(F.collect_set(F.struct("lo", "hi")).alias("ranges"))
+    ranges = together(repeated_starts(rows.select("k1", "k2", "text")))
     both = rows.join(written(spark, ranges, "repeats-ranges"), ["k1", "k2"], "left").select("key", "text", "ranges")
     names = ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
 

@@ -74,6 +74,6 @@ def test_index_matching_statistics():
 def test_pieces_of_long_texts(monkeypatch):
     t = letters(5000, 5).encode()
     monkeypatch.setattr(S, "PIECE", 700)
-    starts = sorted((int(a) + k) for x in S.segments([t, b"short", t], 128) for i, a, n in zip(*x[:3], strict=True)
-                    if i == 0 for k in range(n))
+    starts = sorted(int(a) + k for text, count, _, _, lo, at in S.segments([t, b"short", t], 128)
+                    for i, n, x, y in zip(text, count, at, at[1:], strict=False) if i == 0 for a in lo[x:y] for k in range(n))
     assert starts == list(range(len(t) - 399))
