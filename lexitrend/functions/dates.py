@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 # weekday cut first (Spark >= 3 cannot parse the ``E`` letter).
 TIMESTAMP_FORMATS = [
     "d MMM yyyy HH:mm:ss z",
-    "yyyy-MM-dd HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ss",
-    "yyyy-MM-dd'T'HH:mm:ssXXX",
+    # with or without a fraction of 1 to 9 digits and an offset
+    "yyyy-MM-dd HH:mm:ss[.SSSSSSSSS][XXX]",
+    "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS][XXX]",
     "yyyy-MM-dd",
     "yyyy-MM",
 ]
@@ -27,6 +27,11 @@ def parse_timestamp(c) -> Column:
     return F.coalesce(*[F.try_to_timestamp(s, F.lit(f)) for f in TIMESTAMP_FORMATS])
 
 
+def is_bad_date(c) -> Column:
+    """A date text that ``parse_timestamp`` cannot read (to be counted, not lost)."""
+    return (F.coalesce(F.trim(_c(c)), F.lit("")) != "") & parse_timestamp(c).isNull()
+
+
 def year_of(c) -> Column:
     return F.year(_c(c)).cast("int")
 

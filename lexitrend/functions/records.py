@@ -26,25 +26,28 @@ def first_version_date(versions, update_date) -> Column:
 def format_authors(authors_parsed) -> Column:
     """[[last, first, ...], ...] -> ['first last', ...] (stripped)."""
     return F.transform(F.coalesce(_c(authors_parsed), F.array().cast("array<array<string>>")),
-                       lambda a: F.trim(F.concat(F.get(a, 1), F.lit(" "), F.get(a, 0))))
+                       lambda a: F.trim(F.concat(F.coalesce(F.get(a, 1), F.lit("")), F.lit(" "), F.coalesce(F.get(a, 0), F.lit("")))))
 
 
 def has_short_author(authors_parsed) -> Column:
-    """B7 reject rule: an author entry with fewer than two parts."""
-    return F.exists(F.coalesce(_c(authors_parsed), F.array().cast("array<array<string>>")), lambda a: F.size(a) < 2)
+    """B7 reject rule: an author entry that is null or has fewer than two parts."""
+    return F.exists(F.coalesce(_c(authors_parsed), F.array().cast("array<array<string>>")), lambda a: F.when(a.isNull(), F.lit(True)).otherwise(F.size(a) < 2))
+
+
+def author_names(authorships) -> Column:
+    """Display names as an array (missing names as '')."""
+    return F.transform(F.coalesce(_c(authorships), F.array().cast("array<struct<author:struct<display_name:string>>>")),
+                       lambda x: F.coalesce(x["author"]["display_name"], F.lit("")))
 
 
 def join_author_names(authorships) -> Column:
-    """Display names joined by ', ' (missing names as '')."""
-    return F.array_join(F.transform(F.coalesce(_c(authorships), F.array().cast("array<struct<author:struct<display_name:string>>>")),
-                                    lambda x: F.coalesce(x["author"]["display_name"], F.lit(""))), ", ")
+    """Display names joined by ', '."""
+    return F.array_join(author_names(authorships), ", ")
 
 
 def work_category(primary_topic, concepts) -> Column:
-    """primary_topic.display_name, else the first concept's name, else ''."""
-    pt = _c(primary_topic)
-    first = F.get(_c(concepts), 0)["display_name"]
-    return F.when(pt.isNotNull(), pt["display_name"]).otherwise(F.coalesce(first, F.lit("")))
+    """primary_topic.display_name, else (no topic, or an empty one) the first concept's name, else ''."""
+    return F.coalesce(_c(primary_topic)["display_name"], F.get(_c(concepts), 0)["display_name"], F.lit(""))
 
 
 def reconstruct_abstract(inverted_index) -> Column:

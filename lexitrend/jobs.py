@@ -60,18 +60,22 @@ def clean_snapshot(spark: SparkSession, input_path: str, output: str) -> dict:
 
 def clean_works(spark: SparkSession, input_glob: str, output: str) -> None:
     """A2: gzip works JSON lines -> clean English papers (abstract rebuilt)."""
+    from .functions import records as RC
     from .plans.q_corpus import flatten_works
-    raw = CO.read_json_lines(spark, input_glob, CO.WORKS_SCHEMA, min_partitions=spark.sparkContext.defaultParallelism)
+    raw = CO.read_json_lines(spark, input_glob, CO.WORKS_SCHEMA, spread=True)
     good, _ = CO.split_corrupt(raw)
-    w = flatten_works(good)
-    w.select("id", "title", "summary", "published_date",
-             F.split("authors", ", ").alias("authors"), "primary_category",
+    labelled = good.select(RC.reconstruct_abstract("abstract_inverted_index").alias("text"), F.col("language").alias("lang"))
+    w = flatten_works(good, labelled.where("text <> ''"))
+    names = good.select("id", RC.author_names("authorships").alias("names")).dropDuplicates(["id"])
+    w.join(names, "id", "left").select(
+             "id", "title", "summary", "published_date", F.col("names").alias("authors"), "primary_category",
              F.lit(None).cast("string").alias("all_categories")).write.mode("overwrite").parquet(output)
 
 
 def read_papers(spark: SparkSession, path: str) -> DataFrame:
-    """Clean papers with the date parsed (B13; invalid dates dropped later)."""
-    p = spark.read.parquet(path)
+    """Clean papers (Parquet, or CSV files by their name) with the date parsed (B13); dates that
+    cannot be read are null, ``functions.dates.is_bad_date`` tells them from absent ones."""
+    p = CO.read_papers_csv(spark, path) if path.endswith((".csv", ".csv.gz")) else spark.read.parquet(path)
     return p.withColumn("published_date", parse_timestamp(F.col("published_date").cast("string")))
 
 

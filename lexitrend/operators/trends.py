@@ -80,15 +80,16 @@ def dense_term_years(terms: DataFrame, years: list[int]) -> DataFrame:
                     F.coalesce(F.try_element_at("m", F.col("year")), F.lit(0.0)).alias("count")))
 
 
-def normalized_long(terms: DataFrame, domains: DataFrame, materialised: bool = False) -> DataFrame:
+def normalized_long(terms: DataFrame, domains: DataFrame, materialised: bool = False,
+                    cap: float = K.NORM_FREQ_CAP) -> DataFrame:
     """Load-and-normalise: zero-filled long term table joined with domain
-    totals, norm_freq added, outliers (>= 50,000, inf, NaN, null) removed (B25)."""
+    totals, norm_freq added, outliers (>= ``cap``, inf, NaN, null) removed (B25)."""
     years = year_list(terms)
     dense = dense_term_years(terms, years)
     merged = join_domain_totals(dense, domains.where(F.col("year").isin(years) if years else F.lit(False)),
                                 materialised=materialised)
     merged = merged.withColumn("norm_freq", norm_freq())
-    return merged.where(F.col("norm_freq") < K.NORM_FREQ_CAP)
+    return merged.where(F.col("norm_freq") < cap)
 
 
 def r2_expr(y: Column, x: Column) -> Column:

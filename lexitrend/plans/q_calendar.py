@@ -211,19 +211,29 @@ def a10_pending_periods(spark, sf):
     return AG.pending_periods(cal, F.lit(asof), done)
 
 
-@register("a11_capped_fetch", f"""
+def _a11_sql(cap: int) -> str:
+    return f"""
 SELECT o_orderkey AS id, strftime(o_orderdate, '%Y-%m') AS period, fetch_rank FROM (
   SELECT o_orderkey, o_orderdate,
          CAST(row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y-%m') ORDER BY o_orderdate DESC, o_orderkey) AS INTEGER) AS fetch_rank
-  FROM orders) WHERE fetch_rank <= {K.FETCH_CAP_PER_PERIOD}""")
-def a11_capped_fetch(spark, sf):
+  FROM orders) WHERE fetch_rank <= {cap}"""
+
+
+@register("a11_capped_fetch", _a11_sql(K.FETCH_CAP_PER_PERIOD))
+def a11_capped_fetch(spark, sf, cap=K.FETCH_CAP_PER_PERIOD):
     """Newest-first, at most 10,000 records per month."""
     _utc(spark)
     o = S.order_dates(spark, sf).withColumn("period", DT.month_label("published_date"))
-    c = AG.capped_fetch(o, "period", "published_date", "id")
+    c = AG.capped_fetch(o, "period", "published_date", "id", cap)
     return c.select("id", "period", F.col("fetch_rank").cast("int").alias("fetch_rank"))
 
 
+@register("a11_capped_fetch_small", _a11_sql(10))
+def a11_capped_fetch_small(spark, sf):
+    """A11 with a cap of 10 records, which binds in every month."""
+    return a11_capped_fetch(spark, sf, 10)
+
+
 @register("b13_parse_dates", """
 SELECT o_orderkey AS id, 'rfc2822' AS form, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS parsed FROM orders
 UNION ALL

@@ -145,31 +145,37 @@ def works_lines(spark, sf):
     return full.select(F.when(d % WORKS_BAD_EVERY == 0, F.lit("{not json")).otherwise(F.to_json(rec)).alias("value"))
 
 
-def flatten_works(raw):
-    """A2 + B8-B11: English works -> 6-column clean rows with the abstract rebuilt."""
-    en = raw.where(F.col("language") == "en")
+def flatten_works(raw, labelled):
+    """A2 + B8-B12: works that metadata and title gate call English -> 6-column clean rows with the
+    abstract rebuilt.  The gate is fitted on ``labelled`` (text, lang); titles that are null or shorter
+    than 3 characters never pass."""
+    from ..operators import langid as LI
+    en = raw.where((F.col("language") == "en") & (F.length("title") >= 3))
+    model, stats, vocab = LI.fit(labelled, "text", "lang")
+    gate = LI.predict(en, model, stats, vocab, "id", "title").where("is_english").select("id")
+    en = en.join(gate.distinct(), "id", "left_semi")
     return en.select(F.col("id"), F.col("title"), F.col("publication_date").alias("published_date"),
                      RC.join_author_names("authorships").alias("authors"),
                      RC.work_category("primary_topic", "concepts").alias("primary_category"),
                      RC.reconstruct_abstract("abstract_inverted_index").alias("summary"))
 
 
-@register("a2_works_corpus", S.with_ctes(S.PAPERS_SQL.replace("SELECT doc_id AS id,", "SELECT doc_id AS id, doc_id, lang,")) + f"""
+@register("a2_works_corpus", S.with_ctes(f"gate AS ({QT._langid_sql()})", S.PAPERS_SQL.replace("SELECT doc_id AS id,", "SELECT doc_id AS id, doc_id, lang,")) + f"""
 SELECT 'W' || CAST(doc_id AS VARCHAR) AS id, title, strftime(published_date, '%Y-%m-%d') AS published_date,
        'First' || CAST(doc_id % 89 AS VARCHAR) || ' Last' || CAST(doc_id % 97 AS VARCHAR) || ', ' ||
          CASE WHEN doc_id % 7 = 0 THEN '' ELSE 'Second Author' END AS authors,
        CASE WHEN doc_id % 3 <> 0 THEN 'Topic ' || CAST(doc_id % 10 AS VARCHAR)
             WHEN doc_id % 2 = 0 THEN 'Concept ' || CAST(doc_id % 5 AS VARCHAR) ELSE '' END AS primary_category,
        trim(regexp_replace(summary, '{WS_RE}+', ' ', 'g')) AS summary
-FROM papers WHERE lang = 'en' AND doc_id % {WORKS_BAD_EVERY} <> 0""")
+FROM papers WHERE lang = 'en' AND doc_id % {WORKS_BAD_EVERY} <> 0 AND doc_id IN (SELECT id FROM gate WHERE is_english)""")
 def a2_works_corpus(spark, sf):
     """A2: many gzip JSON-lines files scanned in parallel (explicit map schema
     for the abstract index), bad lines dropped, English rows flattened."""
     path = _scratch(spark, "a2-works")
-    works_lines(spark, sf).repartition(4).write.mode("overwrite").option("compression", "gzip").text(path)
-    raw = CO.read_json_lines(spark, path + "/*.gz", CO.WORKS_SCHEMA, min_partitions=spark.sparkContext.defaultParallelism)
+    works_lines(spark, sf).write.mode("overwrite").option("compression", "gzip").text(path)
+    raw = CO.read_json_lines(spark, path + "/*.gz", CO.WORKS_SCHEMA, spread=True)
     good, _ = CO.split_corrupt(raw)
-    return flatten_works(good)
+    return flatten_works(good, table(spark, sf, "documents"))
 
 
 def _papers_csv(spark, sf, columns):
@@ -177,7 +183,7 @@ def _papers_csv(spark, sf, columns):
     path = _scratch(spark, "a6-papers")
     p = S.papers(spark, sf).withColumn("authors", F.lit(None).cast("string"))
     SK.write_csv(p.select([f.name for f in CO.PAPERS_CSV_SCHEMA.fields]), path)
-    return CO.read_csv(spark, path, CO.PAPERS_CSV_SCHEMA, columns)
+    return CO.read_csv(spark, path, columns, multi_line=True)  # the texts hold line breaks
 
 
 @register("a6_csv_roundtrip", S.with_ctes(S.PAPERS_SQL) + """

@@ -120,23 +120,33 @@ def c4_term_year_counts(spark, sf):
     return TM.term_year_counts(_clean(spark, sf))
 
 
-@register("c5_top_terms", CLEAN_SQL + f""", tot AS (
+def _c5_sql(k: int) -> str:
+    return CLEAN_SQL + f""", tot AS (
   SELECT category, n, term, CAST(sum(tf) AS BIGINT) AS total FROM counts GROUP BY ALL),
   top AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY category, n ORDER BY total DESC, term) AS INTEGER) AS rank
-                         FROM tot) WHERE rank <= {K.TOP_TERMS_PER_CATEGORY})
+                         FROM tot) WHERE rank <= {k})
 SELECT c.category, c.n, c.term, c.year, c.tf AS count, t.total, t.rank
-FROM counts c JOIN top t ON c.category = t.category AND c.n = t.n AND c.term = t.term""")
-def c5_top_terms(spark, sf):
+FROM counts c JOIN top t ON c.category = t.category AND c.n = t.n AND c.term = t.term"""
+
+
+@register("c5_top_terms", _c5_sql(K.TOP_TERMS_PER_CATEGORY))
+def c5_top_terms(spark, sf, k=K.TOP_TERMS_PER_CATEGORY):
     """C5 + C7: first 1000 terms per domain and n by total, their year cells
     (one long table over all domains = the merged term table)."""
     from ..session import ensure_checkpoint_dir
     ensure_checkpoint_dir(spark)
     # the counts are read twice (totals, then the kept rows): materialise once
     counts = TM.term_year_counts(_clean(spark, sf)).checkpoint(eager=True)
-    t = TM.top_terms(counts)
+    t = TM.top_terms(counts, k)
     return t.withColumn("rank", F.col("rank").cast("int"))
 
 
+@register("c5_top_terms_small", _c5_sql(15))
+def c5_top_terms_small(spark, sf):
+    """C5 with 15 terms per domain and n, fewer than there are."""
+    return c5_top_terms(spark, sf, 15)
+
+
 def _phrase_sql() -> str:
     vals = ", ".join(f"('{p}')" for p in K.SEARCH_PHRASES)
     return S.with_ctes(S.PAPERS_SQL, f"""c AS (

@@ -284,20 +284,30 @@ def d4_year_by_category(spark, sf):
     return rows.groupBy("year").pivot("category", cats).agg(F.sum("count").cast("bigint")).na.fill(0, subset=cats)
 
 
-@register("d6_wordcloud", S.with_ctes(S.TERM_YEAR_SQL, """g AS (
+def _d6_sql(k: int) -> str:
+    return S.with_ctes(S.TERM_YEAR_SQL, """g AS (
   SELECT term, CAST(sum(count) AS BIGINT) AS total FROM term_year GROUP BY term)""", f"""top AS (
-  SELECT * FROM g ORDER BY total DESC, term LIMIT {K.WORDCLOUD_MAX_WORDS})""") + """
-SELECT term, total, round(total / (SELECT max(total) FROM top), 6) AS weight FROM top""")
-def d6_wordcloud(spark, sf):
+  SELECT * FROM g ORDER BY total DESC, term LIMIT {k})""") + """
+SELECT term, total, round(total / (SELECT max(total) FROM top), 6) AS weight FROM top"""
+
+
+@register("d6_wordcloud", _d6_sql(K.WORDCLOUD_MAX_WORDS))
+def d6_wordcloud(spark, sf, k=K.WORDCLOUD_MAX_WORDS):
     """Global term frequency, largest 150 (a word-cloud parameter), weight relative to the max."""
     terms, _ = _base(spark, sf, domains=False)
     g = terms.groupBy("term").agg(F.sum("count").cast("bigint").alias("total"))
-    top = g.orderBy(F.desc("total"), "term").limit(K.WORDCLOUD_MAX_WORDS)
-    # the limit bounds this global window to 150 rows
+    top = g.orderBy(F.desc("total"), "term").limit(k)
+    # the limit bounds this global window
     mx = F.max("total").over(W.partitionBy())
     return top.select("term", "total", r6(F.col("total") / mx).alias("weight"))
 
 
+@register("d6_wordcloud_small", _d6_sql(20))
+def d6_wordcloud_small(spark, sf):
+    """D6 with 20 words, fewer than there are."""
+    return d6_wordcloud(spark, sf, 20)
+
+
 TOP12_SQL = DENSE_SQL.replace(_RANGED.format(""), _RANGED.format(
     " WHERE year BETWEEN {} AND {}".format(*K.SUNBURST_YEAR_RANGE))) + f""", top12 AS (
   SELECT category, term, total FROM (
@@ -389,13 +399,33 @@ def d16_distinct_categories(spark, sf):
     return terms.select("category").distinct().orderBy("category")
 
 
-@register("b20_drop_unrealistic", S.with_ctes(S.TERM_YEAR_SQL, f"""bad AS (
-  SELECT category, term FROM term_year GROUP BY category, term HAVING max(count) > {K.MAX_REALISTIC_COUNT})""") + """
-SELECT t.* FROM term_year t ANTI JOIN bad b ON t.category = b.category AND t.term = b.term""")
-def b20_drop_unrealistic(spark, sf):
+def _b20_sql(cap: int) -> str:
+    return S.with_ctes(S.TERM_YEAR_SQL, f"""bad AS (
+  SELECT category, term FROM term_year GROUP BY category, term HAVING max(count) > {cap})""") + """
+SELECT t.* FROM term_year t ANTI JOIN bad b ON t.category = b.category AND t.term = b.term"""
+
+
+@register("b20_drop_unrealistic", _b20_sql(K.MAX_REALISTIC_COUNT))
+def b20_drop_unrealistic(spark, sf, cap=K.MAX_REALISTIC_COUNT):
     """Drop every row of a term with a yearly count above 200,000."""
     terms, _ = _base(spark, sf, domains=False)
-    return R.drop_unrealistic_long(terms, ["category", "term"])
+    return R.drop_unrealistic_long(terms, ["category", "term"], cap)
+
+
+@register("b20_drop_unrealistic_small", _b20_sql(30))
+def b20_drop_unrealistic_small(spark, sf):
+    """B20 with a cap of 30, which some terms pass."""
+    return b20_drop_unrealistic(spark, sf, 30)
+
+
+@register("h1_norm_freq_small_cap", MERGED_SQL.replace("norm_freq < 50000", "norm_freq < 200") + """
+SELECT category, term, year, count, total_papers, round(norm_freq, 6) AS norm_freq FROM merged""")
+def h1_norm_freq_small_cap(spark, sf):
+    """H1 + B25 with an outlier cap of 200, which some rows pass."""
+    terms, domains = _base(spark, sf)
+    merged = T.normalized_long(terms, domains, materialised=True, cap=200)
+    return merged.select("category", "term", F.col("year").cast("int").alias("year"), "count",
+                         "total_papers", r6("norm_freq").alias("norm_freq"))
 
 
 @register("d17_row_counts", S.with_ctes(S.TERM_YEAR_SQL, f"""bad AS (

@@ -43,12 +43,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared (distributed) folder and is
-    read as is.  Only when it is unset (local runs, tests) a private scratch
-    folder is created so that ``DataFrame.checkpoint()`` works.
+    read as is.  Only when it is unset in a local run (tests) a private scratch
+    folder is created so that ``DataFrame.checkpoint()`` works; on a cluster
+    executors could not share it, so that is an error.
     """
     sc = spark.sparkContext
     d = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="lexitrend-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)

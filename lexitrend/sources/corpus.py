@@ -44,16 +44,14 @@ PAPERS_CSV_SCHEMA = T.StructType([
 ])
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, min_partitions: int | None = None) -> DataFrame:
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, spread: bool = False) -> DataFrame:
     """A1/A2: JSON-lines scan, malformed lines kept in ``_corrupt`` (PERMISSIVE).
 
-    gzip files are not splittable (one task per file); ``min_partitions``
-    spreads the parsed rows before the heavy work."""
+    gzip files are not splittable (one task per file); ``spread`` deals the parsed rows out anew
+    before the heavy work, in partitions whose size adaptive execution sets from the data."""
     df = (spark.read.schema(schema).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", CORRUPT).json(path))
-    if min_partitions:
-        df = df.repartition(min_partitions)
-    return df
+    return df.hint("rebalance") if spread else df
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -62,11 +60,28 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), df.where(F.col(CORRUPT).isNotNull())
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, columns: list[str] | None = None) -> DataFrame:
-    """A3: header CSV with quoted multi-line fields; ``columns`` prunes the read."""
-    df = (spark.read.schema(schema).option("header", True).option("multiLine", True)
+def read_csv(spark: SparkSession, path: str, columns: list[str], optional: tuple[str, ...] = (),
+             multi_line: bool = False) -> DataFrame:
+    """A3: columns of header CSV files, as strings, found by name (trimmed, without a byte order mark).
+
+    Files may order their columns as they like, but all files of a path alike: a header that differs
+    from the first one fails the read.  An absent column is an error, or null if ``optional``.
+    ``multi_line`` (quoted line breaks) makes each file one task: only for texts that need it."""
+    df = (spark.read.option("header", True).option("enforceSchema", False).option("multiLine", multi_line)
           .option("escape", '"').csv(path))
-    return df.select(*columns) if columns else df
+    names = {c.lstrip("\ufeff").strip().strip('"').lower(): c for c in df.columns}
+    absent = [c for c in columns if c.lower() not in names and c not in optional]
+    if absent:
+        raise ValueError(f"{path}: no column {', '.join(absent)} in {df.columns}")
+    return df.select(*[F.col(f"`{names[c.lower()]}`").alias(c) if c.lower() in names
+                       else F.lit(None).cast("string").alias(c) for c in columns])
+
+
+def read_papers_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """Clean papers of six or seven CSV columns in any order; without ``all_categories`` the primary
+    category stands in for it."""
+    df = read_csv(spark, path, PAPERS_CSV_SCHEMA.names, ("authors", "primary_category", "all_categories"), multi_line)
+    return df.withColumn("all_categories", F.coalesce("all_categories", "primary_category"))
 
 
 def read_topic_folder(spark: SparkSession, path: str, suffix: str = "_quarterly_counts") -> DataFrame:
@@ -80,19 +95,20 @@ def read_topic_folder(spark: SparkSession, path: str, suffix: str = "_quarterly_
     from ..functions.text import slug_to_title
     files = (spark.read.option("recursiveFileLookup", True)
              .option("pathGlobFilter", "*.csv").text(path, wholetext=True)
-             .select(F.split(F.regexp_replace("value", "\r", ""), "\n").alias("lines"),
+             .select(F.split(F.regexp_replace("value", "\r|^\ufeff", ""), "\n").alias("lines"),
                      F.col("_metadata.file_path").alias("_path")))
     unq = lambda c: F.trim(F.regexp_replace(c, '^\\s*"|"\\s*$', ""))
-    header = F.transform(F.split(F.get("lines", 0), ","), lambda h: F.lower(unq(h)))
+    outside = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'  # commas outside quotes
+    header = F.transform(F.split(F.get("lines", 0), outside), lambda h: F.lower(unq(h)))
     files = files.select("lines", "_path",
                          F.array_position(header, "period").cast("int").alias("ip"),
                          F.array_position(header, "count").cast("int").alias("ic"))
     files = files.where((F.col("ip") > 0) & (F.col("ic") > 0))
     rows = files.select("_path", "ip", "ic", F.explode(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).alias("line"))
-    fields = F.split("line", ",")
+    fields = F.split("line", outside)
     rows = rows.where(F.trim("line") != "").select(
         "_path", unq(F.try_element_at(fields, F.col("ip"))).alias("period"),
-        unq(F.try_element_at(fields, F.col("ic"))).try_cast("bigint").alias("count"))
+        F.round(unq(F.try_element_at(fields, F.col("ic"))).try_cast("double")).cast("bigint").alias("count"))
     # topic from a 'topic=<stem>/' folder (Spark's partitioned writer) or
     # from the file name itself ('<stem>.csv')
     stem = F.coalesce(F.nullif(F.regexp_extract("_path", r"topic=([^/]+)/", 1), F.lit("")),

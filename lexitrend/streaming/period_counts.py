@@ -13,11 +13,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from .ingest import FOREVER
+
 
 def run_window_counts(spark: SparkSession, landing: str, schema: StructType, ts_col: str, key: str,
                       value: str, changelog: str, checkpoint: str, window: str = "1 day",
-                      watermark: str = "1 day", max_files_per_trigger: int | None = 1) -> None:
-    reader = spark.readStream.schema(schema).format("parquet")
+                      watermark: str = "1 day", max_files_per_trigger: int | None = None) -> int:
+    """Process every new file and stop; returns the rows that came later than the watermark allows
+    (they are not counted, so a caller should look at this number)."""
+    reader = spark.readStream.schema(schema).format("parquet").option("maxFileAge", FOREVER)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     src = reader.load(landing)
@@ -35,6 +39,7 @@ def run_window_counts(spark: SparkSession, landing: str, schema: StructType, ts_
     q = (agg.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
+    return sum(op.numRowsDroppedByWatermark for p in q.recentProgress for op in p.stateOperators)
 
 
 def current_counts(spark: SparkSession, changelog: str, key: str) -> DataFrame:

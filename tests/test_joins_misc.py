@@ -18,8 +18,8 @@ def _plan(df):
 def test_join_small_broadcasts_under_bound_and_falls_back(spark):
     big = spark.range(1000).select((F.col("id") % 7).alias("k"), "id")
     small = spark.createDataFrame([(i, f"v{i}") for i in range(7)], "k long, v string")
-    under = J.join_small(big, small, "k", max_rows=100)
-    over = J.join_small(big, small, "k", max_rows=3)
+    under = J.join_small(big, small, "k", max_bytes=1 << 20)
+    over = J.join_small(big, small, "k", max_bytes=3)
     assert under.count() == over.count() == 1000
     assert "BroadcastHashJoin" in _plan(under)
     assert sorted(map(tuple, under.select("id", "v").collect())) == sorted(map(tuple, over.select("id", "v").collect()))
