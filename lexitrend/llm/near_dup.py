@@ -303,7 +303,9 @@ def classes_of(rows: DataFrame) -> DataFrame:
 def shared_keys(classes: DataFrame) -> DataFrame:
     """(key, c, n, p1, p2) of all keys that several classes share: their number, the most frequent
     of them and the first in one order."""
-    keys = classes.select("c", "copies", F.explode(table_keys()).alias("key"))
+    # a class becomes HALF * HALF rows: dealt out first, so that no task counts too many keys
+    dealt = classes.repartition(int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions")), "c")
+    keys = dealt.select("c", "copies", F.explode(table_keys()).alias("key"))
     order = F.xxhash64("c")  # one order for all keys: a class meets the same few others again and again
     first = F.col("copies") + F.pmod(order, F.lit(1 << 20)) / float(1 << 20)
     shared = keys.groupBy("key").agg(F.count("*").alias("n"), F.max_by("c", first).alias("p1"),
