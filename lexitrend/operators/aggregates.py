@@ -14,17 +14,16 @@ from .joins import join_small
 def monthly_counts(df: DataFrame, date_col: str = "published_date") -> DataFrame:
     """Records per calendar month, zero-filled between the first and last month.
 
-    The count is a partial+final aggregate; the calendar is generated from a
-    one-row min/max aggregate (at most 12 rows per year) and left-joined.
+    One scan: the monthly counts, at most 12 a year, become one row with their range and a map,
+    and the calendar is generated from that row.
     """
     m = (df.where(F.col(date_col).isNotNull())
          .groupBy(month_start(date_col).alias("month")).agg(F.count(F.lit(1)).alias("count")))
-    cal = (m.agg(F.min("month").alias("lo"), F.max("month").alias("hi"))
-           .where(F.col("lo").isNotNull())
-           .select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("month")))
-    return (cal.join(m, "month", "left")
-            .select("month", month_label("month").alias("date"),
-                    F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count")))
+    one = m.agg(F.min("month").alias("lo"), F.max("month").alias("hi"),
+                F.map_from_entries(F.collect_list(F.struct("month", "count"))).alias("counts")).where(F.col("lo").isNotNull())
+    cal = one.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MONTH"))).alias("month"), "counts")
+    return cal.select("month", month_label("month").alias("date"),
+                      F.coalesce(F.try_element_at("counts", F.col("month")), F.lit(0)).cast("bigint").alias("count"))
 
 
 def seasonality(monthly: DataFrame) -> DataFrame:
