@@ -9,6 +9,7 @@ from ..functions import dates as DT
 from ..operators import aggregates as AG
 from ..operators import ranking as RK
 from ..operators import trends as T
+from ..sources.tables import table
 from . import standins as S
 from .registry import register
 
@@ -205,12 +206,26 @@ def a10_pending_periods(spark, sf):
     lo, hi = T.year_bounds(o.select(F.year("published_date").alias("year")))
     cal = AG.month_calendar(lo, hi, spark)
     asof = o.agg(F.max(DT.month_start("published_date")).alias("m")).first()["m"]
-    from ..sources.tables import table
     done = (table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
             .select(DT.month_start("o_orderdate").alias("month")).distinct())
     return AG.pending_periods(cal, F.lit(asof), done)
 
 
+@register("a10_after_marker", """WITH b AS (SELECT year(min(o_orderdate)) AS y0, year(max(o_orderdate)) AS y1 FROM orders),
+  cal AS (SELECT CAST(unnest(generate_series(make_date(y0, 1, 1), make_date(y1, 12, 1), INTERVAL 1 MONTH)) AS DATE) AS month FROM b),
+  mark AS (SELECT CAST(date_trunc('month', max(o_orderdate)) AS DATE) AS month FROM orders WHERE o_orderstatus = 'F')
+SELECT CAST(year(month) AS INTEGER) AS year, CAST(month(month) AS INTEGER) AS month_of_year, month,
+       strftime(month, '%Y%m%d') || '0000' AS start_date, strftime(last_day(month), '%Y%m%d') || '2359' AS end_date
+FROM cal WHERE month > (SELECT month FROM mark)""")
+def a10_after_marker(spark, sf):
+    """A10 marker rule: the months after the last completed one (the marker), to the calendar's end."""
+    _utc(spark)
+    o = table(spark, sf, "orders").select("o_orderdate", "o_orderstatus")
+    done = F.when(F.col("o_orderstatus") == "F", F.col("o_orderdate"))
+    b = o.agg(F.year(F.min("o_orderdate")), F.year(F.max("o_orderdate")), F.year(F.max(done)), F.month(F.max(done))).first()
+    return AG.after_marker(AG.month_calendar(b[0], b[1], spark), b[2], b[3])
+
+
 def _a11_sql(cap: int) -> str:
     return f"""
 SELECT o_orderkey AS id, strftime(o_orderdate, '%Y-%m') AS period, fetch_rank FROM (
@@ -242,7 +257,6 @@ def b13_parse_dates(spark, sf):
     """Tolerant parsing of RFC-2822, ISO and garbage date strings;
     invalid -> null -> dropped.  Inputs are rendered from orders."""
     _utc(spark)
-    from ..sources.tables import table
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
     rfc = o.select("o_orderkey", F.lit("rfc2822").alias("form"),
                    F.concat(F.date_format(F.col("o_orderdate").cast("timestamp"), "EEE, d MMM yyyy HH:mm:ss"), F.lit(" GMT")).alias("raw"))
@@ -262,7 +276,6 @@ FROM orders""")
 def b14_period_keys(spark, sf):
     """Year, month, 'YYYYQn', 'YYYY-MM', quarter start and 'YYYY.n' keys."""
     _utc(spark)
-    from ..sources.tables import table
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
     q = DT.quarter_label("o_orderdate")
     return o.select(F.col("o_orderkey").alias("id"), DT.year_of("o_orderdate").alias("year"),

@@ -399,6 +399,35 @@ def d16_distinct_categories(spark, sf):
     return terms.select("category").distinct().orderBy("category")
 
 
+@register("d16_distinct_terms", S.with_ctes(S.TERM_YEAR_SQL) + "SELECT DISTINCT category, term FROM term_year")
+def d16_distinct_terms(spark, sf):
+    """The sorted distinct terms of each category."""
+    terms, _ = _base(spark, sf, domains=False)
+    return terms.select("category", "term").distinct().orderBy("category", "term")
+
+
+@register("d16_distinct_topics", S.with_ctes(S.TOPIC_PERIOD_SQL) + "SELECT DISTINCT topic FROM topic_period")
+def d16_distinct_topics(spark, sf):
+    """The sorted distinct topic labels of the quarterly series."""
+    return S.topic_period(spark, sf).select("topic").distinct().orderBy("topic")
+
+
+@register("h2_growth_realistic", GROWTH_SQL.replace("FROM term_year)", "FROM realistic)").replace(
+    "LEFT JOIN term_year t", "LEFT JOIN realistic t").replace("years AS (", """realistic AS (
+  SELECT t.* FROM term_year t ANTI JOIN (SELECT category, term FROM term_year GROUP BY category, term HAVING max(count) > 30) b
+  ON t.category = b.category AND t.term = b.term), years AS (""", 1) + """
+SELECT category, term, round(cagr, 6) AS cagr, round(growth_percent, 6) AS growth_percent, volume FROM growth""")
+def h2_growth_realistic(spark, sf):
+    """B20 before H2, in this chart's own year range: growth of the terms that no year's count
+    disqualifies (here: above 30, so that the rule binds on the supplied tables)."""
+    terms, _ = _base(spark, sf, domains=False)
+    terms = R.drop_unrealistic_long(terms, ["category", "term"], 30).checkpoint(eager=True)
+    years = T.year_list(terms, between=K.YEAR_COLUMN_RANGE)
+    hi, lo = max(years), min(years)
+    g = T.growth(T.dense_term_years(terms, years), hi - 10 if hi - 10 >= lo else lo, hi)
+    return g.select("category", "term", r6("cagr").alias("cagr"), r6("growth_percent").alias("growth_percent"), "volume")
+
+
 def _b20_sql(cap: int) -> str:
     return S.with_ctes(S.TERM_YEAR_SQL, f"""bad AS (
   SELECT category, term FROM term_year GROUP BY category, term HAVING max(count) > {cap})""") + """
