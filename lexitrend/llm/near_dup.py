@@ -120,22 +120,23 @@ def signature(s: np.ndarray) -> np.ndarray:
     return (low >> _S32).astype(np.uint32).view(np.int32)
 
 
-def sketches(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key, n_shingles, f1, f2 (fingerprint of the set), sig: one row per row."""
+def sketches(docs: DataFrame) -> DataFrame:
+    """doc_id, t (a hash of the text), n_shingles, f1, f2 (fingerprint of the set), sig: one row per row."""
     ready(docs.sparkSession)
 
     def run(batches):
         for b in batches:
-            sets = shingle_sets(texts(b.column(1)))
+            sets = shingle_sets(texts(b.column(2)))
             prints = [np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), dtype=np.int64) for s in sets]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                [b.column(0), b.column(1), pa.array([len(s) for s in sets], pa.int64()),
                  pa.array([int(p[0]) for p in prints], pa.int64()), pa.array([int(p[1]) for p in prints], pa.int64()),
                  pa.array([signature(s).tolist() if len(s) else [] for s in sets], pa.list_(pa.int32()))],
-                ["key", "n_shingles", "f1", "f2", "sig"])
+                ["doc_id", "t", "n_shingles", "f1", "f2", "sig"])
 
-    out = schema(("key", docs.schema[key].dataType), "n_shingles long, f1 long, f2 long, sig array<int>")
-    return docs.select(F.col(key), F.col(text).cast("string")).mapInArrow(run, out)
+    out = schema(("doc_id", docs.schema["doc_id"].dataType), "t long, n_shingles long, f1 long, f2 long, sig array<int>")
+    body = F.col("text").cast("string")
+    return docs.select("doc_id", F.xxhash64(body).alias("t"), body).mapInArrow(run, out)
 
 
 def table_keys() -> F.Column:
@@ -159,9 +160,11 @@ def alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def class_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(c, set) of the classes in ``wanted`` (c, doc_id, f1, f2), from the text of each one's document."""
-    one = wanted.select("c", F.col("doc_id").alias("k"), "f1", "f2")
-    rows = docs.select(F.col("doc_id").alias("k"), F.col("text").cast("string").alias("text")).join(one, "k")
+    """(c, set) of the classes in ``wanted``, from the text of the row that each one names."""
+    one = wanted.select("c", F.col("doc_id").alias("i"), F.col("t").alias("h"), "f1", "f2")
+    body = F.col("text").cast("string")
+    rows = docs.select("doc_id", F.xxhash64(body).alias("t"), body.alias("text")).join(
+        one, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("t") == F.col("h")))
 
     def run(batches):
         for b in batches:
@@ -294,10 +297,13 @@ def prefix_pairs(many: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def classes_of(rows: DataFrame) -> DataFrame:
-    """One row per set: c (a hash of the fingerprint), doc_id (the smallest; null if none), copies, sig."""
+    """One row per set: c (a hash of the fingerprint), doc_id (the smallest; null if none) and text hash
+    of a row that has it, copies, sig."""
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "t")).alias("at")
     full = rows.where("n_shingles > 0").groupBy("n_shingles", "f1", "f2").agg(
-        F.min("key").alias("doc_id"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
-    return full.withColumn("c", F.xxhash64("f1", "f2", "n_shingles"))
+        least, F.count("*").alias("copies"), F.first("sig").alias("sig"))
+    return full.select(F.xxhash64("f1", "f2", "n_shingles").alias("c"), "n_shingles", "f1", "f2", "at.doc_id", "at.t",
+                       "copies", "sig")
 
 
 def shared_keys(classes: DataFrame) -> DataFrame:
@@ -317,9 +323,7 @@ def verdicts(docs: DataFrame) -> DataFrame:
     """doc_id, t (a hash of the text), n_shingles, component_id, kept: one row per document row."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    rows = sketches(docs.select(F.struct("doc_id", F.xxhash64("text").alias("t")).alias("k"), "text"), "k")
-    rows = written(spark, rows.select("key.doc_id", "key.t", *rows.columns[1:]).withColumnRenamed("doc_id", "key"),
-                   "near-dup-rows")
+    rows = written(spark, sketches(docs), "near-dup-rows")
     classes = written(spark, classes_of(rows), "near-dup-classes")
     met = written(spark, shared_keys(classes), "near-dup-keys")
     stars = met.select("c", F.explode(F.array("p1", "p2")).alias("p")).where("c <> p")
@@ -338,9 +342,9 @@ def verdicts(docs: DataFrame) -> DataFrame:
     named = classes.join(roots_of(classes, components(links)), "c")
     named = named.join(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root")
     named = named.select("n_shingles", "f1", "f2", "component_id")
-    out = rows.select("key", "t", "n_shingles", "f1", "f2").join(named, ["n_shingles", "f1", "f2"], "left")
-    own = F.when(F.col("n_shingles") == 0, F.col("key")).otherwise(F.col("component_id"))
-    out = out.select(F.col("key").alias("doc_id"), "t", "n_shingles", own.alias("component_id"))
+    out = rows.select("doc_id", "t", "n_shingles", "f1", "f2").join(named, ["n_shingles", "f1", "f2"], "left")
+    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    out = out.select("doc_id", "t", "n_shingles", own.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 

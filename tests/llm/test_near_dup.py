@@ -53,7 +53,7 @@ def corpus():
     rows = [(1000 - k, t) for k, (_, t) in enumerate(rows)]
     a = words(60, 90)
     rows += [(1, None), (2, ""), (3, " \n"), (4, "one two"), (5, "ONE\ttwo"), (6, "one two three"), (7, "one two"),
-             (8, " ".join(a)), (8, " ".join(a)), (9, "\x0b".join(a).upper()), (None, " ".join(a)), (None, "alone here"),
+             (8, " ".join(a)), (8, " ".join(a)), (9, "\x0b".join(a).upper()), (None, " ".join(a)), (None, "alone here"), (None, " ".join(edited(a, 1, r))),
              (None, None), (10, "é É " * 4), (11, "É é " * 4), (12, " ".join(words(30_000, 91))), (12, "other text of the same id")]
     return rows
 
