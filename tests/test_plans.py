@@ -19,7 +19,9 @@ def test_top_k_is_a_partial_group_limit(spark):
 
 
 def test_domain_totals_join_is_broadcast(spark):
-    p = plan(E.queries()["h1_norm_freq"](spark, SF_SMALL))
+    from lexitrend.operators import trends as T
+    from lexitrend.plans import standins as S
+    p = plan(T.normalized_long(S.term_year(spark, SF_SMALL), S.domain_year(spark, SF_SMALL)))
     assert "BroadcastHashJoin" in p
     # no shuffle keyed by (category, year) alone
     assert not re.search(r"hashpartitioning\(category#\d+L?, year#\d+L?, \d+\)", p)
