@@ -43,6 +43,8 @@ N_HASHES = 2 * HALF * WIDE
 LEAST_EQUAL = 17
 #: Keys with at most so many classes are resolved by all pairs across components.
 SMALL = 24
+#: Bytes of text whose words are hashed together.
+TOGETHER = 2 << 20
 _RNG = np.random.default_rng(20240501)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MULT = _RNG.integers(1, 1 << 63, N_HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -61,9 +63,18 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def shingle_sets(batch: list[bytes]) -> list[np.ndarray]:
-    """The sorted distinct 64-bit shingle hashes of each text.
+    """The sorted distinct 64-bit shingle hashes of each text, a few MB of text at a time."""
+    out, at, size = [], 0, 0
+    for k, b in enumerate(batch):
+        size += len(b)
+        if size >= TOGETHER or k == len(batch) - 1:
+            out += _shingle_sets(batch[at:k + 1])
+            at, size = k + 1, 0
+    return out
+
 
-    Word hashes are differences of a running polynomial over all bytes of the batch; they do not
+def _shingle_sets(batch: list[bytes]) -> list[np.ndarray]:
+    """Word hashes are differences of a running polynomial over all bytes of the batch; they do not
     depend on where a word stands, nor on the batch."""
     text = b"\n".join(batch).lower()
     sizes = np.array([len(b) + 1 for b in batch], dtype=np.int64)
