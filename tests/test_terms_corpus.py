@@ -62,7 +62,8 @@ def test_authors_and_categories(spark):
     w = spark.createDataFrame([(None, [{"display_name": "C1"}]), ({"display_name": "T"}, []), (None, []),
                                ({"display_name": None}, [])],
                               "pt struct<display_name:string>, cs array<struct<display_name:string>>")
-    assert [x[0] for x in w.select(RC.work_category("pt", "cs")).collect()] == ["C1", "T", "", None]
+    # the last one is what an empty topic object parses to: it counts as no topic
+    assert [x[0] for x in w.select(RC.work_category("pt", "cs")).collect()] == ["C1", "T", "", ""]
 
 
 def test_snapshot_edge_rows(spark):
