@@ -1,14 +1,18 @@
 """License scans: a trained paragraph classifier over sparse word n-grams, native throughout.
 
-Paragraphs (lines) that hold a word of the license vocabulary are scored by a multinomial
+Paragraphs that hold a word of the license vocabulary are scored by a multinomial
 logistic regression over one- and two-word features; class probabilities are tempered on
 held-back rows, and below the calibrated cut a paragraph is of the unknown class.  A
 predicted family counts only if one of its templates is found in the paragraph (share of the
-template's n-grams).  Fitting and scoring use DataFrame, SQL and Spark ML functions only: no
+template's n-grams).  A paragraph is a line or, for wrapped notices, a run of neighbouring lines
+without a line free of words between them: the shortest run from a candidate line on (or from
+the lines without license words before it) that confirms a family, and the lines after it for as
+long as they add to a template.  The other lines of such a run give no rows of their own.  Fitting and scoring use DataFrame, SQL and Spark ML functions only: no
 Python runs on executors, and scoring is one pass over the texts without a shuffle.
 
 The model is fitted on a bounded sample: every template with words left out by a rule, and
-corpus paragraphs without license words as the unknown class.
+corpus lines, license-like ones among them unless a template stands around them, as the
+unknown class.
 
 Defined results: null or empty texts give no rows; a text without line breaks is one
 paragraph, however long; repeated rows give repeated results; extra columns are not read;
@@ -29,6 +33,8 @@ from pyspark.sql import functions as F
 
 #: Corpus documents and paragraphs that stand for the unknown class in training, at most.
 SAMPLE_DOCS, SAMPLE_PARAGRAPHS = 400, 1500
+#: License-like lines (two or more words of the vocabulary) that join them, at most.
+SAMPLE_ALIKE = 500
 #: Copies of each template with words left out, and the share of words that stay (percent).
 COPIES, STAY = 40, 85
 #: Share of the held-back unknown paragraphs that must stay below the cut.
@@ -97,11 +103,57 @@ def gate_words() -> Column:
     return F.array(*[F.lit(w) for w in GATE])
 
 
-def paragraphs(docs: DataFrame) -> DataFrame:
-    """(doc_id, paragraph, words) of the paragraphs that hold a license word."""
-    lines = docs.select("doc_id", F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("paragraph", "line"))
-    return (lines.withColumn("words", words_of(F.col("line"))).where(F.arrays_overlap("words", gate_words()))
-            .select("doc_id", "paragraph", "words"))
+#: Words that the lines of a run but its last may hold, so that any wrapped template fits whatever the width.
+SPAN = 2 * max(len(_words(t)) for _, t in TEMPLATES)
+
+
+def _grams(text: str) -> list[str]:
+    w = _words(text)
+    return sorted({*w, *map(" ".join, zip(w, w[1:]))})
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)``, the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def gated(words: Column) -> Column:
+    return F.arrays_overlap(words, gate_words())
+
+
+def lines_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, lines) of the documents with a license word; lines: the words of every line."""
+    lines = F.transform(F.split(F.col("text").cast("string"), "\n"), words_of)
+    return docs.select("doc_id", lines.alias("lines")).where(F.exists("lines", gated))
+
+
+def _run(near: Column, stops) -> Column:
+    """The first of the lines ``near``, up to one that ``stops``, or until SPAN words are passed."""
+    stop = F.array_position(F.transform(near, stops), True)
+    whole = F.when(stop > 0, F.slice(near, F.lit(1), (stop - 1).cast("int"))).otherwise(near)
+    return let(whole, lambda run: F.filter(run, lambda _, k: n_words(F.slice(run, F.lit(1), k)) < SPAN))
+
+
+def n_words(lines: Column) -> Column:
+    return F.aggregate(lines, F.lit(0), lambda n, w: n + F.size(w))
+
+
+def ahead(lines: Column, i: Column) -> Column:
+    """Line i and those after it that a run may hold."""
+    return _run(F.slice(lines, i + 1, F.lit(SPAN + 1)), lambda w: F.size(w) == 0)
+
+
+def behind(lines: Column, i: Column) -> Column:
+    """The lines before line i without license words."""
+    first = F.greatest(i - SPAN, F.lit(0))
+    near = F.reverse(F.slice(lines, first + 1, i - first))
+    return F.reverse(_run(near, lambda w: (F.size(w) == 0) | gated(w)))
+
+
+def similarity(grams: Column, families: list[str] | None = None) -> Column:
+    """Largest share of a template's n-grams (of a known family) that ``grams`` hold."""
+    known = [F.array(*[F.lit(g) for g in _grams(t)]) for f, t in TEMPLATES if f in (families or FAMILIES[1:])]
+    return F.greatest(F.lit(0.0), *[F.size(F.array_intersect(grams, t)) / F.size(t) for t in known])
 
 
 @dataclass
@@ -133,12 +185,22 @@ def training_rows(docs: DataFrame) -> DataFrame:
     known = copies.select("label", stays.alias("words"), (F.col("k") % 4 == 3).alias("held"))
     ids = (docs.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS))
-    lines = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(
-        F.explode(F.split(F.col("text").cast("string"), "\n")).alias("line")).distinct()
+    picked = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    lines = picked.select(F.explode(F.split(F.col("text").cast("string"), "\n")).alias("line")).distinct()
     plain = (lines.withColumn("words", words_of(F.col("line"))).where(F.size("words") > 0)
              .where(F.size(F.array_intersect("words", gate_words())) < 2)
              .orderBy(F.xxhash64("line"), "line").limit(SAMPLE_PARAGRAPHS))
-    prose = plain.select(F.lit(0).alias("label"), "words", (F.pmod(F.xxhash64("line", F.lit(1)), F.lit(4)) == 3).alias("held"))
+    at = F.filter(F.sequence(F.lit(0), F.size("lines") - 1),
+                  lambda i: F.size(F.array_intersect(F.element_at("lines", i + 1), gate_words())) > 1)
+    # what stands around a line, to the last word free of a blank line: a part of a wrapped notice is not unknown
+    back = lambda i: F.reverse(_run(F.reverse(F.slice("lines", F.greatest(i - SPAN, F.lit(0)) + 1, F.least(i, F.lit(SPAN)))),
+                                    lambda w: F.size(w) == 0))
+    near = F.transform(at, lambda i: F.struct(F.element_at("lines", i + 1).alias("words"), F.flatten(
+        F.concat(back(i), ahead(F.col("lines"), i))).alias("around")))
+    alike = (lines_of(picked).select(F.inline(near)).where(similarity(grams_of(F.col("around"))) < CONFIRM)
+             .select(F.concat_ws(" ", "words").alias("line"), "words").distinct()
+             .orderBy(F.xxhash64("line"), "line").limit(SAMPLE_ALIKE))
+    prose = plain.unionByName(alike).select(F.lit(0).alias("label"), "words", (F.pmod(F.xxhash64("line", F.lit(1)), F.lit(4)) == 3).alias("held"))
     return known.unionByName(prose).select(F.col("label").cast("double"), grams_of(F.col("words")).alias("grams"), "held")
 
 
@@ -167,28 +229,109 @@ def fit(docs: DataFrame) -> Model:
     return model
 
 
+def verdict(words: Column, model: Model) -> Column:
+    """(family, probability, similarity, predicted) of a paragraph."""
+    def of(grams: Column) -> Column:
+        return let(model.logits(grams), lambda z: let(
+            F.transform(z, lambda x: F.exp((x - F.array_max(z)) / F.lit(model.temperature))), lambda e: chosen(grams, e)))
+
+    def chosen(grams: Column, e: Column) -> Column:
+        known = F.slice(e, 2, len(FAMILIES) - 1)
+        name = F.element_at(F.array(*[F.lit(f) for f in FAMILIES[1:]]), F.array_position(known, F.array_max(known)).cast("int"))
+        chance = F.array_max(known) / F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
+        return let(chance, lambda p: let(F.when(p >= model.cut, name).otherwise(F.lit(UNKNOWN)), lambda f: let(
+            alike(grams, f), lambda share: F.struct(
+                F.when(share >= CONFIRM, f).otherwise(F.lit(UNKNOWN)).alias("family"),
+                F.round(p, 6).alias("probability"), F.round(share, 6).alias("similarity"), f.alias("predicted")))))
+
+    return let(grams_of(words), of)
+
+
+def alike(grams: Column, family: Column) -> Column:
+    """``similarity`` to the templates of one family; 0 for the unknown one."""
+    out = F.lit(0.0)
+    for f in FAMILIES[1:]:
+        out = F.when(family == f, similarity(grams, [f])).otherwise(out)
+    return out
+
+
+def held(grams: Column, family: Column, every: Column) -> Column:
+    """Sum of the similarities to those templates of a family that ``every`` confirms."""
+    out = F.lit(0.0)
+    for f in FAMILIES[1:]:
+        parts = F.lit(0.0)
+        for t in (_grams(t) for g, t in TEMPLATES if g == f):
+            t = (F.array(*[F.lit(g) for g in t]), len(t))
+            share = lambda x, t=t: F.size(F.array_intersect(x, t[0])) / t[1]
+            parts += F.when(share(every) >= CONFIRM, share(grams)).otherwise(0.0)
+        out = F.when(family == f, parts).otherwise(out)
+    return out
+
+
 def scan(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, paragraph, family, probability, similarity, predicted: one row per candidate paragraph.
+    """doc_id, paragraph, family, probability, similarity, predicted: one row per candidate paragraph
+    (``paragraph`` is the number of its first line, from 0).
     ``family`` is the confirmed family, else ``unknown``; ``predicted`` is the classifier's own choice."""
-    rows = paragraphs(docs).select("doc_id", "paragraph", grams_of(F.col("words")).alias("grams"))
-    z = rows.withColumn("z", model.logits(F.col("grams")))
-    e = F.transform("z", lambda x: F.exp((x - F.array_max("z")) / F.lit(model.temperature)))
-    z = z.withColumn("e", e)
-    known = F.slice("e", 2, len(FAMILIES) - 1)
-    z = z.withColumn("probability", F.array_max(known) / F.aggregate("e", F.lit(0.0), lambda a, x: a + x))
-    name = F.element_at(F.array(*[F.lit(f) for f in FAMILIES[1:]]), F.array_position(known, F.array_max(known)).cast("int"))
-    z = z.withColumn("predicted", F.when(F.col("probability") >= model.cut, name).otherwise(F.lit(UNKNOWN)))
-    grams = {}
-    for f, t in TEMPLATES:
-        w = _words(t)
-        grams.setdefault(f, []).append(sorted({*w, *map(" ".join, zip(w, w[1:]))}))
-    table = F.from_json(F.lit(json.dumps({f: grams[f] for f in FAMILIES[1:]})), "map<string,array<array<string>>>")
-    alike = F.array_max(F.transform(F.element_at(table, F.col("predicted")),
-                                    lambda t: F.size(F.array_intersect(F.col("grams"), t)) / F.size(t)))
-    z = z.withColumn("similarity", F.coalesce(alike, F.lit(0.0)))
-    return z.select("doc_id", "paragraph", F.when(F.col("similarity") >= CONFIRM, F.col("predicted"))
-                    .otherwise(F.lit(UNKNOWN)).alias("family"), F.round("probability", 6).alias("probability"),
-                    F.round("similarity", 6).alias("similarity"), "predicted")
+    lines = F.col("lines")
+    whole = lambda run, s: F.flatten(F.slice(run, F.lit(1), s))
+
+    def runs(i: Column) -> Column:
+        """(first, line, last, verdict) of line i alone and, where a template may be wrapped, of the runs from it on."""
+        alone = F.struct(i.alias("first"), i.alias("line"), i.alias("last"), verdict(F.element_at(lines, i + 1), model).alias("v"))
+
+        def longer(before: Column, after: Column) -> Column:
+            return F.filter(F.transform(F.sequence(F.lit(1), F.size(after)), lambda s: F.struct(
+                (i - F.size(before)).alias("first"), i.alias("line"), (i + s - 1).alias("last"),
+                verdict(F.concat(F.flatten(before), whole(after, s)), model).alias("v"))),
+                lambda r: r["v"]["family"] != UNKNOWN)
+
+        def tried(before: Column, after: Column) -> Column:
+            # a longer run never holds less of a template: most lines need no more than this look
+            hopeless = similarity(grams_of(F.concat(F.flatten(before), F.flatten(after)))) < CONFIRM
+            none = F.slice(before, 1, 0)
+            return F.when(hopeless, F.array(alone)).otherwise(let(longer(none, after), lambda found: F.when(
+                F.size(found) > 0, found).otherwise(F.concat(longer(before, after), F.array(alone)))))
+
+        return let(behind(lines, i), lambda before: let(ahead(lines, i), lambda after: let(
+            tried(before, after)[0], lambda r: grown(r, after))))
+
+    def grown(r: Column, after: Column) -> Column:
+        """A confirmed run with the lines after it that add to a template of its family; of another family only if
+        its template is found better with the lines so far than without them."""
+        before = F.slice(lines, r["first"] + 1, r["line"] - r["first"])
+        text = lambda k: F.concat(F.flatten(before), whole(after, k))
+        every = grams_of(text(F.size(after)))
+        adds = lambda f, k: held(grams_of(text(k)), f, every) > held(grams_of(text(k - 1)), f, every)
+
+        def step(now: Column, k: Column) -> Column:
+            at = now["last"] - r["line"] + 1
+            rest = lambda f: alike(grams_of(F.flatten(F.slice(after, at + 1, k - at))), f)
+            turns = lambda v: (v["family"] != UNKNOWN) & (v["family"] != now["v"]["family"]) & (
+                v["similarity"] > now["v"]["similarity"]) & (v["similarity"] > F.round(rest(v["family"]), 6))
+            more = lambda v: F.when(turns(v), run_of(r["line"] + k - 1, v)).when(
+                adds(now["v"]["family"], k), run_of(r["line"] + k - 1, F.when(
+                    (v["family"] == now["v"]["family"]) & (v["similarity"] >= now["v"]["similarity"]), v).otherwise(now["v"]))
+            ).otherwise(now)
+            return F.when(at == k - 1, let(verdict(text(k), model), more)).otherwise(now)
+
+        def run_of(last: Column, v: Column) -> Column:
+            return F.struct(r["first"].alias("first"), r["line"].alias("line"), last.alias("last"), v.alias("v"))
+
+        later = F.filter(F.sequence(F.lit(1), F.size(after)), lambda k: k > r["last"] - r["line"] + 1)
+        return F.when(r["v"]["family"] == UNKNOWN, r).otherwise(F.aggregate(later, r, step))
+
+    starts = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: gated(F.element_at(lines, i + 1)))
+
+    def first_of_each(every: Column) -> Column:
+        """Confirmed runs that don't start inside one of their family, and lines that no confirmed run holds."""
+        sure = F.filter(every, lambda r: r["v"]["family"] != UNKNOWN)
+        return let(sure, lambda sure: F.filter(every, lambda r: ~F.exists(sure, lambda o: (
+            (o["first"] <= r["line"]) & (r["line"] <= o["last"]) & (o["line"] != r["line"])
+            & ((r["v"]["family"] == UNKNOWN) | ((r["v"]["family"] == o["v"]["family"]) & (o["line"] < r["line"])))))))
+
+    found = let(F.transform(starts, runs), first_of_each)
+    rows = lines_of(docs).select("doc_id", F.explode(found).alias("r"))
+    return rows.select("doc_id", F.col("r.first").alias("paragraph"), "r.v.*")
 
 
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:

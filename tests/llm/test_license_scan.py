@@ -26,3 +26,27 @@ def test_no_python_on_executors(docs):
     df = docs([(1, "Released under the MIT License.")])
     plan = L.scan(df, L.fit(df))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+def test_wrapped_notices_are_found(docs):
+    import textwrap
+    known = [(f, t) for f, t in L.TEMPLATES if f != L.UNKNOWN]
+    rows, want = [], {}
+    for width in (24, 72, 80):
+        for mark in ("", " * ", "# "):
+            for f, t in known:
+                k = len(rows)
+                body = [mark + x for x in textwrap.wrap(t, width)]
+                rows.append((k, "\n".join([*textwrap.wrap(" ".join(words(40, k)), width), "", *body, mark.rstrip(), *words(3, k)])))
+                want[k] = f
+    alike = "the software version notes a licensed copyright of each publisher, reserved under commercial terms"
+    rows += [(1000 + k, f"{alike} {' '.join(words(4, k))}\nfree software and the terms that apply") for k in range(40)]
+    df = docs(rows)
+    model = L.fit(df)
+    got = {}
+    for r in L.scan(df, model).collect():
+        got.setdefault(r.doc_id, []).append(r.family)
+    assert {k: got.get(k) for k in want} == {k: [f] for k, f in want.items()}
+    assert all(f == L.UNKNOWN for k, fs in got.items() if k >= 1000 for f in fs)
+    held = L.training_rows(df).where("label = 0").select("grams").collect()
+    assert any("publisher reserved" in r.grams for r in held)
