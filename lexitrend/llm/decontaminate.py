@@ -3,23 +3,27 @@
 Items become postings (term, item, impact); impacts are divided by the item's own threshold,
 a share ``TAU`` of its score against itself, so that every item is retrieved at 1.  Items of
 one language and similar length share a block, and each term keeps its largest impact per block and overall.
-Every document is cut into passages of two strides (a stride is as long as the longest item,
-so each occurrence lies whole in one passage) and a batch of passages goes through the index
+Every document is cut into passages of two strides (a stride is at least as long as the
+items of its class, so each occurrence lies whole in one passage) and a batch of passages goes through the index
 together, as block-max WAND does one by one: the sum of the largest impacts drops passages
 that can reach no item, the sums of block maxima drop blocks, and only what is left is scored
 from the postings.  Both bounds never fall below the score, so everything above the threshold
 is retrieved.  A retrieved pair counts as a leak if enough word sequences of the question (all
 sentences but the last) and of the answer (the last sentence) stand in the passage.
 
-Words are lower-cased runs of letters, digits and non-ASCII characters.  Defined results: null
+Words are lower-cased runs of Unicode letters, digits and marks; in scripts without spaces every
+character is a word.  Defined results: null
 or empty texts and items never match; repeated rows and items are handled one by one (equal
 items once); extra columns are not read; an empty table on either side gives an empty result.
-Items are indexed in shards of bounded size, each with a pass over the documents.
+Items are indexed in shards of bounded size, each with a pass over the documents.  Document
+frequencies and the mean length are those of the whole benchmark, and a stride belongs to a class
+of lengths, so that the shards make no difference to the result.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -40,12 +44,32 @@ BLOCK_ITEMS = 4
 CELLS = 2_000_000
 #: Bounds of one shard of the index, which is sent to every task.
 SHARD_ITEMS, SHARD_BYTES = 4096, 4 << 20
-_KEEP = bytes(c if chr(c).isalnum() and c < 128 or c >= 128 else 32 for c in range(256))
-_LAST = re.compile(r"(?<=[.!?])\s+(?=\S)")
+_KEEP = bytes(c if chr(c).isalnum() and c < 128 else 32 for c in range(256))
+_LAST = re.compile(r"(?<=[.!?])\s+(?=\S)|(?<=[\u3002\uff01\uff1f])\s*(?=\S)")
+#: Scripts that write no spaces between words, by the first word of their characters' names.
+_NO_SPACES = {"CJK", "HIRAGANA", "KATAKANA", "HALFWIDTH", "THAI", "LAO", "KHMER", "MYANMAR", "TIBETAN"}
+
+
+class _Cut(dict):
+    """For str.translate: letters, digits and marks stay, or are words of their own in scripts without spaces."""
+
+    def __missing__(self, code: int) -> str:
+        c = chr(code)
+        new = " "
+        if unicodedata.category(c)[0] in "LNM":
+            new = f" {c} " if unicodedata.name(c, "").split(" ")[0] in _NO_SPACES else c
+        self[code] = new
+        return new
+
+
+_CUT = _Cut()
 
 
 def words_of(text: str | None) -> list[bytes]:
-    return (text or "").lower().encode("utf-8", "replace").translate(_KEEP).split()
+    low = (text or "").lower()
+    if low.isascii():
+        return low.encode().translate(_KEEP).split()
+    return low.translate(_CUT).encode("utf-8", "replace").split()
 
 
 def sequences(words: list[bytes], n: int) -> set[tuple[bytes, ...]]:
@@ -72,11 +96,33 @@ def item_of(item_id, text: str) -> Item:
     return Item(item_id, words, sequences(question, 4), sequences(answer, 3))
 
 
+@dataclass
+class Corpus:
+    """What scores take from the whole benchmark: document frequencies, number of items, mean length."""
+    df: dict[bytes, int]
+    n: int
+    mean: float
+
+    @classmethod
+    def of(cls, items: list[Item]) -> Corpus:
+        df: dict[bytes, int] = {}
+        for x in items:
+            for w in set(x.words):
+                df[w] = df.get(w, 0) + 1
+        return cls(df, len(items), sum(len(x.words) for x in items) / len(items) if items else 1.0)
+
+
+def stride_of(n: int) -> int:
+    """The stride of the items of n words: the next power of two, LEAST_STRIDE at least."""
+    return max(LEAST_STRIDE, 1 << (max(n, 1) - 1).bit_length())
+
+
 class Index:
-    """Inverted index of one shard of items."""
+    """Inverted index of items of one length class; ``corpus``: of the whole benchmark (else these items)."""
 
-    def __init__(self, items: list[Item]):
+    def __init__(self, items: list[Item], corpus: Corpus | None = None):
         items = [x for x in items if x.words]
+        corpus = corpus or Corpus.of(items)
         held: dict[bytes, int] = {}
         for x in items:
             for w in set(x.words):
@@ -84,10 +130,10 @@ class Index:
         # items that share their most common word, so a language, and then a length, share blocks
         items.sort(key=lambda x: (max((held[w], w) for w in x.words), len(x.words)))
         self.items = items
-        self.stride = max(LEAST_STRIDE, max((len(x.words) for x in items), default=0))
+        self.stride = stride_of(max((len(x.words) for x in items), default=0))
         self.terms: dict[bytes, int] = {}
         rows = []
-        mean = np.mean([len(x.words) for x in items]) if items else 1.0
+        mean = corpus.mean
         for i, x in enumerate(items):
             counts: dict[bytes, int] = {}
             for w in x.words:
@@ -101,7 +147,8 @@ class Index:
         part = np.array([r[2] for r in rows], dtype=np.float64)
         df = np.bincount(term, minlength=len(self.terms))
         self.posts = np.split(np.arange(len(rows)), np.cumsum(df)[:-1]) if len(rows) else []
-        part *= np.log1p((len(items) - df + 0.5) / (df + 0.5))[term] if len(rows) else part
+        every = np.array([corpus.df[w] for w in self.terms], dtype=np.float64)  # in the order of their numbers
+        part *= np.log1p((corpus.n - every + 0.5) / (every + 0.5))[term] if len(rows) else part
         own = np.bincount(self.item, part, len(items))  # a passage's terms count once
         self.impact = part / (TAU * own[self.item]) if len(rows) else part
         self.n_blocks = -(-len(items) // BLOCK_ITEMS)
@@ -159,20 +206,40 @@ class Index:
         return [(k, i, *v) for (k, i), v in sorted(best.items())]
 
 
-def index_shards(benchmark: DataFrame) -> list[Index]:
-    """Indexes over all items; each holds a bounded number of items and bytes."""
+class Shard:
+    """The indexes of one shard of items, one per length class."""
+
+    def __init__(self, items: list[Item], corpus: Corpus):
+        by: dict[int, list[Item]] = {}
+        for x in items:
+            by.setdefault(stride_of(len(x.words)), []).append(x)
+        self.indexes = [Index(by[s], corpus) for s in sorted(by)]
+        self.items = [x for index in self.indexes for x in index.items]
+
+    def leaks(self, texts: list[list[bytes]]) -> list[tuple[int, int, float, float, float]]:
+        """``Index.leaks`` of all indexes; items are numbered as in ``items``."""
+        out, before = [], 0
+        for index in self.indexes:
+            out += [(k, before + i, *rest) for k, i, *rest in index.leaks(texts)]
+            before += len(index.items)
+        return sorted(out)
+
+
+def index_shards(benchmark: DataFrame) -> list[Shard]:
+    """Indexes over all items; each shard holds a bounded number of items and bytes."""
     rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text is not null").distinct()
-    shards, now, size = [], [], 0
+    shards, size = [], 0
     for r in rows.orderBy("item_id", "text").toLocalIterator():
         x = item_of(r[0], r[1])
         if not x.words:
             continue
-        if now and (len(now) >= SHARD_ITEMS or size + len(r[1]) > SHARD_BYTES):
-            shards.append(Index(now))
-            now, size = [], 0
-        now.append(x)
+        if not shards or len(shards[-1]) >= SHARD_ITEMS or size + len(r[1]) > SHARD_BYTES:
+            shards.append([])
+            size = 0
+        shards[-1].append(x)
         size += len(r[1])
-    return [*shards, Index(now)] if now else shards
+    corpus = Corpus.of([x for items in shards for x in items])
+    return [Shard(items, corpus) for items in shards]
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -62,3 +62,34 @@ def test_shards_cover_all_items(spark, docs, monkeypatch):
     items = bench(spark, [(i, t, 0.0) for i, t in ITEMS])
     assert len(D.index_shards(items)) == 3
     assert D.find_leaks(docs([(i, t) for i, t in ITEMS]), items).count() == len(ITEMS)
+
+
+def test_shards_make_no_difference(spark, docs, monkeypatch):
+    long = (50, " ".join(text(900, 400)) + ". " + " ".join(text(9, 401)) + ".", 0.0)
+    items = [(i, t, 0.0) for i, t in ITEMS] + [long]
+    r = random.Random(6)
+    rows = [(k, " ".join([*text(200, 500 + k), *[w if r.random() > 0.12 else "other" for w in t.split()], *text(200, 600 + k)]))
+            for k, (_, t, _) in enumerate(items)]
+    spread = ITEMS[2][1].split()
+    # an item's sequences scattered over a span that only the long item needs are no leak of it
+    rows += [(90, " ".join(w for k in range(0, len(spread), 5) for w in [*spread[k:k + 5], *text(150, 700 + k)]))]
+    found = []
+    for n in (4096, 5, 1):
+        monkeypatch.setattr(D, "SHARD_ITEMS", n)
+        got = D.find_leaks(docs(rows), bench(spark, items)).collect()
+        found.append(sorted((x.doc_id, x.item_id, round(x.score, 9)) for x in got))
+        assert not any(x.doc_id == 90 for x in got)
+    assert found[0] == found[1] == found[2] and len(found[0]) >= 6
+
+
+def test_words_of_other_scripts_and_punctuation(spark, docs):
+    chinese = "光合作用是植物把阳光转化为化学能的过程其中叶绿素起着关键作用。它主要发生在叶绿体里面。"
+    latin = "which “long river” flows through the quiet northern valley—and past eleven old mills. it is the winding silver stream."
+    plain = "which long river flows through the quiet northern valley and past eleven old mills it is the winding silver stream"
+    others = [(k, t, 0.0) for k, t in ITEMS]
+    items = [(100, chinese, 0.0), (101, latin, 0.0), *others]
+    rows = [(1, "今天我们在课堂上学习了" + chinese.replace("。", "，") + "然后大家一起回家"), (2, " ".join(text(80, 1)) + " " + plain),
+            (3, "今天天气很好，我们一起去公园散步，然后回家吃饭。"), (4, " ".join(text(200, 2)))]
+    got = sorted((r.doc_id, r.item_id) for r in D.find_leaks(docs(rows), bench(spark, items)).collect())
+    assert got == [(1, 100), (2, 101)]
+    assert D.words_of("a—b “c” d、é") == [b"a", b"b", b"c", b"d", "é".encode()]
