@@ -331,7 +331,8 @@ def shared_keys(classes: DataFrame) -> DataFrame:
 
 
 def verdicts(docs: DataFrame) -> DataFrame:
-    """doc_id, t (a hash of the text), n_shingles, component_id, kept: one row per document row."""
+    """doc_id, t (a hash of the text), n_shingles, root (of the component; null for an empty set), component_id,
+    kept: one row per document row."""
     spark = docs.sparkSession
     docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     rows = written(spark, sketches(docs), "near-dup-rows")
@@ -352,26 +353,31 @@ def verdicts(docs: DataFrame) -> DataFrame:
     links = links.unionByName(verified(pairs, sets.unionByName(more)))
     named = classes.join(roots_of(classes, components(links)), "c")
     named = named.join(named.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root")
-    named = named.select("n_shingles", "f1", "f2", "component_id")
+    named = named.select("n_shingles", "f1", "f2", "root", "component_id")
     out = rows.select("doc_id", "t", "n_shingles", "f1", "f2").join(named, ["n_shingles", "f1", "f2"], "left")
     own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    out = out.select("doc_id", "t", "n_shingles", own.alias("component_id"))
+    out = out.select("doc_id", "t", "n_shingles", "root", own.alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row per document row."""
-    return verdicts(docs).drop("t")
+    return verdicts(docs).drop("t", "root")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that ``near_duplicates`` keeps; of rows equal in
-    doc_id and text one stays."""
-    kept = verdicts(docs).where("kept").groupBy("doc_id", "t").agg(F.count("*").alias("n"))
-    kept = written(docs.sparkSession, kept.withColumnRenamed("doc_id", "i"), "near-dup-kept")
+    """The rows of ``docs``, with all their columns, less near duplicates: of each component one row stays, that of
+    the smallest doc_id (nulls last), then of the smallest text hash; rows with an empty set are linked with nothing
+    and all stay."""
+    each = verdicts(docs).groupBy("doc_id", "t").agg(F.count("*").alias("n"), F.first("root").alias("root"))
+    each = written(docs.sparkSession, each, "near-dup-kept")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("i"), "t", "n")).alias("at")
+    kept = each.where("root is not null").groupBy("root").agg(least).select("at.i", "at.t", "at.n")
+    kept = written(docs.sparkSession, kept, "near-dup-kept")
+    empty = each.where("root is null").select(F.col("doc_id").alias("i"), "t", F.lit(1).cast("long").alias("n"))
     rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64(F.col("text").cast("string")).alias("h"), whole_row(docs))
     same = F.col("id").eqNullSafe(F.col("i")) & (F.col("h") == F.col("t"))
-    once = rows.join(kept.where("n = 1"), same, "left_semi")
+    once = rows.join(kept.where("n = 1").unionByName(empty), same, "left_semi")
     if kept.where("n > 1").limit(1).count():
         again = rows.join(kept.where("n > 1"), same, "left_semi").dropDuplicates(["id", "h"])
         once = once.unionByName(again)

@@ -100,3 +100,15 @@ def test_shingles_do_not_depend_on_the_batch():
     together = N.shingle_sets(batch)
     for b, s in zip(batch, together, strict=True):
         assert np.array_equal(N.shingle_sets([b])[0], s) and len(s) == len(shingles(b.decode()))
+
+
+def test_one_of_each_with_null_and_shared_ids(docs):
+    r = random.Random(4)
+    a, b = words(100, 60), words(100, 61)
+    nulls = [(None, " ".join(edited(a, 1, r))) for _ in range(5)]
+    shared = [(5, " ".join(edited(b, 1, r))) for _ in range(3)] + [(6, " ".join(b))]
+    empty = [(None, ""), (None, None), (None, ""), (7, " "), (7, " ")]
+    got = [(x.doc_id, x.text) for x in N.one_of_each(docs(nulls + shared + empty)).collect()]
+    assert sum(x in nulls for x in got) == 1 and sum(x in shared for x in got) == 1
+    assert [i for i, t in got if (i, t) in shared] == [5]
+    assert sorted(map(str, (x for x in got if not (x[1] or "").strip()))) == sorted(map(str, empty))
