@@ -91,16 +91,26 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)``, the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
 def grams_of(words: Column) -> Column:
     """Distinct one- and two-word features."""
-    after = F.slice(words, F.lit(2), F.greatest(F.size(words) - 1, F.lit(0)))
-    pairs = F.zip_with(words, after, lambda a, b: F.concat_ws(" ", a, b))
-    two = F.slice(pairs, F.lit(1), F.greatest(F.size(words) - 1, F.lit(0)))
-    return F.array_distinct(F.concat(words, two))
+    def of(w: Column) -> Column:
+        pairs = F.zip_with(w, F.slice(w, F.lit(2), F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: F.concat_ws(" ", a, b))
+        return F.array_distinct(F.concat(w, F.slice(pairs, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0)))))
+    return let(words, of)
+
+
+def fixed(words: list[str]) -> Column:
+    """An array of fixed strings, which Spark folds into one literal."""
+    return F.split(F.lit("\n".join(words)), "\n")
 
 
 def gate_words() -> Column:
-    return F.array(*[F.lit(w) for w in GATE])
+    return fixed(GATE)
 
 
 #: Words that the lines of a run but its last may hold, so that any wrapped template fits whatever the width.
@@ -112,11 +122,6 @@ def _grams(text: str) -> list[str]:
     return sorted({*w, *map(" ".join, zip(w, w[1:]))})
 
 
-def let(value: Column, use) -> Column:
-    """``use(value)``, the value computed once."""
-    return F.transform(F.array(value), use)[0]
-
-
 def gated(words: Column) -> Column:
     return F.arrays_overlap(words, gate_words())
 
@@ -152,8 +157,8 @@ def behind(lines: Column, i: Column) -> Column:
 
 def similarity(grams: Column, families: list[str] | None = None) -> Column:
     """Largest share of a template's n-grams (of a known family) that ``grams`` hold."""
-    known = [F.array(*[F.lit(g) for g in _grams(t)]) for f, t in TEMPLATES if f in (families or FAMILIES[1:])]
-    return F.greatest(F.lit(0.0), *[F.size(F.array_intersect(grams, t)) / F.size(t) for t in known])
+    known = [_grams(t) for f, t in TEMPLATES if f in (families or FAMILIES[1:])]
+    return let(grams, lambda g: F.greatest(F.lit(0.0), *[F.size(F.array_intersect(g, fixed(t))) / len(t) for t in known]))
 
 
 @dataclass
@@ -237,14 +242,15 @@ def verdict(words: Column, model: Model) -> Column:
 
     def chosen(grams: Column, e: Column) -> Column:
         known = F.slice(e, 2, len(FAMILIES) - 1)
-        name = F.element_at(F.array(*[F.lit(f) for f in FAMILIES[1:]]), F.array_position(known, F.array_max(known)).cast("int"))
+        name = F.element_at(fixed(FAMILIES[1:]), F.array_position(known, F.array_max(known)).cast("int"))
         chance = F.array_max(known) / F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
         return let(chance, lambda p: let(F.when(p >= model.cut, name).otherwise(F.lit(UNKNOWN)), lambda f: let(
             alike(grams, f), lambda share: F.struct(
                 F.when(share >= CONFIRM, f).otherwise(F.lit(UNKNOWN)).alias("family"),
                 F.round(p, 6).alias("probability"), F.round(share, 6).alias("similarity"), f.alias("predicted")))))
 
-    return let(grams_of(words), of)
+    # other n-grams have no weight and are in no template
+    return let(F.array_intersect(grams_of(words), fixed(sorted(model.weights))), of)
 
 
 def alike(grams: Column, family: Column) -> Column:
@@ -257,12 +263,15 @@ def alike(grams: Column, family: Column) -> Column:
 
 def held(grams: Column, family: Column, every: Column) -> Column:
     """Sum of the similarities to those templates of a family that ``every`` confirms."""
+    return let(grams, lambda g: let(every, lambda e: _held(g, family, e)))
+
+
+def _held(grams: Column, family: Column, every: Column) -> Column:
     out = F.lit(0.0)
     for f in FAMILIES[1:]:
         parts = F.lit(0.0)
         for t in (_grams(t) for g, t in TEMPLATES if g == f):
-            t = (F.array(*[F.lit(g) for g in t]), len(t))
-            share = lambda x, t=t: F.size(F.array_intersect(x, t[0])) / t[1]
+            share = lambda x, t=t: F.size(F.array_intersect(x, fixed(t))) / len(t)
             parts += F.when(share(every) >= CONFIRM, share(grams)).otherwise(0.0)
         out = F.when(family == f, parts).otherwise(out)
     return out
@@ -275,12 +284,14 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     lines = F.col("lines")
     whole = lambda run, s: F.flatten(F.slice(run, F.lit(1), s))
 
-    def runs(i: Column) -> Column:
-        """(first, line, last, verdict) of line i alone and, where a template may be wrapped, of the runs from it on."""
+    def runs(i: Column, before: Column, after: Column) -> Column:
+        """(first, line, last, verdict) of line i alone or, where a template is wrapped, of the shortest run from it on."""
         alone = F.struct(i.alias("first"), i.alias("line"), i.alias("last"), verdict(F.element_at(lines, i + 1), model).alias("v"))
 
         def longer(before: Column, after: Column) -> Column:
-            return F.filter(F.transform(F.sequence(F.lit(1), F.size(after)), lambda s: F.struct(
+            may = F.filter(F.sequence(F.lit(1), F.size(after)), lambda s: similarity(
+                grams_of(F.concat(F.flatten(before), whole(after, s)))) >= CONFIRM)
+            return F.filter(F.transform(may, lambda s: F.struct(
                 (i - F.size(before)).alias("first"), i.alias("line"), (i + s - 1).alias("last"),
                 verdict(F.concat(F.flatten(before), whole(after, s)), model).alias("v"))),
                 lambda r: r["v"]["family"] != UNKNOWN)
@@ -289,11 +300,12 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
             # a longer run never holds less of a template: most lines need no more than this look
             hopeless = similarity(grams_of(F.concat(F.flatten(before), F.flatten(after)))) < CONFIRM
             none = F.slice(before, 1, 0)
-            return F.when(hopeless, F.array(alone)).otherwise(let(longer(none, after), lambda found: F.when(
-                F.size(found) > 0, found).otherwise(F.concat(longer(before, after), F.array(alone)))))
+            found = let(longer(none, after), lambda found: F.when(
+                F.size(found) > 0, found).otherwise(F.concat(longer(before, after), F.array(alone))))
+            return let(alone, lambda one: F.when(
+                hopeless | (one["v"]["family"] != UNKNOWN), F.array(one)).otherwise(found))
 
-        return let(behind(lines, i), lambda before: let(ahead(lines, i), lambda after: let(
-            tried(before, after)[0], lambda r: grown(r, after))))
+        return tried(before, after)[0]
 
     def grown(r: Column, after: Column) -> Column:
         """A confirmed run with the lines after it that add to a template of its family; of another family only if
@@ -329,8 +341,12 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
             (o["first"] <= r["line"]) & (r["line"] <= o["last"]) & (o["line"] != r["line"])
             & ((r["v"]["family"] == UNKNOWN) | ((r["v"]["family"] == o["v"]["family"]) & (o["line"] < r["line"])))))))
 
-    found = let(F.transform(starts, runs), first_of_each)
-    rows = lines_of(docs).select("doc_id", F.explode(found).alias("r"))
+    # one select after the other: the analyser gives up on deeper nesting
+    rows = lines_of(docs).select("doc_id", "lines", F.transform(starts, lambda i: F.struct(
+        i.alias("i"), behind(lines, i).alias("before"), ahead(lines, i).alias("after"))).alias("s"))
+    rows = rows.select("*", F.transform("s", lambda x: runs(x["i"], x["before"], x["after"])).alias("r"))
+    rows = rows.select("doc_id", F.zip_with("r", "s", lambda r, x: grown(r, x["after"])).alias("r"))
+    rows = rows.select("doc_id", F.explode(first_of_each(F.col("r"))).alias("r"))
     return rows.select("doc_id", F.col("r.first").alias("paragraph"), "r.v.*")
 
 
