@@ -48,3 +48,11 @@ def schema(first: tuple[str, T.DataType], rest: str) -> T.StructType:
 def whole_row(df: DataFrame) -> Column:
     """All columns of a row as one struct named ``row``: functions carry it along unread."""
     return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+
+
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL for the unsigned CRC-32 of a string's UTF-8 bytes: bit by bit, the polynomial reversed."""
+    hexed = f"hex({text})"
+    octets = f"list_transform(range(1, length({hexed}) + 1, 2), lambda i: CAST('0x' || substr({hexed}, i, 2) AS BIGINT))"
+    bits = "list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, z: xor(a >> 1, (a % 2) * 3988292384))"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {octets}), lambda c, b: {bits}), 4294967295)"
