@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe_codec, chat_format, decontaminate, license_scan, merkle_manifest, near_dup, packing,
-               quality_classifier, quality_rules, secret_scan, substring_dup, warc_bundle)
+from . import (bpe_codec, chat_format, decontaminate, importance_resampling, license_scan, merkle_manifest, near_dup,
+               packing, quality_classifier, quality_rules, secret_scan, substring_dup, warc_bundle)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": chat_format.op1,
@@ -22,9 +22,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe_codec": bpe_codec.op10,
     "op11_packing": packing.op11,
     "op12_merkle_manifest": merkle_manifest.op12,
+    "op13_importance_resampling": importance_resampling.op13,
 }
 
 ORACLE: dict[str, str] = {
     "op4_warc_bundle": warc_bundle.ORACLE,
     "op12_merkle_manifest": merkle_manifest.ORACLE,
+    "op13_importance_resampling": importance_resampling.ORACLE,
 }
