@@ -10,8 +10,9 @@ partly filled windows; beyond ``open_most`` of them, and at its end, it fills th
 windows with pieces of the emptiest, cutting them where needed.  One window at most is then
 left, and its tokens are dealt out to sequences of power-of-two lengths, which need no padding.
 
-Token ids: a text is cut at ASCII white space, which no token of the vocabulary crosses, and each
-distinct run is encoded once by the tokenizer itself (special strings included, as it does).
+Token ids: a text of plain letters is cut into words as the tokenizer cuts it, any other text at
+ASCII white space, which no token crosses, and the tokenizer encodes each distinct piece once.  Texts
+of a vocabulary that prepares them otherwise go to its tokenizer whole.
 
 Defined results: null or empty texts are the closing id alone; every row is a document of its
 own, so repeated rows are packed one by one; rows with a null doc_id are packed like others;
@@ -21,6 +22,7 @@ result.  Sequence ids hold the number of the task's partition above ``LOCAL_BITS
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -28,6 +30,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,11 +43,24 @@ CLOSING_ID = 2
 #: Partly filled windows that a task holds, at most (16 kB each).
 OPEN_MOST = 1024
 LOCAL_BITS = 40
-#: Distinct runs that a worker remembers, and the longest of them in bytes; when full, it keeps those in use.
+#: Distinct pieces that a worker remembers, and the length of the longest; when full, it keeps those in use.
 CACHE, LONGEST = 600_000, 64
 #: Bytes of text that are encoded together, unless one run is longer.
 CALL_BYTES = 1 << 20
 SPACE = re.compile(rb"[\t-\r ]")
+#: How a known vocabulary's tokenizer prepares texts.
+STEPS = {
+    "normalizer": {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+         "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]},
+}
+#: Plain texts hold ASCII, Latin-1 letters and some punctuation alone, and no special string: normalising them
+#: is lower case, and what is no letter is cut off as the tokenizer does it.
+OTHER = r"[^\x00-\x7fÀ-ÖØ-öø-ÿ–—‘’“”…]|<\|"
+NOT_LETTERS = r"('s|'t|'re|'ve|'m|'ll|'d|[0-9]|[^\t-\r a-zß-öø-ÿ0-9]+)"
 _ID = np.dtype("<u4")
 
 
@@ -53,33 +69,39 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
-        self.cache: dict[bytes, bytes] = {}
-
-    def _fresh(self, runs: list[bytes]) -> None:
-        """Encode runs that are not in the cache, as one text; a token belongs to the run it starts in."""
-        words = [r.decode("utf-8") for r in runs]
-        got = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        ends = np.cumsum([len(w) + 1 for w in words])
+        steps = json.loads(self.tokenizer.to_str())
+        self.known = {k: steps[k] for k in STEPS} == STEPS
+        self.bare = Tokenizer.from_file(path)  # for words that are cut and in lower case already
+        self.bare.normalizer = None
+        self.bare.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.words: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of each plain word."""
+        got = self.bare.encode(words, is_pretokenized=True, add_special_tokens=False)
+        return _slices(got.ids, np.cumsum(np.bincount(np.array(got.word_ids, np.int64), minlength=len(words))))
+
+    def _runs(self, runs: list[str]) -> list[bytes]:
+        """The ids of each run without white space: a token belongs to the run it starts in."""
+        got = self.tokenizer.encode(" ".join(runs), add_special_tokens=False)
         starts = np.fromiter((a for a, _ in got.offsets), np.int64, len(got.ids))
-        upto = np.searchsorted(starts, ends) * _ID.itemsize
-        ids = np.array(got.ids, dtype=_ID).tobytes()
-        self.cache.update(zip(runs, map(ids.__getitem__, map(slice, [0, *upto[:-1]], upto)), strict=True))
+        return _slices(got.ids, np.searchsorted(starts, np.cumsum([len(w) + 1 for w in runs])))
 
     def encode(self, parts: list[bytes]) -> list[bytes]:
         """The ids of each part; parts of some CALL_BYTES in all keep this small."""
-        runs = [p.split() for p in parts]  # ASCII white space
-        cache = self.cache
-        distinct = set().union(*runs)
-        if len(cache) + len(distinct) > CACHE:  # frequent runs stay: they are among these
-            cache = self.cache = {r: cache[r] for r in distinct.intersection(cache)}
-        if new := list(distinct.difference(cache)):
-            self._fresh(new)
-        out = [b"".join([cache[r] for r in rs]) for rs in runs]
-        for r in [r for r in new if len(r) > LONGEST]:
-            del cache[r]
-        return out
+        text = pa.array(parts, pa.binary()).cast(pa.string())
+        if not self.known:
+            return [np.array(e.ids, dtype=_ID).tobytes()
+                    for e in self.tokenizer.encode_batch(text.to_pylist(), add_special_tokens=False)]
+        other = pc.match_substring_regex(text, OTHER)
+        plain = pc.replace_substring_regex(pc.utf8_lower(text.filter(pc.invert(other))), NOT_LETTERS, r" \1 ")
+        words, self.words = _joined(pc.ascii_split_whitespace(plain), self.words, self._words)
+        runs, self.runs = _joined(pc.ascii_split_whitespace(text.filter(other)), self.runs, self._runs)
+        words, runs = iter(words), iter(runs)
+        return [next(runs if x else words) for x in other.to_pylist()]
 
     def encode_all(self, texts: list[bytes]):
         """(number of the text, its ids), one text after the other; long ones are encoded part by part."""
@@ -87,7 +109,7 @@ class Encoder:
         for k, t in enumerate(texts):
             at = 0
             while at < len(t) or not t:
-                cut = SPACE.search(t, at + CALL_BYTES)
+                cut = SPACE.search(t, at + CALL_BYTES) if self.known else None
                 end = cut.start() if cut else len(t)
                 parts.append(t[at:end])
                 owners.append(k)
@@ -204,6 +226,36 @@ class Packer:
             self._close(pieces)
 
 
+def _slices(ids: list[int], ends: np.ndarray) -> list[bytes]:
+    """The ids up to each end from the one before."""
+    ids, ends = np.array(ids, dtype=_ID).tobytes(), ends * _ID.itemsize
+    return list(map(ids.__getitem__, map(slice, [0, *ends[:-1]], ends)))
+
+
+def _joined(parts: pa.ListArray, cache: dict, encode) -> tuple[list[bytes], dict]:
+    """The ids of each list of pieces, and the cache to go on with: pieces in use stay when it is full."""
+    coded = parts.flatten().dictionary_encode()
+    distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+    found = list(map(cache.get, distinct))
+    if missing := [k for k, x in enumerate(found) if x is None]:
+        if len(cache) + len(missing) > CACHE:
+            cache = {w: x for w, x in zip(distinct, found, strict=True) if x is not None}
+        new = [distinct[k] for k in missing]
+        for k, w, x in zip(missing, new, encode(new), strict=True):
+            found[k] = x
+            if len(w) <= LONGEST:
+                cache[w] = x
+    # all ids from those of the distinct pieces, by their places there
+    ids = np.frombuffer(b"".join(found), dtype=_ID)
+    size = np.array(list(map(len, found)), dtype=np.int64) // _ID.itemsize
+    at = coded.indices.to_numpy(zero_copy_only=False)
+    n = size[at]
+    ends = np.cumsum(n)
+    ids = ids[np.repeat((np.cumsum(size) - size)[at] - ends + n, n) + np.arange(ends[-1] if len(ends) else 0)]
+    cuts = np.r_[0, ends][parts.offsets.to_numpy() - parts.offsets[0].as_py()] if len(parts) else [0]
+    return [ids[x:y].tobytes() for x, y in zip(cuts, cuts[1:], strict=False)], cache
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -215,7 +267,7 @@ def pack(df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str
 
     ``vocabulary`` is the path of a tokenizer file that every executor can read at that place; by
     default the installed package of vocabularies names it on each executor."""
-    ready(df.sparkSession)
+    ready(df.sparkSession, 512)
     key_type = df.schema[key].dataType
 
     def run(batches):

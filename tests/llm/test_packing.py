@@ -1,3 +1,4 @@
+import re
 import zlib
 from collections import defaultdict
 
@@ -115,7 +116,33 @@ def test_long_texts_and_small_cache(tokenizer, monkeypatch):
     assert [k for k, _ in got] == list(range(len(parts)))
     for (_, ids), p in zip(got, parts, strict=True):
         assert np.frombuffer(ids, "<u4").tolist() + [2] == ids_of(tokenizer, p)
-    assert len(e.cache) <= 80
+    assert len(e.runs) <= 400 and len(e.words) <= 400
+
+
+def test_plain_and_other_texts_are_encoded_alike(tokenizer):
+    """Words cut here, runs of other texts, and whole texts: the tokenizer's own ids."""
+    import random
+    r = random.Random(7)
+    plain = [chr(c) for c in range(128)] + list("ÀÉÖØÞßàéöøÿ–—‘’“”…") + ["'s", "'LL", "I'd ", "<|x|>"] + words(40, 1)
+    other = plain + list("Σςİıǅﬁ́̈²¼ªµ×÷字カ한🙂\u00a0\u0085\u2003\u200b\x1c") + ["<|endoftext|>", "<|startoftext|>", "e\u0301"]
+    texts = ["".join(r.choice(pool) + r.choice(["", "", " "]) for _ in range(r.randint(0, 60)))
+             for pool in (plain, other) for _ in range(1500)]
+    e = packing.Encoder(public_tokenizers.path(packing.VOCABULARY))
+    assert e.known and 0 < sum(bool(re.search(packing.OTHER, t)) for t in texts) < len(texts)
+    for (k, ids), t in zip(e.encode_all([t.encode() for t in texts]), texts, strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() + [2] == ids_of(tokenizer, t), repr(t)
+
+
+def test_vocabulary_of_another_kind(docs):
+    """Its tokenizer gets whole texts."""
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    t = Tokenizer.from_file(path)
+    rows = [(1, "Some  text\nof 12 words"), (2, "é字"), (3, None)]
+    got = packing.pack(docs(rows), vocabulary=path, with_ids=True).collect()
+    for k, text in rows:
+        ids = [i for p in sorted((p for p in got if p["doc_id"] == k), key=lambda p: p["start"]) for i in p["ids"]]
+        assert ids == t.encode(text or "", add_special_tokens=False).ids + [2]
 
 
 def test_whole_table(spark, tokenizer):
