@@ -138,3 +138,13 @@ def capped_fetch(df: DataFrame, period: str, date_col: str, id_col: str,
     rows forwards at most ``cap`` rows per map task."""
     w = W.partitionBy(period).orderBy(F.desc(date_col), F.asc(id_col))
     return df.withColumn("fetch_rank", F.row_number().over(w)).where(F.col("fetch_rank") <= cap)
+
+
+def papers_per_domain_year(rows: DataFrame, domain: str = "category") -> DataFrame:
+    """(domain, year, total_papers) from (id, year, domain) rows, nulls in year or domain left out.
+
+    A paper counts once per domain, in its earliest year there, however often its id occurs; rows without
+    an id are dropped as the reference's count drops them (their domain's years stay, with 0)."""
+    first = (rows.where(F.col("year").isNotNull() & F.col(domain).isNotNull())
+             .groupBy("id", domain).agg(F.min("year").alias("year")))
+    return first.groupBy(domain, "year").agg(F.count("id").cast("bigint").alias("total_papers"))

@@ -12,11 +12,14 @@ import math
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..session import ensure_checkpoint_dir
 from .joins import join_small
 
 N = 3
+#: Texts of each label that the model is fitted on, at most.
+FIT_PER_LABEL = 500
 
 
 def padded(c) -> F.Column:
@@ -34,32 +37,47 @@ def char_grams(padded_col, n: int = N) -> F.Column:
     return F.regexp_extract_all(c, F.lit(pattern), 1)
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang"):
-    """Return (model: (gram, lang, c), stats: list of (lang, docs, grams), V)."""
-    p = labelled.select(F.col(label_col).alias("lang"), padded(text_col).alias("s")).where(F.col("lang").isNotNull())
+def sample(labelled: DataFrame, label_col: str, order, per_label: int = FIT_PER_LABEL) -> DataFrame:
+    """At most ``per_label`` rows of each label, those first by ``order`` (a hash of the row, say): a partial
+    group limit, so each map task forwards no more than that."""
+    w = W.partitionBy(label_col).orderBy(order)
+    return (labelled.where(F.col(label_col).isNotNull()).withColumn("_k", F.row_number().over(w))
+            .where(F.col("_k") <= per_label).drop("_k"))
+
+
+def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", per_label: int = FIT_PER_LABEL,
+        docs: DataFrame | None = None):
+    """Return (model: one row per gram with the log counts of every label, stats: list of (lang, docs,
+    grams), V).  Grams are counted over a bounded sample, ``per_label`` texts of each label by the md5 of
+    the text; the labels' shares come from all rows of ``docs`` (default: ``labelled``)."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    p = sample(labelled, label_col, F.md5(text.cast("binary")), per_label).select(
+        F.col(label_col).alias("lang"), padded(text_col).alias("s"))
+    # bounded metadata: one row per label
+    of = (docs if docs is not None else labelled).where(F.col(label_col).isNotNull())
+    shares = {r[0]: int(r[1]) for r in of.groupBy(label_col).agg(F.count(F.lit(1))).collect()}
+    langs = sorted(shares)
     # explode_outer + filter: keeps the optimizer from pushing an inferred
     # size(...) > 0 predicate (the whole gram expression) below the projection
     g = p.select("lang", F.explode_outer(char_grams("s")).alias("gram")).where(F.col("gram").isNotNull())
-    # the fitted model is small (distinct grams x labels) and is read three
-    # times: write it once to the checkpoint folder (lineage cut, survives
-    # executor loss) instead of recomputing the explode
+    # the fitted model is small (distinct grams of the sample) and is read three times: written once
+    # to the checkpoint folder (lineage cut, survives executor loss)
     ensure_checkpoint_dir(labelled.sparkSession)
-    model = g.groupBy("gram", "lang").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
-    # bounded metadata: one row per label, one scalar
-    docs = labelled.where(F.col(label_col).isNotNull()).groupBy(F.col(label_col).alias("lang")).agg(F.count(F.lit(1)).alias("docs"))
-    stats = docs.join(model.groupBy("lang").agg(F.sum("c").alias("grams")), "lang").collect()
-    vocab = model.select("gram").distinct().count()
-    return model, sorted((r["lang"], int(r["docs"]), int(r["grams"])) for r in stats), int(vocab)
+    counts = (g.groupBy("gram").agg(*[F.count_if(F.col("lang") == x).alias(f"c{i}") for i, x in enumerate(langs)])
+              .checkpoint(eager=True))
+    sums = counts.agg(F.count(F.lit(1)), *[F.sum(f"c{i}") for i in range(len(langs))]).first()
+    model = counts.select("gram", F.array(*[F.log(F.col(f"c{i}") + 1.0) for i in range(len(langs))]).alias("logs"))
+    return model, [(x, shares[x], int(sums[i + 1] or 0)) for i, x in enumerate(langs)], int(sums[0])
 
 
 def predict(texts: DataFrame, model: DataFrame, stats, vocab: int, id_col: str = "id",
             text_col: str = "title") -> DataFrame:
     """(id, lang_pred, is_english): argmax of the naive-Bayes score.
 
-    Title grams are left-joined to the model on the gram (broadcast behind a
-    row-count check, else a skew-aware shuffle join: a common gram such as
-    ' th' is a hot key); per-label partial sums are pivoted over the explicit
-    label list."""
+    A text's grams are left-joined to the model, one row per gram (broadcast behind a
+    size check, else a skew-aware shuffle join: a common gram such as ' th' is a hot
+    key); one sum per label follows.  Rows of one id are one text: ids must be unique
+    (``english_texts`` is for texts without one)."""
     langs = [s[0] for s in stats]
     total_docs = sum(s[1] for s in stats)
     # partitioned by id: the per-text gram counts below need no exchange
@@ -69,13 +87,21 @@ def predict(texts: DataFrame, model: DataFrame, stats, vocab: int, id_col: str =
     grams = (t.select("id", F.explode_outer(char_grams("s")).alias("gram")).where(F.col("gram").isNotNull())
              .groupBy("id", "gram").agg(F.count(F.lit(1)).alias("k")))
     part = (join_small(grams, model, "gram", "left", materialised=True)
-            .groupBy("id").pivot("lang", langs).agg(F.sum(F.col("k") * F.log(F.col("c") + 1.0))))
+            .groupBy("id").agg(*[F.sum(F.col("k") * F.get("logs", F.lit(i))).alias(f"p{i}") for i in range(len(langs))]))
     scored = t.select("id", "raw", "n_grams").join(part, "id", "left")
     cands = []
-    for lang, docs, ngr in stats:
-        score = (F.coalesce(F.col(f"`{lang}`"), F.lit(0.0)) + F.lit(math.log(docs / total_docs))
+    for i, (lang, docs, ngr) in enumerate(stats):
+        score = (F.coalesce(F.col(f"p{i}"), F.lit(0.0)) + F.lit(math.log(docs / total_docs))
                  - F.col("n_grams") * F.lit(math.log(ngr + vocab)))
         cands.append(F.struct(score.alias("score"), F.lit(lang).alias("lang")))
+    if not cands:  # no labelled text at all
+        return t.select("id", F.lit(None).cast("string").alias("lang_pred"), F.lit(False).alias("is_english"))
     best = F.array_max(F.array(*cands))["lang"]
     ok = F.col("raw").isNotNull() & (F.length("raw") >= 3)
     return scored.select("id", best.alias("lang_pred"), (ok & (best == F.lit("en"))).alias("is_english"))
+
+
+def english_texts(texts: DataFrame, text_col: str, model: DataFrame, stats, vocab: int) -> DataFrame:
+    """The distinct texts of a column that the gate calls English: each is judged once, whatever rows hold it."""
+    distinct = texts.select(F.col(text_col).alias("id")).where(F.length("id") >= 3).distinct()
+    return predict(distinct, model, stats, vocab, "id", "id").where("is_english").select(F.col("id").alias(text_col))

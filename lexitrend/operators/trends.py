@@ -92,28 +92,44 @@ def normalized_long(terms: DataFrame, domains: DataFrame, materialised: bool = F
     return merged.where(F.col("norm_freq") < cap)
 
 
-def r2_expr(y: Column, x: Column) -> Column:
-    """Coefficient of determination of the OLS fit; a constant series gives 0."""
-    return F.when(F.min(y) == F.max(y), F.lit(0.0)).otherwise(F.regr_r2(y, x))
-
-
 def normalized_trends(merged: DataFrame, start: int, end: int) -> DataFrame:
     """H3: per (category, term) OLS of norm_freq on year inside [start, end].
 
-    Kept when there are >= 2 points and the end-year value exists and is >= 1.
-    One partial+final aggregate on (category, term); hot keys are combined
-    map-side.
+    Kept when there are >= 2 points and the end-year value exists and is >= 1.  One partial+final
+    aggregate on (category, term), hot keys combined map-side, gives a column per year of the window
+    (``merged`` has one row per year); the fit sums them in the order of the years, so it has the same
+    bits however the rows were partitioned.
     """
-    y, x = F.col("norm_freq"), F.col("year").cast("double")
-    g = (merged.where(F.col("year").between(start, end))
-         .groupBy("category", "term")
-         .agg(F.count(F.lit(1)).alias("n"),
-              F.max(F.when(F.col("year") == end, y)).alias("current_norm"),
-              F.regr_slope(y, x).alias("slope"),
-              F.regr_intercept(y, x).alias("intercept"),
-              r2_expr(y, x).alias("r2")))
-    return (g.where((F.col("n") >= 2) & F.col("current_norm").isNotNull() & (F.col("current_norm") >= 1))
-            .select("category", "term", "slope", "intercept", "r2", "current_norm"))
+    if end < start:  # no years at all
+        names = ("slope", "intercept", "r2", "current_norm")
+        return merged.select("category", "term", *[F.lit(None).cast("double").alias(c) for c in names]).where(F.lit(False))
+    years = range(start, end + 1)
+    y = F.col("norm_freq")
+    g = (merged.where(F.col("year").between(start, end)).groupBy("category", "term")
+         .agg(*[F.max(F.when(F.col("year") == k, y)).alias(f"y{k}") for k in years]))
+    points = [(k - start, F.col(f"y{k}")) for k in years]
+    g = g.where(F.col(f"y{end}") >= 1).withColumns({"n": _over(points, lambda x, y: F.lit(1.0)),
+                                                    "sx": _over(points, lambda x, y: x),
+                                                    "sy": _over(points, lambda x, y: y)})
+    g = g.where("n >= 2").withColumns({"mx": F.col("sx") / F.col("n"), "my": F.col("sy") / F.col("n")})
+    dx, dy = (lambda x: x - F.col("mx")), (lambda y: y - F.col("my"))
+    g = g.withColumns({"sxx": _over(points, lambda x, y: dx(x) * dx(x)), "sxy": _over(points, lambda x, y: dx(x) * dy(y)),
+                       "syy": _over(points, lambda x, y: dy(y) * dy(y)),
+                       "flat": F.least(*[y for _, y in points], F.lit(None)) == F.greatest(*[y for _, y in points], F.lit(None))})
+    slope = F.col("sxy") / F.col("sxx")
+    r2 = F.when(F.col("flat") | (F.col("syy") == 0), F.lit(0.0)).otherwise(
+        F.col("sxy") * F.col("sxy") / (F.col("sxx") * F.col("syy")))
+    return g.select("category", "term", slope.alias("slope"),
+                    (F.col("my") - slope * (F.col("mx") + F.lit(float(start)))).alias("intercept"),
+                    r2.alias("r2"), F.col(f"y{end}").alias("current_norm"))
+
+
+def _over(points: list[tuple[int, Column]], term) -> Column:
+    """Sum of term(x, y) over the points whose y is there, in their order."""
+    out = F.lit(0.0)
+    for x, y in points:
+        out = out + F.when(y.isNotNull(), term(F.lit(float(x)), y)).otherwise(F.lit(0.0))
+    return out
 
 
 def top_trends(trends: DataFrame, n: int = K.TREND_TOP_N, r2_min: float = K.TREND_R2_MIN) -> DataFrame:
@@ -185,18 +201,31 @@ def median_growth(growth_df: DataFrame, exact: bool = True, accuracy: int = 1000
     return growth_df.groupBy("category").agg(m.alias("median_growth"))
 
 
+def exact_moments(x: Column, y: Column) -> list[Column]:
+    """n, sx, sy, sxx and sxy of integer points as decimal sums: exact, so their order does not matter."""
+    x, y = x.cast("decimal(10,0)"), y.cast("decimal(18,0)")
+    return [F.count(F.lit(1)).alias("n"), F.sum(x).alias("sx"), F.sum(y).alias("sy"),
+            F.sum((x * x).cast("decimal(20,0)")).alias("sxx"), F.sum((x * y).cast("decimal(28,0)")).alias("sxy")]
+
+
 def predict_term(terms: DataFrame, last_year: int, horizon: int = K.PREDICT_HORIZON,
                  min_points: int = K.PREDICT_MIN_POINTS) -> DataFrame:
     """H5: per term, counts summed over categories, years with count > 0,
     >= min_points points, OLS; the next ``horizon`` years after the last year
-    column; not clamped."""
-    per_year = (terms.groupBy("term", "year").agg(F.sum("count").cast("double").alias("count"))
+    column; not clamped.
+
+    Counts and years are integers, so the line's value is one quotient of exact integers (years are
+    counted from the last one): the same bits in every run, and no noise around zero."""
+    per_year = (terms.groupBy("term", "year").agg(F.sum("count").alias("count"))
                 .where(F.col("count") > 0))
-    y, x = F.col("count"), F.col("year").cast("double")
-    fit = (per_year.groupBy("term")
-           .agg(F.count(F.lit(1)).alias("n"), F.regr_slope(y, x).alias("slope"),
-                F.regr_intercept(y, x).alias("intercept"))
+    fit = (per_year.groupBy("term").agg(*exact_moments(F.col("year") - F.lit(last_year), F.col("count")))
            .where(F.col("n") >= min_points))
-    return (fit.select("term", "slope", "intercept",
-                       F.explode(F.sequence(F.lit(last_year + 1), F.lit(last_year + horizon))).alias("year"))
-            .select("term", "year", (F.col("slope") * F.col("year") + F.col("intercept")).alias("prediction")))
+    wide = {c: F.col(c).cast("decimal(38,0)") for c in ("n", "sx", "sy", "sxx", "sxy")}
+    spread = wide["n"] * wide["sxx"] - wide["sx"] * wide["sx"]
+    rise = wide["n"] * wide["sxy"] - wide["sx"] * wide["sy"]
+    base = wide["sy"] * wide["sxx"] - wide["sx"] * wide["sxy"]
+    ahead = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("ahead")
+    return (fit.select("term", spread.alias("spread"), rise.alias("rise"), base.alias("base"), ahead)
+            .select("term", (F.lit(last_year) + F.col("ahead")).alias("year"),
+                    F.try_divide((F.col("rise") * F.col("ahead") + F.col("base")).cast("double"),
+                                 F.col("spread").cast("double")).alias("prediction")))

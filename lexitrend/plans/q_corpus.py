@@ -15,6 +15,8 @@ from .. import constants as K
 from ..functions import records as RC
 from ..functions.categories import code_domain, code_prefix, domain_map_df, primary_category, target_domains
 from ..functions.text import WS_RE, flatten_newlines
+from ..operators import aggregates as AG
+from ..operators import langid as LI
 from ..operators import terms as TM
 from ..session import checkpoint_path
 from ..sources import corpus as CO
@@ -29,6 +31,8 @@ NO_VERSIONS_EVERY = 11    # no versions array -> update_date is used
 SHORT_AUTHOR_EVERY = 13   # one author entry with a single part -> rejected
 NULL_CATS_EVERY = 41      # categories omitted
 WORKS_BAD_EVERY = 31      # every 31st works line is garbage
+NO_ID_EVERY = 37          # every 37th work has no id
+SAME_ID_EVERY = 5         # every 5th of the others has one and the same id
 
 
 def _scratch(spark, name: str) -> str:
@@ -137,7 +141,7 @@ def works_lines(spark, sf):
     topic = F.when(d % 3 == 0, F.lit(None)).otherwise(F.struct(F.concat(F.lit("Topic "), (d % 10).cast("string")).alias("display_name")))
     concepts = F.when((d % 3 == 0) & (d % 2 == 0), F.array(F.struct(F.concat(F.lit("Concept "), (d % 5).cast("string")).alias("display_name")))) \
         .otherwise(F.array().cast("array<struct<display_name:string>>"))
-    rec = F.struct(F.concat(F.lit("W"), d.cast("string")).alias("id"), F.col("title"), F.col("lang").alias("language"),
+    rec = F.struct(work_id(d).alias("id"), F.col("title"), F.col("lang").alias("language"),
                    F.date_format("published_date", "yyyy-MM-dd").alias("publication_date"),
                    authorships.alias("authorships"), topic.alias("primary_topic"), concepts.alias("concepts"),
                    F.when(F.col("summary") == "", F.lit(None)).otherwise(F.col("idx")).alias("abstract_inverted_index"))
@@ -145,23 +149,30 @@ def works_lines(spark, sf):
     return full.select(F.when(d % WORKS_BAD_EVERY == 0, F.lit("{not json")).otherwise(F.to_json(rec)).alias("value"))
 
 
-def flatten_works(raw, labelled):
+def flatten_works(raw, labelled, list_authors=False, docs=None):
     """A2 + B8-B12: works that metadata and title gate call English -> 6-column clean rows with the
-    abstract rebuilt.  The gate is fitted on ``labelled`` (text, lang); titles that are null or shorter
-    than 3 characters never pass."""
-    from ..operators import langid as LI
+    abstract rebuilt.  The gate is fitted on ``labelled`` (text, lang) and judges titles, each distinct
+    one once, so works without an id or with one that others bear are judged by their own title; titles
+    that are null or shorter than 3 characters never pass.  ``list_authors`` gives the names as an array."""
     en = raw.where((F.col("language") == "en") & (F.length("title") >= 3))
-    model, stats, vocab = LI.fit(labelled, "text", "lang")
-    gate = LI.predict(en, model, stats, vocab, "id", "title").where("is_english").select("id")
-    en = en.join(gate.distinct(), "id", "left_semi")
+    model, stats, vocab = LI.fit(labelled, "text", "lang", docs=docs)
+    en = en.join(LI.english_texts(en, "title", model, stats, vocab), "title", "left_semi")
+    authors = RC.author_names("authorships") if list_authors else RC.join_author_names("authorships")
     return en.select(F.col("id"), F.col("title"), F.col("publication_date").alias("published_date"),
-                     RC.join_author_names("authorships").alias("authors"),
+                     authors.alias("authors"),
                      RC.work_category("primary_topic", "concepts").alias("primary_category"),
                      RC.reconstruct_abstract("abstract_inverted_index").alias("summary"))
 
 
+def work_id(d):
+    """Ids of the works stand-in: some works have none, some share one."""
+    return (F.when(d % NO_ID_EVERY == 0, F.lit(None).cast("string")).when(d % SAME_ID_EVERY == 0, F.lit("W-same"))
+            .otherwise(F.concat(F.lit("W"), d.cast("string"))))
+
+
 @register("a2_works_corpus", S.with_ctes(f"gate AS ({QT._langid_sql()})", S.PAPERS_SQL.replace("SELECT doc_id AS id,", "SELECT doc_id AS id, doc_id, lang,")) + f"""
-SELECT 'W' || CAST(doc_id AS VARCHAR) AS id, title, strftime(published_date, '%Y-%m-%d') AS published_date,
+SELECT CASE WHEN doc_id % {NO_ID_EVERY} = 0 THEN NULL WHEN doc_id % {SAME_ID_EVERY} = 0 THEN 'W-same'
+            ELSE 'W' || CAST(doc_id AS VARCHAR) END AS id, title, strftime(published_date, '%Y-%m-%d') AS published_date,
        'First' || CAST(doc_id % 89 AS VARCHAR) || ' Last' || CAST(doc_id % 97 AS VARCHAR) || ', ' ||
          CASE WHEN doc_id % 7 = 0 THEN '' ELSE 'Second Author' END AS authors,
        CASE WHEN doc_id % 3 <> 0 THEN 'Topic ' || CAST(doc_id % 10 AS VARCHAR)
@@ -198,19 +209,17 @@ def a6_csv_roundtrip(spark, sf):
 
 
 def domain_year_pivot(papers, years=None):
-    """Distinct papers per domain x year; explode codes -> domain ->
-    dropDuplicates(id, domain) -> pivot over the (explicit) years, 0-filled,
-    rows by total descending."""
+    """Distinct papers per domain x year (``aggregates.papers_per_domain_year``), pivoted over the
+    (explicit) years, 0-filled, rows by total descending."""
     from ..functions.dates import parse_timestamp
     p = (papers.select("id", F.year(parse_timestamp("published_date")).cast("int").alias("year"),
                        F.explode(F.split(F.coalesce("all_categories", F.lit("")), " ")).alias("code"))
-         .where(F.col("year").isNotNull()))
-    p = p.select("id", "year", code_domain("code").alias("domain")).where(F.col("domain").isNotNull())
-    p = p.dropDuplicates(["id", "domain"])
+         .select("id", "year", code_domain("code").alias("domain")))
+    p = AG.papers_per_domain_year(p, "domain")
     if years is None:
         years = sorted(r[0] for r in p.select("year").distinct().collect())
     cols = [str(y) for y in years]
-    w = p.groupBy("domain").pivot("year", years).agg(F.count(F.lit(1))).na.fill(0, subset=cols)
+    w = p.groupBy("domain").pivot("year", years).agg(F.first("total_papers")).na.fill(0, subset=cols)
     from ..operators.reshape import row_total
     return w.orderBy(F.desc(row_total(cols)), F.asc("domain"))
 
@@ -278,3 +287,53 @@ def a4_topic_folder(spark, sf):
         "topic", F.concat(F.lower(F.regexp_replace("topic", " ", "_")), F.lit("_quarterly_counts")))
     SK.write_csv(tp.select("topic", "period", "count"), path, ["topic"])
     return CO.read_topic_folder(spark, path)
+
+
+BAD_DATE_EVERY = 19       # papers of the category files whose date cannot be read
+#: Planted category files: name, text; none of them gives a row.
+PLANTED_FILES = [("arxiv_void.csv", ""), ("arxiv_header_only.csv", "id,title,summary,published_date\n"),
+                 ("arxiv_long_row.csv", "id,title,summary,published_date\n1,a,b,2020-01-01\n2,a,b,2020-01-01,more\n"),
+                 ("arxiv_no_date.csv", "id,title,summary\n1,a,b\n")]
+
+
+def _category_folder(spark, sf) -> str:
+    """One `arxiv_X.csv` per domain, with the planted files beside them."""
+    _utc(spark)
+    path = _scratch(spark, "a5-categories")
+    p = TM.domain_split(S.papers(spark, sf))
+    day = F.when(F.col("id") % BAD_DATE_EVERY == 0, F.lit("unknown")).otherwise(F.date_format("published_date", "yyyy-MM-dd"))
+    p = p.select(F.col("id").cast("string").alias("id"), "title", "summary", day.alias("published_date"), "domain")
+    SK.write_csv(p.repartition("domain"), f"{path}/written", ["domain"])
+    S.move_parts(spark, f"{path}/written", "domain=", f"{path}/files", "arxiv_{}.csv")
+    for name, text in PLANTED_FILES:
+        S.put_file(spark, f"{path}/files/{name}", text)
+    return f"{path}/files"
+
+
+_A5_SQL = S.with_ctes(S.PAPERS_SQL, f"""split AS (
+  SELECT *, unnest({QT.sql_domains('all_categories')}) AS category FROM papers)""")
+
+
+@register("a5_category_files", _A5_SQL + f"""
+SELECT category, CAST(id AS VARCHAR) AS id, nullif(title, '') AS title, nullif(summary, '') AS summary,
+       CAST(year(published_date) AS INTEGER) AS year
+FROM split WHERE id % {BAD_DATE_EVERY} <> 0""")
+def a5_category_files(spark, sf):
+    """A5: a folder with one CSV file per category, the category from the file's name; files that are
+    empty or cannot be read cost only themselves, rows without a readable date are dropped."""
+    rows, _ = CO.category_files(spark, _category_folder(spark, sf), ["id", "title", "summary"])
+    return rows.select("category", "id", "title", "summary", F.year("published_date").cast("int").alias("year"))
+
+
+@register("a5_file_status", _A5_SQL + f"""
+SELECT 'arxiv_' || category || '.csv' AS file, 'read' AS status, NULL AS reason, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(*) FILTER (WHERE id % {BAD_DATE_EVERY} = 0) AS BIGINT) AS n_rejected
+FROM split GROUP BY category
+UNION ALL SELECT 'arxiv_void.csv', 'unreadable', 'no header', 0, 0
+UNION ALL SELECT 'arxiv_header_only.csv', 'empty', NULL, 0, 0
+UNION ALL SELECT 'arxiv_long_row.csv', 'unreadable', 'row with more fields than the header', 0, 0
+UNION ALL SELECT 'arxiv_no_date.csv', 'unreadable', 'column missing', 0, 0""")
+def a5_file_status(spark, sf):
+    """A5: what became of each category file, with the rows read and those dropped for their date."""
+    _, found = CO.category_files(spark, _category_folder(spark, sf), ["id", "title", "summary"])
+    return found.select("file", "status", "reason", "n_rows", "n_rejected")

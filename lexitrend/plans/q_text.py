@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import dates as DT
 from ..functions.text import WS_RE, clean_text, flatten_newlines, safe_slug, title_summary_text
+from ..operators import langid as LI
 from ..operators import terms as TM
 from ..sources.tables import table
 from . import standins as S
@@ -167,11 +168,13 @@ def c6_phrase_quarterly(spark, sf):
 
 # ------------------------------------------------------------ B12
 def _langid_sql() -> str:
-    return S.with_ctes(S.PAPERS_SQL.replace("SELECT doc_id AS id,", "SELECT doc_id AS id, lang,"), """tr AS (
-  SELECT lang, ' ' || lower(text) || ' ' AS s FROM documents WHERE lang IS NOT NULL)""", """tg AS (
+    return S.with_ctes(S.PAPERS_SQL.replace("SELECT doc_id AS id,", "SELECT doc_id AS id, lang,"), f"""tr AS (
+  SELECT lang, ' ' || lower(coalesce(text, '')) || ' ' AS s
+  FROM (SELECT lang, text, row_number() OVER (PARTITION BY lang ORDER BY md5(coalesce(text, ''))) AS k
+        FROM documents WHERE lang IS NOT NULL) WHERE k <= {LI.FIT_PER_LABEL})""", """tg AS (
   SELECT lang, substr(s, i, 3) AS gram FROM (SELECT lang, s, unnest(range(1, greatest(length(s) - 2, 1) + 1)) AS i FROM tr)
   WHERE length(substr(s, i, 3)) = 3)""", """model AS (SELECT gram, lang, count(*) AS c FROM tg GROUP BY ALL)""",
-  """ls AS (SELECT d.lang, d.docs, g.grams FROM (SELECT lang, count(*) AS docs FROM tr GROUP BY lang) d
+  """ls AS (SELECT d.lang, d.docs, g.grams FROM (SELECT lang, count(*) AS docs FROM documents WHERE lang IS NOT NULL GROUP BY lang) d
            JOIN (SELECT lang, sum(c) AS grams FROM model GROUP BY lang) g ON d.lang = g.lang)""",
   """v AS (SELECT count(DISTINCT gram) AS vocab, (SELECT sum(docs) FROM ls) AS total FROM model)""",
   """ti AS (SELECT id, title AS raw, ' ' || lower(coalesce(title, '')) || ' ' AS s FROM papers)""",
@@ -193,6 +196,5 @@ def b12_language_gate(spark, sf):
     """Title language gate: a char-trigram naive-Bayes model fitted on
     the labelled documents, applied to every paper title (argmax label;
     null or < 3 characters -> not English)."""
-    from ..operators import langid as LI
     model, stats, vocab = LI.fit(table(spark, sf, "documents"), "text", "lang")
     return LI.predict(S.papers(spark, sf), model, stats, vocab, "id", "title")

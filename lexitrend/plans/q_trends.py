@@ -199,12 +199,14 @@ def d19_median_growth(spark, sf):
 
 @register("h5_predict", S.with_ctes(S.TERM_YEAR_SQL, """py AS (
   SELECT term, year, CAST(sum(count) AS DOUBLE) AS count FROM term_year GROUP BY term, year HAVING sum(count) > 0)""",
-  """fit AS (
-  SELECT term, regr_slope(count, CAST(year AS DOUBLE)) AS slope, regr_intercept(count, CAST(year AS DOUBLE)) AS intercept
-  FROM py GROUP BY term HAVING count(*) >= 3)""", """ly AS (
-  SELECT max(year) AS y FROM term_year)""") + """
-SELECT term, CAST(y.year AS INTEGER) AS year, round(slope * y.year + intercept, 4) AS prediction
-FROM fit, (SELECT unnest(range((SELECT y FROM ly) + 1, (SELECT y FROM ly) + 4)) AS year) y""")
+  """ly AS (
+  SELECT max(year) AS y FROM term_year)""", """fit AS (
+  SELECT term, count(*) * sum(x * x) - sum(x) * sum(x) AS spread, count(*) * sum(x * c) - sum(x) * sum(c) AS rise,
+         sum(c) * sum(x * x) - sum(x) * sum(x * c) AS base
+  FROM (SELECT term, CAST(year - ly.y AS HUGEINT) AS x, CAST(count AS HUGEINT) AS c FROM py, ly) GROUP BY term HAVING count(*) >= 3)""") + """
+SELECT term, CAST(ly.y + k AS INTEGER) AS year,
+       round(CAST(rise * k + base AS DOUBLE) / CAST(spread AS DOUBLE), 4) + 0.0 AS prediction
+FROM fit, ly, (SELECT unnest(range(1, 4)) AS k)""")
 def h5_predict(spark, sf):
     terms, _ = _base(spark, sf, domains=False)
     p = T.predict_term(terms, T.year_bounds(terms)[1])

@@ -156,3 +156,29 @@ def pivot_sql(column: str, values: list, value: str, kind: str = "BIGINT") -> st
 
 def with_ctes(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, Path class) behind a path."""
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    return p(path).getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def put_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small file with this text."""
+    fs, p = _hadoop(spark, path)
+    out = fs.create(p(path))
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+
+
+def move_parts(spark: SparkSession, written: str, prefix: str, to: str, name: str) -> None:
+    """Give the part file of each `<prefix><value>` folder under ``written`` the name that a value's file has."""
+    fs, p = _hadoop(spark, written)
+    fs.mkdirs(p(to))
+    for folder in fs.listStatus(p(written)):
+        value = folder.getPath().getName()
+        if value.startswith(prefix):
+            for part in fs.listStatus(folder.getPath()):
+                if part.getPath().getName().startswith("part-"):
+                    fs.rename(part.getPath(), p(f"{to}/{name.format(value.removeprefix(prefix))}"))

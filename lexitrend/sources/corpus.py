@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import csv_files as CF
+
 CORRUPT = "_corrupt"
 
 SNAPSHOT_SCHEMA = T.StructType([
@@ -44,13 +46,17 @@ PAPERS_CSV_SCHEMA = T.StructType([
 ])
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, spread: bool = False) -> DataFrame:
+def read_json_lines(spark: SparkSession, path: str, schema: T.StructType, spread: bool = False,
+                    file_column: str | None = None) -> DataFrame:
     """A1/A2: JSON-lines scan, malformed lines kept in ``_corrupt`` (PERMISSIVE).
 
     gzip files are not splittable (one task per file); ``spread`` deals the parsed rows out anew
-    before the heavy work, in partitions whose size adaptive execution sets from the data."""
+    before the heavy work, in partitions whose size adaptive execution sets from the data.
+    ``file_column`` adds the path of each row's file."""
     df = (spark.read.schema(schema).option("mode", "PERMISSIVE")
           .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    if file_column:
+        df = df.withColumn(file_column, F.col("_metadata.file_path"))
     return df.hint("rebalance") if spread else df
 
 
@@ -84,34 +90,42 @@ def read_papers_csv(spark: SparkSession, path: str, multi_line: bool = True) ->
     return df.withColumn("all_categories", F.coalesce("all_categories", "primary_category"))
 
 
-def read_topic_folder(spark: SparkSession, path: str, suffix: str = "_quarterly_counts") -> DataFrame:
-    """A4: a folder of per-topic (period, count) CSV files stacked into one
-    table; the topic label comes from each file's folder/stem name, and files
-    whose own header lacks ``period`` or ``count`` are skipped.
+def topic_files(spark: SparkSession, path: str, suffix: str = "_quarterly_counts") -> tuple[DataFrame, DataFrame]:
+    """A4: a folder of per-topic CSV files as (rows, outcomes).
 
-    Topic files are small (one row per period), so each file is read whole
-    (one row per file) and its header checked on its own; the lines are
-    then exploded and split by the header's column positions."""
+    rows: (topic, period, count), the topic from the file's `topic=<stem>` folder or its own name.  Columns
+    are found by each file's own header, in any order; files of one header are one split-able scan.
+    outcomes: one row per file (``csv_files.outcomes``); `unreadable` files, those without ``period`` or
+    ``count`` among them, give no rows, and n_rejected counts rows without a period or a numeric count."""
     from ..functions.text import slug_to_title
-    files = (spark.read.option("recursiveFileLookup", True)
-             .option("pathGlobFilter", "*.csv").text(path, wholetext=True)
-             .select(F.split(F.regexp_replace("value", "\r|^\ufeff", ""), "\n").alias("lines"),
-                     F.col("_metadata.file_path").alias("_path")))
-    unq = lambda c: F.trim(F.regexp_replace(c, '^\\s*"|"\\s*$', ""))
-    outside = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'  # commas outside quotes
-    header = F.transform(F.split(F.get("lines", 0), outside), lambda h: F.lower(unq(h)))
-    files = files.select("lines", "_path",
-                         F.array_position(header, "period").cast("int").alias("ip"),
-                         F.array_position(header, "count").cast("int").alias("ic"))
-    files = files.where((F.col("ip") > 0) & (F.col("ic") > 0))
-    rows = files.select("_path", "ip", "ic", F.explode(F.slice("lines", 2, F.greatest(F.size("lines") - 1, F.lit(0)))).alias("line"))
-    fields = F.split("line", outside)
-    rows = rows.where(F.trim("line") != "").select(
-        "_path", unq(F.try_element_at(fields, F.col("ip"))).alias("period"),
-        F.round(unq(F.try_element_at(fields, F.col("ic"))).try_cast("double")).cast("bigint").alias("count"))
-    # topic from a 'topic=<stem>/' folder (Spark's partitioned writer) or
-    # from the file name itself ('<stem>.csv')
-    stem = F.coalesce(F.nullif(F.regexp_extract("_path", r"topic=([^/]+)/", 1), F.lit("")),
-                      F.regexp_extract("_path", r"([^/]+)\.csv$", 1))
-    return rows.select(slug_to_title(stem, suffix).alias("topic"), "period", "count").where(
-        F.col("period").isNotNull() & (F.col("period") != "") & F.col("count").isNotNull())
+    asked = ["period", "count"]
+    files = CF.catalogue(spark, path)
+    number = F.round(F.col("count").try_cast("double")).cast("bigint")
+    raw = CF.scan(spark, files, asked).select("path", "extra", F.nullif(F.trim("period"), F.lit("")).alias("period"),
+                                              number.alias("count"))
+    bad = F.col("period").isNull() | F.col("count").isNull()
+    found = CF.outcomes(files, raw, asked, bad)
+    stem = F.coalesce(F.nullif(F.regexp_extract("path", r"topic=([^/]+)/", 1), F.lit("")),
+                      F.regexp_extract("path", r"([^/]+)\.csv$", 1))
+    rows = CF.of_read_files(raw, found).where(~bad).select(slug_to_title(stem, suffix).alias("topic"), "period", "count")
+    return rows, found
+
+
+def read_topic_folder(spark: SparkSession, path: str, suffix: str = "_quarterly_counts") -> DataFrame:
+    """A4: the rows of ``topic_files``."""
+    return topic_files(spark, path, suffix)[0]
+
+
+def category_files(spark: SparkSession, path: str, columns: list[str], date: str = "published_date") -> tuple[DataFrame, DataFrame]:
+    """A5: a folder of `arxiv_X.csv` files as (rows, outcomes); the category X comes from the file's name.
+
+    rows: category, ``columns`` (strings) and ``date`` as a timestamp; rows whose date cannot be read are
+    dropped, as n_rejected of the outcomes says."""
+    from ..functions.dates import parse_timestamp
+    files = CF.catalogue(spark, path)
+    raw = CF.scan(spark, files, [*columns, date]).withColumn(date, parse_timestamp(date))
+    bad = F.col(date).isNull()
+    found = CF.outcomes(files, raw, [*columns, date], bad)
+    rows = CF.of_read_files(raw, found).where(~bad)
+    name = F.regexp_extract("path", "([^/]+)$", 1)
+    return rows.select(CF.category_of(name).alias("category"), *columns, date), found

@@ -186,3 +186,35 @@ def test_missing_domain_total_drops_row(spark):
     d = domains_df(spark, [("c", 2020, 10)])
     got = sorted((r.category, r.year) for r in T.join_domain_totals(t, d).collect())
     assert got == [("c", 2020)]   # (c, 2021) and (d, 2020) have no total: inner join drops them
+
+
+def test_fits_do_not_depend_on_the_order_of_rows(spark):
+    """H3 and H5 give the same bits for 1 and 8 partitions and any order of the rows."""
+    import random
+    r = random.Random(5)
+    terms = [("c", f"t{k}", y, r.randint(1, 10 ** 9)) for k in range(30) for y in range(2015, 2026)]
+    norm = [("c", f"t{k}", y, r.random() * 10 ** r.randint(0, 4) + 1) for k in range(30) for y in range(2015, 2026)]
+    seen = set()
+    for n in (1, 8):
+        for _ in range(3):
+            r.shuffle(terms)
+            r.shuffle(norm)
+            t = spark.createDataFrame(terms, "category string, term string, year int, count long").repartition(n)
+            m = spark.createDataFrame(norm, "category string, term string, year int, norm_freq double").repartition(n)
+            a = sorted((x.term, x.year, x.prediction.hex()) for x in T.predict_term(t, 2025).collect())
+            b = sorted((x.term, *[x[c].hex() for c in ("slope", "intercept", "r2")]) for x in T.normalized_trends(m, 2019, 2025).collect())
+            seen.add(str((a, b)))
+    assert len(seen) == 1
+
+
+def test_prediction_of_zero_has_no_noise(spark):
+    """A line through zero at the predicted year: exactly 0.0, positive."""
+    import math
+    df = spark.createDataFrame([("c", "t", 2020 + k, 30 - 10 * k) for k in range(3)], "category string, term string, year int, count long")
+    p = {x.year: x.prediction for x in T.predict_term(df, 2022).collect()}
+    assert p == {2023: 0.0, 2024: -10.0, 2025: -20.0} and math.copysign(1, p[2023]) == 1
+
+
+def test_trends_of_nothing(spark):
+    df = spark.createDataFrame([], "category string, term string, year int, norm_freq double")
+    assert T.normalized_trends(df, 0, -1).collect() == []
