@@ -39,7 +39,9 @@ MOST = 256
 PIECE, BLOCK = 1 << 20, 1 << 20
 _RNG = np.random.default_rng(20240701)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_P = 0x9E3779B97F4A7C15
+_P, _P2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
+#: The fingerprint's values of bytes are drawn apart from the key's.
+_MARK = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _Q = np.uint64(0xD6E8FEB86659FD93)
 _S29, _S32 = np.uint64(29), np.uint64(32)
 
@@ -100,6 +102,9 @@ def _segments(pieces: list[tuple[int, int, bytes]], k: int):
     first = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (piece[1:] != piece[:-1]) | drops[:-1]])[:len(starts)]
     count = np.diff(np.r_[first, len(starts)])
     s, key, which = starts[first], key[first], piece[first]
+    # the fingerprint is another polynomial over other values: equal by chance needs 128 equal bits
+    power, back = _powers(_P2, n + 1), _powers(pow(_P2, -1, 1 << 64), n + 1)
+    np.cumsum(_MARK[raw] * power[:n], out=total[1:])
     prints = _mix((total[s + count + LENGTH - 1] - total[s]) * back[s]) ^ count.astype(np.uint64)
     begin = np.r_[0, ends[:-1]]
     text = np.array([p[0] for p in pieces])[which]
@@ -204,8 +209,8 @@ RANGES = "array<struct<lo long, hi long>>"
 
 
 def together(found: DataFrame) -> DataFrame:
-    """One row per text with all its ranges."""
-    return found.groupBy("k1", "k2").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    """One row per text with all its ranges; those that repeated rows bring are the same and count once."""
+    return found.distinct().groupBy("k1", "k2").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
 
 
 def repeated_starts(docs: DataFrame, inner: tuple[int, ...] = INNER) -> DataFrame:
@@ -302,16 +307,27 @@ def remove_ranges(b: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, list[
     return b"".join(kept) + b[at:], [tuple(s) for s in spans]
 
 
-def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False) -> DataFrame:
-    """key, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (binary): one row per row."""
+def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False,
+                    with_passages: bool = False) -> DataFrame:
+    """key, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, n_shared_words (words in passages of
+    more than 50 words that other documents hold too, ``passages``) and kept (binary): one row per row."""
     spark = docs.sparkSession
     ready(spark, 512)
     body = F.coalesce(F.encode(F.col(text).cast("string"), "UTF-8"), F.lit(b""))
     rows = docs.select(F.col(key).alias("key"), body.alias("text"))
     rows = rows.select("key", F.xxhash64("key").alias("k1"), F.xxhash64("text").alias("k2"), "text")
     ranges = together(repeated_starts(rows.select("k1", "k2", "text")))
-    both = rows.join(written(spark, ranges, "repeats-ranges"), ["k1", "k2"], "left").select("key", "text", "ranges")
-    names = ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
+    if with_passages:  # by text; brought to the rows with their ranges, so that texts move once
+        from .passages import shared_words
+        shared = (rows.select("k1", "k2").distinct()
+                  .join(written(spark, shared_words(rows.select("k1", "k2", "text")), "repeats-passages"), "k2"))
+        ranges = ranges.join(shared, ["k1", "k2"], "full")
+    else:
+        ranges = ranges.withColumn("n_shared", F.lit(0).cast("long"))
+    both = (rows.join(written(spark, ranges, "repeats-ranges"), ["k1", "k2"], "left")
+            .select("key", "text", "ranges", F.coalesce("n_shared", F.lit(0).cast("long")).alias("n_shared")))
+    names = (["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["n_shared_words"] * with_passages
+             + ["kept"] * with_text)
 
     def run(batches):
         for b in batches:
@@ -322,12 +338,14 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
                 for c, v in zip(out, row, strict=True):
                     c.append(v)
             cols = [b.column(0), *(pa.array(c, pa.int64()) for c in out[:3]), pa.array(out[3], pa.string())]
-            yield pa.RecordBatch.from_arrays(cols + [pa.array(out[4], pa.binary())] * with_text, names)
+            cols += [b.column(3)] * with_passages + [pa.array(out[4], pa.binary())] * with_text
+            yield pa.RecordBatch.from_arrays(cols, names)
 
-    kinds = "n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
+    kinds = ("n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", n_shared_words long" * with_passages
+             + ", kept binary" * with_text)
     return both.mapInArrow(run, schema(("key", docs.schema[key].dataType), kinds)).withColumnRenamed("key", key)
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.tables import table
-    return substring_dedup(table(spark, sf_dir, "documents"))
+    return substring_dedup(table(spark, sf_dir, "documents"), with_passages=True)
