@@ -38,6 +38,8 @@ LEAST = 100
 FRAME_BYTES = 256 * 1024
 BUNDLE_BYTES = 32 * 1024 * 1024
 LEVEL = 3
+#: Tasks that read archives back, at most; beyond that many bundles a task reads several, one after the other.
+MOST_TASKS = 10_000
 DATE = "2024-01-01T00:00:00Z"
 #: Fixed values of the seekable format.
 SKIPPABLE_MAGIC = 0x184D2A5E
@@ -209,7 +211,7 @@ def write_archives(pages: DataFrame, base: str) -> DataFrame:
 
 def read_archives(index: DataFrame, payloads: bool = True) -> DataFrame:
     """RECORDS of all bundles that the index lists, frame by frame; a revisit has a null payload.
-    Every response is held against its digest, every index row against the bundle."""
+    Every response is held against its digest, every index row against the bundle.  A task reads one bundle."""
     spark = index.sparkSession
     ready(spark)
     bundles = index.groupBy("bundle").agg(F.count("*").alias("n"))
@@ -245,7 +247,8 @@ def read_archives(index: DataFrame, payloads: bool = True) -> DataFrame:
                 if seen != n:
                     raise ValueError(f"{bundle}: {seen} records, {n} in the index")
 
-    return bundles.repartition(max(count, 1), "bundle").mapInArrow(run, RECORDS)
+    # by range, not by hash: a task for each bundle, where the aggregate above dealt them out by hash
+    return bundles.repartitionByRange(min(max(count, 1), MOST_TASKS), "bundle").mapInArrow(run, RECORDS)
 
 
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:

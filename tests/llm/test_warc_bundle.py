@@ -1,6 +1,9 @@
 import hashlib
 import uuid
 
+import pytest
+from pyspark.sql import functions as F
+
 from lexitrend.llm import warc_bundle as W
 from lexitrend.session import checkpoint_path
 
@@ -36,6 +39,23 @@ def test_round_trip_with_revisits(spark, monkeypatch):
     assert index.count() == len(rows) and index.select("bundle").distinct().count() > 1
 
 
+@pytest.mark.parametrize("bundles", [2, 4, 7])
+def test_one_task_reads_one_bundle(spark, monkeypatch, bundles):
+    """Fewer bundles than shuffle partitions, as many, and more."""
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == 4
+    rows = spark.range(bundles * 30).select(F.col("id").alias("page_id"), F.lit("u").alias("url"),
+                                            F.concat(F.lit("<p>"), F.sha2(F.col("id").cast("string"), 512)).alias("html"))
+    index = W.write_archives(rows.repartitionByRange(bundles, "page_id"), checkpoint_path(spark, f"warc-{uuid.uuid4().hex}"))
+    assert index.select("bundle").distinct().count() == bundles
+    read = W.read_archives(index).withColumn("task", F.spark_partition_id())
+    of = index.select("record_id", "bundle")
+    tasks = read.join(of, "record_id").groupBy("bundle").agg(F.count_distinct("task").alias("t"), F.max("task").alias("task")).collect()
+    assert [r.t for r in tasks] == [1] * bundles and len({r.task for r in tasks}) == bundles
+    assert read.count() == bundles * 30
+    monkeypatch.setattr(W, "MOST_TASKS", 2)
+    assert W.read_archives(index).count() == bundles * 30
+
+
 def test_empty_table(spark):
     index, got = build(spark, [])
     assert got == [] and index.count() == 0
