@@ -50,13 +50,14 @@ def tokens(clean) -> Column:
     return F.split(_c(clean), " ")
 
 
-def drop_stopwords(toks, extended: bool) -> Column:
+def drop_stopwords(toks, extended: bool, academic: list[str] | None = None) -> Column:
     """C1 (extended=True: English + academic list) / C2 (English only):
-    keep words longer than 2 characters that are not stopwords.
+    keep words longer than 2 characters that are not stopwords;
+    ``academic`` replaces the academic list.
 
     ``isin`` with a long literal list is planned as a hash-set lookup.
     """
-    stop = ENGLISH_STOPWORDS + (ACADEMIC_STOPWORDS if extended else [])
+    stop = ENGLISH_STOPWORDS + ((ACADEMIC_STOPWORDS if academic is None else academic) if extended else [])
     stop = sorted({w for w in stop if len(w) > 2})
     return F.filter(_c(toks), lambda w: (F.length(w) > 2) & ~w.isin(stop))
 

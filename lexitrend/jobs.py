@@ -10,6 +10,7 @@ writes Parquet (or CSV) output partitioned the way the next job reads it.
   domain_stats     clean papers -> distinct papers per domain x year       D2
   monthly          clean papers -> zero-filled monthly counts              D1
   trends           term table + domain stats -> top trends, forecasts      F1, H1-H8, E6
+  configured       a section of a JSON file -> term tables, phrase counts  A12, C1-C6
 """
 
 from __future__ import annotations
@@ -21,8 +22,9 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from . import constants as K
+from .config import load_config
 from .functions.categories import primary_category, target_domains
-from .functions.dates import is_bad_date, parse_timestamp
+from .functions.dates import is_bad_date, parse_timestamp, quarter_label
 from .functions.text import flatten_newlines
 from .operators import aggregates as AG
 from .operators import langid as LI
@@ -169,10 +171,25 @@ def trends(spark: SparkSession, terms_path: str, domains_path: str, output: str,
     T.forecast(top, end).write.mode("overwrite").parquet(f"{output}/forecast")
 
 
+def configured(spark: SparkSession, config_path: str, section: str) -> dict:
+    """The term tables and phrase counts of one section of a JSON configuration (``config``): papers
+    from ``data_file``, terms and phrases below ``output``; returns the number of unreadable dates."""
+    ensure_checkpoint_dir(spark)
+    c = load_config(config_path, section)
+    output = c.output or f"{section.lower()}_out"
+    papers = read_papers(spark, c.data_file)
+    counts = TM.term_year_counts(TM.with_clean_text(papers), min_df=c.min_df, min_docs=c.min_docs_per_year,
+                                 academic=c.academic_stopwords).checkpoint(eager=True)
+    SK.write_parquet(TM.top_terms(counts, c.top_terms), f"{output}/terms", ["category", "n"], mode="replace_partitions")
+    phrases = TM.phrase_period_counts(papers, c.search_terms, quarter_label("published_date"))
+    SK.write_csv(phrases, f"{output}/phrases")
+    return {"bad_dates": papers.where("bad_date").count()}
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(prog="python -m lexitrend.jobs")
     ap.add_argument("job", choices=["clean_snapshot", "clean_works", "split_domains", "term_tables",
-                                    "domain_stats", "monthly", "trends"])
+                                    "domain_stats", "monthly", "trends", "configured"])
     ap.add_argument("inputs", nargs="+", help="input path(s) then the output path")
     ap.add_argument("--master", default=None)
     a = ap.parse_args(argv)

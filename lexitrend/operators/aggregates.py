@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from .. import constants as K
 from ..functions.dates import month_label, month_start
 from .joins import join_small
+from .quantiles import exact_percentiles
 
 
 def monthly_counts(df: DataFrame, date_col: str = "published_date") -> DataFrame:
@@ -44,16 +45,21 @@ def series_stats(df: DataFrame, key: str = "topic", value: str = "count") -> Dat
 
 
 def box_summary(df: DataFrame, key: str = "topic", value: str = "count", exact: bool = True,
-                accuracy: int = 10000) -> DataFrame:
+                accuracy: int = 10000, unbounded: bool = False) -> DataFrame:
     """Quartiles (linear), 1.5 IQR fences, whiskers (extreme values
     inside the fences), outlier count, mean; one row per series.
 
     ``exact`` uses ``percentile``, whose buffer holds a group's distinct
-    values in one task (fine for period series); ``exact=False`` uses the
-    bounded-memory ``percentile_approx`` sketch for unbounded groups."""
-    pct = (F.percentile(value, [0.25, 0.5, 0.75]) if exact
-           else F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy).cast("array<double>"))
-    q = df.groupBy(key).agg(pct.alias("q"), F.avg(value).alias("mean"))
+    values in one task (fine for period series); ``unbounded`` gives the same
+    quartiles by ``quantiles.exact_percentiles``, for groups of any size;
+    ``exact=False`` uses the bounded-memory ``percentile_approx`` sketch."""
+    if unbounded:
+        q = (exact_percentiles(df, [key], value, [0.25, 0.5, 0.75]).select(F.col(key).alias("_key"), "q")
+             .join(df.groupBy(key).agg(F.avg(value).alias("mean")), F.col("_key").eqNullSafe(F.col(key))))
+    else:
+        pct = (F.percentile(value, [0.25, 0.5, 0.75]) if exact
+               else F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy).cast("array<double>"))
+        q = df.groupBy(key).agg(pct.alias("q"), F.avg(value).alias("mean"))
     q = q.select(key, "mean", F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     q = q.withColumn("fence_lo", F.col("q1") - 1.5 * F.col("iqr")).withColumn("fence_hi", F.col("q3") + 1.5 * F.col("iqr"))

@@ -44,13 +44,13 @@ def _tag(n: int):
     return lambda x: F.struct(F.lit(n).alias("n"), x.alias("term"))
 
 
-def _gram_array(clean: DataFrame, ns) -> DataFrame:
+def _gram_array(clean: DataFrame, ns, academic: list[str] | None = None) -> DataFrame:
     """(id, year, domains, g): g = every n-gram occurrence of the paper as
     array<struct<n, term>>.  The filtered token arrays are projected once as
     columns, then the shifted slices read those columns."""
     words = tokens("clean")
     toks = clean.select("id", "year", "domains",
-                        drop_stopwords(words, extended=True).alias("_uni"),
+                        drop_stopwords(words, extended=True, academic=academic).alias("_uni"),
                         drop_stopwords(words, extended=False).alias("_en"))
     parts = []
     if 1 in ns:
@@ -61,7 +61,7 @@ def _gram_array(clean: DataFrame, ns) -> DataFrame:
     return toks.select("id", "year", "domains", allterms.alias("g"))
 
 
-def term_rows(clean: DataFrame, ns=(1, 2, 3)) -> DataFrame:
+def term_rows(clean: DataFrame, ns=(1, 2, 3), academic: list[str] | None = None) -> DataFrame:
     """(id, year, domains, n, term) for every n-gram occurrence, whole texts.
 
     Unigrams use the English + academic stopword list (C1), longer n-grams
@@ -70,23 +70,23 @@ def term_rows(clean: DataFrame, ns=(1, 2, 3)) -> DataFrame:
     # explode_outer + a filter above it: a plain explode makes the optimizer
     # infer size(g) > 0 and push it below the projections, where it would be
     # rewritten over (and re-run) the whole clean/tokenise/n-gram pipeline
-    return (_gram_array(clean, ns).select("id", "year", "domains", F.explode_outer("g").alias("t"))
+    return (_gram_array(clean, ns, academic).select("id", "year", "domains", F.explode_outer("g").alias("t"))
             .where(F.col("t").isNotNull())
             .select("id", "year", "domains", F.col("t.n").alias("n"), F.col("t.term").alias("term")))
 
 
 def term_year_counts(clean: DataFrame, ns=(1, 2, 3), min_df: dict | None = None,
-                     min_docs: int = K.MIN_DOCS_PER_YEAR) -> DataFrame:
+                     min_docs: int = K.MIN_DOCS_PER_YEAR, academic: list[str] | None = None) -> DataFrame:
     """C4: per (category, year, n, term) total occurrences (tf) and document
     frequency (df); kept when df >= min_df[n] and the (category, year) has
-    at least ``min_docs`` papers."""
+    at least ``min_docs`` papers.  ``academic`` replaces the academic stopwords."""
     min_df = min_df or K.MIN_DF
     # The papers are hash-partitioned by id first: the text moves once and
     # is far smaller than its exploded n-grams, and the per-paper aggregate
     # (keys include id) then needs no exchange of its own.  Measured at
     # sf0.1: 24 s -> 8 s.  Hash aggregation is codegen'd (per-element
     # lambdas over a sorted array were measured ~2x slower).
-    per_doc = (term_rows(clean.repartition("id"), ns)
+    per_doc = (term_rows(clean.repartition("id"), ns, academic)
                .groupBy("id", "year", "domains", "n", "term").agg(F.count(F.lit(1)).alias("tf")))
     per_cat = (per_doc.select("year", F.explode("domains").alias("category"), "n", "term", "tf")
                .groupBy("category", "year", "n", "term")

@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 
 from .. import constants as K
 from .joins import join_small
+from .quantiles import exact_percentiles
 
 
 def year_bounds(df: DataFrame, col: str = "year") -> tuple[int, int]:
@@ -192,10 +193,14 @@ def growth(terms_dense: DataFrame, start: int, end: int) -> DataFrame:
             .where(F.col("growth_percent") < K.GROWTH_PCT_CAP))
 
 
-def median_growth(growth_df: DataFrame, exact: bool = True, accuracy: int = 10000) -> DataFrame:
+def median_growth(growth_df: DataFrame, exact: bool = True, accuracy: int = 10000, unbounded: bool = False) -> DataFrame:
     """Median growth percent per category.  ``exact`` (linear
     interpolation) suits the bounded per-category term lists (C5 keeps 1000
-    per category and n); ``exact=False`` is the bounded-memory sketch."""
+    per category and n); ``unbounded`` gives the same for lists of any length;
+    ``exact=False`` is the bounded-memory sketch."""
+    if unbounded:
+        return (exact_percentiles(growth_df, ["category"], "growth_percent", [0.5])
+                .select("category", F.col("q")[0].alias("median_growth")))
     m = (F.percentile("growth_percent", 0.5) if exact
          else F.percentile_approx("growth_percent", 0.5, accuracy).cast("double"))
     return growth_df.groupBy("category").agg(m.alias("median_growth"))

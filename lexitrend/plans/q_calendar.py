@@ -121,6 +121,23 @@ def d10_box_summary(spark, sf):
                     ).orderBy(F.desc("mean"), "topic")
 
 
+@register("d10_box_large_groups", """WITH q AS (
+  SELECT l_returnflag AS topic, avg(l_extendedprice) AS mean, quantile_cont(l_extendedprice, 0.25) AS q1,
+         quantile_cont(l_extendedprice, 0.5) AS median, quantile_cont(l_extendedprice, 0.75) AS q3 FROM lineitem GROUP BY 1),
+  f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+SELECT topic, round(mean, 4) AS mean, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3,
+       round(min(l_extendedprice) FILTER (WHERE l_extendedprice BETWEEN lo AND hi), 4) AS whisker_lo,
+       round(max(l_extendedprice) FILTER (WHERE l_extendedprice BETWEEN lo AND hi), 4) AS whisker_hi,
+       CAST(count(*) FILTER (WHERE l_extendedprice NOT BETWEEN lo AND hi) AS BIGINT) AS n_outliers
+FROM f JOIN lineitem ON l_returnflag = topic GROUP BY topic, mean, q1, median, q3""")
+def d10_box_large_groups(spark, sf):
+    """D10 over three groups that grow with the table: quartiles by rank selection, no group in one buffer."""
+    rows = table(spark, sf, "lineitem").select(F.col("l_returnflag").alias("topic"), F.col("l_extendedprice").cast("double").alias("count"))
+    b = AG.box_summary(rows, unbounded=True)
+    r4 = lambda c: F.round(c, 4).alias(c)
+    return b.select("topic", *map(r4, ["mean", "q1", "median", "q3", "whisker_lo", "whisker_hi"]), F.col("n_outliers").cast("bigint").alias("n_outliers"))
+
+
 YEARLY_SQL = TOPIC_SQL + """, yt AS (
   SELECT CAST(substr(period, 1, 4) AS INTEGER) AS year, topic, CAST(sum(count) AS BIGINT) AS count
   FROM topic_period GROUP BY 1, 2)

@@ -194,7 +194,7 @@ def _papers_csv(spark, sf, columns):
     path = _scratch(spark, "a6-papers")
     p = S.papers(spark, sf).withColumn("authors", F.lit(None).cast("string"))
     SK.write_csv(p.select([f.name for f in CO.PAPERS_CSV_SCHEMA.fields]), path)
-    return CO.read_csv(spark, path, columns, multi_line=True)  # the texts hold line breaks
+    return CO.read_csv(spark, path, columns, multi_line=None)  # the files tell whether texts hold line breaks
 
 
 @register("a6_csv_roundtrip", S.with_ctes(S.PAPERS_SQL) + """

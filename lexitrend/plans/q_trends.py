@@ -492,7 +492,7 @@ def b17_wide_csv_adapter(spark, sf):
                         *[F.col(str(y)) for y in years], F.col("total").alias("Total"))
     path = checkpoint_path(spark, f"b17-wide-{uuid.uuid4().hex[:12]}")
     SK.write_csv(loose, path)
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    raw = spark.read.option("header", True).option("escape", '"').csv(path)  # no text with line breaks
     std = R.standardize_columns(raw)
     ycols = R.year_columns(std)
     std = R.coerce_numeric(std, ycols)

@@ -67,12 +67,22 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str], optional: tuple[str, ...] = (),
-             multi_line: bool = False) -> DataFrame:
+             multi_line: bool | None = False) -> DataFrame:
     """A3: columns of header CSV files, as strings, found by name (trimmed, without a byte order mark).
 
     Files may order their columns as they like, but all files of a path alike: a header that differs
     from the first one fails the read.  An absent column is an error, or null if ``optional``.
-    ``multi_line`` (quoted line breaks) makes each file one task: only for texts that need it."""
+    ``multi_line`` (quoted line breaks) makes each file one task; None looks at the files first
+    (``csv_files.catalogue``, one pass over their lines), so that only those with line breaks inside
+    texts are, and the files' headers may differ in order and number."""
+    if multi_line is None:
+        files = CF.catalogue(spark, path, "*.csv*", ignore_corrupt=False).where(F.col("bytes") > 0)
+        unfit = CF.layouts(files, [c for c in columns if c not in optional])[1]
+        if unfit:
+            raise ValueError(f"{path}: a column of {', '.join(columns)} is missing in {unfit[0]}")
+        must = [c for c in columns if c not in optional]
+        rows = CF.scan(spark, files, must, [c for c in columns if c in optional], ignore_corrupt=False)
+        return rows.select(*columns)
     df = (spark.read.option("header", True).option("enforceSchema", False).option("multiLine", multi_line)
           .option("escape", '"').csv(path))
     names = {c.lstrip("\ufeff").strip().strip('"').lower(): c for c in df.columns}
@@ -83,7 +93,7 @@ def read_csv(spark: SparkSession, path: str, columns: list[str], optional: tuple
                        else F.lit(None).cast("string").alias(c) for c in columns])
 
 
-def read_papers_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_papers_csv(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
     """Clean papers of six or seven CSV columns in any order; without ``all_categories`` the primary
     category stands in for it."""
     df = read_csv(spark, path, PAPERS_CSV_SCHEMA.names, ("authors", "primary_category", "all_categories"), multi_line)

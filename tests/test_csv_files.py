@@ -84,3 +84,17 @@ def test_large_plain_files_are_split(spark, tmp_path):
         spark.conf.set(key, before)
     plan = df._jdf.queryExecution().toString()
     assert "wholetext" not in plan.lower()
+
+
+def test_papers_of_files_that_differ(spark, tmp_path):
+    """A3: six or seven columns in any order; line breaks in one file do not make the others one task."""
+    head, line = "id,title,published_date,authors,primary_category,summary", '1,T,2020-05-06,"A, B",cs.AI,"two\nlines"'
+    path = put(tmp_path, {"a.csv": f"{head}\n{line}\n", "void.csv": "",
+                          "b.csv": "summary,id,title,published_date,all_categories\ns,2,U,2021-01-01,cs.LG math.ST\n"})
+    got = {r.id: (r.title, r.summary, r.authors, r.all_categories) for r in CO.read_papers_csv(spark, path).collect()}
+    assert got == {"1": ("T", "two\nlines", "A, B", "cs.AI"), "2": ("U", "s", None, "cs.LG math.ST")}
+    try:
+        CO.read_csv(spark, path, ["authors"], multi_line=None)
+        raise AssertionError("a file lacks the column")
+    except ValueError:
+        pass

@@ -128,3 +128,29 @@ def test_reruns_replace_only_their_partitions(spark, tmp_path):
     SK.write_parquet(df.where("d = 'hot' AND id < 100"), out, ["d"], mode="replace_partitions")
     got = {r.d: r["count"] for r in spark.read.parquet(out).groupBy("d").count().collect()}
     assert got == {"hot": 90, "d0": 100, "d1": 100, "d2": 100}
+
+
+def test_job_from_a_configuration(spark, tmp_path):
+    """One job run from a JSON section; wrong files, sections and settings are errors."""
+    import json
+
+    import pytest
+
+    from lexitrend.config import load_config
+    lines = [f'{k},title,electric vehicle inflation paper,2020-0{k % 3 + 1}-01,econ.EM' for k in range(8)] + ["9,t,x,soon,econ.EM"]
+    (tmp_path / "econ.csv").write_text("id,title,summary,published_date,primary_category\n" + "\n".join(lines) + "\n")
+    cfg = tmp_path / "config.json"
+    section = {"data_file": str(tmp_path / "econ.csv"), "output": str(tmp_path / "out"), "academic_stopwords": ["inflation"],
+               "search_terms": ["electric vehicle"], "min_df": {"1": 8, "2": 8, "3": 8}, "min_docs_per_year": 8}
+    cfg.write_text(json.dumps({"Economy": section, "Empty": {}, "Odd": section | {"colour": 1}, "Wrong": section | {"top_terms": "x"}}))
+    assert jobs.configured(spark, str(cfg), "Economy") == {"bad_dates": 1}
+    terms = {(r.n, r.term): r["count"] for r in spark.read.parquet(str(tmp_path / "out/terms")).collect()}
+    assert (1, "inflation") not in terms and terms[(1, "paper")] == 8 and terms[(2, "vehicle inflation")] == 8
+    got = spark.read.option("header", True).csv(str(tmp_path / "out/phrases")).collect()
+    assert [(r.phrase, r.period, r["count"]) for r in got] == [("electric vehicle", "2020Q1", "8")]
+    assert load_config(str(cfg), "Economy").top_terms == 1000
+    for what, error in (("Empty", ValueError), ("Odd", ValueError), ("Wrong", ValueError), ("None", KeyError)):
+        with pytest.raises(error):
+            load_config(str(cfg), what)
+    with pytest.raises(FileNotFoundError):
+        load_config(str(tmp_path / "none.json"), "Economy")
