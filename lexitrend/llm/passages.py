@@ -5,12 +5,13 @@ words (white space between them does not matter) that also stands in another doc
 
 1. Every sequence of LENGTH words is filed under the smallest hash of the ``INNER``-word sequences
    inside it; consecutive starts with one key form a segment.
-2. Segments with equal words (two independent 64-bit values) of different texts are shared as a whole.
+2. Segments with equal words (key and fingerprint, two independent 64-bit values) of different texts are
+   shared as a whole.
 3. Of the other segments of a key that different texts have, each sequence of LENGTH words is compared
-   by two independent 64-bit values: the texts that hold such segments are read once more for them.
+   (key and a fingerprint of its own): the texts that hold such segments are read once more for them.
 
-Texts that several rows have are shared as a whole.  Hot passages are aggregated before they move: a
-key, a segment or a sequence travels as its least and its greatest text.
+Texts that several rows have are shared as a whole; a task cuts each of them once.  Hot passages are
+aggregated before they move: a key, a segment or a sequence travels as its least and its greatest text.
 
 Defined results: null texts and those with fewer than LENGTH words share nothing; a passage repeated
 in one document alone is not shared; an empty table gives an empty result.
@@ -24,12 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import texts, written
-from .substring_dup import _BYTE, _P, _mix, _powers, sliding_min
+from .substring_dup import _BYTE, _P, _mix, powers, sliding_min
 
 #: Passages are longer than 50 words.
-LENGTH, INNER = 51, 26
-#: Words worked on at once.
-PIECE = 1 << 18
+LENGTH, INNER = 51, 16
+#: Words hashed at once, bytes of texts cut together, and texts that a task remembers to have cut.
+PIECE, GROUP, SEEN = 1 << 18, 1 << 21, 1 << 20
 _P2 = 0xC2B2AE3D27D4EB4F
 _OTHER = np.uint64(0x94D049BB133111EB)
 
@@ -37,55 +38,50 @@ _OTHER = np.uint64(0x94D049BB133111EB)
 def _rolling(values: np.ndarray, p: int):
     """A function that hashes values[a:b] for arrays a, b."""
     n = len(values)
-    power, back = _powers(p, n + 1), _powers(pow(p, -1, 1 << 64), n + 1)
+    power, back = powers(p, n + 1), powers(pow(p, -1, 1 << 64), n + 1)
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(values * power[:n], out=total[1:])
     return lambda a, b: _mix((total[b] - total[a]) * back[a])
 
 
-def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of each word of a text, words being cut at ASCII white space."""
-    raw = np.frombuffer(text, dtype=np.uint8)
-    inside = ~((raw == 32) | ((raw >= 9) & (raw <= 13)))
-    edge = np.diff(np.r_[False, inside, False].astype(np.int8))
-    first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    out = []
+def word_hashes(batch: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word of all texts, cut at ASCII white space, and the words of each text."""
+    raw = np.frombuffer(b" ".join(batch), dtype=np.uint8)
+    inside = (raw > 32) | (raw < 9) | ((raw > 13) & (raw < 32))
+    edge = np.flatnonzero(np.diff(np.r_[False, inside, False].view(np.int8)))
+    first, last = edge[::2], edge[1::2]
+    out = [np.zeros(0, np.uint64)]
     for at in range(0, len(first), PIECE):
         a, b = first[at:at + PIECE], last[at:at + PIECE]
-        if len(a):
-            part = raw[a[0]:b[-1]]
-            out.append(_rolling(_BYTE[part], _P)(a - a[0], b - a[0]))
-    return np.concatenate(out) | np.uint64(1) if out else np.zeros(0, np.uint64)
+        out.append(_rolling(_BYTE[raw[a[0]:b[-1]]], _P)(a - a[0], b - a[0]))
+    ends = np.cumsum([len(t) + 1 for t in batch])
+    return np.concatenate(out) | np.uint64(1), np.diff(np.searchsorted(first, ends), prepend=0)
+
+
+def _marks(values: np.ndarray):
+    return _rolling(_mix(values ^ _OTHER) | np.uint64(1), _P2)
 
 
 def _segments(batch: list[bytes]):
-    """(text, first, count, key, mark, mark2, words of each text) arrays for a batch: consecutive starts with one key."""
-    words = [word_hashes(t) for t in batch]
-    sizes = np.array([len(w) for w in words], dtype=np.int64)
-    found = []
-    values = np.concatenate(words) if words else np.zeros(0, np.uint64)
-    if len(values) >= LENGTH:
-        one, two = _rolling(values, _P), _rolling(_mix(values ^ _OTHER) | np.uint64(1), _P2)
-        at = np.arange(len(values) - INNER + 1)
-        inner = one(at, at + INNER)
-        key = sliding_min(inner, LENGTH - INNER + 1)
-        starts = np.arange(len(key))
-        ends = np.cumsum(sizes)
-        text = np.searchsorted(ends, starts, side="right")
-        ok = starts + LENGTH <= ends[text]
-        starts, key, text = starts[ok], key[ok], text[ok]
-        if len(starts):
-            # a segment also ends where its smallest sequence drops out and an equal one takes its place
-            drops = inner[starts] == key
-            new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (text[1:] != text[:-1]) | drops[:-1]])
-            count = np.diff(np.r_[new, len(starts)])
-            s = starts[new]
-            e = s + count + LENGTH - 1
-            found = [text[new], s - np.r_[0, ends[:-1]][text[new]], count, key[new],
-                     one(s, e) ^ _mix(count.astype(np.uint64)), two(s, e)]
-    if not found:
-        found = [np.zeros(0, np.int64)] * 3 + [np.zeros(0, np.uint64)] * 3
-    return *found, sizes
+    """(text, first, count, key, mark, words of the text) arrays: consecutive starts with one key."""
+    values, sizes = word_hashes(batch)
+    none = np.zeros(0, np.int64)
+    if len(values) < LENGTH:
+        return none, none, none, none.view(np.uint64), none.view(np.uint64), none
+    one, two = _rolling(values, _P), _marks(values)
+    at = np.arange(len(values) - INNER + 1)
+    inner = one(at, at + INNER)
+    key = sliding_min(inner, LENGTH - INNER + 1)
+    starts, ends = np.arange(len(key)), np.cumsum(sizes)
+    text = np.repeat(np.arange(len(batch)), sizes)[:len(key)]
+    ok = starts + LENGTH <= ends[text]
+    starts, key, text = starts[ok], key[ok], text[ok]
+    # a segment also ends where its smallest sequence drops out and an equal one takes its place
+    drops = inner[starts] == key
+    new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (text[1:] != text[:-1]) | drops[:-1]])[:len(starts)]
+    count = np.diff(np.r_[new, len(starts)])
+    s, of = starts[new], text[new]
+    return of, s - (ends - sizes)[of], count, key[new], two(s, s + count + LENGTH - 1) ^ count.astype(np.uint64), sizes[of]
 
 
 def covered(starts: list[tuple[int, int]]) -> int:
@@ -105,56 +101,72 @@ def shared_words(rows: DataFrame) -> DataFrame:
     spark = rows.sparkSession
 
     def cut(batches):
+        seen = set()
         for b in batches:
-            text, first, count, key, mark, mark2, sizes = _segments(texts(b.column(1)))
-            # texts without segments need no row
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(text)), pa.array(sizes[text] if len(text) else np.zeros(0, np.int64)),
-                 pa.array(first.astype(np.int64)), pa.array(count.astype(np.int64)),
-                 *(pa.array(x.view(np.int64)) for x in (key, mark, mark2))], names)
-
-    names = ["k2", "words", "first", "count", "key", "mark", "mark2"]
+            ids, todo, size = [], [], 0
+            for k2, t in zip(b.column(0).to_pylist(), texts(b.column(1)), strict=True):
+                if k2 in seen:
+                    continue
+                if len(seen) >= SEEN:
+                    seen.clear()
+                seen.add(k2)
+                ids.append(k2)
+                todo.append(t)
+                size += len(t)
+                if size >= GROUP:
+                    yield segments(ids, todo)
+                    ids, todo, size = [], [], 0
+            if todo:
+                yield segments(ids, todo)
+
+    def segments(ids, todo):
+        text, first, count, key, mark, sizes = _segments(todo)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (
+            np.array(ids, np.int64)[text], sizes.astype(np.int64), first.astype(np.int64), count.astype(np.int64),
+            key.view(np.int64), mark.view(np.int64))], names)
+
+    names = ["k2", "words", "first", "count", "key", "mark"]
     every = written(spark, rows.select("k2", "text").mapInArrow(cut, ", ".join(f"{c} long" for c in names)),
                     "passages-segments")
-    # texts of several rows: every word is shared; the first segment stands for the row
-    copies = (every.where("first = 0").groupBy("k2").agg(F.count(F.lit(1)).alias("n"), F.max("words").alias("words"))
-              .where("n > 1").select("k2", F.col("words").alias("n_shared")))
-    copies = written(spark, copies, "passages-copies")
     sides = [F.min("k2").alias("a"), F.max("k2").alias("b")]
-    keys = every.groupBy("key").agg(*sides).where("a <> b").select("key")
+    # written, so that the joins below are of plain tables, which adaptive execution splits on a hot key
+    keys = written(spark, every.groupBy("key").agg(*sides).where("a <> b").select("key"), "passages-keys")
     near = written(spark, every.join(keys, "key"), "passages-near")
-    marks = near.groupBy("key", "mark", "mark2").agg(*sides, F.min(F.struct("k2", "first", "count")).alias("at"))
-    marks = written(spark, marks, "passages-marks")
-    whole = (near.join(marks.where("a <> b").select("key", "mark", "mark2"), ["key", "mark", "mark2"])
-             .select("k2", "first", "count"))
+    marks = written(spark, near.groupBy("key", "mark").agg(*sides, F.min(F.struct("k2", "first", "count")).alias("at")),
+                    "passages-marks")
+    of_several = written(spark, marks.where("a <> b").select("key", "mark"), "passages-whole")
+    whole = near.join(of_several, ["key", "mark"]).select("k2", "first", "count")
     # segments of one text, and what they may share sequences with: all marks of a key that has several
     mixed = (marks.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max(F.col("a") == F.col("b")).alias("lone"))
              .where("m > 1 and lone").select("key"))
-    chosen = marks.join(mixed, "key").select("key", "mark", "mark2", "a", "b", "at.*")
-    chosen = chosen.groupBy("k2").agg(F.collect_list(F.struct("first", "count", "key", "mark", "mark2", "a", "b")).alias("s"))
-    chosen = chosen.join(rows.groupBy("k2").agg(F.min("k1").alias("k1")), "k2")
+    chosen = marks.join(mixed, "key").select("key", "mark", "a", "b", "at.*")
+    chosen = chosen.groupBy("k2").agg(F.collect_list(F.struct("first", "count", "key", "mark", "a", "b")).alias("s"))
+    by_text = written(spark, rows.groupBy("k2").agg(F.min("k1").alias("k1"), F.count(F.lit(1)).alias("n")), "passages-texts")
+    chosen = chosen.join(by_text.drop("n"), "k2")
 
     def sequences(batches):
         for b in batches:
-            for text, segments in zip(texts(b.column(0)), b.column(1).to_pylist(), strict=True):
-                values = word_hashes(text)
-                one, two = _rolling(values, _P), _rolling(_mix(values ^ _OTHER) | np.uint64(1), _P2)
-                start = np.concatenate([np.arange(s["first"], s["first"] + s["count"]) for s in segments])
-                of = np.repeat(np.arange(len(segments)), [s["count"] for s in segments])
-                cols = {c: np.array([s[c] for s in segments], np.int64)[of] for c in ("first", *carried)}
+            for text, found in zip(texts(b.column(0)), b.column(1).to_pylist(), strict=True):
+                two = _marks(word_hashes([text])[0])
+                start = np.concatenate([np.arange(s["first"], s["first"] + s["count"]) for s in found])
+                of = np.repeat(np.arange(len(found)), [s["count"] for s in found])
+                cols = {c: np.array([s[c] for s in found], np.int64)[of] for c in ("first", *carried)}
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(start - cols.pop("first")), *(pa.array(h(start, start + LENGTH).view(np.int64)) for h in (one, two)),
-                     *map(pa.array, cols.values())], ["step", "h1", "h2", *carried])
+                    [pa.array(start - cols.pop("first")), pa.array(two(start, start + LENGTH).view(np.int64)),
+                     *map(pa.array, cols.values())], ["step", "h", *carried])
 
-    carried = ["key", "mark", "mark2", "a", "b"]
+    carried = ["key", "mark", "a", "b"]
     hashes = (rows.join(chosen, ["k1", "k2"]).select("text", "s")
-              .mapInArrow(sequences, ", ".join(f"{c} long" for c in ("step", "h1", "h2", *carried))))
-    hashes = written(spark, hashes.dropDuplicates(["key", "mark", "mark2", "step"]), "passages-sequences")
-    both = hashes.groupBy("key", "h1", "h2").agg(F.min("a").alias("least"), F.max("b").alias("most"))
-    steps = (hashes.where("a = b").join(both.where("least <> most"), ["key", "h1", "h2"])
-             .select("key", "mark", "mark2", "step"))
-    parts = near.join(steps, ["key", "mark", "mark2"]).select(
+              .mapInArrow(sequences, ", ".join(f"{c} long" for c in ("step", "h", *carried))))
+    hashes = written(spark, hashes.dropDuplicates(["key", "mark", "step"]), "passages-sequences")
+    both = hashes.groupBy("key", "h").agg(F.min("a").alias("least"), F.max("b").alias("most"))
+    both = written(spark, both.where("least <> most").select("key", "h"), "passages-both")
+    steps = written(spark, hashes.where("a = b").join(both, ["key", "h"]).select("key", "mark", "step"), "passages-steps")
+    parts = near.join(steps, ["key", "mark"]).select(
         "k2", (F.col("first") + F.col("step")).alias("first"), F.lit(1).cast("long").alias("count"))
+    # texts of several rows: every word is shared
+    long = every.where("first = 0").groupBy("k2").agg(F.max("words").alias("n_shared"))
+    copies = written(spark, long.join(by_text.where("n > 1").select("k2"), "k2"), "passages-copies")
     ranges = (whole.unionByName(parts).distinct()
               .groupBy("k2").agg(F.collect_list(F.struct("first", "count")).alias("ranges")))
 

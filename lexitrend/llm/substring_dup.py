@@ -57,6 +57,16 @@ def _powers(p: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def powers(p: int, n: int) -> np.ndarray:
+    """The first ``n`` powers; a worker keeps them."""
+    if len(_POWERS.get(p, ())) < n:
+        _POWERS[p] = _powers(p, max(n, 2 * PIECE))
+    return _POWERS[p][:n]
+
+
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     """Smallest of each ``w`` consecutive values."""
     n = len(x) - w + 1
@@ -87,7 +97,7 @@ def _segments(pieces: list[tuple[int, int, bytes]], k: int):
     raw = np.frombuffer(b"".join(p[2] for p in pieces), dtype=np.uint8)
     ends = np.cumsum([len(p[2]) for p in pieces])
     n = len(raw)
-    power, back = _powers(_P, n + 1), _powers(pow(_P, -1, 1 << 64), n + 1)
+    power, back = powers(_P, n + 1), powers(pow(_P, -1, 1 << 64), n + 1)
     total = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(_BYTE[raw] * power[:n], out=total[1:])
     inner = _mix((total[k:] - total[:n - k + 1]) * back[:n - k + 1])
@@ -103,7 +113,7 @@ def _segments(pieces: list[tuple[int, int, bytes]], k: int):
     count = np.diff(np.r_[first, len(starts)])
     s, key, which = starts[first], key[first], piece[first]
     # the fingerprint is another polynomial over other values: equal by chance needs 128 equal bits
-    power, back = _powers(_P2, n + 1), _powers(pow(_P2, -1, 1 << 64), n + 1)
+    power, back = powers(_P2, n + 1), powers(pow(_P2, -1, 1 << 64), n + 1)
     np.cumsum(_MARK[raw] * power[:n], out=total[1:])
     prints = _mix((total[s + count + LENGTH - 1] - total[s]) * back[s]) ^ count.astype(np.uint64)
     begin = np.r_[0, ends[:-1]]
