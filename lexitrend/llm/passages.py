@@ -1,17 +1,18 @@
-"""Passages of words that stand in more than one document.
+"""Documents that share a passage of words with another document.
 
 A companion of ``substring_dup`` that counts in words: which documents hold a sequence of ``LENGTH``
 words (white space between them does not matter) that also stands in another document.
 
 1. Every sequence of LENGTH words is filed under the smallest hash of the ``INNER``-word sequences
    inside it; consecutive starts with one key form a segment.
-2. Segments with equal words (key and fingerprint, two independent 64-bit values) of different texts are
-   shared as a whole.
-3. Of the other segments of a key that different texts have, each sequence of LENGTH words is compared
-   (key and a fingerprint of its own): the texts that hold such segments are read once more for them.
+2. A segment with equal words (key and fingerprint, two independent 64-bit values) in different texts
+   settles both.
+3. Texts that step 2 leaves open may share less than a segment: of keys that they have in common with
+   other texts, each sequence of LENGTH words is compared (key and a fingerprint of its own); only
+   texts with such segments are read once more.
 
-Texts that several rows have are shared as a whole; a task cuts each of them once.  Hot passages are
-aggregated before they move: a key, a segment or a sequence travels as its least and its greatest text.
+Texts that several rows have are shared; a task cuts each of them once.  Hot passages are aggregated
+before they move: a key, a segment or a sequence travels as its least and its greatest text.
 
 Defined results: null texts and those with fewer than LENGTH words share nothing; a passage repeated
 in one document alone is not shared; an empty table gives an empty result.
@@ -28,7 +29,7 @@ from .common import texts, written
 from .substring_dup import _BYTE, _P, _mix, powers, sliding_min
 
 #: Passages are longer than 50 words.
-LENGTH, INNER = 51, 16
+LENGTH, INNER = 51, 10
 #: Words hashed at once, bytes of texts cut together, and texts that a task remembers to have cut.
 PIECE, GROUP, SEEN = 1 << 18, 1 << 21, 1 << 20
 _P2 = 0xC2B2AE3D27D4EB4F
@@ -63,11 +64,11 @@ def _marks(values: np.ndarray):
 
 
 def _segments(batch: list[bytes]):
-    """(text, first, count, key, mark, words of the text) arrays: consecutive starts with one key."""
+    """(text, first, count, key, mark) arrays: consecutive starts with one key."""
     values, sizes = word_hashes(batch)
     none = np.zeros(0, np.int64)
     if len(values) < LENGTH:
-        return none, none, none, none.view(np.uint64), none.view(np.uint64), none
+        return none, none, none, none.view(np.uint64), none.view(np.uint64)
     one, two = _rolling(values, _P), _marks(values)
     at = np.arange(len(values) - INNER + 1)
     inner = one(at, at + INNER)
@@ -81,23 +82,12 @@ def _segments(batch: list[bytes]):
     new = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (text[1:] != text[:-1]) | drops[:-1]])[:len(starts)]
     count = np.diff(np.r_[new, len(starts)])
     s, of = starts[new], text[new]
-    return of, s - (ends - sizes)[of], count, key[new], two(s, s + count + LENGTH - 1) ^ count.astype(np.uint64), sizes[of]
+    return of, s - (ends - sizes)[of], count, key[new], two(s, s + count + LENGTH - 1) ^ count.astype(np.uint64)
 
 
-def covered(starts: list[tuple[int, int]]) -> int:
-    """Words under sequences of LENGTH words that begin in the ranges (first, count)."""
-    total, upto = 0, 0
-    for first, count in sorted(starts):
-        end = first + count + LENGTH - 1
-        total += max(0, end - max(first, upto))
-        upto = max(upto, end)
-    return total
-
-
-def shared_words(rows: DataFrame) -> DataFrame:
-    """(k2, n_shared): for each text that shares passages, how many of its words lie in them.
-
-    ``rows``: (k1, k2, text binary), one for each document; equal texts have equal k2."""
+def sharing_texts(rows: DataFrame) -> DataFrame:
+    """(k2) of the texts that share a passage.  ``rows``: (k1, k2, text binary), one for each document;
+    equal texts have equal k2."""
     spark = rows.sparkSession
 
     def cut(batches):
@@ -120,14 +110,13 @@ def shared_words(rows: DataFrame) -> DataFrame:
                 yield segments(ids, todo)
 
     def segments(ids, todo):
-        text, first, count, key, mark, sizes = _segments(todo)
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (
-            np.array(ids, np.int64)[text], sizes.astype(np.int64), first.astype(np.int64), count.astype(np.int64),
-            key.view(np.int64), mark.view(np.int64))], names)
-
-    names = ["k2", "words", "first", "count", "key", "mark"]
-    every = written(spark, rows.select("k2", "text").mapInArrow(cut, ", ".join(f"{c} long" for c in names)),
-                    "passages-segments")
+        text, first, count, key, mark = _segments(todo)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.array(ids, np.int64)[text]), pa.array(first.astype(np.int32)), pa.array(count.astype(np.int32)),
+             pa.array(key.view(np.int64)), pa.array(mark.view(np.int64))], ["k2", "first", "count", "key", "mark"])
+
+    every = written(spark, rows.select("k2", "text").mapInArrow(
+        cut, "k2 long, first int, count int, key long, mark long"), "passages-segments")
     sides = [F.min("k2").alias("a"), F.max("k2").alias("b")]
     # written, so that the joins below are of plain tables, which adaptive execution splits on a hot key
     keys = written(spark, every.groupBy("key").agg(*sides).where("a <> b").select("key"), "passages-keys")
@@ -135,14 +124,15 @@ def shared_words(rows: DataFrame) -> DataFrame:
     marks = written(spark, near.groupBy("key", "mark").agg(*sides, F.min(F.struct("k2", "first", "count")).alias("at")),
                     "passages-marks")
     of_several = written(spark, marks.where("a <> b").select("key", "mark"), "passages-whole")
-    whole = near.join(of_several, ["key", "mark"]).select("k2", "first", "count")
-    # segments of one text, and what they may share sequences with: all marks of a key that has several
-    mixed = (marks.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max(F.col("a") == F.col("b")).alias("lone"))
-             .where("m > 1 and lone").select("key"))
-    chosen = marks.join(mixed, "key").select("key", "mark", "a", "b", "at.*")
-    chosen = chosen.groupBy("k2").agg(F.collect_list(F.struct("first", "count", "key", "mark", "a", "b")).alias("s"))
     by_text = written(spark, rows.groupBy("k2").agg(F.min("k1").alias("k1"), F.count(F.lit(1)).alias("n")), "passages-texts")
-    chosen = chosen.join(by_text.drop("n"), "k2")
+    copies = every.where("first = 0").select("k2").join(by_text.where("n > 1").select("k2"), "k2", "left_semi")
+    settled = written(spark, near.join(of_several, ["key", "mark"], "left_semi").select("k2").unionByName(copies).distinct(),
+                      "passages-settled")
+    # what is open, and all that it may share sequences with
+    loose = marks.where("a = b").join(settled.select(F.col("k2").alias("a")), "a", "left_anti").select("key").distinct()
+    mixed = marks.join(loose, "key", "left_semi").groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
+    chosen = marks.join(mixed, "key", "left_semi").select("key", "a", "b", "at.*")
+    chosen = chosen.groupBy("k2").agg(F.collect_list(F.struct("first", "count", "key", "a", "b")).alias("s")).join(by_text.drop("n"), "k2")
 
     def sequences(batches):
         for b in batches:
@@ -150,29 +140,12 @@ def shared_words(rows: DataFrame) -> DataFrame:
                 two = _marks(word_hashes([text])[0])
                 start = np.concatenate([np.arange(s["first"], s["first"] + s["count"]) for s in found])
                 of = np.repeat(np.arange(len(found)), [s["count"] for s in found])
-                cols = {c: np.array([s[c] for s in found], np.int64)[of] for c in ("first", *carried)}
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(start - cols.pop("first")), pa.array(two(start, start + LENGTH).view(np.int64)),
-                     *map(pa.array, cols.values())], ["step", "h", *carried])
-
-    carried = ["key", "mark", "a", "b"]
-    hashes = (rows.join(chosen, ["k1", "k2"]).select("text", "s")
-              .mapInArrow(sequences, ", ".join(f"{c} long" for c in ("step", "h", *carried))))
-    hashes = written(spark, hashes.dropDuplicates(["key", "mark", "step"]), "passages-sequences")
-    both = hashes.groupBy("key", "h").agg(F.min("a").alias("least"), F.max("b").alias("most"))
-    both = written(spark, both.where("least <> most").select("key", "h"), "passages-both")
-    steps = written(spark, hashes.where("a = b").join(both, ["key", "h"]).select("key", "mark", "step"), "passages-steps")
-    parts = near.join(steps, ["key", "mark"]).select(
-        "k2", (F.col("first") + F.col("step")).alias("first"), F.lit(1).cast("long").alias("count"))
-    # texts of several rows: every word is shared
-    long = every.where("first = 0").groupBy("k2").agg(F.max("words").alias("n_shared"))
-    copies = written(spark, long.join(by_text.where("n > 1").select("k2"), "k2"), "passages-copies")
-    ranges = (whole.unionByName(parts).distinct()
-              .groupBy("k2").agg(F.collect_list(F.struct("first", "count")).alias("ranges")))
-
-    def count(batches):
-        for b in batches:
-            n = [covered([(r["first"], r["count"]) for r in x]) for x in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64())], ["k2", "n_shared"])
-
-    return (ranges.join(copies, "k2", "left_anti").mapInArrow(count, "k2 long, n_shared long").unionByName(copies))
+                    [pa.array(two(start, start + LENGTH).view(np.int64)),
+                     *(pa.array(np.array([s[c] for s in found], np.int64)[of]) for c in ("key", "a", "b"))], ["h", "key", "a", "b"])
+
+    hashes = written(spark, rows.join(chosen, ["k1", "k2"]).select("text", "s")
+                     .mapInArrow(sequences, "h long, key long, a long, b long"), "passages-sequences")
+    both = hashes.groupBy("key", "h").agg(F.min("a").alias("a"), F.max("b").alias("b")).where("a <> b").select("key", "h")
+    more = hashes.where("a = b").join(written(spark, both, "passages-both"), ["key", "h"], "left_semi").select(F.col("a").alias("k2"))
+    return settled.unionByName(more).distinct()

@@ -319,8 +319,8 @@ def remove_ranges(b: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, list[
 
 def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", with_text: bool = False,
                     with_passages: bool = False) -> DataFrame:
-    """key, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, n_shared_words (words in passages of
-    more than 50 words that other documents hold too, ``passages``) and kept (binary): one row per row."""
+    """key, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, shares_passage (whether another
+    document holds a passage of more than 50 words of it too, ``passages``) and kept (binary): one row per row."""
     spark = docs.sparkSession
     ready(spark, 512)
     body = F.coalesce(F.encode(F.col(text).cast("string"), "UTF-8"), F.lit(b""))
@@ -328,15 +328,15 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     rows = rows.select("key", F.xxhash64("key").alias("k1"), F.xxhash64("text").alias("k2"), "text")
     ranges = together(repeated_starts(rows.select("k1", "k2", "text")))
     if with_passages:  # by text; brought to the rows with their ranges, so that texts move once
-        from .passages import shared_words
+        from .passages import sharing_texts
         shared = (rows.select("k1", "k2").distinct()
-                  .join(written(spark, shared_words(rows.select("k1", "k2", "text")), "repeats-passages"), "k2"))
-        ranges = ranges.join(shared, ["k1", "k2"], "full")
+                  .join(written(spark, sharing_texts(rows.select("k1", "k2", "text")), "repeats-passages"), "k2", "left_semi"))
+        ranges = ranges.join(shared.withColumn("shared", F.lit(True)), ["k1", "k2"], "full")
     else:
-        ranges = ranges.withColumn("n_shared", F.lit(0).cast("long"))
+        ranges = ranges.withColumn("shared", F.lit(False))
     both = (rows.join(written(spark, ranges, "repeats-ranges"), ["k1", "k2"], "left")
-            .select("key", "text", "ranges", F.coalesce("n_shared", F.lit(0).cast("long")).alias("n_shared")))
-    names = (["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["n_shared_words"] * with_passages
+            .select("key", "text", "ranges", F.coalesce("shared", F.lit(False)).alias("shared")))
+    names = (["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["shares_passage"] * with_passages
              + ["kept"] * with_text)
 
     def run(batches):
@@ -351,7 +351,7 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
             cols += [b.column(3)] * with_passages + [pa.array(out[4], pa.binary())] * with_text
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    kinds = ("n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", n_shared_words long" * with_passages
+    kinds = ("n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", shares_passage boolean" * with_passages
              + ", kept binary" * with_text)
     return both.mapInArrow(run, schema(("key", docs.schema[key].dataType), kinds)).withColumnRenamed("key", key)
 
