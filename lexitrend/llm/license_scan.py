@@ -4,7 +4,9 @@ Paragraphs that hold a word of the license vocabulary are scored by a multinomia
 logistic regression over one- and two-word features; class probabilities are tempered on
 held-back rows, and below the calibrated cut a paragraph is of the unknown class.  A
 predicted family counts only if one of its templates is found in the paragraph (share of the
-template's n-grams).  A paragraph is a line or, for wrapped notices, a run of neighbouring lines
+template's n-grams), with the words that tell the family from its neighbours (``SIGNS``: version
+numbers, "affero", "sharealike", ...), without those of another, and without a denial ("not licensed
+under").  A paragraph is a line or, for wrapped notices, a run of neighbouring lines
 without a line free of words between them: the shortest run from a candidate line on (or from
 the lines without license words before it) that confirms a family, and the lines after it for as
 long as they add to a template.  The other lines of such a run give no rows of their own.  Fitting and scoring use DataFrame, SQL and Spark ML functions only: no
@@ -49,34 +51,130 @@ TEMPLATES = [
     ("MIT", "This project is licensed under the terms of the MIT license."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
             "associated documentation files (the \"Software\"), to deal in the Software without restriction"),
+    ("MIT", "SPDX-License-Identifier: MIT"),
+    ("ISC", "Released under the ISC License."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+            "hereby granted, provided that the above copyright notice and this permission notice appear in all copies"),
+    ("ISC", "SPDX-License-Identifier: ISC"),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file "
                    "except in compliance with the License."),
+    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
+    ("Apache-1.1", "Licensed under the Apache Software License, Version 1.1."),
+    ("Apache-1.1", "Licensed under the Apache License, Version 1.1."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the "
-                "GNU General Public License as published by the Free Software Foundation"),
+                "GNU General Public License as published by the Free Software Foundation, either version 3 of the "
+                "License, or (at your option) any later version."),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-or-later"),
+    ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the "
+                "GNU General Public License as published by the Free Software Foundation; either version 2 of the "
+                "License, or (at your option) any later version."),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-or-later"),
+    ("GPL-2.0", "SPDX-License-Identifier: GPL-2.0-only"),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the "
+                 "GNU Affero General Public License as published by the Free Software Foundation, either version 3 "
+                 "of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "SPDX-License-Identifier: AGPL-3.0-only"),
     ("LGPL", "Licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL", "Licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL", "SPDX-License-Identifier: LGPL-2.1-only"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International "
                      "License."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 "
+                        "International License."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 "
+                        "International License."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("BSD", "Released under the BSD 3-Clause License."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("BSD-3-Clause", "Released under the BSD 3-Clause License."),
+    ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("BSD-2-Clause", "Released under the BSD 2-Clause License."),
+    ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
     ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted "
             "provided that the following conditions are met"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("EPL-2.0", "This program is made available under the terms of the Eclipse Public License 2.0."),
+    ("EPL-2.0", "SPDX-License-Identifier: EPL-2.0"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("Unlicense", "Released under the Unlicense."),
     (UNKNOWN, "All rights reserved."),
     (UNKNOWN, "This software is proprietary and confidential."),
     (UNKNOWN, "Licensed under a commercial agreement with the publisher."),
     (UNKNOWN, "See the license of each file for details."),
     (UNKNOWN, "The terms of use apply to this version."),
+    # near families without templates, and notices that deny a licence
+    (UNKNOWN, "Licensed under the Apache License, Version 1.0."),
+    (UNKNOWN, "This work is licensed under the GNU General Public License, version 1."),
+    (UNKNOWN, "Licensed under the GNU Free Documentation License, version 1.3."),
+    (UNKNOWN, "Licensed under CC BY 3.0."),
+    (UNKNOWN, "Licensed under CC BY-SA 2.5."),
+    (UNKNOWN, "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
+    (UNKNOWN, "This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1."),
+    (UNKNOWN, "This project is not licensed under the MIT License."),
+    (UNKNOWN, "This work is not licensed under the GNU General Public License."),
+    (UNKNOWN, "It is no longer released under the Apache License."),
 ]
+#: Words and pairs of words that tell a family from its neighbours: of each list of the first
+#: part one must be there, and none of the second part.
+_GNU3 = ["version 3", "v3", "gplv3", "gpl3", "gpl 3", "license 3", "agplv3", "agpl 3"]
+_GNU2 = ["version 2", "v2", "gplv2", "gpl2", "gpl 2", "license 2"]
+_NOT_GPL = ["lesser", "library", "lgpl", "lgplv2", "lgplv3", "affero", "agpl", "agplv3"]
+_CC, _FOUR = ["cc by", "creative commons", "identifier cc"], ["4 0"]
+_OLD = ["3 0", "2 5", "2 0", "1 0"]
+_NC, _SA, _ND = (["noncommercial", "non commercial", "nc"], ["sharealike", "share alike", "sa"],
+                 ["noderivatives", "noderivs", "no derivatives", "nd"])
+SIGNS = {
+    "MIT": ([["mit", "person obtaining"]], []),
+    "ISC": ([["isc", "without fee"]], []),
+    "Apache-2.0": ([["apache"], ["version 2", "2 0", "v2"]], ["version 1", "1 0", "1 1"]),
+    "Apache-1.1": ([["apache"], ["1 1"]], ["version 2", "2 0"]),
+    "GPL-3.0": ([["gnu general", "gpl", "gplv3", "gpl3"], _GNU3], [*_NOT_GPL, *_GNU2]),
+    "GPL-2.0": ([["gnu general", "gpl", "gplv2", "gpl2"], _GNU2], [*_NOT_GPL, *_GNU3]),
+    "AGPL-3.0": ([["affero", "agpl", "agplv3"], _GNU3], ["lesser", "lgpl"]),
+    "LGPL": ([["lesser general", "lgpl", "lgplv2", "lgplv3"]], ["affero", "agpl"]),
+    "CC-BY-4.0": ([_CC, _FOUR], [*_NC, *_SA, *_ND, *_OLD]),
+    "CC-BY-SA-4.0": ([_CC, _FOUR, _SA], [*_NC, *_ND, *_OLD]),
+    "CC-BY-ND-4.0": ([_CC, _FOUR, _ND], [*_NC, *_SA, *_OLD]),
+    "CC-BY-NC-4.0": ([_CC, _FOUR, _NC], [*_SA, *_ND, *_OLD]),
+    "CC-BY-NC-SA-4.0": ([_CC, _FOUR, _NC, _SA], [*_ND, *_OLD]),
+    "CC-BY-NC-ND-4.0": ([_CC, _FOUR, _NC, _ND], [*_SA, *_OLD]),
+    "BSD-3-Clause": ([["bsd"], ["3 clause"]], ["2 clause", "4 clause"]),
+    "BSD-2-Clause": ([["bsd"], ["2 clause"]], ["3 clause", "4 clause"]),
+    "BSD": ([["redistribution and"]], []),
+    "MPL-2.0": ([["mozilla", "mpl"], ["2 0"]], ["1 0", "1 1"]),
+    "EPL-2.0": ([["eclipse", "epl"], ["2 0"]], ["1 0"]),
+    "Unlicense": ([["unlicense", "unencumbered"]], []),
+}
+#: Pairs of words that deny what follows.
+DENIALS = [f"{a} {b}" for a in ("not", "t", "never", "nor") for b in ("licensed", "released", "distributed", "available",
+                                                                      "covered", "under")] + ["no longer"]
 FAMILIES = [UNKNOWN, *dict.fromkeys(f for f, _ in TEMPLATES if f != UNKNOWN)]
 #: Words that don't make a paragraph a candidate on their own (common words, also of other languages).
 COMMON = set("""a all and any apply are as at be by copy deal each following for form forms free from general
     in is it may met mit no not of on or person person project see source terms that the this to use v version
     whether with without work works you can except code binary file files provided program subject details
-    conditions charge granted hereby""".split())
+    conditions charge granted hereby above appear available copies domain either fee free into later longer made
+    modify notice only option permission permitted published purpose redistribute released restriction rights
+    reserved associated documentation agreement each clause international identifier publisher use can commercial
+    obtaining forms confidential foundation attribution commons creative published compliance library
+    share alike non sa nd nc by cc project unported""".split())
+
+
+#: Words that settle a family: copies of a template for training keep them.
+KEPT = sorted({w for needs, bars in SIGNS.values() for g in [*sum(needs, []), *bars] for w in g.split()}
+              | {w for d in DENIALS for w in d.split()} | {str(k) for k in range(10)})
 
 
 def _words(text: str) -> list[str]:
@@ -186,7 +284,8 @@ def training_rows(docs: DataFrame) -> DataFrame:
     """(label, grams, held): templates with words left out, and corpus paragraphs as unknown."""
     spark = docs.sparkSession
     copies = template_grams(spark).select("label", "words", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))).alias("k"))
-    stays = F.filter("words", lambda w, i: (F.col("k") == 0) | (F.pmod(F.xxhash64(w, i, F.col("k")), F.lit(100)) < STAY))
+    stays = F.filter("words", lambda w, i: (F.col("k") == 0) | w.isin(KEPT)
+                     | (F.pmod(F.xxhash64(w, i, F.col("k")), F.lit(100)) < STAY))
     known = copies.select("label", stays.alias("words"), (F.col("k") % 4 == 3).alias("held"))
     ids = (docs.where(F.col("doc_id").isNotNull()).select("doc_id").distinct()
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS))
@@ -211,7 +310,7 @@ def training_rows(docs: DataFrame) -> DataFrame:
 
 def fit(docs: DataFrame) -> Model:
     """Logistic regression on the bounded training rows; temperature and cut from the held-back ones."""
-    rows = training_rows(docs).persist()
+    rows = training_rows(docs).repartition(1).persist()  # a bounded sample: one small task a step
     vocabulary = sorted({g for _, t in TEMPLATES for w in [_words(t)] for g in [*w, *map(" ".join, zip(w, w[1:]))]})
     counts = CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="features").setBinary(True)
     fitted = LogisticRegression(family="multinomial", maxIter=60, regParam=0.003, standardization=False).fit(
@@ -246,19 +345,35 @@ def verdict(words: Column, model: Model) -> Column:
         chance = F.array_max(known) / F.aggregate(e, F.lit(0.0), lambda a, x: a + x)
         return let(chance, lambda p: let(F.when(p >= model.cut, name).otherwise(F.lit(UNKNOWN)), lambda f: let(
             alike(grams, f), lambda share: F.struct(
-                F.when(share >= CONFIRM, f).otherwise(F.lit(UNKNOWN)).alias("family"),
+                F.when((share >= CONFIRM) & signed(grams, f), f).otherwise(F.lit(UNKNOWN)).alias("family"),
                 F.round(p, 6).alias("probability"), F.round(share, 6).alias("similarity"), f.alias("predicted")))))
 
-    # other n-grams have no weight and are in no template
-    return let(F.array_intersect(grams_of(words), fixed(sorted(model.weights))), of)
+    # other n-grams have no weight, are in no template and no sign
+    return let(F.array_intersect(grams_of(words), fixed(sorted({*model.weights, *ALL_SIGNS}))), of)
+
+
+ALL_SIGNS = sorted({g for needs, bars in SIGNS.values() for g in [*sum(needs, []), *bars]} | set(DENIALS))
+
+
+def signed(grams: Column, family: Column) -> Column:
+    """Whether the words that tell the family from its neighbours are there, none that tell of another, and
+    nothing that denies the licence."""
+    has = lambda signs: F.arrays_overlap(grams, fixed(sorted(signs)))
+    out = F.when(has(DENIALS), F.lit(False))
+    for f, (needs, bars) in SIGNS.items():
+        good = F.lit(True)
+        for signs in needs:
+            good &= has(signs)
+        out = out.when(family == f, good & ~has(bars) if bars else good)
+    return out.otherwise(F.lit(False))
 
 
 def alike(grams: Column, family: Column) -> Column:
     """``similarity`` to the templates of one family; 0 for the unknown one."""
-    out = F.lit(0.0)
+    out = F.when(family == UNKNOWN, F.lit(0.0))
     for f in FAMILIES[1:]:
-        out = F.when(family == f, similarity(grams, [f])).otherwise(out)
-    return out
+        out = out.when(family == f, similarity(grams, [f]))
+    return out.otherwise(F.lit(0.0))
 
 
 def held(grams: Column, family: Column, every: Column) -> Column:
@@ -267,14 +382,14 @@ def held(grams: Column, family: Column, every: Column) -> Column:
 
 
 def _held(grams: Column, family: Column, every: Column) -> Column:
-    out = F.lit(0.0)
+    out = F.when(family == UNKNOWN, F.lit(0.0))
     for f in FAMILIES[1:]:
         parts = F.lit(0.0)
         for t in (_grams(t) for g, t in TEMPLATES if g == f):
             share = lambda x, t=t: F.size(F.array_intersect(x, fixed(t))) / len(t)
             parts += F.when(share(every) >= CONFIRM, share(grams)).otherwise(0.0)
-        out = F.when(family == f, parts).otherwise(out)
-    return out
+        out = out.when(family == f, parts)
+    return out.otherwise(F.lit(0.0))
 
 
 def scan(docs: DataFrame, model: Model) -> DataFrame:
