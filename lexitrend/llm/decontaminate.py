@@ -15,9 +15,9 @@ Words are lower-cased runs of Unicode letters, digits and marks; in scripts with
 character is a word.  Defined results: null
 or empty texts and items never match; repeated rows and items are handled one by one (equal
 items once); extra columns are not read; an empty table on either side gives an empty result.
-Items are indexed in shards of bounded size, each with a pass over the documents.  Document
-frequencies and the mean length are those of the whole benchmark, and a stride belongs to a class
-of lengths, so that the shards make no difference to the result.
+Items are indexed in shards of some bounded size, a few for each pass over the documents; the driver holds
+those of one pass.  Document frequencies and the mean length are those of the whole benchmark, and a stride
+belongs to a class of lengths, so that the shards make no difference to the result.
 """
 
 from __future__ import annotations
@@ -30,8 +30,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import ready, schema, whole_row
+from .common import ready, schema, whole_row, written
 
 K1, B = 1.2, 0.75
 #: Share of an item's score against itself that a passage must reach.
@@ -44,6 +46,8 @@ BLOCK_ITEMS = 4
 CELLS = 2_000_000
 #: Bounds of one shard of the index, which is sent to every task.
 SHARD_ITEMS, SHARD_BYTES = 4096, 4 << 20
+#: Shards that one pass over the documents is held against.
+SHARDS_A_PASS = 4
 _KEEP = bytes(c if chr(c).isalnum() and c < 128 else 32 for c in range(256))
 _LAST = re.compile(r"(?<=[.!?])\s+(?=\S)|(?<=[\u3002\uff01\uff1f])\s*(?=\S)")
 #: Scripts that write no spaces between words, by the first word of their characters' names.
@@ -225,53 +229,91 @@ class Shard:
         return sorted(out)
 
 
-def index_shards(benchmark: DataFrame) -> list[Shard]:
-    """Indexes over all items; each shard holds a bounded number of items and bytes."""
+def index_passes(benchmark: DataFrame):
+    """Lists of shards, SHARDS_A_PASS at most, one list after the other: a pass over the documents for each.
+
+    The benchmark is cut into words, its document frequencies are counted and its shards are dealt out
+    in Spark; the driver holds the items and frequencies of one list at a time.  Scores take the document
+    frequencies, the number of items and the mean length of the whole benchmark, so they do not depend on
+    the shards."""
+    spark = benchmark.sparkSession
+    ready(spark)
+
+    def cut(batches):
+        for b in batches:
+            words = [words_of(t) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array([len(w) for w in words], pa.int64()),
+                 pa.array([sorted(set(w)) for w in words], pa.list_(pa.binary()))], ["item_id", "text", "n", "words"])
+
+    kinds = schema(("item_id", benchmark.schema["item_id"].dataType), "text string, n long, words array<binary>")
     rows = benchmark.select("item_id", F.col("text").cast("string").alias("text")).where("text is not null").distinct()
-    shards, size = [], 0
-    for r in rows.orderBy("item_id", "text").toLocalIterator():
-        x = item_of(r[0], r[1])
-        if not x.words:
-            continue
-        if not shards or len(shards[-1]) >= SHARD_ITEMS or size + len(r[1]) > SHARD_BYTES:
-            shards.append([])
-            size = 0
-        shards[-1].append(x)
-        size += len(r[1])
-    corpus = Corpus.of([x for items in shards for x in items])
-    return [Shard(items, corpus) for items in shards]
+    items = written(spark, rows.mapInArrow(cut, kinds).where("n > 0"), "benchmark-items")
+    n, mean, size = items.agg(F.count(F.lit(1)), F.avg("n"), F.sum(F.octet_length("text").cast("long"))).first()
+    if not n:
+        return
+    shards = -(-max(n * SHARD_BYTES, size * SHARD_ITEMS) * 5 // (SHARD_ITEMS * SHARD_BYTES * 4))  # four fifths full each
+    shards = 1 if n <= SHARD_ITEMS and size <= SHARD_BYTES else shards
+    items = items.withColumn("shard", F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)))
+    df = written(spark, items.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df")),
+                 "benchmark-words")
+    for first in range(0, shards, SHARDS_A_PASS):
+        here = items.where(F.col("shard").between(first, first + SHARDS_A_PASS - 1))
+        held: dict[int, list[Item]] = {}
+        for r in here.select("shard", "item_id", "text").collect():
+            held.setdefault(r["shard"], []).append(item_of(r["item_id"], r["text"]))
+        own = here.select(F.explode("words").alias("word")).distinct()
+        corpus = Corpus({bytes(r["word"]): r["df"] for r in df.join(own, "word").collect()}, n, mean)
+        order = lambda x: (str(x.item_id), x.words)
+        yield [Shard(sorted(held[k], key=order), corpus) for k in sorted(held)]
+
+
+def leaks_of(shards: list[Shard], texts: list[str | None]):
+    """(text, item, score, question overlap, answer overlap) of a batch against each shard."""
+    words = [words_of(t) for t in texts]
+    for shard in shards:
+        for k, i, *rest in shard.leaks(words):
+            yield k, shard.items[i], *rest
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, score, question_overlap, answer_overlap: one row per document row and leaked item."""
     spark = docs.sparkSession
     ready(spark)
-    out = schema(("doc_id", docs.schema["doc_id"].dataType),
-                 "item_id long, score double, question_overlap double, answer_overlap double")
-    found = spark.createDataFrame([], out)
-    for index in index_shards(benchmark):
-        def run(batches, index=index):  # Spark broadcasts a function that holds much
+    out = schema(("doc_id", docs.schema["doc_id"].dataType), "score double, question_overlap double, answer_overlap double")
+    ids = benchmark.schema["item_id"].dataType
+    out = T.StructType([out.fields[0], T.StructField("item_id", ids), *out.fields[1:]])
+    kind = to_arrow_type(ids)
+    found = None
+    for shards in index_passes(benchmark):
+        def run(batches, shards=shards):  # Spark broadcasts a function that holds much
             for b in batches:
-                rows = index.leaks([words_of(t) for t in b.column(1).to_pylist()])
+                rows = list(leaks_of(shards, b.column(1).to_pylist()))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array([r[0] for r in rows], pa.int64())),
-                     pa.array([index.items[r[1]].item_id for r in rows], pa.int64()),
+                     pa.array([r[1].item_id for r in rows], kind),
                      *(pa.array([r[n] for r in rows], pa.float64()) for n in (2, 3, 4))], out.names)
 
-        found = found.unionByName(docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, out))
-    return found
+        part = docs.select("doc_id", F.col("text").cast("string")).mapInArrow(run, out)
+        # of several passes each is written, so that the driver lets go of its index
+        found = part if found is None else written(spark, found, "leaks").unionByName(written(spark, part, "leaks"))
+    return spark.createDataFrame([], out) if found is None else found
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text holds no leaked item."""
     spark = docs.sparkSession
     ready(spark)
-    for index in index_shards(benchmark):
+    passes = 0
+    for shards in index_passes(benchmark):
+        if passes:
+            docs = written(spark, docs, "unleaked")
+        passes += 1
         rows = docs.select(whole_row(docs), F.col("text").cast("string"))
 
-        def run(batches, index=index):
+        def run(batches, shards=shards):
             for b in batches:
-                bad = {r[0] for r in index.leaks([words_of(t) for t in b.column(1).to_pylist()])}
+                bad = {r[0] for r in leaks_of(shards, b.column(1).to_pylist())}
                 yield b.select([0]).take(pa.array([k for k in range(b.num_rows) if k not in bad], pa.int64()))
 
         docs = rows.mapInArrow(run, rows.select("row").schema).select("row.*")

@@ -1,3 +1,4 @@
+import math
 import random
 
 from lexitrend.llm import decontaminate as D
@@ -58,10 +59,55 @@ def test_question_without_answer_is_no_leak(spark, docs):
 
 
 def test_shards_cover_all_items(spark, docs, monkeypatch):
-    monkeypatch.setattr(D, "SHARD_ITEMS", 5)
+    monkeypatch.setattr(D, "SHARD_ITEMS", 2)
     items = bench(spark, [(i, t, 0.0) for i, t in ITEMS])
-    assert len(D.index_shards(items)) == 3
+    passes = list(D.index_passes(items))
+    assert len(passes) > 1 and all(len(p) <= D.SHARDS_A_PASS for p in passes)
+    assert sorted(x.item_id for p in passes for s in p for x in s.items) == sorted(i for i, _ in ITEMS)
     assert D.find_leaks(docs([(i, t) for i, t in ITEMS]), items).count() == len(ITEMS)
+    assert D.without_leaks(docs([(i, t) for i, t in ITEMS] + [(500, "nothing of it")]), items).collect()[0].doc_id == 500
+
+
+def test_string_item_ids(spark, docs):
+    items = spark.createDataFrame([(f"item-{i}", t) for i, t in ITEMS], "item_id string, text string")
+    got = D.find_leaks(docs([(i, t) for i, t in ITEMS]), items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == sorted((i, f"item-{i}") for i, _ in ITEMS)
+
+
+def bm25(items, passage):
+    """Scores of all items for a passage's distinct words, by the formula, as shares of the items' own."""
+    words = [D.words_of(t) for _, t in items]
+    n, mean = len(words), sum(map(len, words)) / len(words)
+    df = {w: sum(w in x for x in words) for x in words for w in x}
+
+    def score(x, held):
+        return sum(math.log1p((n - df[w] + 0.5) / (df[w] + 0.5)) * x.count(w) * (D.K1 + 1)
+                   / (x.count(w) + D.K1 * (1 - D.B + D.B * len(x) / mean)) for w in set(x) if w in held)
+    return [score(x, passage) / score(x, set(x)) for x in words]
+
+
+def test_search_against_brute_force(spark, docs):
+    """Every passage of two strides against every item: what is retrieved, its score and both overlaps."""
+    r = random.Random(31)
+    rows = [(k, " ".join([*text(60, 900 + k), *[w if r.random() > 0.1 else "x" for w in t.split()], *text(70, 950 + k)]))
+            for k, (_, t) in enumerate(ITEMS)] + [(80 + k, " ".join(text(400, 990 + k))) for k in range(3)]
+    want = {}
+    for doc, t in rows:
+        words = D.words_of(t)
+        for i, (item_id, it) in enumerate(ITEMS):
+            x = D.item_of(item_id, it)
+            s = D.stride_of(len(x.words))
+            for at in range(-s, len(words), s):
+                passage = words[max(at, 0):max(at + 2 * s, 0)]
+                share = bm25(ITEMS, set(passage))[i]
+                if share >= D.TAU - 1e-12:
+                    q = [sum(g in D.sequences(passage, len(g)) for g in part) / len(part) for part in (x.question, x.answer)]
+                    if q[0] >= D.QUESTION and q[1] >= D.ANSWER:
+                        want[doc, item_id] = max(want.get((doc, item_id), (0, 0, 0)), (round(share, 6), round(q[0], 6), round(q[1], 6)))
+    got = {(x.doc_id, x.item_id): (round(x.score, 6), round(x.question_overlap, 6), round(x.answer_overlap, 6))
+           for x in D.find_leaks(docs(rows), bench(spark, [(i, t, 0.0) for i, t in ITEMS])).collect()}
+    assert set(got) == set(want) and len(want) >= len(ITEMS) // 2
+    assert all(abs(a - b) < 1e-5 for k in want for a, b in zip(got[k], want[k], strict=True))
 
 
 def test_shards_make_no_difference(spark, docs, monkeypatch):
