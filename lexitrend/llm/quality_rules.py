@@ -12,6 +12,7 @@ table gives an empty result; without labels of both classes the base rule decide
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +29,9 @@ SAMPLE_PER_CLASS = 4000
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 #: Share of the labelled good documents that the threshold must keep.
-KEEP_GOOD = 0.999
+KEEP_GOOD = 0.98
+#: Parts of the sample for cross-fitted scores.
+FOLDS = 4
 NEVER_BETTER_WITH_MORE = ["symbols_per_word", "dup_lines", "repeat_words", "upper", "bangs_per_word", "bars_per_word"]
 
 
@@ -131,7 +134,8 @@ def document_stats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "quality",
                     per_class: int = SAMPLE_PER_CLASS, only=None) -> DataFrame:
     """(doc_id, text, label) of at most ``per_class`` labelled documents a class, picked by a
-    hash of the id; the ids (never more than twice ``per_class``) are broadcast."""
+    hash of the id; the ids (never more than twice ``per_class``) are broadcast.  Of rows that share
+    an id one is taken, by a hash of the text, so the sample is as small as its ids are few."""
     one = (labels.select("doc_id", label).where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
            .groupBy("doc_id").agg(F.max(label).alias(label)))
     if only is not None:
@@ -140,13 +144,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str = "quality",
     for v in (0, 1):
         part = one.where(F.col(label) == v).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         picked = part if picked is None else picked.unionByName(part)
-    first = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    return first.select("doc_id", "text", F.col(label).alias("label"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select("doc_id", text.alias("text")).join(F.broadcast(picked), "doc_id")
+    return rows.groupBy("doc_id").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"),
+                                      F.max(label).alias("label"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> Trees | None:
-    """Trees fitted on three quarters of the sample, the cut set on the rest: the highest
-    one up to 0.5 that keeps ``KEEP_GOOD`` of its good documents."""
+    """Trees fitted on the sample; the cut is set on cross-fitted scores (each quarter scored by trees fitted
+    on the others): the highest one up to 0.5 that keeps ``KEEP_GOOD`` of the good documents, so that a few
+    wrong labels do not set it."""
     sample = labelled_sample(docs, labels, per_class=per_class)
     rows = document_stats(sample.select(F.struct("doc_id", "label").alias("k"), "text"), "k").select(
         "k.doc_id", "k.label", "features").collect()
@@ -155,12 +162,14 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -
         return None
     x, y = np.array([r[2] for r in rows]), np.array([float(r[1]) for r in rows])
     monotone = np.array([-1 if f in NEVER_BETTER_WITH_MORE else 0 for f in stats.FEATURES])
-    held = np.arange(len(y)) % 4 == 3
-    if len(y) < 40 or len(set(y[~held])) < 2:
-        held[:] = False
-    trees = fit_trees(x[~held], y[~held], monotone)
-    good = trees.score(x[held if held.any() else ~held])[y[held if held.any() else ~held] == 1]
-    trees.cut = float(min(0.5, np.quantile(good, 1 - KEEP_GOOD, method="lower"))) if len(good) else 0.5
+    fold = np.arange(len(y)) % FOLDS
+    trees = fit_trees(x, y, monotone)
+    score = trees.score(x)
+    if len(y) >= 10 * FOLDS and all(len(set(y[fold != k])) == 2 for k in range(FOLDS)):
+        for k in range(FOLDS):
+            score[fold == k] = fit_trees(x[fold != k], y[fold != k], monotone).score(x[fold == k])
+    good = np.sort(score[y == 1])
+    trees.cut = float(min(0.5, good[min(math.ceil((1 - KEEP_GOOD) * len(good)), len(good) - 1)]))
     return trees
 
 

@@ -1,3 +1,4 @@
+import math
 import re
 import zlib
 
@@ -95,3 +96,42 @@ def test_ranking_on_held_out_rows(spark, docs):
             assert r.predicted == int(bool(r.doc_id % 3)) == int(r.score >= 0.7) and 0 <= r.score <= 1
     assert Q.score_documents(docs([]), Q.fit(docs([]), labels(spark, []))).count() == 0
     assert {r.score for r in Q.score_documents(docs(rows), None).collect()} == {0.7}
+
+
+def test_one_id_on_a_third_of_all_rows(spark, docs):
+    """The sample that reaches the driver has one row for each id."""
+    rows = [(k, good(k) if k % 2 else bad(k)) for k in range(200)] + [(7, good(k)) for k in range(1000, 1100)]
+    some = labels(spark, [(k, k % 2, 0) for k in range(200)])
+    got = R.labelled_sample(docs(rows), some).collect()
+    assert len(got) == 200 and len({r.doc_id for r in got}) == 200
+    assert sorted(r.doc_id for r in got if r.label == 1) == list(range(1, 200, 2))
+    assert R.labelled_sample(docs(rows * 2), some).where("doc_id = 7").first().text == [r for r in got if r.doc_id == 7][0].text
+
+
+def test_a_few_wrong_labels_do_not_set_the_cut(spark, docs):
+    """Of the labels one in a hundred is turned round: bad documents still go, good ones stay."""
+    rows = [(k, good(k) if k % 2 else bad(k)) for k in range(1200)]
+    turned = {k for k in range(1200) if k % 100 < 1}
+    some = labels(spark, [(k, (k % 2) ^ (k in turned), 0) for k in range(1200)])
+    got = {r.doc_id: r.kept for r in R.quality_rules(docs(rows), some).collect()}
+    assert sum(got[k] for k in range(0, 1200, 2)) <= 6
+    assert sum(got[k] for k in range(1, 1200, 2)) >= 590
+
+
+def test_classifier_against_brute_force(spark, docs):
+    """Scores of whole documents from the fitted weights, by hand; labels held out are never read."""
+    rows = [(k, good(k) if k % 2 else bad(k)) for k in range(300)] + [(900, None), (901, ""), (1, good(1))]
+    pick = lambda k: zlib.crc32(str(k).encode()) % 4 == 2
+    some = labels(spark, [(k, k % 2, 0) for k in range(300)])
+    turned = labels(spark, [(k, 1 - k % 2 if pick(k) else k % 2, 0) for k in range(300)])
+    model = Q.fit(docs(rows), some)
+    again = Q.fit(docs(rows), turned)
+    assert np.array_equal(model.weights, again.weights) or np.allclose(model.weights, again.weights)
+    for r in Q.score_documents(docs(rows), model).collect():
+        t = dict(rows)[r.doc_id]
+        x = np.array(stats.measure((t or "").encode())[1])
+        f = np.concatenate([x, np.sqrt(np.maximum(x, 0)), x > 0, np.minimum(x, 1) ** 2])
+        z = np.clip((f - model.mean) / model.spread, -8, 8) @ model.weights
+        z = np.clip((z - model.cut) / model.scale, -30, 30) + math.log(Q.CUT / (1 - Q.CUT))
+        assert abs(r.score - 1 / (1 + math.exp(-z))) < 1e-9
+        assert r.held_out == pick(r.doc_id) and r.predicted == (r.score >= Q.CUT)
