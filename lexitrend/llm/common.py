@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import uuid
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -27,14 +28,40 @@ def ready(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
 
+_made: list[str] | None = None
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back:
-    the lineage ends there, and a lost executor costs nothing but a reread."""
+    the lineage ends there, and a lost executor costs nothing but a reread.  What is written inside
+    ``scratch`` is removed at its end."""
     path = checkpoint_path(spark, f"llm-{name}-{uuid.uuid4().hex}")
+    if _made is not None:
+        _made.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, whatever file system holds it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Folders that ``written`` makes in here are removed at the end; a result that reads them is to be
+    written elsewhere before that."""
+    global _made
+    outer, _made = _made, []
+    try:
+        yield
+    finally:
+        mine, _made = _made, outer
+        for path in mine:
+            remove(spark, path)
+
+
 def texts(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """The UTF-8 bytes of a string column; null reads as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

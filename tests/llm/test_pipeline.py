@@ -51,3 +51,24 @@ def near_dup_set(t):
 def test_empty_tables(spark, tmp_path):
     write(spark, str(tmp_path), [], [])
     assert P.run(spark, str(tmp_path)).count() == 0
+
+
+def test_extra_columns_and_folders_left(spark, tmp_path):
+    """Columns whose names stages use themselves are carried along; what stages wrote on the way is gone."""
+    import os
+    from lexitrend.session import checkpoint_path
+    docs = [(k, " ".join(words(60, k)) + ".", "en", "s", 1, "a", 2, "b", 3) for k in range(60)] + [(None, None, None, None, None, None, None, None, None)]
+    extra = SCHEMA + ", key string, row long, kept string, component_id long"
+    spark.createDataFrame(docs, extra).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, k % 2, 0) for k in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "x y z")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    base = checkpoint_path(spark, "").removeprefix("file:")
+    held = lambda: {f for f in os.listdir(base) if f.startswith(("llm-", "pipeline-"))}
+    before = held()
+    df = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in P.STAGES[:-1]:
+        df = stage(spark, df, str(tmp_path))
+        assert df.columns == [c.split()[0] for c in extra.split(", ")]
+    rows = P.run(spark, str(tmp_path))
+    assert rows.count() > 0
+    assert len([f for f in held() - before if f.startswith("pipeline-")]) == 1  # the last stage's input
