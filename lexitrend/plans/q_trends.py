@@ -522,11 +522,11 @@ PAIR_SQL = S.with_ctes(S.TERM_YEAR_SQL, """cats AS (
 
 @register("d14_pair_relation", PAIR_SQL + """
 SELECT term, cat1, cat2, cat1 + cat2 AS total FROM pair WHERE cat1 > 0 OR cat2 > 0""")
-def d14_pair_relation(spark, sf):
-    """D14 pair form: term totals in two categories (the first two by name),
+def d14_pair_relation(spark, sf, pair=None):
+    """D14 pair form: term totals in two categories (``pair``; by default the first two by name),
     rows with either > 0, and their sum."""
     terms, _ = _base(spark, sf, domains=False)
-    cats = _categories(terms)[:2]
+    cats = list(pair or _categories(terms)[:2])
     p = (terms.where(F.col("category").isin(cats)).groupBy("term").pivot("category", cats)
          .agg(F.sum("count").cast("bigint")).na.fill(0, subset=cats))
     p = p.select("term", F.col(f"`{cats[0]}`").alias("cat1"), F.col(f"`{cats[1]}`").alias("cat2"))
@@ -537,9 +537,12 @@ def d14_pair_relation(spark, sf):
   SELECT term FROM term_year GROUP BY term ORDER BY sum(count) DESC, term LIMIT 1)""") + """
 SELECT t.term, category, CAST(sum(count) AS BIGINT) AS total FROM term_year t JOIN best b ON t.term = b.term
 GROUP BY t.term, category""")
-def d15_term_distribution(spark, sf):
-    """Category distribution of one term (the largest by total)."""
+def d15_term_distribution(spark, sf, term=None):
+    """Category distribution of one term (``term``; by default the largest by total)."""
     terms, _ = _base(spark, sf, domains=False)
+    if term is not None:
+        return (terms.where(F.col("term") == term).groupBy("term", "category")
+                .agg(F.sum("count").cast("bigint").alias("total")))
     best = (terms.groupBy("term").agg(F.sum("count").alias("s")).orderBy(F.desc("s"), "term").limit(1).select("term"))
     return (terms.join(best, "term", "left_semi").groupBy("term", "category")
             .agg(F.sum("count").cast("bigint").alias("total")))
@@ -566,3 +569,18 @@ def g3_year_term_view(spark, sf):
         F.max(F.when(F.col("rank") == k, F.col("term"))).alias(f"term_{k}"),
         F.max(F.when(F.col("rank") == k, r6("norm_freq"))).alias(f"freq_{k}"))]
     return sel.groupBy("category", F.col("year").cast("int").alias("year")).agg(*cells)
+
+
+@register("f1_loose_keys", S.with_ctes(S.TERM_YEAR_SQL, S.DOMAIN_YEAR_SQL) + """
+SELECT t.category, t.term, t.year, t.count, CAST(d.total_papers AS DOUBLE) AS total_papers,
+       round(t.count / CAST(d.total_papers AS DOUBLE) * 10000, 6) AS norm_freq
+FROM term_year t JOIN domain_year d ON t.category = d.category AND t.year = d.year""")
+def f1_loose_keys(spark, sf):
+    """F1 where the domain table spells categories in its own way (other case, spaces around), in two
+    rows each: the keys are compared lower-cased and trimmed, totals of one key are added up."""
+    terms, domains = _base(spark, sf)
+    half = F.floor(F.col("total_papers") / 2)
+    spelled = domains.select(F.concat(F.lit(" "), F.lower("category")).alias("category"), "year", half.alias("total_papers")).unionByName(
+        domains.select(F.concat(F.initcap("category"), F.lit("  ")).alias("category"), "year", (F.col("total_papers") - half).alias("total_papers")))
+    joined = T.join_domain_totals(terms, spelled, loose_keys=True)
+    return joined.select("category", "term", "year", "count", "total_papers", r6(T.norm_freq()).alias("norm_freq"))

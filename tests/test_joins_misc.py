@@ -10,6 +10,8 @@ from lexitrend.operators import reshape as R
 from lexitrend.operators import terms as TM
 from lexitrend.plans import q_corpus as QC
 
+from .conftest import SF_SMALL
+
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -59,3 +61,15 @@ def test_labels_roundtrip(spark):
     lab = df.select(R.label("category", "term").alias("l"))
     c, t = R.split_label("l")
     assert lab.select("l", c.alias("c"), t.alias("t")).first() == ("cs - deep learning", "cs", "deep learning")
+
+
+def test_selections_by_parameter(spark):
+    """D14 pair form and D15 for the categories and the term that a caller names."""
+    from lexitrend.plans import q_trends as QT
+    all_rows = {(r.term, r.category): r["count"] for r in QT._base(spark, SF_SMALL, domains=False)[0]
+                .groupBy("term", "category").sum("count").withColumnRenamed("sum(count)", "count").collect()}
+    got = QT.d14_pair_relation(spark, SF_SMALL, ("SMALL", "PROMO")).collect()
+    assert got and all(r.cat1 == all_rows.get((r.term, "SMALL"), 0) and r.cat2 == all_rows.get((r.term, "PROMO"), 0) for r in got)
+    term = sorted(t for t, _ in all_rows)[0]
+    got = {r.category: r.total for r in QT.d15_term_distribution(spark, SF_SMALL, term).collect()}
+    assert got == {c: n for (t, c), n in all_rows.items() if t == term}
