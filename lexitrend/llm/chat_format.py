@@ -234,7 +234,10 @@ def read_back(pieces: DataFrame) -> DataFrame:
     needs no more memory than one batch."""
     ready(pieces.sparkSession, 2048)
     kind = pieces.schema["conv_id"].dataType
-    rows = pieces.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "piece")
+    # of one turn by role and text: neither the closing mark nor escapes take part
+    said = F.substr(F.col("piece"), F.lit(len(BEGIN) + 1), F.length("piece") - len(BEGIN) - len(END))
+    said = F.regexp_replace(said, _ESCAPED.pattern, "$1$2$3")
+    rows = pieces.repartition("conv_id").sortWithinPartitions("conv_id", "turn", said)
 
     def run(batches):
         key, now, first = None, None, True
@@ -282,3 +285,23 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = spark.createDataFrame([(-7, [("user", ok), ("assistant", ok)])],
                                     "conv_id long, messages array<struct<role string, content string>>")
     return read_back(format_turns(rows.unionByName(turns_of_table(planted))))
+
+
+def _escaped_sql(x: str) -> str:
+    return f"regexp_replace({x}, '{CONTROL}', '\\1\\\\\\2\\3', 'g')"
+
+
+_HEAD_SQL = "replace(replace(role, '\\', '\\\\'), chr(10), '\\n')"
+_ORDER_SQL = "ORDER BY turn NULLS FIRST, role, text"
+ORACLE = f"""
+WITH r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' {_ORDER_SQL})) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' {_ORDER_SQL}), '')) AS loss_sha256,
+       CAST(sum({len(BEGIN)} + length({_escaped_sql(_HEAD_SQL)}) + 1 + length({_escaped_sql("text")}) + {len(END)}) AS BIGINT)
+         AS formatted_chars
+FROM r GROUP BY conv_id
+"""

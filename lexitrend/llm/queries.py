@@ -26,6 +26,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    "op1_chat_format": chat_format.ORACLE,
     "op4_warc_bundle": warc_bundle.ORACLE,
     "op12_merkle_manifest": merkle_manifest.ORACLE,
     "op13_importance_resampling": importance_resampling.ORACLE,

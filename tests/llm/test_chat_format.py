@@ -62,3 +62,14 @@ def test_layouts_by_fingerprint(spark):
     assert sorted(map(tuple, C.turns_of_table(nested).collect())) == [(5, 0, "user", "q"), (5, 1, "assistant", "")]
     with pytest.raises(ValueError):
         C.turns_of_table(spark.createDataFrame([(1,)], "nothing long"))
+
+
+def test_ties_are_ordered_by_text(spark):
+    """Texts of one turn in the order of the texts, not of what stands after them or of their escapes."""
+    texts = ["a", "a!", "a<|im_end|>", "a<|im_end|>b", "a\n", "", "a z", "</s>", "</s>x", "</r>"]
+    for order in (texts, texts[::-1]):
+        rows = [(1, 1, "user", t, None, 0) for t in order] + [(1, 1, "users", "0", None, 0)]
+        df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, piece string, n int")
+        got = C.read_back(C.format_turns(C.turns_of_table(df))).first()
+        want = [("user", t) for t in sorted(texts)] + [("users", "0")]
+        assert got.turns_sha256 == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in want).encode()).hexdigest()
