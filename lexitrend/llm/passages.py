@@ -29,7 +29,7 @@ from .common import texts, written
 from .substring_dup import _BYTE, _P, _mix, powers, sliding_min
 
 #: Passages are longer than 50 words.
-LENGTH, INNER = 51, 10
+LENGTH, INNER = 51, 8
 #: Words hashed at once, bytes of texts cut together, and texts that a task remembers to have cut.
 PIECE, GROUP, SEEN = 1 << 18, 1 << 21, 1 << 20
 _P2 = 0xC2B2AE3D27D4EB4F
@@ -85,9 +85,9 @@ def _segments(batch: list[bytes]):
     return of, s - (ends - sizes)[of], count, key[new], two(s, s + count + LENGTH - 1) ^ count.astype(np.uint64)
 
 
-def sharing_texts(rows: DataFrame) -> DataFrame:
+def sharing_texts(rows: DataFrame, ids: DataFrame) -> DataFrame:
     """(k2) of the texts that share a passage.  ``rows``: (k1, k2, text binary), one for each document;
-    equal texts have equal k2."""
+    equal texts have equal k2.  ``ids``: (k1, k2, n), how many rows bear each pair, written."""
     spark = rows.sparkSession
 
     def cut(batches):
@@ -124,7 +124,7 @@ def sharing_texts(rows: DataFrame) -> DataFrame:
     marks = written(spark, near.groupBy("key", "mark").agg(*sides, F.min(F.struct("k2", "first", "count")).alias("at")),
                     "passages-marks")
     of_several = written(spark, marks.where("a <> b").select("key", "mark"), "passages-whole")
-    by_text = written(spark, rows.groupBy("k2").agg(F.min("k1").alias("k1"), F.count(F.lit(1)).alias("n")), "passages-texts")
+    by_text = written(spark, ids.groupBy("k2").agg(F.min("k1").alias("k1"), F.sum("n").alias("n")), "passages-texts")
     copies = every.where("first = 0").select("k2").join(by_text.where("n > 1").select("k2"), "k2", "left_semi")
     settled = written(spark, near.join(of_several, ["key", "mark"], "left_semi").select("k2").unionByName(copies).distinct(),
                       "passages-settled")

@@ -220,7 +220,7 @@ RANGES = "array<struct<lo long, hi long>>"
 
 def together(found: DataFrame) -> DataFrame:
     """One row per text with all its ranges; those that repeated rows bring are the same and count once."""
-    return found.distinct().groupBy("k1", "k2").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
+    return found.groupBy("k1", "k2").agg(F.flatten(F.collect_set("ranges")).alias("ranges"))
 
 
 def repeated_starts(docs: DataFrame, inner: tuple[int, ...] = INNER) -> DataFrame:
@@ -329,8 +329,9 @@ def substring_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", wi
     ranges = together(repeated_starts(rows.select("k1", "k2", "text")))
     if with_passages:  # by text; brought to the rows with their ranges, so that texts move once
         from .passages import sharing_texts
-        shared = (rows.select("k1", "k2").distinct()
-                  .join(written(spark, sharing_texts(rows.select("k1", "k2", "text")), "repeats-passages"), "k2", "left_semi"))
+        ids = written(spark, rows.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")), "repeats-ids")
+        shared = ids.drop("n").join(written(spark, sharing_texts(rows.select("k1", "k2", "text"), ids), "repeats-passages"),
+                                    "k2", "left_semi")
         ranges = ranges.join(shared.withColumn("shared", F.lit(True)), ["k1", "k2"], "full")
     else:
         ranges = ranges.withColumn("shared", F.lit(False))
