@@ -175,6 +175,13 @@ def fitted_line(trends: DataFrame, merged: DataFrame, start: int, end: int) -> D
                     (F.col("slope") * F.col("year") + F.col("intercept")).alias("fitted")))
 
 
+def growth_window(years: list[int]) -> tuple[int, int]:
+    """H2: (last year - 10 floored at the first, last year) of the year columns; (0, -1) if there are none."""
+    if not years:
+        return (0, -1)
+    return (max(max(years) - 10, min(years)), max(years))
+
+
 def growth(terms_dense: DataFrame, start: int, end: int) -> DataFrame:
     """H2: CAGR between two year columns per (category, term).
 

@@ -178,8 +178,7 @@ def _growth(spark, sf):
     terms, _ = _base(spark, sf, domains=False)
     years = T.year_list(terms)
     dense = T.dense_term_years(terms, years)
-    hi, lo = max(years), min(years)
-    start = hi - 10 if hi - 10 >= lo else lo
+    start, hi = T.growth_window(years)
     return T.growth(dense, start, hi)
 
 
@@ -425,8 +424,7 @@ def h2_growth_realistic(spark, sf):
     terms, _ = _base(spark, sf, domains=False)
     terms = R.drop_unrealistic_long(terms, ["category", "term"], 30).checkpoint(eager=True)
     years = T.year_list(terms, between=K.YEAR_COLUMN_RANGE)
-    hi, lo = max(years), min(years)
-    g = T.growth(T.dense_term_years(terms, years), hi - 10 if hi - 10 >= lo else lo, hi)
+    g = T.growth(T.dense_term_years(terms, years), *T.growth_window(years))
     return g.select("category", "term", r6("cagr").alias("cagr"), r6("growth_percent").alias("growth_percent"), "volume")
 
 

@@ -218,3 +218,15 @@ def test_prediction_of_zero_has_no_noise(spark):
 def test_trends_of_nothing(spark):
     df = spark.createDataFrame([], "category string, term string, year int, norm_freq double")
     assert T.normalized_trends(df, 0, -1).collect() == []
+
+
+def test_growth_without_any_realistic_term(spark, tmp_path):
+    """Every term has a year above the cap: no year columns are left, and no rows."""
+    from datetime import date
+
+    from lexitrend.plans import q_trends as QT
+    spark.createDataFrame([(1, "PROMO", "a b")], "p_partkey long, p_type string, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    (spark.createDataFrame([(i, 1, date(1996 + i % 2, 1, 1)) for i in range(80)],
+                           "l_orderkey long, l_partkey long, l_shipdate date").write.parquet(f"{tmp_path}/lineitem.parquet"))
+    got = QT.h2_growth_realistic(spark, str(tmp_path))
+    assert got.columns == ["category", "term", "cagr", "growth_percent", "volume"] and got.collect() == []
