@@ -1,20 +1,28 @@
 """Term extraction and counting (A7 split, C1-C7).
 
 One pass over the papers produces the 1-, 2- and 3-gram terms together;
-per-document term frequencies are combined map-side (all n-grams of a
-document live in one task), then one shuffle on (category, year, n, term)
+per-document term frequencies are counted where the document is, then one shuffle on (category, year, n, term)
 yields term frequency (sum) and document frequency (count).
 """
 
 from __future__ import annotations
 
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import constants as K
+from ..session import ensure_checkpoint_dir
 from .joins import join_small
 from ..functions.categories import target_domains
-from ..functions.text import clean_text, count_substring, drop_stopwords, ngrams, title_summary_text, tokens
+from ..functions.text import clean_text, count_substring, title_summary_text
+
+#: Characters of text in a partition, and terms that a task's function holds before it hands them on.
+PIECE, TERMS_AT_ONCE = 16 << 20, 20_000
 
 
 def with_clean_text(papers: DataFrame) -> DataFrame:
@@ -33,46 +41,57 @@ def domain_split(papers: DataFrame) -> DataFrame:
 
 
 def docs_per_year(clean: DataFrame) -> DataFrame:
-    """Papers per (category, year) — the denominator used by the >= 5 rule."""
-    return (clean.select("id", "year", F.explode("domains").alias("category"))
-            .groupBy("category", "year").agg(F.count(F.lit(1)).alias("n_docs")))
-
-
-def _tag(n: int):
-    """Element function for ``transform`` (one parameter: a two-parameter
-    lambda would receive the element index)."""
-    return lambda x: F.struct(F.lit(n).alias("n"), x.alias("term"))
-
-
-def _gram_array(clean: DataFrame, ns, academic: list[str] | None = None) -> DataFrame:
-    """(id, year, domains, g): g = every n-gram occurrence of the paper as
-    array<struct<n, term>>.  The filtered token arrays are projected once as
-    columns, then the shifted slices read those columns."""
-    words = tokens("clean")
-    toks = clean.select("id", "year", "domains",
-                        drop_stopwords(words, extended=True, academic=academic).alias("_uni"),
-                        drop_stopwords(words, extended=False).alias("_en"))
-    parts = []
-    if 1 in ns:
-        parts.append(F.transform("_uni", _tag(1)))
-    for n in [n for n in ns if n > 1]:
-        parts.append(F.transform(ngrams("_en", n), _tag(n)))
-    allterms = parts[0] if len(parts) == 1 else F.concat(*parts)
-    return toks.select("id", "year", "domains", allterms.alias("g"))
+    """Papers per (category, year) — the denominator used by the >= 5 rule — and their characters."""
+    return (clean.select("year", F.length("clean").cast("long").alias("chars"), F.explode("domains").alias("category"))
+            .groupBy("category", "year").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("chars").alias("chars")))
 
 
-def term_rows(clean: DataFrame, ns=(1, 2, 3), academic: list[str] | None = None) -> DataFrame:
-    """(id, year, domains, n, term) for every n-gram occurrence, whole texts.
+def paper_terms(papers: DataFrame, ns=(1, 2, 3), academic: list[str] | None = None) -> DataFrame:
+    """(year, domains, n, term, tf): the n-grams of each paper (year, domains, texts: its cleaned texts)
+    with their occurrences, whole texts.
 
     Unigrams use the English + academic stopword list (C1), longer n-grams
-    the English list only, with n-grams formed after removal (C2, C3).
+    the English list only, with n-grams formed after removal (C2, C3).  They are counted
+    paper by paper in the task, so no aggregate ever holds (paper, term) keys.
     """
-    # explode_outer + a filter above it: a plain explode makes the optimizer
-    # infer size(g) > 0 and push it below the projections, where it would be
-    # rewritten over (and re-run) the whole clean/tokenise/n-gram pipeline
-    return (_gram_array(clean, ns, academic).select("id", "year", "domains", F.explode_outer("g").alias("t"))
-            .where(F.col("t").isNotNull())
-            .select("id", "year", "domains", F.col("t.n").alias("n"), F.col("t.term").alias("term")))
+    english = frozenset(K.ENGLISH_STOPWORDS)
+    more = frozenset(K.ACADEMIC_STOPWORDS if academic is None else academic)
+
+    def counts(texts):
+        found = {n: Counter() for n in ns}
+        for text in texts:
+            words = [w for w in text.split(" ") if len(w) > 2 and w not in english]
+            for n in ns:
+                found[n].update([w for w in words if w not in more] if n == 1
+                                else map(" ".join, zip(*(words[i:] for i in range(n)))))
+        return found
+
+    def run(batches):
+        for b in batches:
+            rows, size, terms, tf, of = [], [], [], [], []
+
+            def flush(b=b, rows=rows, size=size, terms=terms, tf=tf, of=of):
+                at = pa.array(np.repeat(np.array(rows, np.int64), size))
+                cols = [b.column(0).take(at), b.column(1).take(at), pa.array(of, pa.int32()), pa.array(terms, pa.string()),
+                        pa.array(tf, pa.int64())]
+                for x in (rows, size, terms, tf, of):
+                    x.clear()
+                return pa.RecordBatch.from_arrays(cols, ["year", "domains", "n", "term", "tf"])
+
+            for i, texts in enumerate(b.column(2).to_pylist()):
+                found = counts(texts)
+                rows.append(i)
+                size.append(sum(map(len, found.values())))
+                for n, c in found.items():
+                    of += [n] * len(c)
+                    terms += c.keys()
+                    tf += c.values()
+                if len(terms) >= TERMS_AT_ONCE:
+                    yield flush()
+            yield flush()
+
+    kinds = T.StructType([papers.schema["year"], papers.schema["domains"], *T.StructType.fromDDL("n int, term string, tf long")])
+    return papers.select("year", "domains", "texts").mapInArrow(run, kinds)
 
 
 def term_year_counts(clean: DataFrame, ns=(1, 2, 3), min_df: dict | None = None,
@@ -81,20 +100,24 @@ def term_year_counts(clean: DataFrame, ns=(1, 2, 3), min_df: dict | None = None,
     frequency (df); kept when df >= min_df[n] and the (category, year) has
     at least ``min_docs`` papers.  ``academic`` replaces the academic stopwords."""
     min_df = min_df or K.MIN_DF
-    # The papers are hash-partitioned by id first: the text moves once and
-    # is far smaller than its exploded n-grams, and the per-paper aggregate
-    # (keys include id) then needs no exchange of its own.  Measured at
-    # sf0.1: 24 s -> 8 s.  Hash aggregation is codegen'd (per-element
-    # lambdas over a sorted array were measured ~2x slower).
-    per_doc = (term_rows(clean.repartition("id"), ns, academic)
-               .groupBy("id", "year", "domains", "n", "term").agg(F.count(F.lit(1)).alias("tf")))
-    per_cat = (per_doc.select("year", F.explode("domains").alias("category"), "n", "term", "tf")
+    ensure_checkpoint_dir(clean.sparkSession)
+    years = docs_per_year(clean).checkpoint(eager=True)
+    # The papers are hash-partitioned by id first: the text moves once to bring a paper's rows together,
+    # and once more to bring the papers of a year and domain together, so that their n-grams, many times
+    # larger, are combined before they move.  A partition holds about PIECE characters whatever the
+    # corpus, so a task's share of n-grams, and the memory of its partial aggregate, do not grow with it.
+    pieces = max(2, -(-(years.agg(F.sum("chars")).first()[0] or 0) // PIECE))
+    papers = (clean.repartition(pieces, "id")
+              .groupBy("id", "year", "domains").agg(F.collect_list("clean").alias("texts"))
+              .where(F.size("domains") > 0).repartitionByRange(pieces, "year", "domains", "id"))
+    per_cat = (paper_terms(papers, ns, academic)
+               .select("year", F.explode("domains").alias("category"), "n", "term", "tf")
                .groupBy("category", "year", "n", "term")
                .agg(F.sum("tf").cast("bigint").alias("tf"), F.count(F.lit(1)).cast("bigint").alias("df")))
     floor = F.coalesce(*[F.when(F.col("n") == n, F.lit(k)) for n, k in sorted(min_df.items())], F.lit(1))
     kept = per_cat.where(F.col("df") >= floor)
-    years_ok = docs_per_year(clean).where(F.col("n_docs") >= min_docs).select("category", "year")
-    return join_small(kept, years_ok, ["category", "year"], "left_semi")
+    years_ok = years.where(F.col("n_docs") >= min_docs).select("category", "year")
+    return join_small(kept, years_ok, ["category", "year"], "left_semi", materialised=True)
 
 
 def top_terms(counts: DataFrame, k: int = K.TOP_TERMS_PER_CATEGORY) -> DataFrame:
