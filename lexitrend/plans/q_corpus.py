@@ -297,14 +297,15 @@ PLANTED_FILES = [("arxiv_void.csv", ""), ("arxiv_header_only.csv", "id,title,sum
 
 
 def _category_folder(spark, sf) -> str:
-    """One `arxiv_X.csv` per domain, with the planted files beside them."""
+    """One `arxiv_X.csv` per domain, in parts, with the planted files beside them."""
     _utc(spark)
     path = _scratch(spark, "a5-categories")
     p = TM.domain_split(S.papers(spark, sf))
     day = F.when(F.col("id") % BAD_DATE_EVERY == 0, F.lit("unknown")).otherwise(F.date_format("published_date", "yyyy-MM-dd"))
     p = p.select(F.col("id").cast("string").alias("id"), "title", "summary", day.alias("published_date"), "domain")
-    SK.write_csv(p.repartition("domain"), f"{path}/written", ["domain"])
-    S.move_parts(spark, f"{path}/written", "domain=", f"{path}/files", "arxiv_{}.csv")
+    # a file is written in parts of bounded size, as a category's papers may be any number
+    SK.write_csv(p.hint("rebalance", "domain"), f"{path}/written", ["domain"])
+    S.move_folders(spark, f"{path}/written", "domain=", f"{path}/files", "arxiv_{}.csv")
     for name, text in PLANTED_FILES:
         S.put_file(spark, f"{path}/files/{name}", text)
     return f"{path}/files"

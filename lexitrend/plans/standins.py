@@ -172,13 +172,12 @@ def put_file(spark: SparkSession, path: str, text: str) -> None:
     out.close()
 
 
-def move_parts(spark: SparkSession, written: str, prefix: str, to: str, name: str) -> None:
-    """Give the part file of each `<prefix><value>` folder under ``written`` the name that a value's file has."""
+def move_folders(spark: SparkSession, written: str, prefix: str, to: str, name: str) -> None:
+    """Give each `<prefix><value>` folder under ``written`` the name that a value's file has: its part files
+    are then that file in parts."""
     fs, p = _hadoop(spark, written)
     fs.mkdirs(p(to))
     for folder in fs.listStatus(p(written)):
         value = folder.getPath().getName()
         if value.startswith(prefix):
-            for part in fs.listStatus(folder.getPath()):
-                if part.getPath().getName().startswith("part-"):
-                    fs.rename(part.getPath(), p(f"{to}/{name.format(value.removeprefix(prefix))}"))
+            fs.rename(folder.getPath(), p(f"{to}/{name.format(value.removeprefix(prefix))}"))

@@ -128,6 +128,7 @@ def read_topic_folder(spark: SparkSession, path: str, suffix: str = "_quarterly_
 
 def category_files(spark: SparkSession, path: str, columns: list[str], date: str = "published_date") -> tuple[DataFrame, DataFrame]:
     """A5: a folder of `arxiv_X.csv` files as (rows, outcomes); the category X comes from the file's name.
+    A file may be a folder of part files, as Spark writes it: a text with line breaks is one task a part.
 
     rows: category, ``columns`` (strings) and ``date`` as a timestamp; rows whose date cannot be read are
     dropped, as n_rejected of the outcomes says."""
@@ -135,7 +136,7 @@ def category_files(spark: SparkSession, path: str, columns: list[str], date: str
     files = CF.catalogue(spark, path)
     raw = CF.scan(spark, files, [*columns, date]).withColumn(date, parse_timestamp(date))
     bad = F.col(date).isNull()
-    found = CF.outcomes(files, raw, [*columns, date], bad)
-    rows = CF.of_read_files(raw, found).where(~bad)
+    found = CF.of_whole_files(CF.outcomes(files, raw, [*columns, date], bad))
+    rows = CF.of_read_files(raw.withColumn("path", CF.whole_file("path")), found).where(~bad)
     name = F.regexp_extract("path", "([^/]+)$", 1)
     return rows.select(CF.category_of(name).alias("category"), *columns, date), found

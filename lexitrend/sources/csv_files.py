@@ -149,6 +149,23 @@ def outcomes(files: DataFrame, rows: DataFrame, columns: Sequence[str], rejected
           for c, a in (("n", "n_rows"), ("rejected", "n_rejected"))])
 
 
+def whole_file(path: str | Column) -> Column:
+    """The file that a path belongs to: a folder named like a CSV file is one file in parts."""
+    return F.regexp_replace(path, r"(\.csv)/[^/]+$", "$1")
+
+
+def of_whole_files(found: DataFrame) -> DataFrame:
+    """Outcomes with one row per ``whole_file``: a part that cannot be read makes its file unreadable."""
+    bad = F.max(F.col("status") == "unreadable")
+    n = F.sum("n_rows")
+    zero = F.lit(0).cast("long")
+    return (found.withColumn("path", whole_file("path")).groupBy("path")
+            .agg(F.when(bad, F.lit("unreadable")).when(n == 0, F.lit("empty")).otherwise(F.lit("read")).alias("status"),
+                 F.min("reason").alias("reason"), F.when(bad, zero).otherwise(n).alias("n_rows"),
+                 F.when(bad, zero).otherwise(F.sum("n_rejected")).alias("n_rejected"))
+            .select("path", F.regexp_extract("path", "([^/]+)$", 1).alias("file"), "status", "reason", "n_rows", "n_rejected"))
+
+
 def of_read_files(rows: DataFrame, found: DataFrame) -> DataFrame:
     """The rows of files whose outcome is `read` (``found``: outcomes; one small row per file)."""
     return join_small(rows, found.where("status = 'read'").select("path"), ["path"], "left_semi").drop("extra")
