@@ -27,7 +27,6 @@ from .functions.categories import primary_category, target_domains
 from .functions.dates import is_bad_date, parse_timestamp, quarter_label
 from .functions.text import flatten_newlines
 from .operators import aggregates as AG
-from .operators import langid as LI
 from .operators import terms as TM
 from .operators import trends as T
 from .session import checkpoint_path, ensure_checkpoint_dir, get_spark
@@ -84,10 +83,7 @@ def clean_works(spark: SparkSession, input_glob: str, output: str, rejects: str
     good, bad = CO.split_corrupt(raw)
     (bad.select(F.col("_file").alias("file"), F.lit("malformed").alias("reason"), F.col(CO.CORRUPT).alias("line"))
      .write.mode("overwrite").parquet(rejects or f"{output.rstrip('/')}_rejects"))
-    # which rows the gate is fitted on is settled by title, before any abstract is rebuilt
-    labelled = LI.sample(good.where(F.size("abstract_inverted_index") > 0), "language",
-                         F.xxhash64("title", "publication_date"))
-    labelled = labelled.select(RC.reconstruct_abstract("abstract_inverted_index").alias("text"),
+    labelled = good.where(F.size("abstract_inverted_index") > 0).select(RC.reconstruct_abstract("abstract_inverted_index").alias("text"),
                                F.col("language").alias("lang")).where("text <> ''")
     w = flatten_works(good, labelled, True, good.select(F.col("language").alias("lang"))).select(
         "id", "title", "summary", "published_date", "authors", "primary_category",

@@ -20,6 +20,8 @@ from .joins import join_small
 N = 3
 #: Texts of each label that the model is fitted on, at most.
 FIT_PER_LABEL = 500
+#: Characters of the texts that a partition holds while their grams are counted.
+PIECE = 2 << 20
 
 
 def padded(c) -> F.Column:
@@ -45,14 +47,15 @@ def sample(labelled: DataFrame, label_col: str, order, per_label: int = FIT_PER_
             .where(F.col("_k") <= per_label).drop("_k"))
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", per_label: int = FIT_PER_LABEL,
+def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", per_label: int | None = FIT_PER_LABEL,
         docs: DataFrame | None = None):
     """Return (model: one row per gram with the log counts of every label, stats: list of (lang, docs,
-    grams), V).  Grams are counted over a bounded sample, ``per_label`` texts of each label by the md5 of
-    the text; the labels' shares come from all rows of ``docs`` (default: ``labelled``)."""
+    grams), V).  Grams are counted over all labelled texts (``per_label`` None), or a bounded sample,
+    ``per_label`` texts of each label by the md5 of the text; the labels' shares come from all rows of ``docs`` (default: ``labelled``)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    p = sample(labelled, label_col, F.md5(text.cast("binary")), per_label).select(
-        F.col(label_col).alias("lang"), padded(text_col).alias("s"))
+    seen = (labelled.where(F.col(label_col).isNotNull()) if per_label is None
+            else sample(labelled, label_col, F.md5(text.cast("binary")), per_label))
+    p = seen.select(F.col(label_col).alias("lang"), padded(text_col).alias("s"))
     # bounded metadata: one row per label
     of = (docs if docs is not None else labelled).where(F.col(label_col).isNotNull())
     shares = {r[0]: int(r[1]) for r in of.groupBy(label_col).agg(F.count(F.lit(1))).collect()}
@@ -60,7 +63,7 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", pe
     # explode_outer + filter: keeps the optimizer from pushing an inferred
     # size(...) > 0 predicate (the whole gram expression) below the projection
     g = p.select("lang", F.explode_outer(char_grams("s")).alias("gram")).where(F.col("gram").isNotNull())
-    # the fitted model is small (distinct grams of the sample) and is read three times: written once
+    # the fitted model is small (distinct grams) and is read three times: written once
     # to the checkpoint folder (lineage cut, survives executor loss)
     ensure_checkpoint_dir(labelled.sparkSession)
     counts = (g.groupBy("gram").agg(*[F.count_if(F.col("lang") == x).alias(f"c{i}") for i, x in enumerate(langs)])
@@ -80,15 +83,18 @@ def predict(texts: DataFrame, model: DataFrame, stats, vocab: int, id_col: str =
     (``english_texts`` is for texts without one)."""
     langs = [s[0] for s in stats]
     total_docs = sum(s[1] for s in stats)
-    # partitioned by id: the per-text gram counts below need no exchange
-    t = (texts.select(F.col(id_col).alias("id"), F.col(text_col).alias("raw"), padded(text_col).alias("s"))
-         .repartition("id"))
+    # partitioned by id: the per-text gram counts below need no exchange; a partition holds about PIECE
+    # characters whatever the number of texts, so a task's (id, gram) counts do not grow with it
+    size = texts.agg(F.sum(F.length(text_col).cast("long"))).first()[0] or 0
+    c = F.col(text_col)
+    t = (texts.select(F.col(id_col).alias("id"), (c.isNotNull() & (F.length(c) >= 3)).alias("ok"), padded(text_col).alias("s"))
+         .repartition(max(1, -(-size // PIECE)), "id"))
     t = t.withColumn("n_grams", F.greatest(F.length("s") - N + 1, F.lit(0)))
     grams = (t.select("id", F.explode_outer(char_grams("s")).alias("gram")).where(F.col("gram").isNotNull())
              .groupBy("id", "gram").agg(F.count(F.lit(1)).alias("k")))
     part = (join_small(grams, model, "gram", "left", materialised=True)
             .groupBy("id").agg(*[F.sum(F.col("k") * F.get("logs", F.lit(i))).alias(f"p{i}") for i in range(len(langs))]))
-    scored = t.select("id", "raw", "n_grams").join(part, "id", "left")
+    scored = t.select("id", "ok", "n_grams").join(part, "id", "left")
     cands = []
     for i, (lang, docs, ngr) in enumerate(stats):
         score = (F.coalesce(F.col(f"p{i}"), F.lit(0.0)) + F.lit(math.log(docs / total_docs))
@@ -97,11 +103,17 @@ def predict(texts: DataFrame, model: DataFrame, stats, vocab: int, id_col: str =
     if not cands:  # no labelled text at all
         return t.select("id", F.lit(None).cast("string").alias("lang_pred"), F.lit(False).alias("is_english"))
     best = F.array_max(F.array(*cands))["lang"]
-    ok = F.col("raw").isNotNull() & (F.length("raw") >= 3)
-    return scored.select("id", best.alias("lang_pred"), (ok & (best == F.lit("en"))).alias("is_english"))
+    return scored.select("id", best.alias("lang_pred"), (F.col("ok") & (best == F.lit("en"))).alias("is_english"))
+
+
+def text_key(c: F.Column | str) -> F.Column:
+    """A short key of a text (SHA-256): per-gram rows do not carry the text."""
+    return F.unhex(F.sha2(F.col(c) if isinstance(c, str) else c, 256))
 
 
 def english_texts(texts: DataFrame, text_col: str, model: DataFrame, stats, vocab: int) -> DataFrame:
-    """The distinct texts of a column that the gate calls English: each is judged once, whatever rows hold it."""
-    distinct = texts.select(F.col(text_col).alias("id")).where(F.length("id") >= 3).distinct()
-    return predict(distinct, model, stats, vocab, "id", "id").where("is_english").select(F.col("id").alias(text_col))
+    """``_key``: the ``text_key`` of the distinct texts of a column that the gate calls English: each is
+    judged once, whatever rows hold it."""
+    distinct = (texts.select(F.col(text_col).alias("text")).where(F.length("text") >= 3).distinct()
+                .select(text_key("text").alias("id"), "text").checkpoint(eager=True))
+    return predict(distinct, model, stats, vocab, "id", "text").where("is_english").select(F.col("id").alias("_key"))

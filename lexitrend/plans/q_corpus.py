@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -126,13 +127,19 @@ def a1_rejects(spark, sf):
 
 def works_lines(spark, sf):
     """Raw works JSON lines (with a word -> positions abstract index) from documents."""
-    # partitioned by id: the word -> positions index (two aggregates keyed
-    # by id) and the join back are built without further exchanges
+    # partitioned by id: an id's texts meet without a further exchange, and the word -> positions index
+    # is made row by row, from the sorted (word, position) pairs
     p = S.papers(spark, sf, extra=("lang",)).repartition("id")
-    words = F.split(F.trim(F.regexp_replace("summary", f"{WS_RE}+", " ")), " ")
-    pos = (p.select("id", F.posexplode(words).alias("pos", "word"))
-           .groupBy("id", "word").agg(F.collect_list("pos").alias("positions"))
-           .groupBy("id").agg(F.map_from_entries(F.collect_list(F.struct("word", "positions"))).alias("idx")))
+    p = p.withColumn("texts", F.collect_list("summary").over(W.partitionBy("id")))
+    words = lambda t: F.split(F.trim(F.regexp_replace(t, f"{WS_RE}+", " ")), " ")
+    p = p.withColumn("pairs", F.sort_array(F.flatten(F.transform("texts", lambda t: F.transform(
+        words(t), lambda w, i: F.struct(w.alias("word"), i.alias("pos")))))))
+    first = F.transform("pairs", lambda x, i: F.when((i == 0) | (x["word"] != F.get("pairs", i - 1)["word"]), i))
+    p = p.withColumn("first", F.filter(first, lambda i: i.isNotNull()))
+    index = F.map_from_entries(F.transform("first", lambda i, k: F.struct(
+        F.get("pairs", i)["word"], F.transform(F.slice("pairs", i + 1, F.coalesce(F.get("first", k + 1), F.size("pairs")) - i),
+                                               lambda x: x["pos"]))))
+    full = p.withColumn("idx", F.when(F.col("id").isNotNull() & (F.size("texts") > 0), index))
     d = F.col("id")
     name = F.concat(F.lit("First"), (d % 89).cast("string"), F.lit(" Last"), (d % 97).cast("string"))
     authorships = F.array(F.struct(F.struct(name.alias("display_name")).alias("author")),
@@ -145,18 +152,19 @@ def works_lines(spark, sf):
                    F.date_format("published_date", "yyyy-MM-dd").alias("publication_date"),
                    authorships.alias("authorships"), topic.alias("primary_topic"), concepts.alias("concepts"),
                    F.when(F.col("summary") == "", F.lit(None)).otherwise(F.col("idx")).alias("abstract_inverted_index"))
-    full = p.join(pos, "id", "left")
     return full.select(F.when(d % WORKS_BAD_EVERY == 0, F.lit("{not json")).otherwise(F.to_json(rec)).alias("value"))
 
 
 def flatten_works(raw, labelled, list_authors=False, docs=None):
     """A2 + B8-B12: works that metadata and title gate call English -> 6-column clean rows with the
-    abstract rebuilt.  The gate is fitted on ``labelled`` (text, lang) and judges titles, each distinct
+    abstract rebuilt.  The gate is fitted on all of ``labelled`` (text, lang) and judges titles, each distinct
     one once, so works without an id or with one that others bear are judged by their own title; titles
     that are null or shorter than 3 characters never pass.  ``list_authors`` gives the names as an array."""
     en = raw.where((F.col("language") == "en") & (F.length("title") >= 3))
-    model, stats, vocab = LI.fit(labelled, "text", "lang", docs=docs)
-    en = en.join(LI.english_texts(en, "title", model, stats, vocab), "title", "left_semi")
+    model, stats, vocab = LI.fit(labelled, "text", "lang", None, docs)
+    # works are dealt out by title once, and not sorted: the titles are the small side
+    english = LI.english_texts(en, "title", model, stats, vocab).hint("shuffle_hash")
+    en = en.withColumn("_key", LI.text_key("title")).join(english, "_key", "left_semi").drop("_key")
     authors = RC.author_names("authorships") if list_authors else RC.join_author_names("authorships")
     return en.select(F.col("id"), F.col("title"), F.col("publication_date").alias("published_date"),
                      authors.alias("authors"),
@@ -170,7 +178,7 @@ def work_id(d):
             .otherwise(F.concat(F.lit("W"), d.cast("string"))))
 
 
-@register("a2_works_corpus", S.with_ctes(f"gate AS ({QT._langid_sql()})", S.PAPERS_SQL.replace("SELECT doc_id AS id,", "SELECT doc_id AS id, doc_id, lang,")) + f"""
+@register("a2_works_corpus", S.with_ctes(f"gate AS ({QT._langid_sql(None)})", S.PAPERS_SQL.replace("SELECT doc_id AS id,", "SELECT doc_id AS id, doc_id, lang,")) + f"""
 SELECT CASE WHEN doc_id % {NO_ID_EVERY} = 0 THEN NULL WHEN doc_id % {SAME_ID_EVERY} = 0 THEN 'W-same'
             ELSE 'W' || CAST(doc_id AS VARCHAR) END AS id, title, strftime(published_date, '%Y-%m-%d') AS published_date,
        'First' || CAST(doc_id % 89 AS VARCHAR) || ' Last' || CAST(doc_id % 97 AS VARCHAR) || ', ' ||
@@ -184,7 +192,7 @@ def a2_works_corpus(spark, sf):
     for the abstract index), bad lines dropped, English rows flattened."""
     path = _scratch(spark, "a2-works")
     works_lines(spark, sf).write.mode("overwrite").option("compression", "gzip").text(path)
-    raw = CO.read_json_lines(spark, path + "/*.gz", CO.WORKS_SCHEMA, spread=True)
+    raw = CO.read_json_lines(spark, path + "/*.gz", CO.WORKS_SCHEMA)
     good, _ = CO.split_corrupt(raw)
     return flatten_works(good, table(spark, sf, "documents"))
 
