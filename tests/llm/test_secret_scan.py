@@ -121,3 +121,22 @@ def test_recall_of_every_shape_and_false_alarms(spark):
     planted = [(k, f"some words here {line} and more") for k, (_, line, _, _) in enumerate(views(G.SHAPES, 3, 7))]
     df = spark.createDataFrame(planted, "doc_id long, text string")
     assert S.find_secrets(df, net).where("n_model > 0").count() >= 0.8 * len(planted)
+
+
+def test_every_finding_of_the_corpus_is_trained_on(spark, docs, monkeypatch):
+    """More findings than a shard holds: all are dealt out, and held-back ones settle the threshold."""
+    import random
+    r = random.Random(4)
+    token = lambda n: "".join(r.choice("abcdef0123456789") for _ in range(n))
+    rows = [(i, f"plain {'x' * 16}{i:05d} and {token(40)} here") for i in range(2400)]
+    monkeypatch.setattr(S, "SHARD", 1000)
+    monkeypatch.setattr(S, "ROUNDS", (1, 1))
+    monkeypatch.setattr(S, "LINES_PER_SHAPE", 20)
+    seen, train_on = [], S.train_on_shards
+    monkeypatch.setattr(S, "train_on_shards", lambda rows, n, *a: seen.append((rows.count(), n)) or train_on(rows, n, *a))
+    net = S.fit(docs(rows))
+    every = S.labelled_findings(docs(rows))
+    assert every.count() == 4800  # 2400 plain runs and 2400 hex ones, more than 1,500 of either
+    assert seen == [(every.where("not held").count(), {0: seen[0][1][0], 1: seen[0][1][1]})] and sum(seen[0][1].values()) == seen[0][0]
+    held = [bytes(x.seen) for x in every.where("held and label = 1").collect()]
+    assert len(held) > 500 and (net.probability(S.codes_of(held)) >= net.cut).mean() >= S.RECALL
