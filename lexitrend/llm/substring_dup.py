@@ -36,7 +36,7 @@ INNER = (128, 384, LENGTH)
 #: Different segments of a key that may meet in one block.
 MOST = 256
 #: Bytes worked on at once, and bytes that a block holds on average.
-PIECE, BLOCK = 1 << 20, 1 << 20
+PIECE, BLOCK = 1 << 19, 1 << 18
 _RNG = np.random.default_rng(20240701)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _P, _P2 = 0x9E3779B97F4A7C15, 0xD1342543DE82EF95
@@ -139,7 +139,7 @@ def suffix_array(codes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, list
     order = np.lexsort((tie, word))
     rank = np.empty(n, dtype=np.int64)
     rank[order] = np.cumsum(np.r_[0, (word[order][1:] != word[order][:-1]) | (tie[order][1:] != tie[order][:-1])])
-    levels = [(8, rank)]
+    levels = [(8, rank.astype(np.int32))]
     h = 8
     while rank.max() < n - 1:
         after = np.concatenate([rank[h:] + 1, np.zeros(min(h, n), np.int64)])[:n]
@@ -148,7 +148,7 @@ def suffix_array(codes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, list
         rank = np.empty(n, dtype=np.int64)
         rank[order] = np.cumsum(np.r_[0, pair[order][1:] != pair[order][:-1]])
         h *= 2
-        levels.append((h, rank))
+        levels.append((h, rank.astype(np.int32)))
     return order, levels
 
 

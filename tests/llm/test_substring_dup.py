@@ -77,3 +77,12 @@ def test_pieces_of_long_texts(monkeypatch):
     starts = sorted(int(a) + k for text, count, _, _, lo, at in S.segments([t, b"short", t], 128)
                     for i, n, x, y in zip(text, count, at, at[1:], strict=False) if i == 0 for a in lo[x:y] for k in range(n))
     assert starts == list(range(len(t) - 399))
+
+
+def test_suffix_ranks_take_four_bytes():
+    """Every level of ranks is kept until the block is done: a worker holds few bytes of them per byte of text."""
+    import numpy as np
+    from lexitrend.llm import substring_dup as D
+    codes = np.frombuffer(b"abcab" * 300 + b"\xff" + b"abcab" * 300 + b"\xff", dtype=np.uint8) + np.uint8(1)
+    _, levels = D.suffix_array(codes, np.repeat([0, 1], 1501))
+    assert len(levels) > 5 and all(rank.itemsize == 4 for _, rank in levels) and D.BLOCK <= 1 << 18
