@@ -18,7 +18,7 @@ from ..session import ensure_checkpoint_dir
 from .joins import join_small
 
 N = 3
-#: Texts of each label that the model is fitted on, at most.
+#: Texts of each label for callers that ask ``fit`` for a bounded sample; no query or job does.
 FIT_PER_LABEL = 500
 #: Characters of the texts that a partition holds while their grams are counted.
 PIECE = 2 << 20
@@ -47,11 +47,11 @@ def sample(labelled: DataFrame, label_col: str, order, per_label: int = FIT_PER_
             .where(F.col("_k") <= per_label).drop("_k"))
 
 
-def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", per_label: int | None = FIT_PER_LABEL,
+def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "lang", per_label: int | None = None,
         docs: DataFrame | None = None):
     """Return (model: one row per gram with the log counts of every label, stats: list of (lang, docs,
-    grams), V).  Grams are counted over all labelled texts (``per_label`` None), or a bounded sample,
-    ``per_label`` texts of each label by the md5 of the text; the labels' shares come from all rows of ``docs`` (default: ``labelled``)."""
+    grams), V).  Grams are counted over all labelled texts; only with ``per_label`` over a sample, so many
+    texts of each label by the md5 of the text.  The labels' shares come from all rows of ``docs`` (default: ``labelled``)."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     seen = (labelled.where(F.col(label_col).isNotNull()) if per_label is None
             else sample(labelled, label_col, F.md5(text.cast("binary")), per_label))

@@ -167,12 +167,11 @@ def c6_phrase_quarterly(spark, sf):
 
 
 # ------------------------------------------------------------ B12
-def _langid_sql(per_label: int | None = LI.FIT_PER_LABEL) -> str:
-    labelled = f"WHERE k <= {per_label}" if per_label else ""
-    return S.with_ctes(S.PAPERS_SQL.replace("SELECT doc_id AS id,", "SELECT doc_id AS id, lang,"), f"""tr AS (
+def _langid_sql() -> str:
+    return S.with_ctes(S.PAPERS_SQL.replace("SELECT doc_id AS id,", "SELECT doc_id AS id, lang,"), """tr AS (
   SELECT lang, ' ' || lower(coalesce(text, '')) || ' ' AS s
   FROM (SELECT lang, text, row_number() OVER (PARTITION BY lang ORDER BY md5(coalesce(text, ''))) AS k
-        FROM documents WHERE lang IS NOT NULL) {labelled})""", """tg AS (
+        FROM documents WHERE lang IS NOT NULL) )""", """tg AS (
   SELECT lang, substr(s, i, 3) AS gram FROM (SELECT lang, s, unnest(range(1, greatest(length(s) - 2, 1) + 1)) AS i FROM tr)
   WHERE length(substr(s, i, 3)) = 3)""", """model AS (SELECT gram, lang, count(*) AS c FROM tg GROUP BY ALL)""",
   """ls AS (SELECT d.lang, d.docs, g.grams FROM (SELECT lang, count(*) AS docs FROM documents WHERE lang IS NOT NULL GROUP BY lang) d
@@ -195,7 +194,7 @@ SELECT id, lang AS lang_pred, (raw IS NOT NULL AND length(raw) >= 3 AND lang = '
 @register("b12_language_gate", _langid_sql())
 def b12_language_gate(spark, sf):
     """Title language gate: a char-trigram naive-Bayes model fitted on
-    the labelled documents, applied to every paper title (argmax label;
+    all labelled documents, applied to every paper title (argmax label;
     null or < 3 characters -> not English)."""
     model, stats, vocab = LI.fit(table(spark, sf, "documents"), "text", "lang")
     return LI.predict(S.papers(spark, sf), model, stats, vocab, "id", "title")

@@ -22,7 +22,21 @@ def test_gate_is_fitted_on_every_labelled_text(spark):
     _, stats, _ = LI.fit(spark.createDataFrame(rows, "text string, lang string"), per_label=None)
     assert stats == [("en", len(rows), sum(len(t) for t, _ in rows))]  # padded by two, less two: one gram a character
     registry.load_all()
-    assert "k <=" not in registry.ORACLE["a2_works_corpus"] and "k <= 500" in registry.ORACLE["b12_language_gate"]
+    assert "k <=" not in registry.ORACLE["a2_works_corpus"] and "k <=" not in registry.ORACLE["b12_language_gate"]
+
+
+def test_title_gate_query_reads_every_text(spark, tmp_path, monkeypatch):
+    n = LI.FIT_PER_LABEL + 101
+    rows = [(i, f"plain words {i}", "en") for i in range(n)] + [(n, "schlicht", "de"), (n + 1, None, "de"), (n + 2, "x", None)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    seen, predict = [], LI.predict
+    monkeypatch.setattr(LI, "predict", lambda texts, *model: seen.append(model) or predict(texts, *model))
+    registry.load_all()
+    got = {r.id: r.lang_pred for r in registry.QUERIES["b12_language_gate"](spark, str(tmp_path)).collect()}
+    model, stats = seen[0][:2]
+    assert stats == [("de", 2, 8), ("en", n, sum(len(t) for _, t, lang in rows if lang == "en"))]
+    assert round(2.718281828459045 ** model.where("gram = 'pla'").first().logs[1]) == n + 1
+    assert got[0] == "en" and got[n] == "de" and len(got) == len(rows)
 
 
 def test_works_gate_reads_every_text(spark, monkeypatch):
