@@ -128,7 +128,7 @@ def term_tables(spark: SparkSession, papers_path: str, output: str, k: int = K.T
     ensure_checkpoint_dir(spark)
     papers = read_papers(spark, papers_path)
     clean = TM.with_clean_text(papers)
-    counts = TM.term_year_counts(clean).checkpoint(eager=True)
+    counts = TM.stored(TM.term_year_counts(clean))
     SK.write_parquet(TM.top_terms(counts, k), output, ["category", "n"], mode="replace_partitions")
     # the texts are read in two branches above, so this count reads the dates alone
     return {"bad_dates": papers.where("bad_date").count()}
@@ -174,8 +174,8 @@ def configured(spark: SparkSession, config_path: str, section: str) -> dict:
     c = load_config(config_path, section)
     output = c.output or f"{section.lower()}_out"
     papers = read_papers(spark, c.data_file)
-    counts = TM.term_year_counts(TM.with_clean_text(papers), min_df=c.min_df, min_docs=c.min_docs_per_year,
-                                 academic=c.academic_stopwords).checkpoint(eager=True)
+    counts = TM.stored(TM.term_year_counts(TM.with_clean_text(papers), min_df=c.min_df, min_docs=c.min_docs_per_year,
+                                           academic=c.academic_stopwords))
     SK.write_parquet(TM.top_terms(counts, c.top_terms), f"{output}/terms", ["category", "n"], mode="replace_partitions")
     phrases = TM.phrase_period_counts(papers, c.search_terms, quarter_label("published_date"))
     SK.write_csv(phrases, f"{output}/phrases")

@@ -1,28 +1,27 @@
 """Term extraction and counting (A7 split, C1-C7).
 
-One pass over the papers produces the 1-, 2- and 3-gram terms together;
-per-document term frequencies are counted where the document is, then one shuffle on (category, year, n, term)
-yields term frequency (sum) and document frequency (count).
+One pass over the papers tells which n-grams are too rare to be kept (``grams``), a second one counts the 1-, 2-
+and 3-gram terms together where the documents are; then one shuffle on (category, year, n, term)
+yields term frequency and document frequency.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import constants as K
-from ..session import ensure_checkpoint_dir
+from ..session import checkpoint_path, ensure_checkpoint_dir
+from . import grams as GR
 from .joins import join_small
 from ..functions.categories import target_domains
 from ..functions.text import clean_text, count_substring, title_summary_text
 
-#: Characters of text in a partition, and terms that a task's function holds before it hands them on.
-PIECE, TERMS_AT_ONCE = 16 << 20, 20_000
+#: Characters of text in a piece, and terms that a task's function holds before it hands them on.
+PIECE, TERMS_AT_ONCE = 32 << 20, 1_500_000
 
 
 def with_clean_text(papers: DataFrame) -> DataFrame:
@@ -40,58 +39,49 @@ def domain_split(papers: DataFrame) -> DataFrame:
     return papers.select("*", F.explode(target_domains("all_categories")).alias("domain"))
 
 
-def docs_per_year(clean: DataFrame) -> DataFrame:
-    """Papers per (category, year) — the denominator used by the >= 5 rule — and their characters."""
-    return (clean.select("year", F.length("clean").cast("long").alias("chars"), F.explode("domains").alias("category"))
-            .groupBy("category", "year").agg(F.count(F.lit(1)).alias("n_docs"), F.sum("chars").alias("chars")))
+def sizes_by_kind(clean: DataFrame) -> DataFrame:
+    """Papers and characters per (year, domains): bounded metadata, a row for each year and set of domains."""
+    return clean.groupBy("year", "domains").agg(F.count(F.lit(1)).alias("n_docs"), F.sum(F.length("clean").cast("long")).alias("chars"))
 
 
-def paper_terms(papers: DataFrame, ns=(1, 2, 3), academic: list[str] | None = None) -> DataFrame:
-    """(year, domains, n, term, tf): the n-grams of each paper (year, domains, texts: its cleaned texts)
-    with their occurrences, whole texts.
+def cells_of(sizes: list, ns, min_df: dict, min_docs: int) -> list[tuple]:
+    """(category, year, n, least df) of the (category, year) that have ``min_docs`` papers: the >= 5 rule."""
+    docs: Counter = Counter()
+    for r in sizes:
+        for category in r.domains:
+            docs[category, r.year] += r.n_docs
+    return [(*c, n, min_df.get(n, 1)) for c in sorted(docs) if docs[c] >= min_docs for n in ns]
+
+
+def paper_terms(papers: DataFrame, rooms: dict, cells: list[tuple], academic: list[str] | None = None,
+                texts: DataFrame | None = None) -> DataFrame:
+    """(cells, term, more, again): the n-grams of papers (year, domains, texts: a paper's cleaned texts) with
+    the numbers of their ``cells``, the papers but one that they are in, and their occurrences beyond one in
+    each, summed over the papers of one year and domains that a task holds; whole texts.
 
     Unigrams use the English + academic stopword list (C1), longer n-grams
-    the English list only, with n-grams formed after removal (C2, C3).  They are counted
-    paper by paper in the task, so no aggregate ever holds (paper, term) keys.
+    the English list only, with n-grams formed after removal (C2, C3).  With ``texts`` (year, domains, clean:
+    all the texts) n-grams of too few papers for each of their cells are left out as far as the filter of
+    ``grams`` tells them; none of enough papers is.
     """
     english = frozenset(K.ENGLISH_STOPWORDS)
-    more = frozenset(K.ACADEMIC_STOPWORDS if academic is None else academic)
-
-    def counts(texts):
-        found = {n: Counter() for n in ns}
-        for text in texts:
-            words = [w for w in text.split(" ") if len(w) > 2 and w not in english]
-            for n in ns:
-                found[n].update([w for w in words if w not in more] if n == 1
-                                else map(" ".join, zip(*(words[i:] for i in range(n)))))
-        return found
-
-    def run(batches):
-        for b in batches:
-            rows, size, terms, tf, of = [], [], [], [], []
-
-            def flush(b=b, rows=rows, size=size, terms=terms, tf=tf, of=of):
-                at = pa.array(np.repeat(np.array(rows, np.int64), size))
-                cols = [b.column(0).take(at), b.column(1).take(at), pa.array(of, pa.int32()), pa.array(terms, pa.string()),
-                        pa.array(tf, pa.int64())]
-                for x in (rows, size, terms, tf, of):
-                    x.clear()
-                return pa.RecordBatch.from_arrays(cols, ["year", "domains", "n", "term", "tf"])
-
-            for i, texts in enumerate(b.column(2).to_pylist()):
-                found = counts(texts)
-                rows.append(i)
-                size.append(sum(map(len, found.values())))
-                for n, c in found.items():
-                    of += [n] * len(c)
-                    terms += c.keys()
-                    tf += c.values()
-                if len(terms) >= TERMS_AT_ONCE:
-                    yield flush()
-            yield flush()
-
-    kinds = T.StructType([papers.schema["year"], papers.schema["domains"], *T.StructType.fromDDL("n int, term string, tf long")])
-    return papers.select("year", "domains", "texts").mapInArrow(run, kinds)
+    more = frozenset(K.ACADEMIC_STOPWORDS if academic is None else academic) | english
+    number = {c[:3]: i for i, c in enumerate(cells)}
+    ns = sorted({c[2] for c in cells})
+    floors = {n: k for _, _, n, k in cells if k > 1} if texts is not None else {}
+    kept, fold, at_once = {"ns": frozenset(floors)}, GR.folded(rooms, [c[1] for c in cells if c[2] in floors]), TERMS_AT_ONCE
+    if floors:
+        enough = {c[:2] for c in cells}
+        parts = texts.select("year", "domains", F.coalesce("clean", F.lit(""))).mapInArrow(
+            lambda batches: GR.sketches(batches, rooms, floors, enough, english, more),
+            "year int, n int, slice int, domains array<string>, buckets binary")
+        found = parts.groupBy("year", "n", "slice").applyInArrow(
+            lambda group: GR.passing(group, floors, fold), "category string, year int, n int, slice int, bits binary")
+        kept |= GR.gathered(found.collect(), rooms, fold)  # GR.FILTER_BITS at most
+    kept = papers.sparkSession.sparkContext.broadcast(kept)
+    return papers.select("year", "domains", "texts").mapInArrow(
+        lambda batches: GR.counts(batches, ns, kept.value, rooms, fold, number, english, more, at_once),
+        "cells array<int>, term string, more long, again long")
 
 
 def term_year_counts(clean: DataFrame, ns=(1, 2, 3), min_df: dict | None = None,
@@ -99,25 +89,41 @@ def term_year_counts(clean: DataFrame, ns=(1, 2, 3), min_df: dict | None = None,
     """C4: per (category, year, n, term) total occurrences (tf) and document
     frequency (df); kept when df >= min_df[n] and the (category, year) has
     at least ``min_docs`` papers.  ``academic`` replaces the academic stopwords."""
-    min_df = min_df or K.MIN_DF
-    ensure_checkpoint_dir(clean.sparkSession)
-    years = docs_per_year(clean).checkpoint(eager=True)
-    # The papers are hash-partitioned by id first: the text moves once to bring a paper's rows together,
-    # and once more to bring the papers of a year and domain together, so that their n-grams, many times
-    # larger, are combined before they move.  A partition holds about PIECE characters whatever the
-    # corpus, so a task's share of n-grams, and the memory of its partial aggregate, do not grow with it.
-    pieces = max(2, -(-(years.agg(F.sum("chars")).first()[0] or 0) // PIECE))
-    papers = (clean.repartition(pieces, "id")
-              .groupBy("id", "year", "domains").agg(F.collect_list("clean").alias("texts"))
-              .where(F.size("domains") > 0).repartitionByRange(pieces, "year", "domains", "id"))
-    per_cat = (paper_terms(papers, ns, academic)
-               .select("year", F.explode("domains").alias("category"), "n", "term", "tf")
-               .groupBy("category", "year", "n", "term")
-               .agg(F.sum("tf").cast("bigint").alias("tf"), F.count(F.lit(1)).cast("bigint").alias("df")))
-    floor = F.coalesce(*[F.when(F.col("n") == n, F.lit(k)) for n, k in sorted(min_df.items())], F.lit(1))
-    kept = per_cat.where(F.col("df") >= floor)
-    years_ok = years.where(F.col("n_docs") >= min_docs).select("category", "year")
-    return join_small(kept, years_ok, ["category", "year"], "left_semi", materialised=True)
+    spark = clean.sparkSession
+    ensure_checkpoint_dir(spark)
+    clean = clean.where(F.col("year").isNotNull() & (F.size("domains") > 0))
+    by_kind = sizes_by_kind(clean).checkpoint(eager=True)
+    sizes = by_kind.collect()
+    chars: Counter = Counter()
+    for r in sizes:
+        chars[r.year] += r.chars or 0
+    rooms = {y: GR.room(x) for y, x in chars.items()}
+    cells = cells_of(sizes, ns, min_df or K.MIN_DF, min_docs)
+    # The text moves once, dealt out by the ids of pieces: about PIECE characters of one year and set of domains,
+    # all rows of a paper in one.  So a paper's rows meet, and the n-grams of a piece, many times larger than its
+    # text, are combined before they move; a task's share does not grow with the corpus.
+    pieces = by_kind.select("year", "domains", F.ceil(F.col("chars") / PIECE).alias("pieces"))
+    mine = F.pmod(F.xxhash64("id"), F.greatest(F.col("pieces"), F.lit(1)))
+    papers = (join_small(clean, pieces, ["year", "domains"], materialised=True)
+              .select(F.xxhash64("year", "domains", mine).alias("id"), F.col("id").alias("paper"), "year", "domains", "clean")
+              .repartition(max(2, 4 * chars.total() // PIECE), "id")
+              .groupBy("id", "paper", "year", "domains").agg(F.collect_list("clean").alias("texts")))
+    # combined by the tasks already: another partial aggregate before the move would hold the same rows
+    per_cell = (paper_terms(papers, rooms, cells, academic, clean)
+                .select(F.explode("cells").alias("category"), "term", "more", "again").repartition("category", "term")
+                .groupBy("category", "term")
+                .agg((F.count(F.lit(1)) + F.sum("more")).alias("df"), F.sum("again").alias("again")))
+    names = spark.createDataFrame([(i, *c) for i, c in enumerate(cells)], "cell int, name string, year int, n int, least int")
+    return (per_cell.join(F.broadcast(names), F.col("category") == F.col("cell")).where(F.col("df") >= F.col("least"))
+            .select(F.col("name").alias("category"), "year", "n", "term", (F.col("df") + F.col("again")).alias("tf"), "df"))
+
+
+def stored(counts: DataFrame) -> DataFrame:
+    """The counts, written once to the checkpoint folder as Parquet: read twice by ``top_terms``, and a
+    fraction of what a checkpoint of their rows takes."""
+    path = checkpoint_path(counts.sparkSession, f"terms-{uuid.uuid4().hex}")
+    counts.write.parquet(path)
+    return counts.sparkSession.read.schema(counts.schema).parquet(path)
 
 
 def top_terms(counts: DataFrame, k: int = K.TOP_TERMS_PER_CATEGORY) -> DataFrame:
@@ -127,7 +133,8 @@ def top_terms(counts: DataFrame, k: int = K.TOP_TERMS_PER_CATEGORY) -> DataFrame
     tot = counts.groupBy("category", "n", "term").agg(F.sum("tf").cast("bigint").alias("total"))
     w = W.partitionBy("category", "n").orderBy(F.desc("total"), F.asc("term"))
     top = tot.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-    return (counts.join(top, ["category", "n", "term"])
+    # a few thousand terms: the counts stay where they are
+    return (join_small(counts, top, ["category", "n", "term"])
             .select("category", "n", "term", "year", F.col("tf").alias("count"), "total", "rank"))
 
 

@@ -134,11 +134,8 @@ FROM counts c JOIN top t ON c.category = t.category AND c.n = t.n AND c.term = t
 def c5_top_terms(spark, sf, k=K.TOP_TERMS_PER_CATEGORY):
     """C5 + C7: first 1000 terms per domain and n by total, their year cells
     (one long table over all domains = the merged term table)."""
-    from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
     # the counts are read twice (totals, then the kept rows): materialise once
-    counts = TM.term_year_counts(_clean(spark, sf)).checkpoint(eager=True)
-    t = TM.top_terms(counts, k)
+    t = TM.top_terms(TM.stored(TM.term_year_counts(_clean(spark, sf))), k)
     return t.withColumn("rank", F.col("rank").cast("int"))
 
 
